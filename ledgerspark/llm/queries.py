@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, sharding
+from . import exact_dedup, mixing, near_dedup, sharding
 from .storage import materialize
 from .text import word_count
 
@@ -75,3 +75,8 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 @_query("op3_sharding")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(table(spark, sf_dir, "documents"))
+
+
+@_query("op4_minhash_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
