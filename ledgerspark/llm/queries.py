@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, near_dedup, sharding
+from . import exact_dedup, line_dedup, mixing, near_dedup, sharding
 from .storage import materialize
 from .text import word_count
 
@@ -80,3 +80,23 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op4_minhash_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
+@_query("op1_line_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.drop_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op1_line_dedup"] = """
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), often AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+m AS (SELECT k.*, o.key IS NOT NULL AS dropped FROM k LEFT JOIN often o ON k.key = o.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
