@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, line_dedup, mixing, near_dedup, sharding
+from . import decontam, exact_dedup, line_dedup, mixing, near_dedup, sharding, warc
 from .storage import materialize
 from .text import word_count
 
@@ -105,3 +105,8 @@ FROM m GROUP BY doc_id
 @_query("op9_decontamination")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+
+
+@_query("op6_warc")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
