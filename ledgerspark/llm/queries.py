@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, line_dedup, mixing, near_dedup, sharding, warc
+from . import decontam, exact_dedup, langid, line_dedup, mixing, near_dedup, sharding, warc
 from .storage import materialize
 from .text import word_count
 
@@ -110,3 +110,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_warc")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@_query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = F.coalesce(langid.held_out(F.col("doc_id")), F.lit(False))
+    model = langid.learn(docs, ~out)
+    return langid.identify(docs, model).withColumn("held_out", out)
