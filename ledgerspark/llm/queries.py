@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, line_dedup, mixing, near_dedup, sharding, warc
+from . import decontam, exact_dedup, langid, line_dedup, mixing, near_dedup, quality, sharding, warc
 from .storage import materialize
 from .text import word_count
 
@@ -118,3 +118,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = F.coalesce(langid.held_out(F.col("doc_id")), F.lit(False))
     model = langid.learn(docs, ~out)
     return langid.identify(docs, model).withColumn("held_out", out)
+
+
+@_query("op7_quality_classifier")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
