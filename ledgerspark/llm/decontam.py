@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import with_partner
 from .storage import materialize
 from .tokens import ALNUM, U, as_long, windows, word_hashes
 
@@ -208,7 +209,7 @@ def matched_windows(docs: DataFrame, wins: DataFrame, slop: int = 0) -> tuple[Da
         fields = ["window", "n", "start"]
     per_doc = materialize(found.groupBy(*where).agg(F.collect_list(F.struct(*fields)).alias("candidates")), "candidates")
     checked = (
-        docs.join(per_doc, where).dropDuplicates(where)
+        with_partner(docs, per_doc, where).dropDuplicates(where).join(per_doc, where)
         .select(*where, "text", "candidates")
         .mapInArrow(_verified(slop), "row long, text_hash long, n_hit long, matches array<struct<window: long, start: long, stop: long>>")
     )
