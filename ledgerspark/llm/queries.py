@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, line_dedup, mixing, near_dedup, quality, sharding, warc
+from . import decontam, exact_dedup, langid, line_dedup, mixing, near_dedup, quality, sharding, suffix_dedup, warc
 from .storage import materialize
 from .text import word_count
 
@@ -123,3 +123,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_quality_classifier")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query("op2_suffix_array_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("starts", "stops")

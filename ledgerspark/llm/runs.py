@@ -28,6 +28,8 @@ def _stream(keys: int, ids: int, carried: int, least: int, by_position: bool):
 
     def out(rows: np.ndarray, kind: int, units: int = 0) -> pa.RecordBatch:
         n = rows.shape[1]
+        if kind == _FOUND:
+            rows = np.concatenate([np.zeros((keys, n), np.int64), rows[keys:]])  # keys are not needed any more
         extra = [np.full(n, kind, np.int64), np.full(n, units, np.int64)]
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in [*rows, *extra]], schema=schema)
 
@@ -97,7 +99,7 @@ def _stream(keys: int, ids: int, carried: int, least: int, by_position: bool):
 
 
 def frequent(df: DataFrame, keys: list[str], ids: list[str], pos: str, least: int, tag: str, by_position: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
-    """The rows of ``df`` (all columns long) whose key has at least ``least`` units.
+    """``ids``, ``pos`` and ``carry`` of the rows of ``df`` (all long) whose key has at least ``least`` units.
 
     Rows are dealt by ranges of key, ids and position with those as a secondary sort, and
     every partition streams its runs. A key of any number of rows spreads over as many
@@ -118,6 +120,6 @@ def frequent(df: DataFrame, keys: list[str], ids: list[str], pos: str, least: in
     )
     k = [f"k{i}" for i in range(len(keys))]
     often = found.where(F.col("kind") == _COUNT).groupBy(*k).agg(F.sum("units").alias("u")).where(F.col("u") >= least).select(*k)
-    cols = [F.col(f"k{i}").alias(c) for i, c in enumerate(keys)] + [F.col(f"i{i}").alias(c) for i, c in enumerate(ids)] + [F.col("pos").alias(pos)] + [F.col(f"c{i}").alias(c) for i, c in enumerate(carry)]
+    cols = [F.col(f"i{i}").alias(c) for i, c in enumerate(ids)] + [F.col("pos").alias(pos)] + [F.col(f"c{i}").alias(c) for i, c in enumerate(carry)]
     rest = found.where(F.col("kind") == _OPEN).join(often, k, "left_semi")
     return found.where(F.col("kind") == _FOUND).select(*cols).unionByName(rest.select(*cols))
