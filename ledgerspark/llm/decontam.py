@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import with_partner
+from .joins import with_partner, without
 from .storage import materialize
 from .tokens import ALNUM, U, as_long, windows, word_hashes
 
@@ -256,6 +256,6 @@ def contamination(
 
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` without the contaminated ones."""
-    lost = contamination(docs, items, id_col=id_col, text_col=text_col, **how).where("contaminated").select(F.col("doc_id").alias("_lost")).distinct()
-    return docs.join(lost, F.col(id_col).eqNullSafe(F.col("_lost")), "left_anti")
+    """``docs`` without the contaminated ones; rows with a null id stay."""
+    found = contamination(docs, items, id_col=id_col, text_col=text_col, **how).where("contaminated")
+    return without(docs, materialize(found.select(F.col("doc_id").cast(docs.schema[id_col].dataType).alias(id_col)), "contaminated"), id_col)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import without
 from .text import ascii_lower
 
 
@@ -49,5 +50,5 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
     """``docs`` without the rows that exact_groups() does not keep."""
-    lost = exact_groups(docs, id_col, text_col, keep).where("not kept").select(F.col("doc_id").alias("_lost")).distinct()
-    return docs.join(lost, F.col(id_col).eqNullSafe(F.col("_lost")), "left_anti")
+    lost = exact_groups(docs, id_col, text_col, keep).where("not kept").select(F.col("doc_id").alias(id_col))
+    return without(docs, lost, id_col)

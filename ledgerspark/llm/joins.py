@@ -19,3 +19,17 @@ def with_partner(wide: DataFrame, thin: DataFrame, keys: list[str]) -> DataFrame
     bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).alias("_bucket")
     used = thin.select(bucket).distinct()
     return wide.withColumn("_bucket", bucket).join(F.broadcast(used), "_bucket", "left_semi").drop("_bucket")
+
+
+def without(wide: DataFrame, lost: DataFrame, key: str) -> DataFrame:
+    """Rows of ``wide`` whose ``key`` is not in ``lost`` (same column name); a null key stays.
+
+    Only rows in a hash bucket that ``lost`` occupies are shuffled for the exact test.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).alias("_bucket")
+    lost = lost.select(key).where(F.col(key).isNotNull()).distinct()
+    used = F.broadcast(lost.select(bucket).distinct())  # BUCKETS rows at most
+    marked = wide.withColumn("_bucket", bucket)
+    sure = marked.join(used, "_bucket", "left_anti")
+    maybe = marked.join(used, "_bucket", "left_semi").join(lost, key, "left_anti")
+    return sure.unionByName(maybe).select(*wide.columns)

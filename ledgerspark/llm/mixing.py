@@ -118,3 +118,18 @@ def systematic_mix(
 def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of a mix, every row as often as it is taken."""
     return mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*columns)
+
+
+def mixed_documents(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", **how) -> DataFrame:
+    """``docs`` with every row as often as systematic_mix() takes it.
+
+    Where ids are unique only id, source and size take part in the sampling and whole
+    rows meet their number of copies in one join; otherwise whole rows are ranked.
+    """
+    ids = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(id_col).isNull())
+    if ids.limit(1).count():
+        return repeated(systematic_mix(docs, size, id_col, source_col, **how), docs.columns)
+    thin = materialize(docs.select(F.col(id_col), F.col(source_col), size.alias("size")), "sizes")
+    taken = systematic_mix(thin, F.col("size"), id_col, source_col, **how).where("copies > 0").select(id_col, F.col("copies").alias("_copies"))
+    copies = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+    return docs.join(materialize(taken, "copies"), id_col).withColumn("_copy", copies).select(*docs.columns)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
+from .joins import with_partner, without
 from .storage import materialize
 from .tokens import SPACED, U, as_long, mix, windows, word_hashes
 
@@ -169,7 +170,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, tag: str) -> DataFrame:
     """The pairs ``a, b`` whose full sets meet the threshold. ``docs``: distinct ``doc_id``, ``text``."""
     pairs = materialize(pairs, f"{tag}-pairs")
     nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = materialize(docs.join(nodes, "doc_id", "left_semi"), f"{tag}-texts")
+    texts = materialize(with_partner(docs, nodes, ["doc_id"]).join(nodes, "doc_id", "left_semi"), f"{tag}-texts")
     one, two = (texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
     rows = pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b")
     return materialize(rows.mapInArrow(_compare, "a long, b long"), f"{tag}-links")
@@ -272,5 +273,5 @@ def _repeats(thin: DataFrame) -> bool:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each near-duplicate group."""
-    lost = near_groups(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("_lost")).distinct()
-    return docs.join(lost, F.col(id_col) == F.col("_lost"), "left_anti")
+    lost = near_groups(docs, id_col, text_col).where("not kept").select(F.col("doc_id").cast(docs.schema[id_col].dataType).alias(id_col))
+    return without(docs, materialize(lost, "near-copies"), id_col)

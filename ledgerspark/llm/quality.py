@@ -222,14 +222,26 @@ def _inputs(docs: DataFrame, id_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("row"), have("source").alias("source"), have("lang").alias("lang"), F.col("text").cast("string").alias("text"))
 
 
-def _scorer(model: list[tuple[Linear, float, float]]):
-    (text, ta, tb), (meta, ma, mb) = model
-    weights, more = text.weights[:BUCKETS], text.weights[BUCKETS:]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = len(batch)
-            t, m = np.full(n, text.bias), np.zeros((n, META))
+def _judge(model: list[tuple[Linear, float, float]] | None, threshold: float):
+    """Scores of a batch with columns id, source, lang, text: text view, metadata view, both, accepted."""
+
+    def probability(x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+    def work(batch: pa.RecordBatch) -> list[np.ndarray]:
+        n = len(batch)
+        words, t, m = np.zeros(n, np.int64), np.zeros(n), np.zeros((n, META))
+        for i, raw, h, source, lang in _documents(batch):
+            words[i] = len(h)
+            if model is not None and len(h):
+                m[i] = _meta(raw, h, source, lang)
+                t[i] = model[0][0].weights[BUCKETS:] @ _repetition(h)
+        if model is None:
+            out = [np.full(n, 0.5) for _ in range(3)]
+        else:
+            (text, ta, tb), (meta, ma, mb) = model
+            weights = text.weights[:BUCKETS]
+            t += text.bias
             data, offsets = texts_of(batch.column(3))
             for i, j in blocks(offsets):
                 part = data[offsets[i] : offsets[j]]
@@ -238,12 +250,10 @@ def _scorer(model: list[tuple[Linear, float, float]]):
                     lo, hi = offsets[i:j] - offsets[i], offsets[i + 1 : j + 1] - offsets[i] - 2
                     some = hi > lo
                     t[i:j][some] += (c[hi[some]] - c[lo[some]]) / (hi - lo)[some]
-            for i, raw, h, source, lang in _documents(batch):
-                m[i] = _meta(raw, h, source, lang)
-                t[i] += more @ _repetition(h)
             a, b = ta * t + tb, ma * meta(m) + mb
-            p = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p(a)), pa.array(p(b)), pa.array(p((a + b) / 2))], names=["doc_id", "text_score", "meta_score", "score"])
+            out = [probability(a), probability(b), probability((a + b) / 2)]
+        out = [np.where(words > 0, x, 0.0) for x in out]
+        return [*out, (words > 0) & (out[2] >= threshold)]
 
     return work
 
@@ -252,34 +262,19 @@ def score(docs: DataFrame, model: list[tuple[Linear, float, float]] | None, thre
     """One row per row: ``doc_id, text_score, meta_score, score, accepted``.
 
     ``score`` is the mean of both views' calibrated log odds, as a probability of good
-    quality. Every row is scored by itself on its whole text. A null or blank text scores
-    0 and is rejected. Without a model (no labels of both classes) other texts score 0.5
-    and are accepted. An empty table gives an empty result.
+    quality. Every row is scored by itself on its whole text, so repeated rows and ids do
+    not matter. A null or blank text scores 0 and is rejected. Without a model (no labels
+    of both classes) other texts score 0.5 and are accepted. A missing or null source or
+    language is a feature of its own. An empty table gives an empty result.
     """
-    rows = _inputs(docs, id_col)
-    blank = F.coalesce(~F.col("_text").rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
-    names = ["text_score", "meta_score", "score"]
-    if model is None:
-        out = rows.select(F.col("row").alias("doc_id"), F.col("text").alias("_text"), *[F.lit(0.5).alias(c) for c in names]).withColumn("_blank", blank).drop("_text")
-    else:
-        marked = rows.withColumn("text", F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.col("text")))
-        out = marked.mapInArrow(_with_blank(_scorer(model)), "doc_id long, text_score double, meta_score double, score double, _blank boolean")
-    cols = [F.when(F.col("_blank"), F.lit(0.0)).otherwise(F.col(c)).alias(c) for c in names]
-    return out.select("doc_id", *cols, "_blank").select("doc_id", *names, (~F.col("_blank") & (F.col("score") >= threshold)).alias("accepted"))
-
-
-def _with_blank(work):
-    """``work`` with a column that tells rows without text."""
-
-    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    judge = _judge(model, threshold)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blank = batch.column(3).is_null()
-            at = 0
-            for out in work(iter([batch])):
-                yield pa.RecordBatch.from_arrays([*out.columns, blank.slice(at, len(out))], names=[*out.schema.names, "_blank"])
-                at += len(out)
+            cols = [batch.column(0), *map(pa.array, judge(batch))]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "text_score", "meta_score", "score", "accepted"])
 
-    return both
+    return _inputs(docs, id_col).mapInArrow(work, "doc_id long, text_score double, meta_score double, score double, accepted boolean")
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -287,7 +282,15 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     return score(docs, learn(docs, labels), threshold)
 
 
-def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rejected documents. Rows that repeat an id stay if one of them is accepted."""
-    good = classify(docs, labels, threshold).where("accepted").select(F.col("doc_id").alias("_good")).distinct()
-    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("_good")), "left_semi")
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the rejected rows, in one pass and without a shuffle of texts."""
+    judge = _judge(learn(docs, labels, id_col=id_col), threshold)
+    names, inputs = docs.columns, [id_col, "source", "lang", "text"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one = lambda c: batch.column(names.index(c)) if c in names else pa.nulls(len(batch), pa.string())  # noqa: B023, E731
+            part = pa.RecordBatch.from_arrays([one(c) for c in inputs], names=inputs)
+            yield batch.filter(pa.array(judge(part)[3]))
+
+    return docs.mapInArrow(work, docs.schema)
