@@ -33,6 +33,8 @@ DEVIATIONS = 5.5
 SMALL = 24
 #: Reference members of a large bucket from which its centre is found.
 REFERENCES = 8
+#: Further rounds of centres at most.
+CENTRE_ROUNDS = 8
 
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64())), ("packed", pa.list_(pa.int64()))])
 SKETCH_DDL = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, packed array<long>"
@@ -205,6 +207,46 @@ def _centres(large: DataFrame) -> DataFrame:
     return scored.join(best, ["bucket", "s"], "left_semi").groupBy("bucket").agg(F.min("id").alias("id"))
 
 
+def _centre_pairs(among: DataFrame, members: DataFrame, more: Column) -> DataFrame:
+    """Pairs of ``members`` with the centre that ``among`` gives their bucket: one pair a member at most."""
+    at_centre = among.join(materialize(_centres(among), "centres"), ["bucket", "id"], "left_semi")
+    return _pairs(members, at_centre, more)
+
+
+def _large_links(large: DataFrame, links: DataFrame, tested: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links of large buckets beyond those of their first centres.
+
+    While most comparisons left would be inside groups that only chains of links hold
+    together, members outside their bucket's main component choose a centre among
+    themselves, which all members of another component meet. When few are left, or a
+    round settles little, each of them meets every member of another component.
+    """
+    apart = F.col("xcomp") != F.col("ycomp")
+    found, before = None, None
+    rows = large.count()
+    for r in range(CENTRE_ROUNDS + 1):
+        so_far = links if found is None else links.union(found)
+        comp = components(so_far).withColumnRenamed("node", "id")
+        placed = large.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+        placed = materialize(placed, "placed")
+        per = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
+        main = per.groupBy("bucket").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"))
+        rest = materialize(placed.join(main, "bucket").where(F.col("comp") != F.col("main")), "rest")
+        cost = rest.agg(F.sum("size")).first()[0] or 0
+        if not cost:
+            break
+        last = cost <= 2 * rows or r == CENTRE_ROUNDS or (before is not None and cost > 0.9 * before)
+        before = cost
+        more = _pairs(rest, placed, apart) if last else _centre_pairs(rest, placed, apart)
+        more = materialize(more.join(tested, ["a", "b"], "left_anti"), "more")
+        new = _confirmed(more, texts, "more")
+        found = new if found is None else found.union(new)
+        if last:
+            break
+        tested = tested.union(more)
+    return links.limit(0) if found is None else found
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
@@ -215,9 +257,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
        the packed bits, corrected for chance agreement, as the condition of the join on
        the key, so pairs that cannot be linked are never emitted. Small buckets have all
        pairs estimated. In a large one every member meets the bucket's centre; once those
-       links are known, members outside the bucket's main component meet all the others.
+       links are known, members outside the bucket's main component go on with centres
+       of their own, and in the end meet all the others.
        So every candidate pair is either compared or already in one component, and a
-       group of near copies costs a number of pairs in proportion to its members.
+       group of near copies costs pairs in proportion to its members.
     3. Pairs that pass are confirmed on their full sets, from the texts.
     4. Components of the confirmed links, joined to classes and documents.
 
@@ -242,20 +285,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     small, large = members.where(F.col("size") <= SMALL), members.where(F.col("size") > SMALL)
     pairs = _pairs(small, small, F.col("xid") < F.col("yid"))
     if large.limit(1).count():
-        centres = materialize(_centres(large), "centres")
-        at_centre = large.join(centres, ["bucket", "id"], "left_semi")
-        pairs = pairs.union(_pairs(large, at_centre, F.col("xid") != F.col("yid"))).distinct()
-        links = _confirmed(pairs, rows, "first")
-        comp = materialize(components(links), "first-components")
-        own = F.coalesce("component", "id")
-        placed = materialize(large.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", own).drop("component"), "placed")
-        per = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
-        main = per.groupBy("bucket").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"))
-        marked = placed.join(main, "bucket")
-        rest = marked.where(F.col("comp") != F.col("main"))
-        if rest.limit(1).count():
-            more = _pairs(rest, placed, F.col("xcomp") != F.col("ycomp")).join(pairs, ["a", "b"], "left_anti")
-            links = links.union(_confirmed(more, rows, "rest"))
+        tested = materialize(pairs.union(_centre_pairs(large, large, F.col("xid") != F.col("yid"))).distinct(), "tested")
+        links = _confirmed(tested, rows, "first")
+        ids = large.select(F.col("id").alias("doc_id")).distinct()
+        texts = materialize(with_partner(rows, ids, ["doc_id"]).join(ids, "doc_id", "left_semi"), "large-texts")
+        links = links.union(_large_links(large, links, tested, texts))
     else:
         links = _confirmed(pairs, rows, "first")
 
