@@ -75,11 +75,9 @@ def asset_ticker(name: Column, kind: Column) -> Column:
 
 
 def ticker_status(printed: Column) -> Column:
-    """``struct<ticker, status, reason>`` before any resolution: what is printed stands."""
+    """``struct<resolved_ticker, status, reason>`` before any resolution: a printed ticker stands."""
     has = F.coalesce(F.length(printed) > 0, F.lit(False))
-    return F.struct(
-        F.when(has, F.upper(printed)).alias("ticker"), F.when(has, "printed").otherwise("unresolved").alias("status"), F.when(~has, "no printed ticker").alias("reason")
-    )
+    return F.struct(F.lit(None).cast("string").alias("resolved_ticker"), F.when(has, "printed").otherwise("unresolved").alias("status"), F.when(~has, "no ticker printed").alias("reason"))
 
 
 def event_ticker(printed: Column, resolved: Column) -> Column:

@@ -107,7 +107,7 @@ query(
 )
 query(
     "ticker_status",
-    "SELECT l_orderkey, l_linenumber, upper(printed_ticker) AS ticker, CASE WHEN printed_ticker IS NULL THEN 'unresolved' ELSE 'printed' END AS status, CASE WHEN printed_ticker IS NULL THEN 'no printed ticker' END AS reason FROM trades",
+    "SELECT l_orderkey, l_linenumber, cast(NULL AS varchar) AS resolved_ticker, CASE WHEN printed_ticker IS NULL THEN 'unresolved' ELSE 'printed' END AS status, CASE WHEN printed_ticker IS NULL THEN 'no ticker printed' END AS reason FROM trades",
     ("trades",),
 )(lambda k: k.trades.select("l_orderkey", "l_linenumber", S.ticker_status(F.col("printed_ticker")).alias("t")).select("l_orderkey", "l_linenumber", "t.*"))
 _ISO = "CASE cast(doc_id AS bigint) % 4 WHEN 0 THEN '2023-02-30' WHEN 1 THEN '2024-02-29' WHEN 2 THEN '2024-2-9' ELSE cast(filing_date AS string) || ' ' END"
@@ -166,7 +166,7 @@ def extracted(k):
     x = F.col("l_partkey")
     pick = lambda n, r, bad, good: F.when(x % n == r, bad).otherwise(good)
     return k.trades.select(
-        "doc_id", "l_linenumber", "l_partkey", "l_suppkey",
+        "doc_id", "l_linenumber", "l_partkey", "l_suppkey", *(["row_number"] if "row_number" in k.trades.columns else []),
         pick(11, 0, F.lit("Q"), F.when(F.col("action") == "purchase", "P").when(F.col("action") == "sale", "S").when(F.col("action") == "unmarked", "unmarked").otherwise("E")).alias("transaction_type_code"),
         pick(17, 0, F.lit(" "), F.col("transaction_date").cast("string")).alias("transaction_date"),
         pick(19, 0, F.lit(None).cast("string"), F.col("asset_description")).alias("asset"),

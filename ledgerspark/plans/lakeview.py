@@ -92,6 +92,22 @@ SELECT cast(conv_id AS string) AS source_id, cast(turn AS int) AS read_idx, role
 FROM {conversations}
 """
 
+VIEWS["people"] = """
+SELECT 'B' || cast(c_custkey AS string) AS bioguide, translate(cast(c_custkey % 83 AS string), '0123456789', 'Klnopqtuvw') || 'ann' AS first, cast(NULL AS string) AS middle, cast(NULL AS string) AS nickname,
+  'Z' || translate(cast(c_custkey % 211 AS string), '0123456789', 'klnopqtuvw') AS last, cast(NULL AS string) AS official_full,
+  substr('CATXNYFLWA', cast(1 + 2 * (c_custkey % 5) AS int), 2) AS state, cast(c_custkey % 12 AS int) AS district,
+  DATE '1990-01-01' + cast(c_custkey % 900 AS int) AS first_start, DATE '1993-01-01' + cast(c_custkey % 900 AS int) AS first_end,
+  DATE '1994-01-01' + cast(c_custkey % 1300 AS int) AS second_start, DATE '1998-01-01' + cast(c_custkey % 900 AS int) AS second_end
+FROM {customer}
+"""
+VIEWS["named"] = """
+SELECT cast(o_orderkey AS string) AS doc_id, CASE WHEN o_orderkey % 3 = 0 THEN 'senate' ELSE 'house' END AS chamber,
+  upper(translate(cast(o_custkey % 83 AS string), '0123456789', 'Klnopqtuvw')) || CASE WHEN o_orderkey % 4 = 0 THEN 'ANN' ELSE 'OTTO' END AS filer_first,
+  'Z' || upper(translate(cast(o_custkey % 211 AS string), '0123456789', 'klnopqtuvw')) AS filer_last,
+  CASE WHEN o_orderkey % 3 <> 0 THEN substr('CATXNYFLWA', cast(1 + 2 * (o_custkey % 5) AS int), 2) || lpad(cast(CASE WHEN o_orderkey % 5 = 0 THEN o_custkey % 13 ELSE o_custkey % 12 END AS string), 2, '0') END AS state_district,
+  cast(o_orderdate AS date) AS filing_date
+FROM {orders}
+"""
 VIEWS["stream"] = "SELECT event_id, ts, user_id, event_type, value, props FROM {events}"
 
 _BASE = re.compile(r"\{(\w+)\}")
