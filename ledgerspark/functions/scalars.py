@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Statutory amount bands (label, low, high), marks and patterns of the forms.
 AMOUNT_BANDS = [
@@ -116,7 +117,7 @@ def display_name(first: Column, last: Column) -> Column:
     return F.initcap(F.regexp_replace(trimmed(whole), r"\s+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def folded(names: pd.Series) -> pd.Series:
     """Compatibility decomposition without marks; Spark has no built-in for it."""
     return names.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if unicodedata.category(c)[0] != "M"))

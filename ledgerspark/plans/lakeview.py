@@ -83,7 +83,7 @@ FROM {orders} WHERE o_orderkey % 7 <> 0
 UNION ALL SELECT 'house', 'lost' || cast(n_nationkey AS string) FROM {nation}
 """
 VIEWS["ocr"] = """
-SELECT cast(doc_id AS string) AS filing_id, cast(1 + doc_id % 3 AS int) AS page, text FROM {documents}
+SELECT cast(cast(floor(doc_id / 4) AS bigint) AS string) AS filing_id, cast(1 + doc_id % 4 AS int) AS page, text FROM {documents}
 """
 VIEWS["reads"] = """
 SELECT cast(conv_id AS string) AS source_id, cast(turn AS int) AS read_idx, role, text,
