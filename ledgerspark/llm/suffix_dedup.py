@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .joins import with_partner
-from .runs import frequent
+from .names import repeated_positions
 from .storage import materialize
-from .tokens import BLOCK, U, as_long, blocks, mix, powers, prefix_sums, texts_of
+from .tokens import BLOCK, U, blocks, mix, powers, prefix_sums, texts_of
 
 #: Bytes of a string that may not repeat.
 LENGTH = 400
@@ -83,46 +83,42 @@ def _names(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
 
 def _samples(length: int):
     v, residues, width = cover_for(length)
-    schema = pa.schema([("h", pa.int64()), ("uid", pa.int64()), ("pos", pa.int64())])
 
     def places(n: int, template: np.ndarray) -> np.ndarray:
         return template[: np.searchsorted(template, n - width, "right")]
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def namer(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         template = (np.arange(0, BLOCK + 2 * length, v)[:, None] + residues).ravel()
+        step = BLOCK // v * v  # long texts go in pieces that start on the period
         for batch in batches:
-            uid = np.asarray(batch.column(0))
+            uid = batch.column(0).to_pylist()
             data, offsets = texts_of(batch.column(1))
             for i, j in blocks(offsets):
-                if j - i == 1 and offsets[j] - offsets[i] > BLOCK:  # one long text, in pieces that start on the period
-                    step = BLOCK // v * v
+                if j - i == 1 and offsets[j] - offsets[i] > BLOCK:
                     whole = data[offsets[i] : offsets[j]]
-                    found = []
                     for k in range(0, len(whole), step):
                         p = places(len(whole) - k, template)
                         p = p[p < step]
-                        found.append((k, p, _names(whole[k : k + step + width], p, width)))
-                    at = np.concatenate([k + p for k, p, _ in found])
-                    h = np.concatenate([x for _, _, x in found])
-                    owner = np.full(len(at), uid[i])
-                else:
-                    sizes = np.diff(offsets[i : j + 1])
-                    each = [places(n, template) if n >= length else template[:0] for n in sizes]
-                    counts = np.array([len(x) for x in each])
-                    at = np.concatenate(each) if each else template[:0]
-                    h = _names(data[offsets[i] : offsets[j]], at + np.repeat(offsets[i:j] - offsets[i], counts), width)
-                    owner = np.repeat(uid[i:j], counts)
-                yield pa.RecordBatch.from_arrays([pa.array(as_long(h)), pa.array(owner), pa.array(at)], schema=schema)
+                        yield uid[i], _names(whole[k : k + step + width], p, width), None, p + k
+                    continue
+                part = data[offsets[i] : offsets[j]]
+                c = prefix_sums(part)
+                _, down = powers(len(part) + 1)
+                for k in range(i, j):
+                    start, n = offsets[k] - offsets[i], offsets[k + 1] - offsets[k]
+                    if n >= length:
+                        p = places(n, template)
+                        at = p + start
+                        yield uid[k], mix((c[at + width] - c[at]) * down[at]), None, p
 
-    return work
+    return namer
 
 
 def _merged(length: int, rounds: int, r: int):
     """Names of the suffixes near repeated samples whose name leaves ``r``."""
     v, _, _ = cover_for(length)
-    schema = pa.schema([("h", pa.int64()), ("h2", pa.int64()), ("uid", pa.int64()), ("pos", pa.int64())])
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def namer(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             data, offsets = texts_of(batch.column(1))
             for k, uid in enumerate(batch.column(0).to_pylist()):
@@ -140,10 +136,9 @@ def _merged(length: int, rounds: int, r: int):
                     own = h % U(rounds) == U(r)
                     at, h = at[own], h[own]
                     # A second hash, of other letters, makes 96 bits.
-                    h2 = _names(_OTHER[part], at, length) >> U(32)
-                    yield pa.RecordBatch.from_arrays([pa.array(as_long(h)), pa.array(as_long(h2)), pa.array(np.full(len(at), uid)), pa.array(at + start)], schema=schema)
+                    yield uid, h, (_names(_OTHER[part], at, length) >> U(32)).astype(np.uint32), at + start
 
-    return work
+    return namer
 
 
 #: A fixed shuffle of the byte values.
@@ -189,16 +184,13 @@ def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _spans(rows: DataFrame, copies: DataFrame, length: int, rounds: int) -> tuple[DataFrame, DataFrame]:
     """Spans by uid of texts that are no later copy, and the texts concerned."""
-    sampled = rows.select("uid", "text").mapInArrow(_samples(length), "h long, uid long, pos long")
-    found = frequent(sampled, ["h"], ["uid"], "pos", 2, "samples", by_position=True)
-    near = found.groupBy("uid").agg(F.collect_set("pos").alias("near")).join(copies.where("uid <> rep").select("uid"), "uid", "left_anti")
+    found = repeated_positions(rows.select("uid", "text"), _samples(length))
+    near = found.groupBy("uid").agg(F.flatten(F.collect_list("positions")).alias("near")).join(copies.where("uid <> rep").select("uid"), "uid", "left_anti")
     near = materialize(near, "near")
     texts = materialize(with_partner(rows.select("uid", "text"), near, ["uid"]).join(near, "uid"), "near-texts")
     spans = None
     for r in range(rounds):
-        names = texts.mapInArrow(_merged(length, rounds, r), "h long, h2 long, uid long, pos long")
-        starts = frequent(names, ["h", "h2"], ["uid"], "pos", 2, "suffixes", by_position=True)
-        own = starts.groupBy("uid").agg(F.collect_set("pos").alias("starts")).mapInArrow(_covered(length), SPANS_DDL)
+        own = repeated_positions(texts, _merged(length, rounds, r)).mapInArrow(_covered(length), SPANS_DDL)
         own = materialize(own, "spans")
         spans = own if spans is None else spans.unionByName(own)
     spans = spans.groupBy("uid").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("stops")).alias("stops")).mapInArrow(_covered(0), SPANS_DDL)
@@ -234,9 +226,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, rounds: int = PASSES,
 
     Texts that occur more than once are removed whole, and one of them takes part in the
     rest. Sampled suffixes are named by 64 bits, which only proposes; removal rests on 96
-    bits of a ``length``-byte prefix. Names are sorted by range partitions of name, text
-    and position (see runs.frequent), so a passage that a third of the documents share
-    spreads over many tasks. Whole texts never enter a shuffle unless they hold a
+    bits of a ``length``-byte prefix. Names are sorted in ranges (see
+    names.repeated_positions), which receive a passage that a third of the documents
+    share once from each block of documents. Whole texts never enter a shuffle unless they hold a
     repeated sample.
 
     Null counts as empty; texts shorter than ``length`` lose nothing. Rows that repeat an
