@@ -56,7 +56,7 @@ def item_windows(items: DataFrame, width: int = WIDTH, id_col: str = "item_id",
 def _counts(terms: np.ndarray):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(terms), np.int64)
-        for batch in batches:
+        for batch in batches if len(terms) else ():
             for _, _, h, _, _ in word_hashes(batch.column(0), ALNUM):
                 at = np.searchsorted(terms, h)
                 at[at == len(terms)] = 0
