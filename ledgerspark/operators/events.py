@@ -173,7 +173,7 @@ def build_events(trades: DataFrame, filings: DataFrame) -> DataFrame:
 def rebuild(events: DataFrame, trades: DataFrame, filings: DataFrame, touched: DataFrame) -> DataFrame:
     """Events after a change of the ``touched`` filer keys; all other filers keep theirs."""
     keys = touched.select("filer_key").distinct()
-    kept = events.join(keys, "filer_key", "left_anti")
+    kept = events.join(keys, "filer_key", "left_anti").select(*events.columns)
     new = build_events(trades.join(keys, "filer_key", "left_semi"), filings.join(keys, "filer_key", "left_semi"))
     return kept.unionByName(new)
 
