@@ -128,3 +128,86 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op2_suffix_array_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("starts", "stops")
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')".format(_LOWER)
+
+ORACLES["op9_decontamination"] = f"""
+WITH b AS (SELECT cast(item_id AS varchar) AS item, {_TERMS} AS w FROM benchmark),
+bn AS (SELECT item, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0),
+bw AS (SELECT item, n, unnest(generate_series(1, len(w) - n + 1)) AS s, w FROM bn),
+win AS (SELECT DISTINCT item, n, array_to_string(w[s : s + n - 1], ' ') AS k FROM bw),
+d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+dn AS (SELECT d.doc_id, x.n, d.w, unnest(generate_series(1, len(d.w) - x.n + 1)) AS s FROM d JOIN (SELECT DISTINCT n FROM win) x ON len(d.w) >= x.n),
+dw AS (SELECT doc_id, n, s, array_to_string(w[s : s + n - 1], ' ') AS k FROM dn),
+m AS (SELECT dw.doc_id, dw.n, dw.s, win.item FROM dw JOIN win ON win.n = dw.n AND win.k = dw.k),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(s, s + n - 1)) AS p FROM m) q GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM m) q GROUP BY doc_id)
+SELECT d.doc_id, cast(len(d.w) AS bigint) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items, sha256(coalesce(i.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN i ON i.doc_id = d.doc_id
+"""
+
+_DIGITS = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(1 + ((cast('0x' || substr(h, {1 + 5 * g}, 5) AS bigint) >> {shift}) & 31) AS int), 1)" for g in range(8) for shift in (15, 10, 5, 0)
+)
+ORACLES["op6_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT body, min(page_id) AS first FROM p GROUP BY body)
+SELECT page_id, cast(strlen(p.body) AS bigint) AS payload_bytes, {_DIGITS} AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to, target_uri
+FROM p JOIN f ON f.body = p.body
+"""
+
+
+def _hilbert_sql(bits: int = sharding.BITS) -> str:
+    """The curve's steps, one select for each bit, over cells c0, c1 and c2."""
+    digits, following = sharding.curve_tables(3)
+    source, at = "cells", "0"
+    steps = []
+    for b in reversed(range(bits)):
+        corner = " + ".join(f"((c{i} >> {b}) & 1) * {1 << i}" for i in range(3))
+        at = "0" if source == "cells" else "state"
+        before = "0" if source == "cells" else "hilbert"
+        keep = "* EXCLUDE (state, hilbert)" if source != "cells" else "*"
+        steps.append(f"h{b} AS (SELECT {keep}, {following}[cast({at} * 8 + {corner} + 1 AS int)] AS state, cast({before} * 8 + {digits}[cast({at} * 8 + {corner} + 1 AS int)] AS bigint) AS hilbert FROM {source})")
+        source = f"h{b}"
+    return ",\n".join(steps)
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of a text's bytes, folded over a table of its polynomial."""
+    table = []
+    for n in range(256):
+        for _ in range(8):
+            n = (n >> 1) ^ 0xEDB88320 if n & 1 else n >> 1
+        table.append(n)
+    octets = f"list_transform(regexp_extract_all(hex(encode(coalesce({text}, ''))), '..'), lambda x: cast('0x' || x AS bigint))"
+    start = "list_prepend(cast(4294967295 AS bigint), " + octets + ")"
+    return f"xor(list_reduce({start}, lambda a, b: xor(a >> 8, {table}[cast((xor(a, b) & 255) + 1 AS int)])), 4294967295)"
+
+
+ORACLES["op3_sharding"] = f"""
+WITH d AS (SELECT doc_id, source, lang, cast(strlen(coalesce(text, '')) + 16 AS bigint) AS size, cast({_crc32_sql("text")} AS bigint) AS text_crc32 FROM documents),
+s AS (SELECT source, cast(floor((row_number() OVER (ORDER BY source NULLS LAST) - 1) * 64 / count(*) OVER ()) AS int) AS c0 FROM (SELECT DISTINCT source FROM d) q),
+l AS (SELECT lang, cast(floor((row_number() OVER (ORDER BY lang NULLS LAST) - 1) * 64 / count(*) OVER ()) AS int) AS c1 FROM (SELECT DISTINCT lang FROM d) q),
+cells AS (SELECT d.*, c0, c1, cast(least(floor(log2(d.size) * 3), 63) AS int) AS c2 FROM d JOIN s ON s.source IS NOT DISTINCT FROM d.source JOIN l ON l.lang IS NOT DISTINCT FROM d.lang),
+{_hilbert_sql()},
+r AS (SELECT *, row_number() OVER (ORDER BY hilbert, doc_id) - 1 AS k, count(*) OVER () AS n FROM h0)
+SELECT doc_id, size, text_crc32, 'rows' AS law, cast(k * {SHARDS} // n AS int) AS shard, k - (k * {SHARDS} // n * n + {SHARDS - 1}) // {SHARDS} AS slot, cast(NULL AS int) AS grown_shard, hilbert, source, lang FROM r
+"""
+
+_WORDS = "regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+')".format(_LOWER)
+ORACLES["op4_minhash_near_dedup"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+s0 AS (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM s0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 75 * (x.n + y.n - m)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach(v, r) AS (SELECT doc_id, doc_id FROM n UNION SELECT u.b, reach.r FROM reach JOIN u ON u.a = reach.v),
+c AS (SELECT v, min(r) AS component_id FROM reach GROUP BY v)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id, coalesce(c.component_id, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.v = d.doc_id
+"""
