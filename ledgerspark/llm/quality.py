@@ -20,6 +20,8 @@ LABELLED, UNLABELLED = 6000, 3000
 BUCKETS = 2048
 #: Rounds of co-training, and pseudo-labels that a view gives the other in a round.
 ROUNDS, GIVEN = 4, 150
+#: Gradient steps of a first fit, and of one that goes on.
+FIRST_STEPS, MORE_STEPS = 250, 60
 #: A pseudo-label needs at least this probability.
 CONFIDENT = 0.97
 #: Documents under this probability of good quality are rejected.
@@ -108,14 +110,19 @@ class Linear:
         return x @ self.weights + self.bias
 
 
-def fit_linear(x: np.ndarray, y: np.ndarray, decay: float = 1e-3, steps: int = 250) -> Linear:
-    """Logistic regression on standardised features by Adam over all rows; both classes weigh the same."""
+def fit_linear(x: np.ndarray, y: np.ndarray, start: Linear | None = None, decay: float = 1e-3) -> Linear:
+    """Logistic regression on standardised features by Adam over all rows; both classes weigh the same.
+
+    A fit that goes on from an earlier one takes fewer steps.
+    """
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-4
     z = ((x - mean) / scale).astype(np.float32).clip(-8, 8)
     cost = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum())).astype(np.float32)
     w, b = np.zeros(x.shape[1], np.float32), 0.0
+    if start is not None:
+        w, b = (start.weights * scale).astype(np.float32), float(start.bias + start.weights @ mean)
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
-    for t in range(1, steps + 1):
+    for t in range(1, (FIRST_STEPS if start is None else MORE_STEPS) + 1):
         p = 1 / (1 + np.exp(-np.clip(z @ w + b, -30, 30)))
         e = (p - y) * cost
         g = np.append(z.T @ e + decay * w, e.sum())
@@ -155,9 +162,9 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, rounds: int = RO
     pool, views = np.flatnonzero(y < 0), (text, meta)
     share = (y[used] == 1).mean()
     own = [dict(zip(used.tolist(), y[used].tolist(), strict=True)) for _ in views]
-    models: list[Linear] = []
+    models: list[Linear | None] = [None, None]
     for r in range(rounds + 1):
-        models = [fit_linear(x[list(s)], np.array(list(s.values()), np.float32)) for x, s in zip(views, own, strict=True)]
+        models = [fit_linear(x[list(s)], np.array(list(s.values()), np.float32), before) for x, s, before in zip(views, own, models, strict=True)]
         if r == rounds:
             break
         for giver, taker in ((0, 1), (1, 0)):
