@@ -30,7 +30,7 @@ PACKED = HASHES // LANES
 #: Candidates whose estimate is lower by more than this many standard deviations go without the exact check.
 DEVIATIONS = 5.5
 #: Members up to which a band's bucket has all its pairs estimated; larger ones go by centres first.
-SMALL = 24
+SMALL = 4
 #: Reference members of a large bucket from which its centre is found.
 REFERENCES = 8
 #: Further rounds of centres at most.
@@ -168,11 +168,13 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, tag: str) -> DataFrame:
-    """The pairs ``a, b`` whose full sets meet the threshold. ``docs``: distinct ``doc_id``, ``text``."""
-    pairs = materialize(pairs, f"{tag}-pairs")
-    nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = materialize(with_partner(docs, nodes, ["doc_id"]).join(nodes, "doc_id", "left_semi"), f"{tag}-texts")
+def _texts(docs: DataFrame, ids: DataFrame, tag: str) -> DataFrame:
+    """``doc_id, text`` of the documents in ``ids``."""
+    return materialize(with_partner(docs, ids, ["doc_id"]).join(ids, "doc_id", "left_semi"), tag)
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, tag: str) -> DataFrame:
+    """The pairs ``a, b`` whose full sets meet the threshold. ``texts``: distinct ``doc_id``, ``text`` of at least their documents."""
     one, two = (texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
     rows = pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b")
     return materialize(rows.mapInArrow(_compare, "a long, b long"), f"{tag}-links")
@@ -214,7 +216,7 @@ def _centre_pairs(among: DataFrame, members: DataFrame, more: Column) -> DataFra
 
 
 def _large_links(large: DataFrame, links: DataFrame, tested: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links of large buckets beyond those of their first centres.
+    """Edges with the components of ``links`` and of all further links in large buckets.
 
     While most comparisons left would be inside groups that only chains of links hold
     together, members outside their bucket's main component choose a centre among
@@ -222,11 +224,12 @@ def _large_links(large: DataFrame, links: DataFrame, tested: DataFrame, texts: D
     round settles little, each of them meets every member of another component.
     """
     apart = F.col("xcomp") != F.col("ycomp")
-    found, before = None, None
+    before = None
     rows = large.count()
+    edges = links
     for r in range(CENTRE_ROUNDS + 1):
-        so_far = links if found is None else links.union(found)
-        comp = components(so_far).withColumnRenamed("node", "id")
+        comp = components(edges).withColumnRenamed("node", "id")
+        edges = comp.select(F.col("id").alias("a"), F.col("component").alias("b"))  # stars with the same components
         placed = large.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
         placed = materialize(placed, "placed")
         per = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
@@ -239,12 +242,11 @@ def _large_links(large: DataFrame, links: DataFrame, tested: DataFrame, texts: D
         before = cost
         more = _pairs(rest, placed, apart) if last else _centre_pairs(rest, placed, apart)
         more = materialize(more.join(tested, ["a", "b"], "left_anti"), "more")
-        new = _confirmed(more, texts, "more")
-        found = new if found is None else found.union(new)
+        edges = edges.union(_confirmed(more, texts, "more"))
         if last:
             break
         tested = tested.union(more)
-    return links.limit(0) if found is None else found
+    return edges
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -284,14 +286,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     small, large = members.where(F.col("size") <= SMALL), members.where(F.col("size") > SMALL)
     pairs = _pairs(small, small, F.col("xid") < F.col("yid"))
-    if large.limit(1).count():
-        tested = materialize(pairs.union(_centre_pairs(large, large, F.col("xid") != F.col("yid"))).distinct(), "tested")
-        links = _confirmed(tested, rows, "first")
-        ids = large.select(F.col("id").alias("doc_id")).distinct()
-        texts = materialize(with_partner(rows, ids, ["doc_id"]).join(ids, "doc_id", "left_semi"), "large-texts")
-        links = links.union(_large_links(large, links, tested, texts))
-    else:
-        links = _confirmed(pairs, rows, "first")
+    several = large.limit(1).count() > 0
+    if several:
+        pairs = pairs.union(_centre_pairs(large, large, F.col("xid") != F.col("yid"))).distinct()
+    tested = materialize(pairs, "tested")
+    ids = tested.select(F.col("a").alias("doc_id")).union(tested.select(F.col("b").alias("doc_id")))
+    texts = _texts(rows, ids.union(large.select(F.col("id").alias("doc_id"))).distinct(), "texts")
+    links = _confirmed(tested, texts, "first")
+    if several:
+        links = _large_links(large, links, tested, texts)
 
     comp = components(links)
     labelled = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
