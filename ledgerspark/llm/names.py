@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .tokens import U
 
 #: Names that a task holds before it sends them on, and documents among them.
-HELD, HELD_DOCS = 2_000_000, 60_000
+HELD, HELD_DOCS = 500_000, 60_000
 
 #: A name's arrays: 64 and 32 bits of hash, document in its block, position; packed side by side.
 _NAME = np.dtype([("h", "<u8"), ("h2", "<u4"), ("doc", "<u2"), ("pos", "<u4")])

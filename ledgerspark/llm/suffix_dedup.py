@@ -34,7 +34,7 @@ from .tokens import BLOCK, U, blocks, mix, powers, prefix_sums, texts_of
 #: Bytes of a string that may not repeat.
 LENGTH = 400
 #: Rounds in which the remaining suffixes are merged, by a residue of their name; the shuffle's disk falls in proportion.
-PASSES = 3
+PASSES = 5
 
 
 @lru_cache
