@@ -26,7 +26,14 @@ def _query(name: str):
     return register
 
 
+#: Rows of text in an Arrow batch: Spark's default of 10,000 keeps a worker at several copies of tens of megabytes.
+BATCH_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of ``sf_dir``, in a session that hands texts to Python in small batches."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
