@@ -35,6 +35,8 @@ SMALL = 4
 REFERENCES = 8
 #: Further rounds of centres at most.
 CENTRE_ROUNDS = 8
+#: 64-bit words of the parity sketch that the last comparisons in large buckets look at first.
+PARITY_WORDS = 16
 
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64())), ("packed", pa.list_(pa.int64()))])
 SKETCH_DDL = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, packed array<long>"
@@ -215,13 +217,44 @@ def _centre_pairs(among: DataFrame, members: DataFrame, more: Column) -> DataFra
     return _pairs(members, at_centre, more)
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """Odd sketch of a set: each bit tells whether an odd number of members falls on it."""
+    odd = np.bincount((s & U(64 * PARITY_WORDS - 1)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first, bounds, h, _, _ in word_hashes(batch.column(1), SPACED):
+            n = len(bounds) - 1
+            p = np.array([parity(shingles(h[bounds[k] : bounds[k + 1]])) for k in range(n)])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), *(pa.array(np.ascontiguousarray(c)) for c in p.T)], names=["id", *(f"p{i}" for i in range(PARITY_WORDS))])
+
+
+def _few_differences() -> Column:
+    """False only where two sets differ in more members than a link allows: sketches never differ in more bits."""
+    bits = sum((F.bit_count(F.col(f"xp{i}").bitwiseXOR(F.col(f"yp{i}"))) for i in range(1, PARITY_WORDS)), F.bit_count(F.col("xp0").bitwiseXOR(F.col("yp0"))))
+    return bits * (100 + PERCENT) <= (F.col("xn") + F.col("yn")) * (100 - PERCENT)
+
+
+def _all_pairs(rest: DataFrame, placed: DataFrame, texts: DataFrame, apart: Column) -> DataFrame:
+    """Pairs of ``rest`` with every member of ``placed`` in another component that may be linked."""
+    met = placed.join(rest.select("bucket").distinct(), "bucket", "left_semi")
+    wanted = met.select(F.col("id").alias("doc_id")).distinct()
+    ddl = ", ".join(["id long", *(f"p{i} long" for i in range(PARITY_WORDS))])
+    odd = materialize(texts.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(_parities, ddl), "parities")
+    return _pairs(rest.join(odd, "id"), met.join(odd, "id"), apart & _few_differences())
+
+
 def _large_links(large: DataFrame, links: DataFrame, tested: DataFrame, texts: DataFrame) -> DataFrame:
     """Edges with the components of ``links`` and of all further links in large buckets.
 
     While most comparisons left would be inside groups that only chains of links hold
     together, members outside their bucket's main component choose a centre among
     themselves, which all members of another component meet. When few are left, or a
-    round settles little, each of them meets every member of another component.
+    round settles little, each of them meets every member of another component; there,
+    parity sketches bound the difference of two sets from below, so groups whose members
+    resemble each other without a link leave few pairs to confirm.
     """
     apart = F.col("xcomp") != F.col("ycomp")
     before = None
@@ -240,7 +273,7 @@ def _large_links(large: DataFrame, links: DataFrame, tested: DataFrame, texts: D
             break
         last = cost <= 2 * rows or r == CENTRE_ROUNDS or (before is not None and cost > 0.9 * before)
         before = cost
-        more = _pairs(rest, placed, apart) if last else _centre_pairs(rest, placed, apart)
+        more = _all_pairs(rest, placed, texts, apart) if last else _centre_pairs(rest, placed, apart)
         more = materialize(more.join(tested, ["a", "b"], "left_anti"), "more")
         edges = edges.union(_confirmed(more, texts, "more"))
         if last:

@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from ledgerspark.llm import exact_dedup, joins, line_dedup, near_dedup, suffix_dedup
@@ -230,3 +231,17 @@ def test_without_and_partner(spark):
     lost = spark.createDataFrame([(2,), (9,), (None,)], "k long")
     assert sorted(r.v for r in joins.without(wide, lost, "k").collect()) == ["a", "c"]
     assert {r.v for r in joins.with_partner(wide, lost.where("k is not null"), ["k"]).collect()} >= {"b"}
+
+
+def test_parity_sketches_never_lose_a_link():
+    rng = np.random.default_rng(11)
+    for n in (1, 4, 40, 900, 6000):
+        for changed in (0, n // 8, n // 5, n // 2, n):
+            a = np.unique(near_dedup.mix(rng.integers(0, 1 << 62, n, dtype=np.uint64)))
+            b = np.unique(np.concatenate([a[changed:], near_dedup.mix(rng.integers(0, 1 << 62, changed, dtype=np.uint64))]))
+            apart = len(np.setxor1d(a, b))
+            bits = sum(int(x).bit_count() for x in near_dedup.parity(a).view(np.uint64) ^ near_dedup.parity(b).view(np.uint64))
+            assert bits <= apart
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= near_dedup.PERCENT * (len(a) + len(b) - both):
+                assert bits * (100 + near_dedup.PERCENT) <= (len(a) + len(b)) * (100 - near_dedup.PERCENT)
