@@ -228,6 +228,34 @@ query(
         ),
     ).withColumn("rows", F.array_join("rows", ","))
 )
+
+
+def _all_reads(k: Lake):
+    """A response for every event, whose source is user and day; the days after events are requested too."""
+    source = lambda day: F.concat(F.col("user_id").cast("string"), F.lit(":"), day.cast("string")).alias("source_id")
+    day = F.to_date("ts")
+    requested = k.stream.select(source(day)).unionByName(k.stream.select(source(F.date_add(day, 1)))).distinct()
+    return C.parse_reads(
+        requested,
+        k.stream.select(
+            source(day),
+            F.when(F.col("event_id") % 5 == 0, '{"rows": ["x"], "finish": "length"}').when(F.col("event_id") % 5 == 1, "oops").when(F.col("event_id") % 5 == 2, '{"rows": []}')
+            .otherwise(F.format_string('{"rows": ["a%d", "b"]}', "event_id")).alias("body"),
+        ),
+    ).withColumn("rows", F.array_join("rows", ","))
+
+
+query(
+    "parse_reads_all",
+    """
+    WITH r AS (SELECT cast(user_id AS varchar) || ':' || cast(cast(ts AS date) AS varchar) AS source_id, event_id FROM stream),
+    q AS (SELECT source_id FROM r UNION SELECT cast(user_id AS varchar) || ':' || cast(cast(ts AS date) + 1 AS varchar) FROM stream),
+    n AS (SELECT source_id, count(*) AS n, max(event_id) AS e FROM r GROUP BY 1)
+    SELECT q.source_id, CASE WHEN n IS NULL THEN 'no answer' WHEN n > 1 THEN 'answered more than once' WHEN e % 5 = 0 THEN 'cut off' WHEN e % 5 = 1 THEN 'does not parse' WHEN e % 5 = 2 THEN 'empty without a statement' END AS error,
+      CASE WHEN n = 1 AND e % 5 > 2 THEN 'a' || e || ',b' ELSE '' END AS rows FROM q LEFT JOIN n ON n.source_id = q.source_id
+    """,
+    ("stream",),
+)(_all_reads)
 query(
     "kept_dates",
     """

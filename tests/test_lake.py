@@ -112,6 +112,16 @@ def test_votes_and_decisions(spark):
     assert [r.source_id for r in consensus.third_reads(sigs).collect()] == ["s"]
 
 
+def test_every_response_is_parsed(spark, tmp_path):
+    from ledgerspark.plans import catalogue
+
+    events = [(500 + i, dt.datetime(2024, 1, 1 + i // 2 * 3, 12), 7) for i in range(4)] + [(1000 + i, dt.datetime(2024, 2, 1 + 3 * i, 12), 8) for i in range(5)]
+    spark.createDataFrame([(*e, "view", 1.0, "{}") for e in events], "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.source_id: (r.error, r.rows) for r in catalogue.QUERIES["parse_reads_all"](spark, str(tmp_path)).collect()}
+    assert got["7:2024-01-01"] == ("answered more than once", "") and got["7:2024-01-02"] == ("no answer", "")
+    assert [got[f"8:2024-02-{1 + 3 * i:02}"] for i in range(5)] == [("cut off", ""), ("does not parse", ""), ("empty without a statement", ""), (None, "a1003,b"), (None, "a1004,b")]
+
+
 def test_store_commits_and_drops_emptied_years(spark, tmp_path):
     from .test_events import TRADE, TRADE_DDL
 
