@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ledgerspark.operators import consensus as C
@@ -178,18 +180,35 @@ def _rows(k: Lake):
     return k.reads.select("source_id", "read_idx", F.posexplode(F.split("signature", " ")).alias("row_idx", "sig"))
 
 
-query("third_reads", _SQL_ROWS + " SELECT source_id FROM sg GROUP BY 1 HAVING NOT coalesce(max(CASE WHEN read_idx = 0 THEN sig END) = max(CASE WHEN read_idx = 1 THEN sig END), false)", (_READS,))(
+class _WholeReads(Lake):
+    """A lake whose reads carry their whole texts."""
+
+    def __getattr__(self, name: str):
+        return super().__getattr__("whole_reads" if name == "reads" else name)
+
+
+def _read_query(name: str, sql: str):
+    """Register ``f(lake)`` over ``reads`` as ``name``, and over ``whole_reads`` as ``name``_whole with the same SQL over that view."""
+
+    def register(f):
+        query(name, sql, (_READS,))(f)
+        query(f"{name}_whole", re.sub(r"\breads\b", "whole_reads", sql), ("whole_reads",))(lambda k: f(_WholeReads(k.spark, k.sf_dir)))
+        return f
+
+    return register
+
+
+_read_query("third_reads", _SQL_ROWS + " SELECT source_id FROM sg GROUP BY 1 HAVING NOT coalesce(max(CASE WHEN read_idx = 0 THEN sig END) = max(CASE WHEN read_idx = 1 THEN sig END), false)")(
     lambda k: C.third_reads(C.signatures(_reads(k), _rows(k)))
 )
 _DECIDE = _SQL_ROWS + """, l AS (SELECT a.source_id, min(b.read_idx) AS r FROM sg a JOIN sg b ON a.source_id = b.source_id AND a.read_idx < b.read_idx AND a.sig = b.sig GROUP BY 1),
     d AS (SELECT s.source_id, CASE WHEN r = 1 THEN 'agreed' WHEN r IS NOT NULL THEN 'arbitrated' ELSE 'failed' END AS outcome, CASE WHEN r = 1 THEN 0 ELSE r END AS read_idx FROM (SELECT DISTINCT source_id FROM sg) s LEFT JOIN l USING (source_id))"""
-query("consensus", _DECIDE + " SELECT * FROM d", (_READS,))(lambda k: C.decide(C.signatures(_reads(k), _rows(k))))
-query("consensus_counts", _DECIDE + " SELECT outcome, count(*) AS n FROM d GROUP BY 1", (_READS,))(lambda k: C.outcome_counts(C.decide(C.signatures(_reads(k), _rows(k)))))
-query(
+_read_query("consensus", _DECIDE + " SELECT * FROM d")(lambda k: C.decide(C.signatures(_reads(k), _rows(k))))
+_read_query("consensus_counts", _DECIDE + " SELECT outcome, count(*) AS n FROM d GROUP BY 1")(lambda k: C.outcome_counts(C.decide(C.signatures(_reads(k), _rows(k)))))
+_read_query(
     "vote_window",
     _SQL_ROWS + """, c AS (SELECT rw.source_id, w AS sig, rw.read_idx, count(*) AS n FROM rw JOIN reads r ON r.source_id = rw.source_id AND r.read_idx = rw.read_idx AND NOT r.failed GROUP BY 1, 2, 3)
     SELECT source_id, sig, cast(list_sort(list(n), 'DESC')[2] AS int) AS copies FROM c GROUP BY 1, 2 HAVING count(*) > 1""",
-    (_READS,),
 )(lambda k: C.vote_window(_reads(k), _rows(k)))
 
 
@@ -197,17 +216,15 @@ def _page_rows(k: Lake, turn: int):
     return _rows(k).where(F.col("read_idx") == turn).select(F.col("source_id").alias("filing_id"), (F.col("row_idx") % 3).alias("page"), "sig")
 
 
-query(
+_read_query(
     "disputed_pages",
     _SQL_ROWS + """, p AS (SELECT source_id AS filing_id, cast((i - 1) % 3 AS int) AS page, w, read_idx, count(*) AS n FROM rw WHERE read_idx < 2 GROUP BY ALL)
     SELECT DISTINCT coalesce(a.filing_id, b.filing_id) AS filing_id, coalesce(a.page, b.page) AS page FROM (SELECT * FROM p WHERE read_idx = 0) a FULL JOIN (SELECT * FROM p WHERE read_idx = 1) b ON a.filing_id = b.filing_id AND a.page = b.page AND a.w = b.w WHERE a.n IS DISTINCT FROM b.n""",
-    (_READS,),
 )(lambda k: C.disputed_pages(_page_rows(k, 0), _page_rows(k, 1)))
-query(
+_read_query(
     "page_shortfalls",
     _SQL_ROWS + """, p AS (SELECT source_id AS filing_id, cast((i - 1) % 3 AS int) AS page, read_idx, count(*) AS n FROM rw GROUP BY ALL)
     SELECT a.filing_id, a.page, a.n, coalesce(b.n, 0) AS m FROM p a LEFT JOIN p b ON b.filing_id = a.filing_id AND b.page = a.page AND b.read_idx = 1 WHERE a.read_idx = 0 AND a.n - coalesce(b.n, 0) > greatest(2, ceil(a.n * 0.1E0))""",
-    (_READS,),
 )(lambda k: C.page_shortfalls(*[_page_rows(k, t).groupBy("filing_id", "page").agg(F.count(F.lit(1)).alias("n")) for t in (0, 1)]))
 query(
     "parse_reads",
@@ -229,7 +246,6 @@ query(
     ).withColumn("rows", F.array_join("rows", ","))
 )
 
-
 def _all_reads(k: Lake):
     """A response for every event, whose source is user and day; the days after events are requested too."""
     source = lambda day: F.concat(F.col("user_id").cast("string"), F.lit(":"), day.cast("string")).alias("source_id")

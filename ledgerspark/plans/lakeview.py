@@ -91,6 +91,15 @@ SELECT cast(conv_id AS string) AS source_id, cast(turn AS int) AS read_idx, role
   conv_id % 11 = 0 AND turn = 1 AS failed
 FROM {conversations}
 """
+#: Reads with their whole texts as signatures, with A-Z in lower case and tabs and line ends as spaces. A first read is repeated as a whole: as second read of every third conversation, as third read of another third.
+_WHOLE = "trim(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(9) || chr(10) || chr(13), 'abcdefghijklmnopqrstuvwxyz   '))"
+VIEWS["whole_reads"] = f"""
+SELECT cast(conv_id AS string) AS source_id, cast(CASE WHEN conv_id % 3 < 2 AND turn > conv_id % 3 THEN turn + 1 ELSE turn END AS int) AS read_idx, role, text,
+  {_WHOLE} AS signature, conv_id % 11 = 0 AND conv_id % 3 > 0 AND turn = 1 AS failed
+FROM {{conversations}}
+UNION ALL SELECT cast(conv_id AS string), cast(1 + conv_id % 3 AS int), role, text, {_WHOLE}, conv_id % 11 = 0 AND conv_id % 3 = 0
+FROM {{conversations}} WHERE conv_id % 3 < 2 AND turn = 0
+"""
 
 VIEWS["people"] = """
 SELECT 'B' || cast(c_custkey AS string) AS bioguide, translate(cast(c_custkey % 83 AS string), '0123456789', 'Klnopqtuvw') || 'ann' AS first, cast(NULL AS string) AS middle, cast(NULL AS string) AS nickname,

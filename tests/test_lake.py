@@ -112,6 +112,19 @@ def test_votes_and_decisions(spark):
     assert [r.source_id for r in consensus.third_reads(sigs).collect()] == ["s"]
 
 
+def test_reads_are_compared_by_their_whole_texts(spark, tmp_path):
+    from ledgerspark.plans import catalogue
+
+    said = ["Same start, one end", "Same start, other\nEND"]
+    spark.createDataFrame([(c, t, "user", said[t]) for c in (1, 2, 3) for t in (0, 1)], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    view = catalogue.QUERIES
+    assert {(r.source_id, r.outcome, r.read_idx) for r in view["consensus_whole"](spark, str(tmp_path)).collect()} == {("3", "agreed", 0), ("1", "arbitrated", 2), ("2", "failed", None)}
+    assert {r.source_id for r in view["third_reads_whole"](spark, str(tmp_path)).collect()} == {"1", "2"}
+    votes = {(r.source_id, r.sig) for r in view["vote_window_whole"](spark, str(tmp_path)).collect()}
+    assert {("3", "end"), ("1", "end"), ("2", "end")} <= votes and ("2", "other") not in votes
+    assert {r.filing_id for r in view["disputed_pages_whole"](spark, str(tmp_path)).collect()} == {"1", "2"}
+
+
 def test_every_response_is_parsed(spark, tmp_path):
     from ledgerspark.plans import catalogue
 
