@@ -11,11 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialize
+from .storage import delete, materialize, shared_path
 from .tokens import SPACED, blocks, texts_of, word_hashes
 
-#: Labelled documents learned from, and unlabelled ones that take pseudo-labels: the bounds of what one task fits.
-LABELLED, UNLABELLED = 6000, 3000
+#: Labelled documents learned from: with the pseudo-labels given, the bound of what one task fits.
+LABELLED = 6000
 #: Buckets of hashed byte trigrams.
 BUCKETS = 2048
 #: Rounds of co-training, and pseudo-labels that a view gives the other in a round.
@@ -89,14 +89,28 @@ def _documents(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndar
             yield i, data[offsets[i] : offsets[i + 1]], h[bounds[k] : bounds[k + 1]], source[i], lang[i]
 
 
+_FEATURES_DDL = "at long, row long, hash long, label int, size int, slots array<short>, counts array<int>, repetition array<float>, meta array<float>"
+
+
+def _lists(parts: list[np.ndarray], kind: type) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, kind), *parts]).astype(kind)))
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features of both views, trigram counts only where there are any; columns: id, source, lang, text, at, hash, label."""
     for batch in batches:
-        text, meta = [], []
-        for _, data, h, source, lang in _documents(batch):
-            t = np.bincount(_trigrams(data), minlength=BUCKETS) / max(1, len(data) - 2) if len(data) > 2 else np.zeros(BUCKETS)
-            text.append(np.append(t, _repetition(h)).astype(np.float32))
-            meta.append(_meta(data, h, source, lang).astype(np.float32))
-        yield pa.RecordBatch.from_arrays([batch.column(4), pa.array(text, pa.list_(pa.float32())), pa.array(meta, pa.list_(pa.float32()))], names=["label", "text", "meta"])
+        size, slots, counts, repetition, meta = [np.zeros(len(batch), np.int32), *([np.zeros(0)] * len(batch) for _ in range(4))]
+        for i, data, h, source, lang in _documents(batch):
+            n = np.bincount(_trigrams(data), minlength=BUCKETS) if len(data) > 2 else np.zeros(BUCKETS, np.int64)
+            size[i], slots[i] = len(data), np.flatnonzero(n)
+            counts[i], repetition[i], meta[i] = n[slots[i]], np.array(_repetition(h)), _meta(data, h, source, lang)
+        cols = [batch.column(4), batch.column(0), batch.column(5), batch.column(6), pa.array(size), _lists(slots, np.int16), _lists(counts, np.int32), _lists(repetition, np.float32), _lists(meta, np.float32)]
+        yield pa.RecordBatch.from_arrays(cols, names=["at", "row", "hash", "label", "size", "slots", "counts", "repetition", "meta"])
+
+
+def _wide(column: pa.Array, n: int) -> np.ndarray:
+    return np.asarray(column.flatten(), dtype=np.float32).reshape(-1, n)
 
 
 @dataclass(frozen=True)
@@ -147,81 +161,118 @@ def calibrate(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0] / scale), float(w[1])
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, given: int = GIVEN) -> list[tuple[Linear, float, float]] | None:
-    """Both views' classifiers with their calibration; ``y`` is 1, 0 or -1 (unlabelled).
+_MODEL_DDL = "view int, weights array<double>, bias double, slope double, offset double, share double"
+
+Views = list[tuple[Linear, float, float]]
 
-    A fifth of the labelled rows is held back for calibration. In each round every view
-    is fitted on its own set, and gives its most confident unlabelled rows, in the
-    labelled classes' proportion, to the other view's set. None without rows of both
+
+def _fit(before: Views | None):
+    """Both views' classifiers with their calibration, going on from ``before``.
+
+    Rows with a ``label`` are learned by both views, but for a fifth that is held back for
+    calibration; others by the view (``y0`` text, ``y1`` metadata) that they were given to.
+    ``share`` is the labelled rows' share of good ones. No rows without rows of both
     classes.
     """
-    known = np.flatnonzero(y >= 0)
-    held, used = known[::5], np.setdiff1d(known, known[::5])
-    if min((y[used] == c).sum() for c in (0, 1)) < 1 or not len(held):
-        return None
-    pool, views = np.flatnonzero(y < 0), (text, meta)
-    share = (y[used] == 1).mean()
-    own = [dict(zip(used.tolist(), y[used].tolist(), strict=True)) for _ in views]
-    models: list[Linear | None] = [None, None]
-    for r in range(rounds + 1):
-        models = [fit_linear(x[list(s)], np.array(list(s.values()), np.float32), before) for x, s, before in zip(views, own, models, strict=True)]
-        if r == rounds:
-            break
-        for giver, taker in ((0, 1), (1, 0)):
-            left = np.array([i for i in pool if i not in own[taker]], dtype=np.int64)
-            if not len(left):
-                continue
-            a, b = calibrate(models[giver](views[giver][held]), y[held])
-            p = 1 / (1 + np.exp(-np.clip(a * models[giver](views[giver][left]) + b, -30, 30)))
-            for label, sure, n in ((1, p, round(given * share)), (0, 1 - p, given - round(given * share))):
-                best = np.argsort(-sure, kind="stable")[:n]
-                own[taker].update({int(left[i]): label for i in best if sure[i] >= CONFIDENT})
-    return [(m, *calibrate(m(x[held]), y[held])) for m, x in zip(models, views, strict=True)]
-
-
-_MODEL_DDL = "view int, weights array<double>, bias double, slope double, offset double"
-
-
-def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = pa.Table.from_batches(list(batches))
-    if not table.num_rows:
-        return
-    y = np.asarray(table["label"].combine_chunks(), dtype=np.int64)
-    wide = lambda c, n: np.asarray(table[c].combine_chunks().flatten(), dtype=np.float32).reshape(-1, n)
-    text, meta = wide("text", TEXT), wide("meta", META)
-    order = np.lexsort([*meta.T[:3], text @ np.arange(TEXT, dtype=np.float32), y])  # rows arrive in any order
-    found = co_train(text[order], meta[order], y[order])
-    for view, (m, slope, offset) in enumerate(found or []):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([view], pa.int32()), pa.array([m.weights.astype(float)], pa.list_(pa.float64())), pa.array([m.bias]), pa.array([slope]), pa.array([offset])], names=["view", "weights", "bias", "slope", "offset"]
-        )
-
-
-def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED, id_col: str = "doc_id", label_col: str = "quality") -> list[tuple[Linear, float, float]] | None:
-    """Fit both views on at most ``labelled`` + ``unlabelled`` documents, in one task.
-
-    These are the ones with the least hash of their id; their ids (bounded by those
-    parameters) are broadcast to fetch the texts. Only the weights reach the driver.
-    Labels other than 0 and 1 and null ids are not used; of labels that repeat an id the
-    least counts.
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(batches)
+        if not sum(map(len, parts)):
+            return
+        table = pa.Table.from_batches(parts)
+        label, y0, y1, size = (np.asarray(table[c].combine_chunks(), dtype=np.int64) for c in ("label", "y0", "y1", "size"))
+        slots, counts = (table[c].combine_chunks() for c in ("slots", "counts"))
+        text, meta = np.zeros((len(label), TEXT), np.float32), _wide(table["meta"].combine_chunks(), META)
+        of = np.repeat(np.arange(len(label)), np.diff(np.asarray(slots.offsets)))
+        text[of, np.asarray(slots.flatten())] = np.asarray(counts.flatten()) / np.maximum(1, size - 2)[of]
+        text[:, BUCKETS:] = _wide(table["repetition"].combine_chunks(), _REPETITION)
+        order = np.lexsort([*meta.T[:3], text @ np.arange(TEXT, dtype=np.float32), label])  # rows arrive in any order
+        views, label, given = (text[order], meta[order]), label[order], (y0[order], y1[order])
+        known = np.flatnonzero(label >= 0)
+        held, used = known[::5], np.setdiff1d(known, known[::5])
+        if min((label[used] == c).sum() for c in (0, 1)) < 1 or not len(held):
+            return
+        for view, (x, y) in enumerate(zip(views, given, strict=True)):
+            taken = np.flatnonzero((label < 0) & (y >= 0))
+            m = fit_linear(x[np.append(used, taken)], np.append(label[used], y[taken]).astype(np.float32), before and before[view][0])
+            slope, offset = calibrate(m(x[held]), label[held])
+            cols = [pa.array([view], pa.int32()), pa.array([m.weights.astype(float)], pa.list_(pa.float64())), *(pa.array([float(v)]) for v in (m.bias, slope, offset, (label[used] == 1).mean()))]
+            yield pa.RecordBatch.from_arrays(cols, names=["view", "weights", "bias", "slope", "offset", "share"])
+
+    return work
+
+
+def _confidence(model: Views):
+    """Each row's probability of good quality by both views."""
+    (text, ta, tb), (meta, ma, mb) = model
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, row, h, size, slots, counts, repetition, m = batch.columns
+            c = np.append(0.0, np.cumsum(text.weights[np.asarray(slots.flatten())] * np.asarray(counts.flatten())))
+            ends = np.append(0, np.cumsum(np.diff(np.asarray(slots.offsets))))
+            t = (c[ends[1:]] - c[ends[:-1]]) / np.maximum(1, np.asarray(size) - 2) + _wide(repetition, _REPETITION) @ text.weights[BUCKETS:] + text.bias
+            p = [1 / (1 + np.exp(-np.clip(z, -30, 30))) for z in (ta * t + tb, ma * meta(_wide(m, META)) + mb)]
+            yield pa.RecordBatch.from_arrays([at, row, h, *map(pa.array, p)], names=["at", "row", "hash", "text", "meta"])
+
+    return work
+
+
+def exchange(pool: DataFrame, model: Views, share: float, held: tuple[set[int], set[int]], given: int = GIVEN) -> list:
+    """Pseudo-labels of one round, over all rows of ``pool``: rows ``taker, label, at, hash``.
+
+    Each view gives its ``given`` most confident texts, in the labelled classes'
+    proportion, to the other view; texts in ``held[taker]`` are not given again. Texts
+    that repeat are given once, by the row with the least id.
     """
-    order = F.xxhash64("_id", F.lit(11))
+    scored = pool.select("at", "row", "hash", "size", "slots", "counts", "repetition", "meta").mapInArrow(_confidence(model), "at long, row long, hash long, text double, meta double")
+    texts = materialize(scored.groupBy("hash").agg(F.min(F.struct("row", "text", "meta", "at")).alias("s")).select("hash", "s.*"), "confidence")
+    best = None
+    for taker, p in ((1, F.col("text")), (0, F.col("meta"))):
+        for label, sure, n in ((1, p, round(given * share)), (0, 1 - p, given - round(given * share))):
+            some = texts.where((sure >= CONFIDENT) & ~F.col("hash").isin(sorted(held[taker]))).orderBy(sure.desc(), "row", "hash").limit(n)
+            some = some.select(F.lit(taker).alias("taker"), F.lit(label).alias("label"), "at", "hash")
+            best = some if best is None else best.unionByName(some)
+    return best.collect()
+
+
+def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, id_col: str = "doc_id", label_col: str = "quality") -> Views | None:
+    """Fit both views on at most ``labelled`` labelled documents and the pseudo-labels of all others.
+
+    The labelled ones are those with the least hash of their id; their ids (bounded by
+    that parameter) are broadcast. The features of every document are written once. In
+    each round both views score all unlabelled documents and give their most confident
+    ones, at most GIVEN a view, to the other view's set; each fit is one task over these
+    bounded sets. Only weights and the given rows' keys reach the driver. Labels other
+    than 0 and 1 and null ids are not used; of labels that repeat an id the least counts.
+    """
+    spark = docs.sparkSession
     known = (
-        labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("label"))
-        .where("_id is not null and label in (0, 1)").groupBy("_id").agg(F.min("label").alias("label")).orderBy(order).limit(labelled)
+        labels.select(F.col(id_col).cast("long").alias("row"), F.col(label_col).cast("int").alias("label"))
+        .where("row is not null and label in (0, 1)").groupBy("row").agg(F.min("label").alias("label")).orderBy(F.xxhash64("row", F.lit(11))).limit(labelled)
     )
     known = materialize(known, "labelled")
-    others = (
-        docs.select(F.col(id_col).cast("long").alias("_id")).where("_id is not null").orderBy(order).limit(labelled + unlabelled)
-        .join(F.broadcast(known.select("_id")), "_id", "left_anti").distinct().orderBy(order).limit(unlabelled)
-    )
-    wanted = materialize(known.unionByName(others.withColumn("label", F.lit(-1))), "sample-ids")
-    sample = _inputs(docs, id_col).join(F.broadcast(wanted.withColumnRenamed("_id", "row")), "row").where("text is not null")
-    features = materialize(sample.select("row", "source", "lang", "text", "label").mapInArrow(_features, "label int, text array<float>, meta array<float>"), "features")
-    rows = features.coalesce(1).mapInArrow(_fit, _MODEL_DDL).collect()
-    if not rows:
-        return None
-    return [(Linear(np.array(r.weights), r.bias), r.slope, r.offset) for r in sorted(rows, key=lambda r: r.view)]
+    rows = _inputs(docs, id_col).where("text is not null").join(F.broadcast(known), "row", "left")
+    rows = rows.select("row", "source", "lang", "text", F.monotonically_increasing_id().alias("at"), F.xxhash64("text").alias("hash"), F.coalesce("label", F.lit(-1)).alias("label"))
+    path = shared_path(spark, "features")
+    rows.mapInArrow(_features, _FEATURES_DDL).write.parquet(path)
+    features = spark.read.schema(_FEATURES_DDL).parquet(path)
+    learned = materialize(features.where("label >= 0").withColumns({"y0": F.lit(-1), "y1": F.lit(-1)}), "learned")
+    pool, held, model = features.where("label < 0"), (set(), set()), None
+    for r in range(ROUNDS + 1):
+        found = sorted(learned.coalesce(1).mapInArrow(_fit(model), _MODEL_DDL).collect(), key=lambda m: m.view)
+        model = [(Linear(np.array(m.weights), m.bias), m.slope, m.offset) for m in found] or None
+        if r == ROUNDS or model is None:
+            break
+        given: dict[int, list[int]] = {}
+        for g in exchange(pool, model, found[0].share, held):
+            given.setdefault(g.at, [-1, -1])[g.taker] = g.label
+            held[g.taker].add(g.hash)
+        if given:
+            keys = spark.createDataFrame([(at, *y) for at, y in given.items()], "at long, y0 int, y1 int")
+            learned = learned.unionByName(materialize(pool.join(F.broadcast(keys), "at"), "given"))  # at most 2 * GIVEN keys
+    delete(spark, path)
+    return model
 
 
 def _inputs(docs: DataFrame, id_col: str) -> DataFrame:

@@ -181,6 +181,20 @@ def test_quality(spark):
     assert quality.score(docs.drop("source", "lang"), model).count() == docs.count()
 
 
+def test_rare_unlabelled_kinds_are_learned(spark):
+    r = random.Random(6)
+    vocabulary = lambda letters: ["".join(r.choice(letters) for _ in range(6)) for _ in range(30)]
+    good, bad, plain, rare_good, rare_bad = map(vocabulary, ("abc", "def", "ghi", "jkl", "mno"))
+    say = lambda words: " ".join(r.choice(words) for _ in range(12))
+    ids = [i.id for i in spark.range(4600).orderBy(F.xxhash64("id", F.lit(11))).collect()]
+    kinds = [(good, "s1"), (bad, "s2")] * 300 + [(plain, None)] * 3800 + [(rare_good, "s1"), (rare_bad, "s2")] * 100  # the rare ones have the greatest hashes
+    docs = spark.createDataFrame([(i, say(w), None, s) for i, (w, s) in zip(ids, kinds, strict=True)], "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, 1 - k % 2) for k, i in enumerate(ids[:600])], "doc_id long, quality int")
+    fresh = spark.createDataFrame([(k, say(rare_bad if k % 2 else rare_good), None, None) for k in range(40)], docs.schema)
+    got = quality.score(fresh, quality.learn(docs, labels)).collect()
+    assert min(g.text_score for g in got if g.doc_id % 2 == 0) > 0.8 and max(g.text_score for g in got if g.doc_id % 2) < 0.2
+
+
 def words(t):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t or ""))
 
