@@ -1,15 +1,13 @@
-"""Removal of long repeated byte strings by a distributed difference-cover suffix sort.
-
-Only the order of suffixes up to ``length`` bytes matters here, so the recursion of the
-difference-cover algorithm ends after one level. A cover of period v has a residue pair
-for every shift: of two equal strings of ``length`` bytes, some offset below v lands on
-sampled positions in both. So
-
-1. sampled suffixes are sorted by the name (hash) of their first ``length - v + 1``
-   bytes, and those that share a name with a neighbour stay;
-2. the remaining suffixes, those up to v - 1 bytes before such a sample, are merged in
-   by the name of their first ``length`` bytes, and adjacent equal ones are the
-   repeated strings.
+"""Removal of long repeated byte strings by difference-cover sampling and hash matching.
+
+No suffix is ordered: removal needs only to know which strings of ``length`` bytes are
+equal. A cover of period v has a residue pair for every shift: of two equal strings of
+``length`` bytes, some offset below v lands on sampled positions in both. So
+
+1. sampled positions are matched by the name (hash) of their ``length - v + 1`` bytes,
+   and those that share a name stay;
+2. the positions up to v - 1 bytes before such a sample are matched by the name of their
+   first ``length`` bytes, and equal ones are the repeated strings.
 
 A perfect difference set makes the sample as small as it can be: 18 of 307 positions
 for 400 bytes.
