@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialize
+from .storage import drop, materialize, steps
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -48,7 +48,10 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
         if state == before:
             break
         before = state
-        e = materialize(_star(materialize(_star(e, True), tag), False), tag)
+        with steps() as own:
+            moved = own.keep(_star(materialize(_star(e, True), tag), False), tag)
+        drop(e)
+        e = moved
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,9 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import with_partner, without
-from .storage import materialize
-from .tokens import ALNUM, U, as_long, windows, word_hashes
+from .joins import KEY, identified, original_id, with_partner, without_rows
+from .storage import materialize, steps
+from .tokens import ALNUM, U, as_long, word_hashes, words_of
 
 #: Consecutive words of an item that make a window.
 WIDTH = 10
@@ -21,36 +22,30 @@ TERMS_AT_ONCE = 2_000_000
 ANCHORS = 2
 
 
-def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``row, text_hash, text``: a row is known by its id (null: the least long) and its text."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("row"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-
-
 def _item_windows(width: int):
-    schema = pa.schema([("item", pa.string()), ("window", pa.int64()), ("terms", pa.list_(pa.int64()))])
+    schema = pa.schema([("item", pa.string()), ("window", pa.binary()), ("phrase", pa.binary()), ("terms", pa.list_(pa.int64()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, bounds, h, _, _ in word_hashes(batch.column(1), ALNUM):
-                items, keys, terms = [], [], []
+            texts = batch.column(1)
+            for first, bounds, h, _, _ in word_hashes(texts, ALNUM):
+                rows = []
                 for k in range(len(bounds) - 1):
-                    own = h[bounds[k] : bounds[k + 1]]
+                    own = as_long(h[bounds[k] : bounds[k + 1]])
                     n = min(width, len(own))
-                    if not n:
-                        continue
-                    w = windows(own, n)
-                    items += [batch.column(0)[first + k].as_py()] * len(w)
-                    keys.append(as_long(w))
-                    terms += [as_long(own[i : i + n]) for i in range(len(w))]
-                yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(np.concatenate(keys) if keys else [], pa.int64()), pa.array(terms, pa.list_(pa.int64()))], schema=schema)
+                    words = words_of(texts[first + k].as_buffer().to_pybytes(), ALNUM) if n else []
+                    for i in range(len(own) - n + 1 if n else 0):
+                        phrase = b" ".join(words[i : i + n])
+                        rows.append((batch.column(0)[first + k].as_py(), hashlib.blake2b(phrase, digest_size=16).digest(), phrase, own[i : i + n]))
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(schema.types)], schema=schema)
 
     return work
 
 
 def item_windows(items: DataFrame, width: int = WIDTH, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``item, window, terms``: a key and the word hashes of every window of every item."""
-    return items.select(F.col(id_col).cast("string"), F.col(text_col).cast("string")).mapInArrow(_item_windows(width), "item string, window long, terms array<long>").distinct()
+    """``item, window, phrase, terms``: a 128-bit key, the words and their hashes for every window of every item."""
+    out = items.select(F.col(id_col).cast("string"), F.col(text_col).cast("string")).mapInArrow(_item_windows(width), "item string, window binary, phrase binary, terms array<long>")
+    return out.dropDuplicates(["item", "window"])
 
 
 def _counts(terms: np.ndarray):
@@ -109,60 +104,55 @@ def _merge(frames: list[DataFrame]) -> DataFrame:
 
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """``term, n``: occurrences in all ``docs`` (see identified()) of the distinct ``terms``; absent ones are left out."""
-    return _merge([docs.select("text").mapInArrow(_counts(t), "term long, n long") for t in _in_blocks(terms)]).groupBy("term").agg(F.sum("n").alias("n"))
+    return _merge([materialize(docs.select("text").mapInArrow(_counts(t), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")), "term-counts") for t in _in_blocks(terms)])
 
 
 def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """Positional index of ``terms``: ``row, text_hash, term, pos``; rows with a null term hold each document's word count."""
-    blocks = list(_in_blocks(terms))
-    return _merge([docs.mapInArrow(_postings(t, i == 0), "row long, text_hash long, term long, pos long") for i, t in enumerate(blocks)])
+    """Positional index of ``terms``: ``row, text_hash, term, pos``; rows with a null term hold each document's word count.
+
+    Every block of terms is one pass that is written before the next block is fetched.
+    """
+    return _merge([materialize(docs.mapInArrow(_postings(t, i == 0), "row long, text_hash long, term long, pos long"), "postings") for i, t in enumerate(_in_blocks(terms))])
 
 
-def _ordered_span(h: np.ndarray, terms: np.ndarray, lo: int, hi: int, most: int) -> tuple[int, int] | None:
+def _ordered_span(words: list[bytes], terms: list[bytes], lo: int, hi: int, most: int) -> tuple[int, int] | None:
     """The first span that starts in lo..hi and has ``terms`` in order within ``most`` words."""
-    for begin in range(max(0, lo), min(hi + 1, len(h))):
-        if h[begin] != terms[0]:
+    for begin in range(max(0, lo), min(hi + 1, len(words))):
+        if words[begin] != terms[0]:
             continue
-        at = begin
+        at, stop = begin, min(len(words), begin + most)
         for t in terms[1:]:
-            nxt = np.flatnonzero(h[at + 1 : begin + most] == t)
-            if not len(nxt):
+            at = next((i for i in range(at + 1, stop) if words[i] == t), -1)
+            if at < 0:
                 break
-            at += 1 + int(nxt[0])
         else:
             return begin, at + 1
     return None
 
 
 def _verified(slop: int):
-    schema = pa.schema([("row", pa.int64()), ("text_hash", pa.int64()), ("n_hit", pa.int64()), ("matches", pa.list_(pa.struct([("window", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])))])
+    """Candidates that match word by word; columns: row, text_hash, text, candidates."""
+    schema = pa.schema([("row", pa.int64()), ("text_hash", pa.int64()), ("n_hit", pa.int64()), ("matches", pa.list_(pa.struct([("window", pa.binary()), ("start", pa.int64()), ("stop", pa.int64())])))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, bounds, h, _, _ in word_hashes(batch.column(2), ALNUM):
-                hits, matches = [], []
-                for k in range(len(bounds) - 1):
-                    own = h[bounds[k] : bounds[k + 1]]
-                    by_width: dict[int, np.ndarray] = {}
-                    covered, found = np.zeros(len(own) + 1, np.int64), set()
-                    for c in batch.column(3)[first + k].as_py():
-                        start, n = c["start"], c["n"]
-                        if slop:
-                            span = _ordered_span(own, np.array(c["terms"], np.int64).view(U), start - slop, start + slop, n + slop)
-                        else:
-                            if n not in by_width:
-                                by_width[n] = as_long(windows(own, n))
-                            w = by_width[n]
-                            span = (start, start + n) if 0 <= start < len(w) and w[start] == c["window"] else None
-                        if span:
-                            found.add((c["window"], *span))
-                            covered[span[0]] += 1
-                            covered[span[1]] -= 1
-                    hits.append(int((np.cumsum(covered) > 0).sum()))
-                    matches.append([{"window": w, "start": s, "stop": e} for w, s, e in sorted(found)])
-                own = slice(first, first + len(bounds) - 1)
-                n = len(bounds) - 1
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), batch.column(1).slice(first, n), pa.array(hits, pa.int64()), pa.array(matches, schema.field("matches").type)], schema=schema)
+            hits, matches = [], []
+            for k in range(len(batch)):
+                words = words_of(batch.column(2)[k].as_buffer().to_pybytes(), ALNUM)
+                covered, found = np.zeros(len(words) + 1, np.int64), set()
+                for c in batch.column(3)[k].as_py():
+                    start, terms = c["start"], bytes(c["phrase"]).split(b" ")
+                    if slop:
+                        span = _ordered_span(words, terms, start - slop, start + slop, len(terms) + slop)
+                    else:
+                        span = (start, start + len(terms)) if start >= 0 and words[start : start + len(terms)] == terms else None
+                    if span:
+                        found.add((bytes(c["window"]), *span))
+                        covered[span[0]] += 1
+                        covered[span[1]] -= 1
+                hits.append(int((np.cumsum(covered) > 0).sum()))
+                matches.append([{"window": w, "start": s, "stop": e} for w, s, e in sorted(found)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hits, pa.int64()), pa.array(matches, schema.field("matches").type)], schema=schema)
 
     return work
 
@@ -174,12 +164,13 @@ def matched_windows(docs: DataFrame, wins: DataFrame, slop: int = 0) -> tuple[Da
     terms over all documents; take each window's rarest ANCHORS terms as its anchors;
     store the postings of the anchors with document and position; move the posting lists
     by the anchors' offsets and intersect them, which leaves candidate starts; check
-    each candidate on the whole document. With ``slop`` 0 a match is the exact phrase;
-    otherwise the window's words in order within ``slop`` more words than it has.
+    each candidate on the whole document, comparing the words themselves. With ``slop`` 0
+    a match is the exact phrase; otherwise the window's words in order within ``slop``
+    more words than it has.
     """
-    distinct = materialize(wins.select("window", "terms").dropDuplicates(["window"]), "windows")
+    distinct = materialize(wins.select("window", "phrase", "terms").dropDuplicates(["window"]), "windows")
     offsets = distinct.select("window", F.size("terms").alias("n"), F.posexplode("terms").alias("off", "term"))
-    freq = materialize(term_counts(docs, offsets.select("term").distinct()), "term-counts")
+    freq = term_counts(docs, offsets.select("term").distinct())
     ranked = (
         offsets.join(freq.withColumnRenamed("n", "freq"), "term")
         .groupBy("window", "n").agg(F.sort_array(F.collect_list(F.struct("freq", "off", "term"))).alias("by_freq"))  # one window's words
@@ -188,7 +179,7 @@ def matched_windows(docs: DataFrame, wins: DataFrame, slop: int = 0) -> tuple[Da
     anchors = ranked.select("window", "n", *[F.get("by_freq", F.lit(i)).alias(f"a{i}") for i in range(ANCHORS)])
     anchors = materialize(anchors, "anchors")
     used = anchors.select(F.explode(F.filter(F.array(*[F.col(f"a{i}.term") for i in range(ANCHORS)]), lambda t: t.isNotNull())).alias("term")).distinct()
-    index = materialize(postings(docs, used), "postings")
+    index = postings(docs, used)
     words = index.where("term is null").select("row", "text_hash", F.col("pos").alias("n_words"))
     lists = index.where("term is not null")
     where = ["row", "text_hash"]
@@ -202,16 +193,12 @@ def matched_windows(docs: DataFrame, wins: DataFrame, slop: int = 0) -> tuple[Da
     else:
         paired = paired.withColumn("t2", F.col("a1.term")).withColumn("p2", F.col("start") + F.col("a1.off")).join(second, [*where, "t2", "p2"], "left_semi")
     found = paired.select(*where, "window", "n", "start").union(near.where("a1 is null").select(*where, "window", "n", "start")).distinct()
-    if slop:
-        found = found.join(distinct, "window")
-        fields = ["window", "n", "start", "terms"]
-    else:
-        fields = ["window", "n", "start"]
-    per_doc = materialize(found.groupBy(*where).agg(F.collect_list(F.struct(*fields)).alias("candidates")), "candidates")
+    found = found.join(distinct.select("window", "phrase"), "window")
+    per_doc = materialize(found.groupBy(*where).agg(F.collect_list(F.struct("window", "phrase", "start")).alias("candidates")), "candidates")
     checked = (
         with_partner(docs, per_doc, where).dropDuplicates(where).join(per_doc, where)
         .select(*where, "text", "candidates")
-        .mapInArrow(_verified(slop), "row long, text_hash long, n_hit long, matches array<struct<window: long, start: long, stop: long>>")
+        .mapInArrow(_verified(slop), "row long, text_hash long, n_hit long, matches array<struct<window: binary, start: long, stop: long>>")
     )
     return words, checked.where("n_hit > 0")
 
@@ -228,24 +215,14 @@ def contamination(
     (of the empty string where there are none). See matched_windows() for ``slop``.
 
     Null and empty texts have no words on either side. Rows that repeat an id are
-    treated one by one; a null id stays null. Items that repeat a text all match. Empty tables on either
-    side give no hits. Other columns are not read.
+    treated one by one; a null id stays null. Items that repeat a text all match; an item
+    with a null id counts for ``n_hit`` and is in no list. Empty tables on either side
+    give no hits. Other columns are not read.
     """
-    rows = identified(docs, id_col, text_col)
-    wins = materialize(item_windows(items, width, item_col), "item-windows")
-    words, matched = matched_windows(rows, wins, slop)
-    where = ["row", "text_hash"]
-    matched = materialize(matched, "matches")
-    hits = (
-        matched.select(*where, F.explode(F.array_distinct(F.transform("matches", lambda m: m["window"]))).alias("window"))
-        .join(wins.select("item", "window"), "window")
-        .groupBy(*where).agg(F.array_sort(F.collect_set("item")).alias("items"))
-    )
-    per_row = matched.select(*where, "n_hit").join(hits, where)
-    none = F.array().cast("array<string>")
-    items_ = F.coalesce("items", none)
-    return words.join(per_row, where, "left").select(
-        F.nullif("row", F.lit(-(1 << 63))).alias("doc_id"),
+    out = _found(docs, items, width, slop, id_col, text_col, item_col)
+    items_ = F.coalesce("items", F.array().cast("array<string>"))
+    return out.select(
+        original_id().alias("doc_id"),
         "n_words",
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.size(items_).cast("long").alias("n_items"),
@@ -255,7 +232,22 @@ def contamination(
     )
 
 
-def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` without the contaminated ones; rows with a null id stay."""
-    found = contamination(docs, items, id_col=id_col, text_col=text_col, **how).where("contaminated")
-    return without(docs, materialize(found.select(F.col("doc_id").cast(docs.schema[id_col].dataType).alias(id_col)), "contaminated"), id_col)
+def _found(docs: DataFrame, items: DataFrame, width: int, slop: int, id_col: str, text_col: str, item_col: str) -> DataFrame:
+    """``row, text_hash, n_words, n_hit, items`` of every row; the last two are null without a match."""
+    rows = identified(docs, id_col, text_col)
+    with steps() as own:
+        wins = materialize(item_windows(items, width, item_col), "item-windows")
+        words, matched = matched_windows(rows, wins, slop)
+        matched = materialize(matched, "matches")
+        hits = (
+            matched.select(*KEY, F.explode(F.array_distinct(F.transform("matches", lambda m: m["window"]))).alias("window"))
+            .join(wins.select("item", "window"), "window")
+            .groupBy(*KEY).agg(F.array_sort(F.collect_set("item")).alias("items"))
+        )
+        return own.keep(words.join(matched.select(*KEY, "n_hit").join(hits, KEY), KEY, "left"), "contamination")
+
+
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, slop: int = 0, item_col: str = "item_id") -> DataFrame:
+    """``docs`` without the contaminated rows. Rows are known by id and text, so each that repeats an id is judged by its own text, as is one with a null id."""
+    found = _found(docs, items, width, slop, id_col, text_col, item_col).where("n_hit > 0").select(*KEY)
+    return without_rows(docs, materialize(found, "contaminated"), id_col, text_col)

@@ -51,4 +51,4 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
     """``docs`` without the rows that exact_groups() does not keep."""
     lost = exact_groups(docs, id_col, text_col, keep).where("not kept").select(F.col("doc_id").alias(id_col))
-    return without(docs, lost, id_col)
+    return without(docs, lost.where(F.col(id_col).isNotNull()), [id_col])

@@ -11,10 +11,12 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import materialize
+
 #: Sample documents of each language: the bound of what is learned from.
 SAMPLE_DOCS = 64
-#: Code points taken from each sample document.
-SAMPLE_CHARS = 1500
+#: Code points taken from each sample document, and the pieces that they are taken in.
+SAMPLE_CHARS, SAMPLE_PIECES = 1500, 5
 #: Languages whose samples may be brought to the driver.
 MAX_LANGUAGES = 512
 #: Texts are encoded in independent pieces of this many bytes, so that every part of a long one is judged by the dictionaries.
@@ -43,32 +45,28 @@ def learn(
     """Dictionaries from at most ``sample_docs`` documents of each language among ``rows``.
 
     The documents are those with the least hash of their id in each of ``sample_docs``
-    hash classes, found by an aggregation over ids alone. A second read fetches the first
-    ``sample_chars`` code points of these and nothing else, so the driver gets at most
+    hash classes, found by an aggregation over ids alone. A second read takes
+    SAMPLE_PIECES pieces of these, spread over the whole text by a hash of the id, and
+    nothing else; one row for each chosen id reaches the driver, so that gets at most
     languages * sample_docs * sample_chars code points. Rows with a null id, text or
-    language are not used. More than MAX_LANGUAGES languages are an error.
+    language are not used; of rows that repeat an id the least sample counts. More than
+    MAX_LANGUAGES languages are an error.
     """
     known = docs.where(rows & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    order = F.xxhash64(F.col(id_col).cast("string"), F.lit(7))
-    picked = (
-        known.groupBy(F.col(lang_col).alias("lang"), F.pmod(order, F.lit(sample_docs)).alias("_class")).agg(F.min(order).alias("_least"))
-        .limit(MAX_LANGUAGES * sample_docs + 1).collect()
-    )
-    languages = sorted({r.lang for r in picked})
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    wanted = sorted({r._least for r in picked})
-    if not wanted:
-        return Dictionaries((), ())
-    sample = (
-        known.where(order.isin(wanted)).select(F.col(lang_col).alias("lang"), order.alias("o"), F.substring(text_col, 1, sample_chars).alias("t")).collect()
-    )
-    chosen = {(r.lang, r._least) for r in picked}
-    by_lang: dict[str, list[tuple[int, str]]] = {k: [] for k in languages}
+    order = F.xxhash64(F.col(id_col).cast("string"), F.lit(7)).alias("o")
+    picked = known.select(F.col(lang_col).alias("lang"), order).groupBy("lang", F.pmod("o", F.lit(sample_docs))).agg(F.min("o").alias("o")).select("lang", "o")
+    picked = materialize(picked.limit(MAX_LANGUAGES * sample_docs + 1), "sampled")  # what is broadcast has that many rows at most
+    piece = sample_chars // SAMPLE_PIECES
+    room = F.greatest(F.char_length("t") - piece, F.lit(0)) + 1
+    pieces = [F.substring(F.col("t"), F.pmod(F.xxhash64("o", F.lit(j)), room).cast("int") + 1, F.lit(piece)) for j in range(SAMPLE_PIECES)]
+    whole = known.select(F.col(lang_col).alias("lang"), order, F.col(text_col).alias("t")).join(F.broadcast(picked), ["lang", "o"])
+    sample = whole.select("lang", "o", F.when(F.char_length("t") <= sample_chars, F.col("t")).otherwise(F.concat_ws("\n", *pieces)).alias("t")).groupBy("lang", "o").agg(F.min("t").alias("t")).collect()
+    by_lang: dict[str, list[tuple[int, str]]] = {}
     for r in sample:
-        if (r.lang, r.o) in chosen:
-            by_lang[r.lang].append((r.o, r.t))
-    return Dictionaries(tuple(languages), tuple("\n".join(t for _, t in sorted(by_lang[k])).encode() for k in languages))
+        by_lang.setdefault(r.lang, []).append((r.o, r.t))
+    if len(by_lang) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    return Dictionaries(tuple(sorted(by_lang)), tuple("\n".join(t for _, t in sorted(by_lang[k])).encode() for k in sorted(by_lang)))
 
 
 def _encoder(content: bytes, piece: int) -> zstandard.ZstdCompressor:

@@ -13,8 +13,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import KEY, attached, identified, original_id
 from .runs import frequent
-from .storage import materialize
+from .storage import steps
 
 #: White space stripped from both ends of a line's key.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -61,12 +62,6 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(maps, pa.binary())], schema=schema)
 
 
-def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``row, text_hash, text``: a row is known by its id and its text. Null ids count as one id."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("row"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-
-
 def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``row, text_hash, keep`` for each document that loses lines.
 
@@ -81,7 +76,7 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN
     ``min_chars`` code points never count. Text is not shuffled here. A null or empty
     text is one empty line. An empty table gives an empty result.
     """
-    rows = _identified(docs, id_col, text_col)
+    rows = identified(docs, id_col, text_col)
     lines = rows.mapInArrow(_lines(min_chars), "h1 long, h2 long, row long, text_hash long, pos long")
     found = frequent(lines, ["h1", "h2"], ["row"], "pos", min_docs, "lines", carry=("text_hash",))
     return (
@@ -111,10 +106,11 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_lines, n_dropped, kept_text``.
 
-    Applies keep_bitmaps() to the texts. Remaining lines are joined by line feeds; a
+    Applies keep_bitmaps() to the texts; those that lose nothing are not shuffled. Remaining lines are joined by line feeds; a
     document that loses all lines keeps the empty text.
     """
-    maps = materialize(keep_bitmaps(docs, min_docs, min_chars, id_col, text_col), "bitmaps")
-    rows = _identified(docs, id_col, text_col)
-    out = rows.join(maps, ["row", "text_hash"], "left").select("row", "text", "keep").mapInArrow(_apply, "row long, n_lines long, n_dropped long, kept_text string")
-    return out.select(F.nullif("row", F.lit(-(1 << 63))).alias("doc_id"), "n_lines", "n_dropped", "kept_text")
+    with steps() as own:
+        maps = own.keep(keep_bitmaps(docs, min_docs, min_chars, id_col, text_col), "bitmaps")
+    rows = identified(docs, id_col, text_col)
+    out = attached(rows, maps, KEY).select("row", "text", "keep").mapInArrow(_apply, "row long, n_lines long, n_dropped long, kept_text string")
+    return out.select(original_id().alias("doc_id"), "n_lines", "n_dropped", "kept_text")

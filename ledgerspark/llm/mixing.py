@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import with_partner
 from .ranking import RANK, TOTAL, globally_ranked
-from .storage import materialize
+from .storage import materialize, steps
 
 #: Weights by the position of a source in code point order, null last, repeating.
 WEIGHTS = (5, 2, 1)
@@ -14,8 +15,6 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 #: No source is taken more often than this.
 MOST = 2.0
-#: Offsets tried for each source.
-OFFSETS = 16
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -70,6 +69,7 @@ def systematic_mix(
     share: float = SHARE,
     most: float = MOST,
     seed: int = 17,
+    ties: tuple[str, ...] = (),
 ) -> DataFrame:
     """``docs`` with ``size, source_size, target, copies, taken`` for every row.
 
@@ -77,59 +77,54 @@ def systematic_mix(
     a source are ordered by size and id, these expectations are summed along that order
     from an offset in [0, 1), and a document is taken once for every integer its own
     step crosses. So copies differ by at most one inside a source, the order by size
-    keeps the taken words within about one largest document of the target, and a rerun
-    takes the same. The offset is the one of OFFSETS seeded draws whose words come
-    nearest to the target, which matters for sources of few documents.
+    keeps the taken words within one largest document of the target, and a rerun takes
+    the same. The offset is one seeded draw for each source.
 
     The prefix sum needs each row's rank in its source. That is its rank in the whole
     table ordered by source, size and id, which is computed by range partitions, so one
-    source may hold most rows. Columns of ``docs`` named like a result are replaced. A
+    source may hold most rows; ``ties`` are columns that order equal ids. Columns of ``docs`` named like a result are replaced. A
     null source is a source of its own; a null size counts as 0; rows that repeat an id
     are sampled separately; a source without words takes nothing; an empty table gives
     an empty result.
     """
     rows = docs.withColumn("size", F.coalesce(size, F.lit(0)).cast("long")).drop("source_size", "target", "copies", "taken")
-    ranked = globally_ranked(rows, [F.col(source_col).asc_nulls_last(), F.col("size"), F.col(id_col)], "mix")
+    ranked = globally_ranked(rows, [F.col(source_col).asc_nulls_last(), F.col("size"), F.col(id_col), *map(F.col, ties)], "mix")
     targets = materialize(source_targets(ranked.select(F.col(source_col).alias("source"), "size"), weights, share, most), "targets")
     t = targets.withColumnRenamed("source", "_source")
     placed = ranked.join(t, F.col(source_col).eqNullSafe(F.col("_source")))
     k = (F.col(RANK) - F.col("first_rank") + 1).cast("double")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     # Multiples of 2^-20 stay exact when whole numbers are added.
-    draws = [
-        F.pmod(F.xxhash64(F.lit(seed), F.lit(j), F.coalesce("_source", F.lit("")), F.col("_source").isNull()), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        for j in range(OFFSETS)
-    ]
-    tried = placed.groupBy("_source").agg(
-        *[F.sum(F.col("size") * _crossed(k, rate, u)).alias(f"_t{j}") for j, u in enumerate(draws)],
-        F.first("target").alias("_goal"),
-    )
-    best = F.array_min(F.array(*[F.struct(F.abs(F.col(f"_t{j}") - F.col("_goal")).alias("off"), F.lit(j).alias("j"), u.alias("u")) for j, u in enumerate(draws)]))
-    offsets = materialize(tried.select(F.col("_source").alias("_own"), best["u"].alias("_offset")), "offsets")
-    copies = _crossed(k, rate, F.col("_offset")).cast("long")
+    offset = F.pmod(F.xxhash64(F.lit(seed), F.coalesce("_source", F.lit("")), F.col("_source").isNull()), F.lit(1 << 20)) / F.lit(float(1 << 20))
     return (
-        placed.join(offsets, F.col("_source").eqNullSafe(F.col("_own")))
-        .withColumn("copies", copies)
+        placed.withColumn("copies", _crossed(k, rate, offset).cast("long"))
         .withColumn("taken", F.col("copies") * F.col("size"))
-        .drop("_source", "_own", "_offset", "source_rows", "first_rank", RANK, TOTAL)
+        .drop("_source", "source_rows", "first_rank", RANK, TOTAL)
     )
 
 
-def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` of a mix, every row as often as it is taken."""
-    return mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*columns)
-
-
-def mixed_documents(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", **how) -> DataFrame:
+def mixed_documents(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with every row as often as systematic_mix() takes it.
 
-    Where ids are unique only id, source and size take part in the sampling and whole
-    rows meet their number of copies in one join; otherwise whole rows are ranked.
+    Only a row's key (id and a hash of text and source), source and size take part in the
+    sampling. Whole rows then meet their number of copies in one merge join, whatever the
+    size of either side, so a text crosses one shuffle. Rows that share a key are equal
+    but for columns that the mix does not know: each is taken as often as their copies
+    allow for all, and what is left over goes to one of them. A null id, text or source
+    is a value of its own. An empty table gives an empty result.
     """
-    ids = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(id_col).isNull())
-    if ids.limit(1).count():
-        return repeated(systematic_mix(docs, size, id_col, source_col, **how), docs.columns)
-    thin = materialize(docs.select(F.col(id_col), F.col(source_col), size.alias("size")), "sizes")
-    taken = systematic_mix(thin, F.col("size"), id_col, source_col, **how).where("copies > 0").select(id_col, F.col("copies").alias("_copies"))
-    copies = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return docs.join(materialize(taken, "copies"), id_col).withColumn("_copy", copies).select(*docs.columns)
+    text, source = F.col(text_col).cast("string"), F.col(source_col).cast("string")
+    mark = F.xxhash64(F.coalesce(text, F.lit("")), text.isNull(), F.coalesce(source, F.lit("")), source.isNull()).alias("mark")
+    key = ["row", "no_id", "mark"]
+    keys = [F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")).alias("row"), F.col(id_col).isNull().alias("no_id"), mark]
+    with steps() as own:
+        thin = materialize(docs.select(*keys, source.alias("source"), size.alias("size")), "sizes")
+        taken = systematic_mix(thin, F.col("size"), "row", "source", ties=("no_id", "mark"), **how)
+        rows = taken.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"), F.sum("copies").alias("copies")).where("copies > 0")
+        shares = own.keep(rows.select(*key, F.expr("copies div rows").alias("each"), F.expr("copies % rows").alias("over")), "copies")
+    bundled = docs.select(*keys, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    times = lambda n: F.explode(F.sequence(F.lit(1), F.col(n).cast("int")))
+    all_ = bundled.join(shares.where("each > 0").hint("merge"), key).select("doc", times("each").alias("copy"))
+    over = shares.where("over > 0")
+    some = with_partner(bundled, over, key).dropDuplicates(key).join(over.hint("merge"), key).select("doc", times("over").alias("copy"))
+    return all_.unionByName(some).select("doc.*")

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .joins import with_partner, without
-from .storage import materialize
-from .tokens import SPACED, U, as_long, mix, windows, word_hashes
+from .joins import KEY, NO_ID, bundled, identified, original_id, with_partner, without
+from .storage import materialize, steps
+from .tokens import SPACED, U, as_long, mix, texts_of, windows, word_hashes
 
 #: Words in a shingle.
 WIDTH = 5
@@ -35,11 +36,15 @@ SMALL = 4
 REFERENCES = 8
 #: Further rounds of centres at most.
 CENTRE_ROUNDS = 8
+#: Members of a bucket that one task meets at once.
+BLOCK = 1024
 #: 64-bit words of the parity sketch that the last comparisons in large buckets look at first.
 PARITY_WORDS = 16
 
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64())), ("packed", pa.list_(pa.int64()))])
-SKETCH_DDL = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, packed array<long>"
+_SKETCH = pa.schema(
+    [("row", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64())), ("packed", pa.list_(pa.int64()))]
+)
+SKETCH_DDL = "row long, text_hash long, n_shingles long, d1 long, d2 long, bands array<long>, packed array<long>"
 
 
 @lru_cache
@@ -80,17 +85,28 @@ def band_keys(m: np.ndarray) -> np.ndarray:
     return out
 
 
+def shingle_texts(text: bytes, width: int = WIDTH) -> set[bytes]:
+    """The distinct shingles of a text themselves, words joined by one blank."""
+    w = text.lower().split()
+    if len(w) < width:
+        return {b" ".join(w)} if w else set()
+    joined = b" ".join(w)
+    starts = [0, *accumulate(len(x) + 1 for x in w)]
+    return {joined[i : j - 1] for i, j in zip(starts, starts[width:])}  # noqa: B905 - the last starts begin no shingle
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column(0)
-        for first, bounds, h, _, _ in word_hashes(batch.column(1), SPACED):
+        data, offsets = texts_of(batch.column(2))
+        for first, bounds, h, _, _ in word_hashes(batch.column(2), SPACED):
             n = len(bounds) - 1
             sizes, digests, mins, filled = np.zeros(n, np.int64), np.zeros((n, 2), np.int64), [], []
             for k in range(n):
                 s = shingles(h[bounds[k] : bounds[k + 1]])
                 if len(s):
                     sizes[k] = len(s)
-                    digests[k] = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
+                    own = b" ".join(data[offsets[first + k] : offsets[first + k + 1]].tobytes().lower().split())
+                    digests[k] = np.frombuffer(hashlib.blake2b(own, digest_size=16).digest(), np.int64)
                     mins.append(minima(s))
                     filled.append(k)
             counts = np.zeros(n, np.int32)
@@ -102,13 +118,14 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(as_long(np.ascontiguousarray(x)).ravel()))
 
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(first, n), pa.array(sizes), pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy()), lists(band_keys(m)), lists(pack(m))], schema=_SKETCH
+                [batch.column(0).slice(first, n), batch.column(1).slice(first, n), pa.array(sizes), pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy()), lists(band_keys(m)), lists(pack(m))],
+                schema=_SKETCH,
             )
 
 
-def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Set size, 128-bit set digest, band keys and packed signature of every document; empty sets have empty lists."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_sketch, SKETCH_DDL)
+def sketches(rows: DataFrame) -> DataFrame:
+    """Set size, 128-bit digest of the word sequence, band keys and packed signature of every row of joins.identified(); empty sets have empty lists."""
+    return rows.select("row", "text_hash", "text").mapInArrow(_sketch, SKETCH_DDL)
 
 
 def estimate(a: list[Column], b: list[Column]) -> Column:
@@ -138,61 +155,65 @@ def _near(x: str, y: str) -> Column:
     return sizes & (estimate(sig(x), sig(y)) >= lowest_estimate())
 
 
+def _blocks() -> Column:
+    """Blocks that a bucket of ``size`` members is dealt to."""
+    return F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+
+
+def _everywhere(df: DataFrame) -> DataFrame:
+    """Every row once in each block of its bucket: rows of other sides are in one block each."""
+    return df.withColumn("block", F.explode(F.sequence(F.lit(0), _blocks() - 1)))
+
+
 def _side(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select("bucket", *[F.col(c).alias(f"{prefix}{c}") for c in df.columns if c not in ("bucket", "size", "main")])
+    return df.select("bucket", "block", *[F.col(c).alias(f"{prefix}{c}") for c in df.columns if c not in ("bucket", "block", "size", "main")])
 
 
 def _pairs(left: DataFrame, right: DataFrame, more: Column) -> DataFrame:
-    """Distinct pairs of one bucket that may be linked; only they leave the join."""
+    """Distinct pairs of one bucket that may be linked; only they leave the join.
+
+    ``left`` rows are in their block; ``right`` rows go to every block, so no task meets
+    more than BLOCK rows of ``left``, whatever the bucket.
+    """
     return (
-        _side(left, "x").join(_side(right, "y"), "bucket").where(more & _near("x", "y"))
+        _side(left, "x").join(_side(_everywhere(right.drop("block")), "y"), ["bucket", "block"]).where(more & _near("x", "y"))
         .select(F.least("xid", "yid").alias("a"), F.greatest("xid", "yid").alias("b")).distinct()
     )
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def sets(column: pa.Array) -> list[np.ndarray]:
-        # The same text follows in many rows of one centre; each distinct one is hashed once a batch.
-        texts = column.dictionary_encode()
-        out: list = [None] * len(texts.dictionary)
-        for first, bounds, h, _, _ in word_hashes(texts.dictionary, SPACED):
-            for k in range(len(bounds) - 1):
-                out[first + k] = shingles(h[bounds[k] : bounds[k + 1]])
-        return [out[i] for i in texts.indices.to_pylist()]
-
+    """Pairs whose shingles, the words themselves, meet the threshold; one text's set is kept for the pairs that follow."""
+    last, one = None, set()
     for batch in batches:
-        for at in range(0, len(batch), 256):
-            part = batch.slice(at, 256)
-            keep = []
-            for s, t in zip(sets(part.column(2)), sets(part.column(3)), strict=True):
-                both = len(s) + len(t) - len(np.union1d(s, t))
-                keep.append(100 * both >= PERCENT * (len(s) + len(t) - both))
-            yield part.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-
-def _texts(docs: DataFrame, ids: DataFrame, tag: str) -> DataFrame:
-    """``doc_id, text`` of the documents in ``ids``."""
-    return materialize(with_partner(docs, ids, ["doc_id"]).join(ids, "doc_id", "left_semi"), tag)
+        keep = []
+        for s, t in zip(batch.column(2), batch.column(3), strict=True):
+            s, t = s.as_buffer(), t.as_buffer()
+            if last is None or not s.equals(last):
+                last, one = pa.py_buffer(s.to_pybytes()), shingle_texts(s.to_pybytes())
+            two = shingle_texts(t.to_pybytes())
+            both = len(one & two)
+            keep.append(100 * both >= PERCENT * (len(one) + len(two) - both))
+        yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, tag: str) -> DataFrame:
-    """The pairs ``a, b`` whose full sets meet the threshold. ``texts``: distinct ``doc_id``, ``text`` of at least their documents."""
-    one, two = (texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-    rows = pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b")
+    """The pairs ``a, b`` whose full sets meet the threshold. ``texts``: one ``id, text`` for each of their nodes."""
+    one, two = (texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
+    rows = pairs.join(two.hint("merge"), "b").join(one.hint("merge"), "a").select("a", "b", "text_a", "text_b")
     return materialize(rows.mapInArrow(_compare, "a long, b long"), f"{tag}-links")
 
 
-def candidate_rows(reps: DataFrame) -> DataFrame:
-    """Members of shared band buckets: ``bucket, size, id, n, 0.. `` (packed signature)."""
-    members = reps.select(
-        F.explode("bands").alias("bucket"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), *[F.get("packed", F.lit(i)).alias(str(i)) for i in range(PACKED)]
+def candidate_rows(classes: DataFrame) -> DataFrame:
+    """Members of shared band buckets: ``bucket, size, block, id, n, 0.. `` (packed signature)."""
+    members = classes.select(
+        F.explode("bands").alias("bucket"), F.col("node").alias("id"), F.col("n_shingles").alias("n"), *[F.get("packed", F.lit(i)).alias(str(i)) for i in range(PACKED)]
     )
-    shared = reps.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    return members.join(shared, "bucket")
+    shared = classes.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    return members.join(shared.hint("merge"), "bucket").withColumn("block", F.pmod(F.xxhash64("id", F.lit(2)), _blocks()).cast("int"))
 
 
 def _centres(large: DataFrame) -> DataFrame:
-    """For each large bucket the member most similar to a few references of it.
+    """``bucket, size, id``: for each large bucket the member most similar to a few references of it.
 
     References are the least member of each of REFERENCES hash classes, so both steps
     are aggregations that combine before the shuffle. Where a group was copied from one
@@ -200,21 +221,18 @@ def _centres(large: DataFrame) -> DataFrame:
     """
     cls = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(REFERENCES))
     sig = [F.col(str(i)) for i in range(PACKED)]
-    least = large.groupBy("bucket", cls.alias("c")).agg(F.min("id").alias("id"))
-    refs = (
-        large.select("bucket", "id", *sig).join(least.select("bucket", "id"), ["bucket", "id"], "left_semi")
-        .groupBy("bucket").agg(F.collect_list(F.array(*sig)).alias("refs"))  # REFERENCES at most
-    )
+    least = large.groupBy("bucket", cls.alias("c")).agg(F.min(F.struct("id", *sig)).alias("r"), F.first("size").alias("size"))
+    refs = least.groupBy("bucket").agg(F.collect_list(F.array(*[F.col("r")[str(i)] for i in range(PACKED)])).alias("refs"), F.first("size").alias("size"))  # REFERENCES at most
     score = F.aggregate("refs", F.lit(0.0), lambda acc, r: acc + estimate(sig, [F.get(r, F.lit(i)) for i in range(PACKED)]))
-    scored = large.join(refs, "bucket").select("bucket", (F.round(score * 1e6)).cast("long").alias("s"), "id")
-    best = scored.groupBy("bucket").agg(F.max("s").alias("s"))
-    return scored.join(best, ["bucket", "s"], "left_semi").groupBy("bucket").agg(F.min("id").alias("id"))
+    scored = large.join(_everywhere(refs).drop("size"), ["bucket", "block"])
+    nearest = F.max(F.struct((F.round(score * 1e6)).cast("long").alias("s"), (-F.col("id")).alias("least")))
+    return scored.groupBy("bucket").agg(nearest.alias("best"), F.first("size").alias("size")).select("bucket", "size", (-F.col("best.least")).alias("id"))
 
 
 def _centre_pairs(among: DataFrame, members: DataFrame, more: Column) -> DataFrame:
     """Pairs of ``members`` with the centre that ``among`` gives their bucket: one pair a member at most."""
-    at_centre = among.join(materialize(_centres(among), "centres"), ["bucket", "id"], "left_semi")
-    return _pairs(members, at_centre, more)
+    centres = _everywhere(materialize(_centres(among), "centres")).drop("size")
+    return _pairs(members, among.join(centres, ["bucket", "block", "id"], "left_semi"), more)
 
 
 def parity(s: np.ndarray) -> np.ndarray:
@@ -239,10 +257,10 @@ def _few_differences() -> Column:
 
 def _all_pairs(rest: DataFrame, placed: DataFrame, texts: DataFrame, apart: Column) -> DataFrame:
     """Pairs of ``rest`` with every member of ``placed`` in another component that may be linked."""
-    met = placed.join(rest.select("bucket").distinct(), "bucket", "left_semi")
-    wanted = met.select(F.col("id").alias("doc_id")).distinct()
+    open_ = _everywhere(rest.groupBy("bucket").agg(F.first("size").alias("size"))).drop("size")
+    met = materialize(placed.join(open_, ["bucket", "block"], "left_semi"), "met")
     ddl = ", ".join(["id long", *(f"p{i} long" for i in range(PARITY_WORDS))])
-    odd = materialize(texts.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(_parities, ddl), "parities")
+    odd = materialize(texts.join(met.select("id").distinct(), "id", "left_semi").select("id", "text").mapInArrow(_parities, ddl), "parities")
     return _pairs(rest.join(odd, "id"), met.join(odd, "id"), apart & _few_differences())
 
 
@@ -254,40 +272,68 @@ def _large_links(large: DataFrame, links: DataFrame, tested: DataFrame, texts: D
     themselves, which all members of another component meet. When few are left, or a
     round settles little, each of them meets every member of another component; there,
     parity sketches bound the difference of two sets from below, so groups whose members
-    resemble each other without a link leave few pairs to confirm.
+    resemble each other without a link leave few pairs to confirm. All of this is dealt
+    by bucket and block, so one bucket spreads over as many tasks as its rows fill.
     """
     apart = F.col("xcomp") != F.col("ycomp")
     before = None
     rows = large.count()
     edges = links
     for r in range(CENTRE_ROUNDS + 1):
-        comp = components(edges).withColumnRenamed("node", "id")
-        edges = comp.select(F.col("id").alias("a"), F.col("component").alias("b"))  # stars with the same components
-        placed = large.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-        placed = materialize(placed, "placed")
-        per = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
-        main = per.groupBy("bucket").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"))
-        rest = materialize(placed.join(main, "bucket").where(F.col("comp") != F.col("main")), "rest")
-        cost = rest.agg(F.sum("size")).first()[0] or 0
-        if not cost:
-            break
-        last = cost <= 2 * rows or r == CENTRE_ROUNDS or (before is not None and cost > 0.9 * before)
-        before = cost
-        more = _all_pairs(rest, placed, texts, apart) if last else _centre_pairs(rest, placed, apart)
-        more = materialize(more.join(tested, ["a", "b"], "left_anti"), "more")
-        edges = edges.union(_confirmed(more, texts, "more"))
-        if last:
-            break
-        tested = tested.union(more)
+        with steps() as own:
+            comp = materialize(components(edges).withColumnRenamed("node", "id"), "comp")
+            edges = own.keep(comp.select(F.col("id").alias("a"), F.col("component").alias("b")), "stars")  # the same components
+            placed = large.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+            placed = materialize(placed, "placed")
+            per = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"), F.first("size").alias("size"))
+            main = per.groupBy("bucket").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"), F.first("size").alias("size"))
+            rest = materialize(placed.join(_everywhere(main).drop("size"), ["bucket", "block"]).where(F.col("comp") != F.col("main")), "rest")
+            cost = rest.agg(F.sum("size")).first()[0] or 0
+            if not cost:
+                break
+            last = cost <= 2 * rows or r == CENTRE_ROUNDS or (before is not None and cost > 0.9 * before)
+            before = cost
+            more = _all_pairs(rest, placed, texts, apart) if last else _centre_pairs(rest, placed, apart)
+            more = own.keep(more.join(tested, ["a", "b"], "left_anti"), "more")
+            edges = edges.union(own.keep(_confirmed(more, texts, "more"), "links"))
+            if last:
+                break
+            tested = tested.union(more)
     return edges
 
 
+def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``row, text_hash, n_shingles, best`` of every row: ``best`` is the key of its group's least id and text (null: no set)."""
+    rows = identified(docs, id_col, text_col)
+    with steps() as own:
+        sk = materialize(sketches(rows), "sketches")
+        thin = sk.select(*KEY, "n_shingles", "d1", "d2")
+        known = F.struct((F.col("row") == NO_ID).alias("no_id"), *KEY)
+        classes = sk.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min(known).alias("least"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "packed")])
+        classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+        members = materialize(candidate_rows(classes), "members")
+
+        small, large = members.where(F.col("size") <= SMALL), members.where(F.col("size") > SMALL)
+        pairs = _pairs(small, small, F.col("xid") < F.col("yid")).union(_centre_pairs(large, large, F.col("xid") != F.col("yid"))).distinct()
+        tested = materialize(pairs, "tested")
+        nodes = tested.select(F.col("a").alias("node")).union(tested.select(F.col("b").alias("node"))).union(large.select(F.col("id").alias("node"))).distinct()
+        wanted = materialize(classes.join(nodes, "node").select(F.col("node").alias("id"), "least.row", "least.text_hash"), "wanted")
+        texts = materialize(with_partner(rows, wanted, KEY).dropDuplicates(KEY).join(wanted, KEY).select("id", "text"), "texts")
+        links = _large_links(large, _confirmed(tested, texts, "first"), tested, texts)
+
+        comp = materialize(components(links), "groups")
+        grouped = classes.select("d1", "d2", "node", "least").join(comp, "node", "left").withColumn("group", F.coalesce("component", "node"))
+        best = grouped.groupBy("group").agg(F.min("least").alias("best"))
+        labelled = grouped.join(best, "group").select("d1", "d2", "best")
+        return own.keep(thin.join(labelled, ["d1", "d2"], "left").select(*KEY, "n_shingles", "best"), "near-groups")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``.
+    """One row per row: ``doc_id, n_shingles, component_id, kept``.
 
-    1. One pass over the texts gives each document's set size, a digest of its set, 128
+    1. One pass over the texts gives each row's set size, a digest of its words, 128
        minima as 32 band keys, and the low 2 bits of each minimum packed into four
-       integers. Documents of one set form a class; its smallest id stands for it below.
+       integers. Rows of the same words form a class, which is one node below.
     2. Classes that share a band key are candidates. Their similarity is estimated from
        the packed bits, corrected for chance agreement, as the condition of the join on
        the key, so pairs that cannot be linked are never emitted. Small buckets have all
@@ -296,52 +342,32 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
        of their own, and in the end meet all the others.
        So every candidate pair is either compared or already in one component, and a
        group of near copies costs pairs in proportion to its members.
-    3. Pairs that pass are confirmed on their full sets, from the texts.
-    4. Components of the confirmed links, joined to classes and documents.
+    3. Pairs that pass are confirmed on their full sets of shingles, word by word.
+    4. Components of the confirmed links, joined to classes and rows.
 
     A set has the distinct shingles of five words (white space separated, A-Z
     lower-cased); fewer words make one shingle. Null, empty and blank texts have no set,
-    are linked with nothing and are kept. Rows that repeat an id give one row, for the
-    least of their texts. Rows with a null id are kept and linked with nothing. Ids must
-    be integers. An empty table gives an empty result. Other columns are not read.
+    are linked with nothing and are kept. Rows that repeat an id are treated one by one.
+    Rows with a null id take part in links; a group's ``component_id`` is its least id
+    that is not null, and its rows with a null id are kept only where it has no id at
+    all. Ids must be integers. An empty table gives an empty result. Other columns are
+    not read.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sk = materialize(sketches(rows), "sketches")
-    if _repeats(sk):
-        rows = rows.where("doc_id is null").union(rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text")))
-        sk = materialize(sketches(rows), "sketches")
-    thin = sk.select("doc_id", "n_shingles", "d1", "d2")
-    some = F.col("n_shingles") > 0
-    classes = materialize(thin.where(some & F.col("doc_id").isNotNull()).groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members")), "classes")
-    key = ["d1", "d2"]
-    reps = sk.join(classes.select("d1", "d2", F.col("rep").alias("doc_id")), [*key, "doc_id"], "left_semi")
-    members = materialize(candidate_rows(reps), "members")
-
-    small, large = members.where(F.col("size") <= SMALL), members.where(F.col("size") > SMALL)
-    pairs = _pairs(small, small, F.col("xid") < F.col("yid"))
-    several = large.limit(1).count() > 0
-    if several:
-        pairs = pairs.union(_centre_pairs(large, large, F.col("xid") != F.col("yid"))).distinct()
-    tested = materialize(pairs, "tested")
-    ids = tested.select(F.col("a").alias("doc_id")).union(tested.select(F.col("b").alias("doc_id")))
-    texts = _texts(rows, ids.union(large.select(F.col("id").alias("doc_id"))).distinct(), "texts")
-    links = _confirmed(tested, texts, "first")
-    if several:
-        links = _large_links(large, links, tested, texts)
-
-    comp = components(links)
-    labelled = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
-    out = thin.join(labelled, key, "left")
-    cid = F.when(some & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", cid.alias("component_id"), F.coalesce(cid == F.col("doc_id"), F.lit(True)).alias("kept"))
-
-
-def _repeats(thin: DataFrame) -> bool:
-    """Whether an id occurs in more than one row."""
-    return thin.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count() > 0
+    out = _decided(docs, id_col, text_col)
+    cid = F.when(F.col("best").isNull(), original_id()).otherwise(F.nullif("best.row", F.lit(NO_ID)))
+    return out.select(original_id().alias("doc_id"), "n_shingles", cid.alias("component_id"), cid.eqNullSafe(original_id()).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each near-duplicate group."""
-    lost = near_groups(docs, id_col, text_col).where("not kept").select(F.col("doc_id").cast(docs.schema[id_col].dataType).alias(id_col))
-    return without(docs, materialize(lost, "near-copies"), id_col)
+    """``docs`` with one row of each near-duplicate group: of least id (null last), then of least text hash.
+
+    Rows without words stay. Of rows that repeat both id and text one stays, whichever
+    of them; their other columns are not compared.
+    """
+    out = _decided(docs, id_col, text_col).where("best is not null")
+    first = F.struct(*KEY) == F.struct("best.row", "best.text_hash")
+    touched = out.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.first(first).alias("first")).where("n > 1 or not first").select(*KEY, "first")
+    touched = materialize(touched, "near-copies")
+    rows = bundled(docs, id_col, text_col)
+    again = with_partner(rows, touched.where("first"), KEY).join(touched.where("first").select(*KEY), KEY, "left_semi").dropDuplicates(KEY)
+    return without(rows, touched, KEY).unionByName(again).select("doc.*")

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from .storage import materialize
 
+#: Rows of a key of too few units that a task holds before it sends them on as undecided.
+HELD = 200_000
 #: Row kinds that a partition emits: found, undecided at its edge, count of a key at its edge.
 _FOUND, _OPEN, _COUNT = 0, 1, 2
 
@@ -19,7 +21,8 @@ def _stream(keys: int, ids: int, carried: int, least: int, by_position: bool):
     """mapInArrow function over rows sorted by key, ids and position.
 
     Reads each run of one key and emits its rows once it has ``least`` units; until then
-    it holds rows of fewer units. A unit is a row, or all rows of a run with equal ids.
+    it holds rows of fewer units, HELD and a batch at most: more are emitted as undecided,
+    and then the run's count is. A unit is a row, or all rows of a run with equal ids.
     A partition's first and last run may go on in the next one, so where such a run is
     short its rows are emitted as undecided, and its count always is.
     """
@@ -38,13 +41,14 @@ def _stream(keys: int, ids: int, carried: int, least: int, by_position: bool):
         counted = 0  # its units before ``held``, once its rows are out
         first = True  # whether that run is the partition's first
         last_id = None  # the ids that ended the rows already out
+        undecided = False  # whether rows of that run are out as undecided
 
         def close(final: bool) -> Iterator[pa.RecordBatch]:
             """The held run is over, or the partition is, with ``final``."""
             if held is None:
                 return
             units = counted + (_units(held, last_id) if held.shape[1] else 0)
-            edge = first or final
+            edge = first or final or undecided
             if held.shape[1] and (units >= least):
                 yield out(held, _FOUND)
             elif held.shape[1] and edge:
@@ -67,7 +71,7 @@ def _stream(keys: int, ids: int, carried: int, least: int, by_position: bool):
             bounds = np.concatenate([[0], starts, [rows.shape[1]]])
             if held is not None and not (rows[:keys, 0] == key).all():
                 yield from close(False)
-                held, counted, first, last_id = None, 0, False, None
+                held, counted, first, last_id, undecided = None, 0, False, None, False
             # The first run goes on from what is held; the last one stays held.
             if held is None:
                 held, key = rows[:, : bounds[1]], rows[:keys, 0].copy()
@@ -75,7 +79,7 @@ def _stream(keys: int, ids: int, carried: int, least: int, by_position: bool):
                 held = np.concatenate([held, rows[:, : bounds[1]]], axis=1)
             if len(bounds) > 2:
                 yield from close(False)
-                first, counted, last_id = False, 0, None
+                first, counted, last_id, undecided = False, 0, None, False
                 lo, hi = bounds[1], bounds[-2]
                 if hi > lo:
                     inner = rows[:, lo:hi]
@@ -90,8 +94,9 @@ def _stream(keys: int, ids: int, carried: int, least: int, by_position: bool):
                         yield out(inner[:, pick], _FOUND)
                 held, key = rows[:, hi:], rows[:keys, hi].copy()
             units = counted + _units(held, last_id) if held.shape[1] else counted
-            if units >= least and held.shape[1]:
-                yield out(held, _FOUND)
+            if held.shape[1] and (units >= least or held.shape[1] >= HELD):
+                yield out(held, _FOUND if units >= least else _OPEN)
+                undecided |= units < least
                 counted, last_id, held = units, held[keys : keys + ids, -1].copy(), held[:, :0]
         yield from close(True)
 

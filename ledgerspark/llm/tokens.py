@@ -1,11 +1,14 @@
 """Word hashes of UTF-8 text, computed for whole blocks of documents with numpy.
 
-A word is a run of bytes of one class. Its hash is a polynomial over its bytes modulo
-2**64, taken as a difference of prefix sums, then mixed. All helpers run inside tasks.
+A word is a run of bytes of one class. Its hash mixes two polynomials over its bytes, one
+modulo 2**64 and one modulo a prime, each taken as a difference of prefix sums; what
+collides in the first for any base (Thue-Morse strings) differs in the second. Results
+that must be exact compare the words themselves (words_of()). All helpers run in tasks.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,6 +21,11 @@ BLOCK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
+#: The prime, and a primitive root's power as base.
+_PRIME = (1 << 31) - 1
+_PRIME_BASE = pow(7, 1_234_577, _PRIME)
+#: Bytes whose products with powers below the prime add up to less than 2**64.
+_EXACT = 1 << 22
 
 
 def _lower() -> np.ndarray:
@@ -59,6 +67,31 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(max(BLOCK, 1 << (n - 1).bit_length()))
 
 
+@lru_cache(maxsize=2)
+def _prime_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (_PRIME_BASE, pow(_PRIME_BASE, -1, _PRIME)):
+        p = np.ones(1, dtype=U)
+        while len(p) <= n:
+            p = np.concatenate([p, p * U(pow(base, len(p), _PRIME)) % U(_PRIME)])
+        out.append(p[: n + 1].astype(np.uint32))
+    return out[0], out[1]
+
+
+def _prime_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The polynomial modulo the prime of each run of bytes."""
+    up, down = _prime_powers(max(BLOCK, 1 << len(data).bit_length()))
+    c = np.zeros(len(data) + 1, dtype=U)
+    for i in range(0, len(data), _EXACT):
+        j = min(len(data), i + _EXACT)
+        np.cumsum((data[i:j].astype(U) + U(1)) * up[i:j], out=c[i + 1 : j + 1])
+        if j < len(data) or i:
+            c[i + 1 : j + 1] %= U(_PRIME)
+            c[i + 1 : j + 1] += c[i]
+            c[j] %= U(_PRIME)
+    return (c[ends] + U(4 * _PRIME) - c[starts]) % U(_PRIME) * down[starts] % U(_PRIME)
+
+
 def prefix_sums(data: np.ndarray) -> np.ndarray:
     """``c`` such that ``(c[j] - c[i]) * inverse**i`` is the polynomial of bytes i to j."""
     up, _ = powers(len(data) + 1)
@@ -101,9 +134,11 @@ def _words(data: np.ndarray, firsts: np.ndarray, word: np.ndarray) -> tuple[np.n
     after[-1:] = False
     after[:-1] = is_word[1:]
     ends = np.flatnonzero(is_word & (~after | edge[1:])) + 1
-    c = prefix_sums(LOWER[data])
+    lowered = LOWER[data]
+    c = prefix_sums(lowered)
     _, down = powers(len(data) + 1)
-    return starts, ends, mix((c[ends] - c[starts]) * down[starts] + (ends - starts).astype(U))
+    h = mix((c[ends] - c[starts]) * down[starts] + (ends - starts).astype(U))
+    return starts, ends, mix(h + _prime_hashes(lowered, starts, ends) * U(_BASE))
 
 
 def word_hashes(column: pa.Array, word: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -128,7 +163,8 @@ def word_hashes(column: pa.Array, word: np.ndarray) -> Iterator[tuple[int, np.nd
             while at < len(part):
                 to = min(len(part), at + 4 * BLOCK)
                 while to < len(part) and word[part[to]]:  # to the next gap
-                    to += 1
+                    gaps = np.flatnonzero(~word[part[to : to + BLOCK]])
+                    to = to + int(gaps[0]) if len(gaps) else min(len(part), to + BLOCK)
                 s, e, h = _words(part[at:to], np.zeros(1, dtype=np.int64), word)
                 pieces.append((s + at, e + at, h))
                 at = to
@@ -149,3 +185,11 @@ def windows(h: np.ndarray, width: int) -> np.ndarray:
 
 def as_long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+_ALNUM_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+
+
+def words_of(text: bytes, word: np.ndarray) -> list[bytes]:
+    """The words of one text themselves, A-Z lower-cased; ``word`` is SPACED or ALNUM."""
+    return text.lower().split() if word is SPACED else _ALNUM_WORD.findall(text.lower())

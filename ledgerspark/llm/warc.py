@@ -14,7 +14,8 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialize, shared_path
+from .joins import attached
+from .storage import materialize, shared_path, steps
 
 #: Bytes of a payload chunk.
 CHUNK = 256 * 1024
@@ -34,55 +35,56 @@ def base32_sha1(data: Column) -> Column:
     return F.translate(digits, _BASE32_FROM, _BASE32_TO)
 
 
-def record_plan(pages: DataFrame, min_revisit: int = MIN_REVISIT, id_col: str = "page_id", payload_col: str = "html") -> DataFrame:
-    """``page, payload_bytes, digest, record_type, refers_to`` without the payloads.
+def payloads(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", url_col: str = "url") -> DataFrame:
+    """``page, url, body, payload_bytes, digest, same``: payloads with their SHA-1 and SHA-256."""
+    body = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
+    return pages.select(
+        F.col(id_col).cast("long").alias("page"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"), body.alias("body"),
+        F.octet_length(body).cast("long").alias("payload_bytes"), base32_sha1(body).alias("digest"), F.unhex(F.sha2(body, 256)).alias("same"),
+    )
+
+
+#: Payloads are equal when all of these are.
+_SAME = ["same", "digest", "payload_bytes"]
 
-    Payloads are equal when length, SHA-1 and SHA-256 are; the smallest id of equal
-    payloads of at least ``min_revisit`` bytes is the response, the others revisit it.
-    Groups are found by an aggregation that combines before the shuffle.
+
+def first_pages(records: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
+    """``same, digest, payload_bytes, first`` of payloads that occur more than once: the smallest page id of each.
+
+    ``records`` as from payloads(); only those of at least ``min_revisit`` bytes count.
+    Found by an aggregation over digests that combines before the shuffle.
     """
-    payload = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
-    thin = pages.select(
-        F.col(id_col).cast("long").alias("page"), F.octet_length(payload).cast("long").alias("payload_bytes"), base32_sha1(payload).alias("digest"), F.unhex(F.sha2(payload, 256)).alias("_same")
-    )
-    thin = materialize(thin, "warc-plan")
-    key = ["_same", "digest", "payload_bytes"]
-    first = thin.where(F.col("payload_bytes") >= min_revisit).groupBy(*key).agg(F.min("page").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    again = F.col("_first").isNotNull() & (F.col("page") != F.col("_first"))
-    return thin.join(first, key, "left").select(
-        "page", "payload_bytes", "digest", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("_first")).alias("refers_to")
-    )
+    return records.where(F.col("payload_bytes") >= min_revisit).groupBy(*_SAME).agg(F.min("page").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
 
 
 def _record_urn(page: Column) -> Column:
-    return F.concat(F.lit("urn:page:"), page.cast("string"))
+    """The same for rows that share page id and payload."""
+    return F.concat(F.lit("urn:page:"), F.coalesce(page.cast("string"), F.lit("none")), F.lit(":"), F.col("digest"))
 
 
-def chunk_table(pages: DataFrame, plan: DataFrame, chunk: int = CHUNK, id_col: str = "page_id", payload_col: str = "html", url_col: str = "url") -> DataFrame:
+def chunk_table(records: DataFrame, first: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """The archives as rows ``page, chunk_no, chunks, data, digest``, records in any order, chunks of a record in order.
 
-    Chunk 0 holds the record's headers, chunks 1.. its payload in pieces of ``chunk``
-    bytes. A revisit has no payload. A writer holds one chunk at a time.
+    The row with the smallest id of equal payloads is the response (every such row, where
+    the id repeats), the others revisit it. Chunk 0 holds the record's headers, chunks
+    1.. its payload in pieces of ``chunk`` bytes. A revisit has no payload. A writer
+    holds one chunk at a time. Only payloads that may have a copy are shuffled.
     """
-    body = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
-    full = (
-        pages.select(F.col(id_col).cast("long").alias("page"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"), body.alias("body")).join(plan, "page")
-    )
     crlf = "\r\n"
-    revisit = F.col("record_type") == "revisit"
-    length = F.when(revisit, F.lit(0)).otherwise(F.col("payload_bytes"))
-    uri = F.regexp_replace("url", r"[\x00-\x20\x7F]", "")
+    full = attached(records, first, _SAME)
+    revisit = F.col("first").isNotNull() & ~F.col("page").eqNullSafe(F.col("first"))
+    full = full.withColumns({"record_type": F.when(revisit, "revisit").otherwise("response"), "length": F.when(revisit, F.lit(0)).otherwise(F.col("payload_bytes"))})
     head = F.concat(
         F.lit(_VERSION.decode() + crlf),
         F.lit("WARC-Type: "), F.col("record_type"),
         F.lit(f"{crlf}WARC-Record-ID: <"), _record_urn(F.col("page")),
-        F.lit(f">{crlf}WARC-Date: 1970-01-01T00:00:00Z{crlf}WARC-Target-URI: "), uri,
+        F.lit(f">{crlf}WARC-Date: 1970-01-01T00:00:00Z{crlf}WARC-Target-URI: "), F.regexp_replace("url", r"[\x00-\x20\x7F]", ""),
         F.lit(f"{crlf}Content-Type: text/html; charset=utf-8{crlf}WARC-Payload-Digest: sha1:"), F.col("digest"),
-        F.when(revisit, F.concat(F.lit(f"{crlf}WARC-Profile: {_REVISIT_PROFILE}{crlf}WARC-Refers-To: <"), _record_urn(F.col("refers_to")), F.lit(f">{crlf}X-Payload-Length: "), F.col("payload_bytes").cast("string"))).otherwise(F.lit("")),
-        F.lit(f"{crlf}Content-Length: "), length.cast("string"),
+        F.when(revisit, F.concat(F.lit(f"{crlf}WARC-Profile: {_REVISIT_PROFILE}{crlf}WARC-Refers-To: <"), _record_urn(F.col("first")), F.lit(f">{crlf}X-Payload-Length: "), F.col("payload_bytes").cast("string"))).otherwise(F.lit("")),
+        F.lit(f"{crlf}Content-Length: "), F.col("length").cast("string"),
         F.lit(crlf * 2),
     )
-    pieces = F.ceil(length / F.lit(chunk)).cast("int")
+    pieces = F.ceil(F.col("length") / F.lit(chunk)).cast("int")
     rows = full.select("page", head.cast("binary").alias("_head"), "body", pieces.alias("chunks"), "digest", F.explode(F.sequence(F.lit(0), pieces)).alias("chunk_no"))
     data = F.when(F.col("chunk_no") == 0, F.col("_head")).otherwise(F.expr(f"substring(body, (chunk_no - 1) * {chunk} + 1, {chunk})"))
     return rows.select("page", "chunk_no", "chunks", data.alias("data"), "digest")
@@ -150,33 +152,47 @@ def parse_headers(block: bytes) -> dict[str, str]:
     return out
 
 
+def _inflated(stream, length: int) -> Iterator[bytes]:
+    """The bytes of one gzip member of ``length`` bytes, at most CHUNK at once however far they inflate."""
+    member, left, raw = zlib.decompressobj(31), length, b""
+    while not member.eof:
+        if not raw:
+            raw = stream.read(min(left, CHUNK))
+            left -= len(raw)
+        data = member.decompress(raw, CHUNK)
+        if not data and not raw and not member.eof:
+            raise ValueError("an archive ends inside a record")
+        raw = member.unconsumed_tail
+        if data:
+            yield data
+
+
 def _read_record(stream, length: int) -> tuple[dict[str, str], int, str]:
     """Headers, payload bytes and payload digest, without holding the payload."""
-    member, left = zlib.decompressobj(31), length
     head, fields, size, sha, expected = b"", None, 0, hashlib.sha1(), 0
-    while left > 0 or not member.eof:
-        raw = stream.read(min(left, CHUNK))
-        left -= len(raw)
-        data = member.decompress(raw)
+    for data in _inflated(stream, length):
         if fields is None:
             head += data
             end = head.find(b"\r\n\r\n")
             if end < 0:
-                if not raw:
-                    raise ValueError("a record ends in its headers")
                 continue
             fields, data = parse_headers(head[:end]), head[end + 4 :]
             expected = int(fields["content-length"])
         take = data[: max(0, expected - size)]
         sha.update(take)
         size += len(take)
-        if not raw:
-            break
+    if fields is None:
+        raise ValueError("a record ends in its headers")
     if size != expected:
         raise ValueError(f"a record has {size} of {expected} bytes")
     return fields, size, base64.b32encode(sha.digest()).decode()
 
 
+def _page_of(urn: str) -> int | None:
+    page = urn.strip("<>").split(":")[2]
+    return None if page == "none" else int(page)
+
+
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("target_uri", pa.string())])
     stream = name = None
@@ -191,12 +207,12 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kind = fields["warc-type"]
             if kind == "revisit":
                 size, digest = int(fields["x-payload-length"]), fields["warc-payload-digest"].removeprefix("sha1:")
-                refers = int(fields["warc-refers-to"].strip("<>").rpartition(":")[2])
+                refers = _page_of(fields["warc-refers-to"])
             else:
                 refers = None
                 if fields["warc-payload-digest"] != f"sha1:{digest}":
                     raise ValueError(f"payload of {fields['warc-record-id']} does not have its digest")
-            rows.append((int(fields["warc-record-id"].strip("<>").rpartition(":")[2]), size, digest, kind, refers, fields["warc-target-uri"]))
+            rows.append((_page_of(fields["warc-record-id"]), size, digest, kind, refers, fields["warc-target-uri"]))
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)] if rows else [pa.array([], t) for t in schema.types], schema=schema)
 
 
@@ -214,15 +230,14 @@ def read_archives(index: DataFrame) -> DataFrame:
 def round_trip(pages: DataFrame, min_revisit: int = MIN_REVISIT, chunk: int = CHUNK) -> DataFrame:
     """Write ``pages`` (``page_id, url, html``) as archives in the shared folder and read them back.
 
-    A null payload is empty; a null URL leaves the target empty. Of pages that repeat an
-    id the one with the least payload is written; null ids are left out.
-    An empty table writes no archive and reads none. Other columns are not read.
+    Every row has a record of its own. A null payload is empty; a null URL leaves the
+    target empty. Rows that repeat an id are archived one by one; those that share the
+    smallest id of equal payloads are all responses. A null id stays null and revisits a
+    page that has an id; where no page of a payload has one, all are responses. An empty
+    table writes no archive and reads none. Other columns are not read.
     """
-    spark = pages.sparkSession
-    pages = pages.select("page_id", "url", "html").where("page_id is not null")
-    if pages.groupBy("page_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
-        one = pages.groupBy("page_id").agg(F.min(F.struct(F.coalesce("html", F.lit("")).alias("html"), "url")).alias("p"))
-        pages = one.select("page_id", "p.url", "p.html")
-    plan = record_plan(pages, min_revisit)
-    index = write_archives(chunk_table(pages, plan, chunk), shared_path(spark, "warc"))
-    return read_archives(index)
+    records = payloads(pages)
+    with steps() as own:
+        first = materialize(first_pages(records, min_revisit), "warc-first")
+        index = write_archives(chunk_table(records, first, chunk), shared_path(pages.sparkSession, "warc"))
+        return own.keep(read_archives(index), "warc-read")

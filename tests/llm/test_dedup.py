@@ -9,7 +9,7 @@ import re
 import numpy as np
 import pytest
 
-from ledgerspark.llm import exact_dedup, joins, line_dedup, near_dedup, suffix_dedup
+from ledgerspark.llm import exact_dedup, joins, line_dedup, near_dedup, runs, suffix_dedup
 from ledgerspark.llm.components import components
 from ledgerspark.llm.runs import frequent
 
@@ -110,11 +110,13 @@ def test_line_dedup_edges(spark):
     assert sorted((r.n_lines, r.n_dropped) for r in got if r.doc_id is None) == [(1, 0), (1, 1)]
 
 
-@pytest.mark.parametrize("partitions", [1, 4])
-def test_frequent_runs_over_partitions(spark, partitions):
-    """One key with most rows spans partitions; others sit at every edge."""
+@pytest.mark.parametrize(("partitions", "held"), [(1, 200_000), (4, 200_000), (1, 3), (4, 3)])
+def test_frequent_runs_over_partitions(spark, partitions, held, monkeypatch):
+    """One key with most rows spans partitions; others sit at every edge; few or many rows are held."""
+    monkeypatch.setattr(runs, "HELD", held)
     r = random.Random(1)
     rows = [(7 if r.random() < 0.5 else r.randrange(60), r.randrange(30), p) for p in range(900)]
+    rows += [(99, 5, 1000 + p) for p in range(300)] + [(99, 6, 1500)]  # one document repeats a line
     df = spark.createDataFrame(rows, "k long, d long, p long")
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions * 7))
@@ -160,6 +162,17 @@ def test_suffix_dedup_edges(spark):
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=str) == repeats(rows, 20)
 
 
+def test_suffix_dedup_at_its_length(spark):
+    """Strings of 400 bytes: a passage that most texts share, a long text, overlaps and cuts of a byte too few."""
+    r = random.Random(12)
+    passage, other = prose(r, 200), prose(r, 150)
+    rows = [(i, prose(r, r.randrange(0, 90)) + passage[r.randrange(40) :] + prose(r, r.randrange(90))) for i in range(60)]
+    long = prose(r, 60000)
+    rows += [(100, long[:150_000] + other + long[150_000:]), (101, other[:399] + "#"), (102, "#" + other[:400] + "#"), (103, "ab" * 600), (104, long[1000:1399]), (105, long[2000:2400]), (106, None)]
+    got = suffix_dedup.remove_repeats(frame(spark, rows).repartition(4)).collect()
+    assert sorted(((x.doc_id, x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in got), key=str) == repeats(rows, 400)
+
+
 @pytest.mark.parametrize("most", [7, 57, 60, 133, 308])
 def test_difference_cover(most):
     v, d = suffix_dedup.difference_cover(most)
@@ -216,7 +229,35 @@ def test_near_groups_edges(spark):
     assert near_dedup.near_groups(frame(spark, [])).count() == 0
     rows = [(1, "a b"), (2, "A  b"), (3, None), (4, None), (5, ""), (None, "a b"), (6, "a b c"), (7, "x"), (7, "y")]
     got = near_dedup.near_groups(frame(spark, rows).withColumnRenamed("lang", "bucket")).collect()
-    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(1, 1, True), (2, 1, False), (3, 3, True), (4, 4, True), (5, 5, True), (None, None, True), (6, 6, True), (7, 7, True)}
+    want = [(1, 1, True), (2, 1, False), (3, 3, True), (4, 4, True), (5, 5, True), (None, 1, False), (6, 6, True), (7, 7, True), (7, 7, True)]
+    assert sorted(((r.doc_id, r.component_id, r.kept) for r in got), key=str) == sorted(want, key=str)
+    nameless = near_dedup.near_groups(frame(spark, [(None, "p q"), (None, "P q"), (None, None)])).collect()
+    assert [(r.doc_id, r.component_id, r.kept) for r in nameless] == [(None, None, True)] * 3
+
+
+def test_near_groups_take_rows_that_repeat_an_id_one_by_one(spark):
+    r = random.Random(7)
+    one, two = prose(r, 40), prose(r, 40)
+    rows = frame(spark, [(7, one), (7, two), (8, two + " tail"), (3, one.upper()), (9, None), (9, None), (7, two)])
+    got = sorted((x.doc_id, x.component_id, x.kept) for x in near_dedup.near_groups(rows).collect())
+    assert got == [(3, 3, True), (7, 3, False), (7, 7, True), (7, 7, True), (8, 7, False), (9, 9, True), (9, 9, True)]
+    kept = near_dedup.keep_one(rows.withColumnRenamed("n_chars", "row"))
+    assert kept.columns == ["doc_id", "text", "lang", "source", "row"]
+    assert sorted((x.doc_id, x.text or "") for x in kept.collect()) == sorted([(3, one.upper()), (7, two), (9, ""), (9, "")])
+
+
+def thue_morse(n: int) -> tuple[str, str]:
+    """Two words of 2**n letters that every polynomial hash modulo 2**64 takes for one from n = 10 on."""
+    x = "a"
+    for _ in range(n):
+        x += x.translate(str.maketrans("ab", "ba"))
+    return x, x.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_collide_in_a_polynomial_hash_are_not_linked(spark):
+    x, y = thue_morse(10)
+    got = near_dedup.near_groups(frame(spark, [(1, x), (2, y), (3, f"a b c d {x}"), (4, f"a b c d {y}"), (5, x)])).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 1)]
 
 
 def test_components(spark):
@@ -229,7 +270,9 @@ def test_components(spark):
 def test_without_and_partner(spark):
     wide = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k long, v string")
     lost = spark.createDataFrame([(2,), (9,), (None,)], "k long")
-    assert sorted(r.v for r in joins.without(wide, lost, "k").collect()) == ["a", "c"]
+    assert sorted(r.v for r in joins.without(wide, lost, ["k"]).collect()) == ["a", "c"]
+    thin = spark.createDataFrame([(2, 5), (9, 6)], "k long, x long")
+    assert sorted((r.v, r.x) for r in joins.attached(wide.where("k is not null"), thin, ["k"]).collect()) == [("a", None), ("b", 5)]
     assert {r.v for r in joins.with_partner(wide, lost.where("k is not null"), ["k"]).collect()} >= {"b"}
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerspark.llm import decontam, langid, mixing, quality, queries, sharding, warc
 from ledgerspark.llm.tokens import ALNUM, SPACED, word_hashes
 
-from .test_dedup import DOCS, frame, lower, prose
+from .test_dedup import DOCS, frame, lower, prose, thue_morse
 
 SF = "/root/testdata/sf0.001"
 
@@ -97,8 +97,16 @@ def test_mixing(spark):
     out = mixing.mixed_documents(docs, queries.word_count(F.col("text")))
     assert out.columns == docs.columns
     assert out.count() == sum(g.copies for g in got)
-    twice = mixing.mixed_documents(docs.union(docs), queries.word_count(F.col("text")))
-    assert twice.columns == docs.columns and twice.count() > out.count()
+    size_ = queries.word_count(F.col("text"))
+    twice = mixing.mixed_documents(docs.union(docs), size_)
+    want = sum(g.copies for g in mixing.systematic_mix(docs.union(docs), size_).collect())
+    assert twice.columns == docs.columns and twice.count() == want
+    odd = spark.createDataFrame([(None, "a b", "en", None, 0), (None, "a b", "en", None, 1), (None, None, None, "a", 2), (1, "a b", "en", "a", 0), (1, "c", "en", "a", 0), (2, "w " * 200_000, "de", "a", 0)], DOCS)
+    odd = odd.withColumnRenamed("lang", "copies").withColumnRenamed("n_chars", "doc")
+    copies = sum(g.copies for g in mixing.systematic_mix(odd.select("doc_id", "source", "text"), size_).collect())
+    out = mixing.mixed_documents(odd, size_)
+    assert out.columns == odd.columns and out.count() == copies
+    assert mixing.mixed_documents(odd.limit(0), size_).count() == 0
 
 
 def test_mixing_edges(spark):
@@ -146,18 +154,16 @@ def test_language(spark):
 def test_warc_round_trip(spark):
     r = random.Random(4)
     big = "é" + prose(r, 300_000)
-    pages = [(5, "http://a/", "same"), (3, "http://b/\r\nX: y", "same"), (9, None, "same"), (1, "http://c", None), (2, "http://d", ""), (7, "http://e", big), (8, "http://f", "WARC/1.1\r\n\r\nx\r\n\r\n"), (10, "http://g", "ok"), (10, "http://h", "zz"), (None, "http://i", "z")]
+    pages = [(5, "http://a/", "same"), (3, "http://b/\r\nX: y", "same"), (9, None, "same"), (1, "http://c", None), (2, "http://d", ""), (7, "http://e", big), (8, "http://f", "WARC/1.1\r\n\r\nx\r\n\r\n"), (10, "http://g", "ok"), (10, "http://h", "zz"), (10, "http://h", "zz"), (None, "http://i", "z"), (None, "http://i", "z"), (None, "http://j", "same"), (11, "http://k", "\0" * 20_000_000)]
     df = spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, page string")
-    got = {g.page_id: g for g in warc.round_trip(df, chunk=1000).collect()}
-    first = {}
-    want = {p: h or "" for p, _, h in pages if p is not None and h != "zz"}
-    for p in sorted(want):
-        first.setdefault(want[p], p)
-    assert set(got) == set(want)
-    for p, h in want.items():
-        g, x = got[p], h.encode()
-        assert g.payload_bytes == len(x) and g.payload_digest == base64.b32encode(hashlib.sha1(x).digest()).decode()
-        assert (g.record_type, g.refers_to) == (("response", None) if first[h] == p else ("revisit", first[h]))
+    got = warc.round_trip(df, chunk=1000).collect()
+    first, want = {}, []
+    for p, _, h in sorted(pages, key=lambda x: (x[0] is None, x[0])):
+        first.setdefault(h or "", p)
+    for p, _, h in pages:
+        x, least = (h or "").encode(), first[h or ""]
+        want.append((p, len(x), base64.b32encode(hashlib.sha1(x).digest()).decode(), *(("response", None) if least == p else ("revisit", least))))
+    assert sorted(((g.page_id, g.payload_bytes, g.payload_digest, g.record_type, g.refers_to) for g in got), key=str) == sorted(want, key=str)
     large = {g.page_id: g.record_type for g in warc.round_trip(df, min_revisit=5).collect()}
     assert large[5] == "response" and large[3] == "response"
     assert warc.round_trip(df.limit(0)).count() == 0
@@ -227,11 +233,31 @@ def test_decontamination(spark):
     got = decontam.contamination(frame(spark, docs).withColumnRenamed("lang", "term"), b, width=4).collect()
     assert sorted(((g.doc_id, g.n_words, g.n_hit, g.n_items, g.items_sha256, g.contaminated) for g in got), key=str) == hits_by_hand(docs, items, 4)
     clean = {g.doc_id for g in decontam.clean(frame(spark, docs), b, width=4).collect()}
-    assert clean == {d for d, *_, c in hits_by_hand(docs, items, 4) if not c} | {None}
+    assert clean == {d for d, *_, c in hits_by_hand(docs, items, 4) if not c}
+    twice = frame(spark, [(1, items[1][1]), (1, "fine words"), (None, items[1][1]), (None, "also fine"), (1, "fine words")])
+    assert sorted(g.text for g in decontam.clean(twice.withColumnRenamed("lang", "row"), b, width=4).collect()) == ["also fine", "fine words", "fine words"]
     assert decontam.contamination(frame(spark, docs), b.limit(0)).where("contaminated").count() == 0
     assert decontam.contamination(frame(spark, []), b).count() == 0
 
 
+def test_words_that_collide_in_a_polynomial_hash_do_not_hit(spark):
+    x, y = thue_morse(10)
+    items = spark.createDataFrame([(1, x), (2, f"{x} b")], "item_id long, text string")
+    docs = frame(spark, [(1, y), (2, x), (3, f"{y} b {x}")])
+    for slop in (0, 1):
+        got = {g.doc_id: g.n_hit for g in decontam.contamination(docs, items, slop=slop).collect()}
+        assert got == {1: 0, 2: 1, 3: 1}
+
+
+def test_terms_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "TERMS_AT_ONCE", 7)
+    r = random.Random(3)
+    items = [(i, prose(r, 12)) for i in range(4)]
+    docs = [(i, prose(r, 30) + (items[i % 4][1] if i % 3 else "")) for i in range(12)]
+    got = decontam.contamination(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"), width=5).collect()
+    assert sorted(((g.doc_id, g.n_words, g.n_hit, g.n_items, g.items_sha256, g.contaminated) for g in got), key=str) == hits_by_hand(docs, items, 5)
+
+
 def test_proximity(spark):
     items = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
     docs = frame(spark, [(1, "alpha beta gamma delta"), (2, "alpha x beta gamma y delta"), (3, "alpha x x x beta gamma delta"), (4, "delta gamma beta alpha")])
