@@ -10,8 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from .storage import delete, materialize, shared_path
+from .storage import materialize, steps
 from .tokens import SPACED, blocks, texts_of, word_hashes
 
 #: Labelled documents learned from: with the pseudo-labels given, the bound of what one task fits.
@@ -27,13 +28,14 @@ CONFIDENT = 0.97
 #: Documents under this probability of good quality are rejected.
 THRESHOLD = 0.5
 
-_NAMES = ("log_bytes", "log_lines", "line_bytes", "word_bytes", "letters", "upper", "digits", "punctuation", "symbols", "beyond_ascii", "spaces", "inflation")
 #: Word repetition features behind the trigram shares of the text view.
 _REPETITION = 2
 TEXT = BUCKETS + _REPETITION
-#: Hash classes of source and language.
+#: The page's statistics, in the metadata view.
+_PAGE = ("log_bytes", "log_lines", "line_bytes", "word_bytes", "letters", "upper", "digits", "punctuation", "symbols", "beyond_ascii", "spaces", "inflation")
+#: Hash classes of source and of language; two features more are the record's stated length and whether it has none.
 _CLASSES = 16
-META = len(_NAMES) + 2 * _CLASSES
+META = len(_PAGE) + 2 * _CLASSES + 2
 
 
 def _classes() -> np.ndarray:
@@ -62,31 +64,35 @@ def _repetition(h: np.ndarray) -> tuple[float, float]:
     return (float((h[1:] == h[:-1]).mean()) if len(h) > 1 else 0.0, len(np.unique(h)) / max(1, len(h)) ** 0.8)
 
 
-def _meta(data: np.ndarray, h: np.ndarray, source: str | None, lang: str | None) -> np.ndarray:
-    """Shape of the page and its record, without its words' identity."""
+def _meta(data: np.ndarray, h: np.ndarray, source: str | None, lang: str | None, n_chars: int | None) -> np.ndarray:
+    """The page's statistics and the record's source, language and stated length; nothing of which words there are."""
     out = np.zeros(META)
     n = max(1, len(data))
-    share = np.bincount(_CLASS[data], minlength=7) / n
     lines = int((data == 10).sum()) + 1
-    out[: len(_NAMES)] = (
-        np.log1p(len(data)), np.log1p(lines), np.log1p(len(data) / lines), np.log1p(len(data) / max(1, len(h))),
-        share[0], share[1], share[2], share[3], share[4], share[5], share[6],
-        len(zlib.compress(data.tobytes(), 1)) / n,
-    )
+    out[: len(_PAGE)] = (
+        np.log1p(len(data)), np.log1p(lines), np.log1p(len(data) / lines), np.log1p(len(data) / max(1, len(h))), *(np.bincount(_CLASS[data], minlength=7) / n), len(zlib.compress(data.tobytes(), 1)) / n,
+    )
     for k, value in enumerate((source, lang)):
         if value is not None:
-            out[len(_NAMES) + k * _CLASSES + zlib.crc32(value.encode()) % _CLASSES] = 1.0
+            out[len(_PAGE) + k * _CLASSES + zlib.crc32(value.encode()) % _CLASSES] = 1.0
+    out[-2:] = (0.0, 1.0) if n_chars is None else (np.log1p(max(0, n_chars)), 0.0)
     return out
 
 
-def _documents(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, str | None, str | None]]:
-    """Row, bytes and word hashes of each document; columns: id, source, lang, text, ..."""
-    data, offsets = texts_of(batch.column(3))
-    source, lang = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-    for first, bounds, h, _, _ in word_hashes(batch.column(3), SPACED):
+#: Columns of _inputs().
+_INPUTS = ["row", "source", "lang", "n_chars", "text"]
+
+
+def _documents(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Row, bytes, word hashes and metadata features of each document; columns begin with _INPUTS."""
+    text = batch.column(4)
+    data, offsets = texts_of(text)
+    source, lang, n_chars = (batch.column(i).to_pylist() for i in (1, 2, 3))
+    for first, bounds, h, _, _ in word_hashes(text, SPACED):
         for k in range(len(bounds) - 1):
             i = first + k
-            yield i, data[offsets[i] : offsets[i + 1]], h[bounds[k] : bounds[k + 1]], source[i], lang[i]
+            raw, own = data[offsets[i] : offsets[i + 1]], h[bounds[k] : bounds[k + 1]]
+            yield i, raw, own, _meta(raw, own, source[i], lang[i], n_chars[i])
 
 
 _FEATURES_DDL = "at long, row long, hash long, label int, size int, slots array<short>, counts array<int>, repetition array<float>, meta array<float>"
@@ -98,14 +104,15 @@ def _lists(parts: list[np.ndarray], kind: type) -> pa.ListArray:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Features of both views, trigram counts only where there are any; columns: id, source, lang, text, at, hash, label."""
+    """Features of both views, trigram counts only where there are any; columns: _INPUTS, at, hash, label."""
     for batch in batches:
         size, slots, counts, repetition, meta = [np.zeros(len(batch), np.int32), *([np.zeros(0)] * len(batch) for _ in range(4))]
-        for i, data, h, source, lang in _documents(batch):
+        for i, data, h, own in _documents(batch):
             n = np.bincount(_trigrams(data), minlength=BUCKETS) if len(data) > 2 else np.zeros(BUCKETS, np.int64)
             size[i], slots[i] = len(data), np.flatnonzero(n)
-            counts[i], repetition[i], meta[i] = n[slots[i]], np.array(_repetition(h)), _meta(data, h, source, lang)
-        cols = [batch.column(4), batch.column(0), batch.column(5), batch.column(6), pa.array(size), _lists(slots, np.int16), _lists(counts, np.int32), _lists(repetition, np.float32), _lists(meta, np.float32)]
+            counts[i], repetition[i], meta[i] = n[slots[i]], np.array(_repetition(h)), own
+        at, hash_, label = (batch.column(len(_INPUTS) + i) for i in range(3))
+        cols = [at, batch.column(0), hash_, label, pa.array(size), _lists(slots, np.int16), _lists(counts, np.int32), _lists(repetition, np.float32), _lists(meta, np.float32)]
         yield pa.RecordBatch.from_arrays(cols, names=["at", "row", "hash", "label", "size", "slots", "counts", "repetition", "meta"])
 
 
@@ -166,13 +173,21 @@ _MODEL_DDL = "view int, weights array<double>, bias double, slope double, offset
 Views = list[tuple[Linear, float, float]]
 
 
-def _fit(before: Views | None):
+@dataclass(frozen=True)
+class Model:
+    """Both views with their calibration, and the log odds that both already hold of good quality at large."""
+
+    views: Views
+    prior: float
+
+
+def _fit(before: Views | None, last: bool):
     """Both views' classifiers with their calibration, going on from ``before``.
 
-    Rows with a ``label`` are learned by both views, but for a fifth that is held back for
-    calibration; others by the view (``y0`` text, ``y1`` metadata) that they were given to.
-    ``share`` is the labelled rows' share of good ones. No rows without rows of both
-    classes.
+    Of rows with a ``label`` a tenth calibrates the rounds, from which pseudo-labels are
+    chosen, and another tenth the ``last`` fit; the views learn from the others, and each
+    from the pseudo-labels that it was given (``y0`` text, ``y1`` metadata). ``share`` is
+    the labelled rows' share of good ones. No rows without rows of both classes.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,10 +201,11 @@ def _fit(before: Views | None):
         of = np.repeat(np.arange(len(label)), np.diff(np.asarray(slots.offsets)))
         text[of, np.asarray(slots.flatten())] = np.asarray(counts.flatten()) / np.maximum(1, size - 2)[of]
         text[:, BUCKETS:] = _wide(table["repetition"].combine_chunks(), _REPETITION)
-        order = np.lexsort([*meta.T[:3], text @ np.arange(TEXT, dtype=np.float32), label])  # rows arrive in any order
+        order = np.lexsort([meta @ np.arange(META, dtype=np.float32), size, text @ np.arange(TEXT, dtype=np.float32), label])  # rows arrive in any order
         views, label, given = (text[order], meta[order]), label[order], (y0[order], y1[order])
         known = np.flatnonzero(label >= 0)
-        held, used = known[::5], np.setdiff1d(known, known[::5])
+        held = known[5::10] if last else known[::10]
+        used = np.setdiff1d(known, np.append(known[::10], known[5::10]))
         if min((label[used] == c).sum() for c in (0, 1)) < 1 or not len(held):
             return
         for view, (x, y) in enumerate(zip(views, given, strict=True)):
@@ -236,7 +252,7 @@ def exchange(pool: DataFrame, model: Views, share: float, held: tuple[set[int],
     return best.collect()
 
 
-def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, id_col: str = "doc_id", label_col: str = "quality") -> Views | None:
+def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, id_col: str = "doc_id", label_col: str = "quality") -> Model | None:
     """Fit both views on at most ``labelled`` labelled documents and the pseudo-labels of all others.
 
     The labelled ones are those with the least hash of their id; their ids (bounded by
@@ -246,42 +262,45 @@ def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, id_col:
     bounded sets. Only weights and the given rows' keys reach the driver. Labels other
     than 0 and 1 and null ids are not used; of labels that repeat an id the least counts.
     """
-    spark = docs.sparkSession
-    known = (
-        labels.select(F.col(id_col).cast("long").alias("row"), F.col(label_col).cast("int").alias("label"))
-        .where("row is not null and label in (0, 1)").groupBy("row").agg(F.min("label").alias("label")).orderBy(F.xxhash64("row", F.lit(11))).limit(labelled)
-    )
-    known = materialize(known, "labelled")
-    rows = _inputs(docs, id_col).where("text is not null").join(F.broadcast(known), "row", "left")
-    rows = rows.select("row", "source", "lang", "text", F.monotonically_increasing_id().alias("at"), F.xxhash64("text").alias("hash"), F.coalesce("label", F.lit(-1)).alias("label"))
-    path = shared_path(spark, "features")
-    rows.mapInArrow(_features, _FEATURES_DDL).write.parquet(path)
-    features = spark.read.schema(_FEATURES_DDL).parquet(path)
-    learned = materialize(features.where("label >= 0").withColumns({"y0": F.lit(-1), "y1": F.lit(-1)}), "learned")
-    pool, held, model = features.where("label < 0"), (set(), set()), None
-    for r in range(ROUNDS + 1):
-        found = sorted(learned.coalesce(1).mapInArrow(_fit(model), _MODEL_DDL).collect(), key=lambda m: m.view)
-        model = [(Linear(np.array(m.weights), m.bias), m.slope, m.offset) for m in found] or None
-        if r == ROUNDS or model is None:
-            break
-        given: dict[int, list[int]] = {}
-        for g in exchange(pool, model, found[0].share, held):
-            given.setdefault(g.at, [-1, -1])[g.taker] = g.label
-            held[g.taker].add(g.hash)
-        if given:
-            keys = spark.createDataFrame([(at, *y) for at, y in given.items()], "at long, y0 int, y1 int")
-            learned = learned.unionByName(materialize(pool.join(F.broadcast(keys), "at"), "given"))  # at most 2 * GIVEN keys
-    delete(spark, path)
-    return model
+    with steps():
+        spark = docs.sparkSession
+        known = (
+            labels.select(F.col(id_col).cast("long").alias("row"), F.col(label_col).cast("int").alias("label"))
+            .where("row is not null and label in (0, 1)").groupBy("row").agg(F.min("label").alias("label")).orderBy(F.xxhash64("row", F.lit(11))).limit(labelled)
+        )
+        known = materialize(known, "labelled")
+        rows = _inputs(docs, id_col).where("text is not null").join(F.broadcast(known), "row", "left")
+        rows = rows.select(*_INPUTS, F.monotonically_increasing_id().alias("at"), F.xxhash64("text").alias("hash"), F.coalesce("label", F.lit(-1)).alias("label"))
+        features = materialize(rows.mapInArrow(_features, _FEATURES_DDL), "features")
+        learned = materialize(features.where("label >= 0").withColumns({"y0": F.lit(-1), "y1": F.lit(-1)}), "learned")
+        pool, held, model = features.where("label < 0"), (set(), set()), None
+        for r in range(ROUNDS + 1):
+            found = sorted(learned.coalesce(1).mapInArrow(_fit(model and model.views, r == ROUNDS), _MODEL_DDL).collect(), key=lambda m: m.view)
+            if not found:
+                return None
+            share = found[0].share
+            model = Model([(Linear(np.array(m.weights), m.bias), m.slope, m.offset) for m in found], float(np.log(share / (1 - share))))
+            if r == ROUNDS:
+                break
+            given: dict[int, list[int]] = {}
+            for g in exchange(pool, model.views, share, held):
+                given.setdefault(g.at, [-1, -1])[g.taker] = g.label
+                held[g.taker].add(g.hash)
+            if given:
+                keys = spark.createDataFrame([(at, *y) for at, y in given.items()], "at long, y0 int, y1 int")
+                learned = learned.unionByName(materialize(pool.join(F.broadcast(keys), "at"), "given"))  # at most 2 * GIVEN keys
+        return model
 
 
 def _inputs(docs: DataFrame, id_col: str) -> DataFrame:
-    have = lambda c: F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")
-    return docs.select(F.col(id_col).cast("long").alias("row"), have("source").alias("source"), have("lang").alias("lang"), F.col("text").cast("string").alias("text"))
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    n_chars = F.col("n_chars").cast("long") if isinstance(kinds.get("n_chars"), IntegralType) else F.lit(None).cast("long")
+    have = lambda c: (F.col(c).cast("string") if c in kinds else F.lit(None).cast("string")).alias(c)
+    return docs.select(F.col(id_col).cast("long").alias("row"), have("source"), have("lang"), n_chars.alias("n_chars"), have("text"))
 
 
-def _judge(model: list[tuple[Linear, float, float]] | None, threshold: float):
-    """Scores of a batch with columns id, source, lang, text: text view, metadata view, both, accepted."""
+def _judge(model: Model | None, threshold: float):
+    """Scores of a batch with columns _INPUTS: text view, metadata view, both, accepted."""
 
     def probability(x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
@@ -289,18 +308,18 @@ def _judge(model: list[tuple[Linear, float, float]] | None, threshold: float):
     def work(batch: pa.RecordBatch) -> list[np.ndarray]:
         n = len(batch)
         words, t, m = np.zeros(n, np.int64), np.zeros(n), np.zeros((n, META))
-        for i, raw, h, source, lang in _documents(batch):
+        for i, raw, h, own in _documents(batch):
             words[i] = len(h)
             if model is not None and len(h):
-                m[i] = _meta(raw, h, source, lang)
-                t[i] = model[0][0].weights[BUCKETS:] @ _repetition(h)
+                m[i] = own
+                t[i] = model.views[0][0].weights[BUCKETS:] @ _repetition(h)
         if model is None:
             out = [np.full(n, 0.5) for _ in range(3)]
         else:
-            (text, ta, tb), (meta, ma, mb) = model
+            (text, ta, tb), (meta, ma, mb) = model.views
             weights = text.weights[:BUCKETS]
             t += text.bias
-            data, offsets = texts_of(batch.column(3))
+            data, offsets = texts_of(batch.column(4))
             for i, j in blocks(offsets):
                 part = data[offsets[i] : offsets[j]]
                 if len(part) > 2:
@@ -309,21 +328,21 @@ def _judge(model: list[tuple[Linear, float, float]] | None, threshold: float):
                     some = hi > lo
                     t[i:j][some] += (c[hi[some]] - c[lo[some]]) / (hi - lo)[some]
             a, b = ta * t + tb, ma * meta(m) + mb
-            out = [probability(a), probability(b), probability((a + b) / 2)]
+            out = [probability(a), probability(b), probability(a + b - model.prior)]
         out = [np.where(words > 0, x, 0.0) for x in out]
         return [*out, (words > 0) & (out[2] >= threshold)]
 
     return work
 
 
-def score(docs: DataFrame, model: list[tuple[Linear, float, float]] | None, threshold: float = THRESHOLD, id_col: str = "doc_id") -> DataFrame:
+def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, id_col: str = "doc_id") -> DataFrame:
     """One row per row: ``doc_id, text_score, meta_score, score, accepted``.
 
-    ``score`` is the mean of both views' calibrated log odds, as a probability of good
-    quality. Every row is scored by itself on its whole text, so repeated rows and ids do
+    ``score`` is the probability of good quality from both views' calibrated log odds,
+    added up less what both hold of good quality at large. Every row is scored by itself on its whole text, so repeated rows and ids do
     not matter. A null or blank text scores 0 and is rejected. Without a model (no labels
-    of both classes) other texts score 0.5 and are accepted. A missing or null source or
-    language is a feature of its own. An empty table gives an empty result.
+    of both classes) other texts score 0.5 and are accepted. A missing or null source,
+    language or length is a feature of its own. An empty table gives an empty result.
     """
     judge = _judge(model, threshold)
 
@@ -341,14 +360,22 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the rejected rows, in one pass and without a shuffle of texts."""
+    """``docs`` without the rejected rows, in one pass and without a shuffle of texts.
+
+    A null id stays; a null or blank text goes; rows that repeat are judged one by one.
+    Columns other than the id, source, lang, n_chars and text are not read. Without labels
+    of both classes only null and blank texts go. An empty table gives an empty result.
+    """
     judge = _judge(learn(docs, labels, id_col=id_col), threshold)
-    names, inputs = docs.columns, [id_col, "source", "lang", "text"]
+    names = docs.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one = lambda c: batch.column(names.index(c)) if c in names else pa.nulls(len(batch), pa.string())  # noqa: B023, E731
-            part = pa.RecordBatch.from_arrays([one(c) for c in inputs], names=inputs)
-            yield batch.filter(pa.array(judge(part)[3]))
+            cols = []
+            for c, kind in zip([id_col, *_INPUTS[1:]], [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()], strict=True):
+                col = batch.column(names.index(c)) if c in names else pa.nulls(len(batch), kind)
+                fits = pa.types.is_integer(col.type) or kind == pa.string()
+                cols.append(col.cast(kind) if fits else pa.nulls(len(batch), kind))
+            yield batch.filter(pa.array(judge(pa.RecordBatch.from_arrays(cols, names=_INPUTS))[3]))
 
     return docs.mapInArrow(work, docs.schema)
