@@ -322,10 +322,12 @@ def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         links = _large_links(large, _confirmed(tested, texts, "first"), tested, texts)
 
         comp = materialize(components(links), "groups")
-        grouped = classes.select("d1", "d2", "node", "least").join(comp, "node", "left").withColumn("group", F.coalesce("component", "node"))
-        best = grouped.groupBy("group").agg(F.min("least").alias("best"))
-        labelled = grouped.join(best, "group").select("d1", "d2", "best")
-        return own.keep(thin.join(labelled, ["d1", "d2"], "left").select(*KEY, "n_shingles", "best"), "near-groups")
+        named = classes.select("d1", "d2", "node", "least")
+        linked = named.join(comp, "node")
+        best = materialize(linked.groupBy("component").agg(F.min("least").alias("best")), "best")  # written, so that the join's hot groups can be split
+        labelled = linked.join(best.hint("merge"), "component").select("d1", "d2", "best")
+        alone = named.join(comp, "node", "left_anti").select("d1", "d2", F.col("least").alias("best"))
+        return own.keep(thin.join(labelled.union(alone), ["d1", "d2"], "left").select(*KEY, "n_shingles", "best"), "near-groups")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
