@@ -1,18 +1,21 @@
 """Economic events: repeated and amended observations of one trade folded into versions.
 
-The relational half (roles, documents of an amended date) is plain columns. The fold
-itself is ordered and stateful, so it runs once for each filer with applyInPandas; its
-state is bounded by the filer's own trades and it looks matches up by hash.
+A trade can only meet others of its filer that share its source id or its ticker. So the
+relational half finds, with plain columns, trades that meet nobody (each is an event of
+its own) and the smallest groups that it can tell apart; the ordered fold then streams
+Arrow batches sorted by group and time. It reads only what decides a match; everything
+else stays in Arrow and is taken by position.
 """
 
 from __future__ import annotations
 
 import json
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions import scalars as S
@@ -25,7 +28,7 @@ _COPIED = [
 VERSION_DDL = (
     "event_id string, version int, chamber string, filer_first string, filer_last string, owner string, action string, partial_sale boolean, transaction_date date, "
     "ticker string, source_transaction_id string, asset_description string, comment string, asset_type_code string, asset_type_label string, amount_low double, "
-    "amount_high double, first_available_at timestamp, available_at timestamp, superseded_at timestamp, source_doc_id string, source_row_index int, "
+    "amount_high double, first_available_at timestamp, available_at timestamp, superseded_at timestamp, source_doc_id string, source_row_index int, source_url string, "
     "contributor_row_ids string, filer_key string, member_id string, display_name string, identity_source string"
 )
 
@@ -42,113 +45,138 @@ def amended_docs(filings: DataFrame) -> DataFrame:
     return day.join(filing_dates(filings), ["filer_key", "day"]).groupBy("chamber", F.col("doc").alias("doc_id")).agg(F.array_sort(F.collect_set("doc_id")).alias("amended"))
 
 
+def grouped(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``alone`` and ``part``: no trade of one ``filer_key, part`` can meet one of another.
+
+    A ticker under which no trade of the filer has a source id is a part, so is a source
+    id under which none has a ticker; the filer's other trades are one part. A trade is
+    alone where no other shares its ticker or its source id.
+    """
+    by_ticker, by_id = Window.partitionBy("filer_key", "ticker"), Window.partitionBy("filer_key", "source_transaction_id")
+    ticker, source = F.col("ticker"), F.col("source_transaction_id")
+    rows = rows.withColumns({"_t": F.count(F.lit(1)).over(by_ticker), "_ids": F.count(source).over(by_ticker)})
+    rows = rows.withColumns({"_i": F.count(F.lit(1)).over(by_id), "_tickers": F.count(ticker).over(by_id)})
+    part = F.when(source.isNull() & (F.col("_ids") == 0), F.concat(F.lit("t"), ticker)).when(ticker.isNull() & (F.col("_tickers") == 0), F.concat(F.lit("i"), source)).otherwise(F.lit(""))
+    alone = (ticker.isNull() | (F.col("_t") == 1)) & (source.isNull() | (F.col("_i") == 1))
+    return rows.withColumns({"alone": alone, "part": part}).drop("_t", "_ids", "_i", "_tickers")
+
+
 @dataclass
-class _Event:
-    seq: int
-    event_id: str
-    first_seen: object
-    source_id: str | None
-    roles: dict
-    docs: set = field(default_factory=set)
-    every_doc: set = field(default_factory=set)
+class _Open:
+    """An event that later trades may repeat or correct. Places are positions of trades in the fold."""
+
+    order: int
+    name: str
+    first: int
+    current: int
+    version: int
+    source: str | None
+    roles: tuple
+    docs: set
+    every_doc: set
     contributors: list = field(default_factory=list)
-    versions: list = field(default_factory=list)
 
 
-def _conflicts(a: dict, b: dict) -> int:
-    return sum(a[r] is not None and b[r] is not None and a[r] != b[r] for r in S.ROLES)
+def _differ(a: tuple, b: tuple) -> int:
+    return sum(x is not None and y is not None and x != y for x, y in zip(a, b, strict=True))
+
+
+_TICKER, _DATE = S.ROLES.index("ticker"), S.ROLES.index("transaction_date")
+#: What the fold reads of a trade, in order.
+_READ = ["filer_key", "part", "chamber", "doc_id", "row_index", "source_transaction_id", "available_at", "amended", *[f"role_{r}" for r in S.ROLES]]
 
 
 class _Fold:
-    """Open events of one filer, found by source id, by ticker, and by ticker and date."""
+    """The versions of one group of trades, met in order."""
 
     def __init__(self) -> None:
-        self.events: list[_Event] = []
-        self.by: dict[tuple, dict[int, _Event]] = defaultdict(dict)
-
-    @staticmethod
-    def _places(e: _Event) -> list[tuple]:
-        ticker, day = e.roles["ticker"], e.roles["transaction_date"]
-        out = [("id", e.source_id)] if e.source_id is not None else []
-        if ticker is not None:
-            out.append(("ticker", ticker))
-            if day is not None:
-                out.append(("day", ticker, day))
-        return out
-
-    def _index(self, e: _Event) -> None:
-        for place in self._places(e):
-            self.by[place][e.seq] = e
-
-    def _unindex(self, e: _Event) -> None:
-        for place in self._places(e):
-            self.by[place].pop(e.seq, None)
-
-    def _first(self, places: list[tuple], test) -> _Event | None:
-        """The earliest created event under ``places`` that passes."""
-        found = {seq: e for p in places for seq, e in self.by.get(p, {}).items()}
-        return next((found[s] for s in sorted(found) if test(found[s])), None)
-
-    def add(self, row: dict) -> None:
-        roles, doc, source = row["roles"], row["doc_id"], row["source_transaction_id"]
-        me = f"{doc}:{row['row_index']}"
-        ticker, day = roles["ticker"], roles["transaction_date"]
-
-        def open_to(e: _Event) -> bool:
-            return doc not in e.docs and not (e.source_id and source and e.source_id != source)
-
-        by_id = [("id", source)] if source is not None else []
-        by_day = [("day", ticker, day)] if ticker is not None and day is not None else []
-        same = self._first(by_id + by_day, lambda e: open_to(e) and _conflicts(e.roles, roles) == 0)
-        if same is not None:
-            same.docs.add(doc)
-            same.every_doc.add(doc)
-            same.contributors.append(me)
-            same.versions[-1]["contributor_row_ids"] = json.dumps(same.contributors, separators=(",", ":"))
-            if same.source_id is None and source is not None:
-                same.source_id = source
-                self._index(same)
-            return
-        fixed = self._first(by_id, open_to)
-        amended = set(row["amended"]) if row["amended"] is not None else set()
-        if fixed is None and amended and ticker is not None:
-            fixed = self._first([("ticker", ticker)], lambda e: open_to(e) and bool(e.every_doc & amended) and _conflicts(e.roles, roles) == 1)
-        if fixed is not None:
-            old = fixed.versions[-1]
-            if row["available_at"] <= old["available_at"]:  # nobody could have read the old version
-                fixed.versions[-1] = self._version(fixed, old["version"], row, me)
+        self.found: dict[tuple, dict[int, _Open]] = defaultdict(dict)
+        self.n = 0
+        #: Position of the trade, name, version, position of the event's first trade, of the trade that supersedes, contributors.
+        self.versions: dict[tuple[int, int], list] = {}
+        self.times: dict[int, object] = {}
+
+    def _file(self, e: _Open, remove: bool = False) -> None:
+        ticker, day = e.roles[_TICKER], e.roles[_DATE]
+        keys = [] if e.source is None else [(e.source,)]
+        keys += [] if ticker is None else [(ticker, None)] if day is None else [(ticker, None), (ticker, day)]
+        for key in keys:
+            if remove:
+                self.found[key].pop(e.order, None)
             else:
-                old["superseded_at"] = row["available_at"]
-                fixed.versions.append(self._version(fixed, old["version"] + 1, row, me))
-            self._unindex(fixed)
-            fixed.docs, fixed.contributors, fixed.roles = {doc}, [me], roles
-            fixed.every_doc.add(doc)
-            fixed.source_id = fixed.source_id if fixed.source_id is not None else source
-            self._index(fixed)
+                self.found[key][e.order] = e
+
+    def _earliest(self, keys: list[tuple], fits) -> _Open | None:
+        events = {k: e for key in keys for k, e in self.found.get(key, {}).items()}
+        return next((events[k] for k in sorted(events) if fits(events[k])), None)
+
+    def meet(self, at: int, chamber: str, doc: str, row: int, source: str | None, time: object, amended: list | None, roles: tuple) -> None:
+        me, ticker, day = f"{doc}:{row}", roles[_TICKER], roles[_DATE]
+        self.times[at] = time
+
+        def free(e: _Open) -> bool:
+            return doc not in e.docs and not (e.source and source and e.source != source)
+
+        by_id = [] if source is None else [(source,)]
+        by_day = [] if ticker is None or day is None else [(ticker, day)]
+        again = self._earliest(by_id + by_day, lambda e: free(e) and not _differ(e.roles, roles))
+        if again is not None:
+            again.docs.add(doc)
+            again.every_doc.add(doc)
+            again.contributors.append(me)
+            if again.source is None and source is not None:
+                again.source = source
+                self._file(again)
             return
-        new = _Event(len(self.events), f"{row['chamber']}:{me}", row["available_at"], source, roles, {doc}, {doc}, [me])
-        new.versions.append(self._version(new, 1, row, me))
-        self.events.append(new)
-        self._index(new)
-
-    @staticmethod
-    def _version(e: _Event, number: int, row: dict, me: str) -> dict:
-        return {
-            **{c: row[c] for c in _COPIED}, "filer_key": row["filer_key"], "event_id": e.event_id, "version": number, "first_available_at": e.first_seen, "available_at": row["available_at"],
-            "superseded_at": None, "source_doc_id": row["doc_id"], "source_row_index": row["row_index"], "contributor_row_ids": json.dumps([me]),
-        }
-
-
-def _fold(rows: pd.DataFrame) -> pd.DataFrame:
-    fold = _Fold()
-    for row in rows.sort_values(["available_at", "chamber", "doc_id", "row_index", "_tie"], kind="stable").to_dict("records"):
-        row = {k: None if k not in ("roles", "amended") and pd.isna(v) else v for k, v in row.items()}
-        fold.add(row)
-    names = [c.split()[0] for c in VERSION_DDL.split(", ")]
-    out = pd.DataFrame([v for e in fold.events for v in e.versions], columns=names, dtype=object)
-    for c in ("first_available_at", "available_at", "superseded_at"):
-        out[c] = pd.to_datetime(out[c])
-    return out
+        old = self._earliest(by_id, free)
+        if old is None and amended and ticker is not None:
+            days = set(amended)
+            old = self._earliest([(ticker, None)], lambda e: free(e) and not days.isdisjoint(e.every_doc) and _differ(e.roles, roles) == 1)
+        if old is None:
+            e = _Open(self.n, f"{chamber}:{me}", at, at, 1, source, roles, {doc}, {doc}, [me])
+            self.n += 1
+        else:
+            e = old
+            self._file(e, remove=True)
+            if time > self.times[e.current]:  # else nobody could have read the version that this one replaces
+                self.versions[e.order, e.version][4] = at
+                e.version += 1
+            e.current, e.roles, e.docs, e.contributors, e.source = at, roles, {doc}, [me], source if e.source is None else e.source
+            e.every_doc.add(doc)
+        self._file(e)
+        self.versions[e.order, e.version] = [at, e.name, e.version, e.first, None, e.contributors]
+
+
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Versions of trades sorted by group and time; the columns behind _READ are copied."""
+    def versions(fold: _Fold, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows).combine_chunks()
+        at, name, number, first, later, contributors = zip(*fold.versions.values(), strict=True)
+        time = table["available_at"].combine_chunks()
+        fixed = [pa.array(name, pa.string()), pa.array(number, pa.int32()), time.take(pa.array(first, pa.int64())), time.take(pa.array(at, pa.int64())), time.take(pa.array(later, pa.int64()))]
+        said = pa.array([json.dumps(c, separators=(",", ":"), ensure_ascii=False) for c in contributors], pa.string())
+        copied = table.select(range(len(_READ), table.num_columns)).take(pa.array(at, pa.int64())).combine_chunks()
+        return pa.RecordBatch.from_arrays([*fixed, said, *(c.chunk(0) for c in copied.columns)], names=["event_id", "version", "first_available_at", "available_at", "superseded_at", "contributor_row_ids", *copied.column_names])
+
+    group, fold, rows, n = None, _Fold(), [], 0
+    for batch in batches:
+        start = 0
+        read = [batch.column(i).to_pylist() for i in range(len(_READ))]
+        for i, (filer, part, *said) in enumerate(zip(*read, strict=True)):
+            if (filer, part) != group:
+                if group is not None:
+                    if i > start:
+                        rows.append(batch.slice(start, i - start))
+                    yield versions(fold, rows)
+                group, fold, rows, n, start = (filer, part), _Fold(), [], 0, i
+            fold.meet(n, *said[:6], tuple(said[6:]))
+            n += 1
+        rows.append(batch.slice(start))
+    if group is not None:
+        yield versions(fold, rows)
+
+
+_TIE = ["source_transaction_id", "owner", "action", "partial_sale", "transaction_date", "ticker", "asset_description", "comment", "asset_type_code", "asset_type_label", "amount_low", "amount_high"]
 
 
 def build_events(trades: DataFrame, filings: DataFrame) -> DataFrame:
@@ -159,15 +187,35 @@ def build_events(trades: DataFrame, filings: DataFrame) -> DataFrame:
     conflicts with in no role and that shares its source id, or its ticker and date. It
     corrects the earliest one with its source id, or, if its filing amends a day, the
     earliest one with its ticker and exactly one other role that has a document of that
-    day. Otherwise it opens an event. See scalars.event_roles() for unknown roles.
+    day. Otherwise it opens an event. See scalars.event_roles() for unknown roles. Trades
+    that no other can meet become events without Python; the others go by filer and part
+    (see grouped()), and a part's rows are held until it ends.
     """
+    names = [c.split()[0] for c in VERSION_DDL.split(", ")]
     member = trades.where(F.col("identity_source").isin(MEMBER_SOURCES))
-    rows = member.join(amended_docs(filings), ["chamber", "doc_id"], "left")
-    asked = ["chamber", "doc_id", "row_index", "filer_key", *[c for c in _COPIED if c not in ("chamber", "ticker")], F.col("available_at").cast("timestamp").alias("available_at"), "amended"]
-    ticker = S.event_ticker(F.col("printed_ticker"), F.col("resolved_ticker"))
-    shaped = rows.select(*asked, ticker.alias("ticker"), S.event_roles().alias("roles"))
-    tie = F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in shaped.columns if c != "roles"])))
-    return shaped.withColumn("_tie", tie).groupBy("filer_key").applyInPandas(_fold, VERSION_DDL)
+    url = F.col("source_url") if "source_url" in trades.columns else F.lit(None).cast("string")
+    copied = [c for c in _COPIED if c != "ticker"]
+    shaped = member.select(
+        *copied, "filer_key", "doc_id", "row_index", url.alias("source_url"), F.col("available_at").cast("timestamp").alias("available_at"),
+        S.event_ticker(F.col("printed_ticker"), F.col("resolved_ticker")).alias("ticker"), S.event_roles().alias("_roles"),
+    )
+    rows = grouped(shaped)
+    own: dict[str, Column] = {"source_doc_id": F.col("doc_id"), "source_row_index": F.col("row_index")}
+    alone = rows.where("alone").withColumns({
+        **own, "event_id": F.concat_ws(":", "chamber", "doc_id", "row_index"), "version": F.lit(1), "first_available_at": F.col("available_at"), "superseded_at": F.lit(None).cast("timestamp"),
+        "contributor_row_ids": F.to_json(F.array(F.concat_ws(":", "doc_id", "row_index"))),
+    })
+    others = rows.where("not alone").join(amended_docs(filings), ["chamber", "doc_id"], "left")
+    others = others.withColumns({f"role_{r}": F.col("_roles")[r].cast("string") for r in S.ROLES})
+    behind = [*copied, "ticker", "source_url", *own]
+    kinds = {f.name: f.dataType.simpleString() for f in others.withColumns(own).schema.fields}
+    ddl = "event_id string, version int, first_available_at timestamp, available_at timestamp, superseded_at timestamp, contributor_row_ids string, filer_key string, " + ", ".join(f"{c} {kinds[c]}" for c in behind)
+    # The columns behind _READ get names of their own, as some are read and copied.
+    given = others.select(*_READ, F.col("filer_key").alias("_filer_key"), *[{**own}.get(c, F.col(c)).alias(f"_{c}") for c in behind], *[F.col(c).alias(f"__{c}") for c in _TIE])
+    dealt = given.repartition("filer_key", "part").sortWithinPartitions("filer_key", "part", "available_at", "chamber", "doc_id", "row_index", *[f"__{c}" for c in _TIE])
+    folded = dealt.drop(*[f"__{c}" for c in _TIE]).mapInArrow(_folded, ddl.replace("filer_key", "_filer_key").replace(", ".join(f"{c} {kinds[c]}" for c in behind), ", ".join(f"_{c} {kinds[c]}" for c in behind)))
+    folded = folded.withColumnsRenamed({f"_{c}": c for c in ["filer_key", *behind]})
+    return alone.select(*names).unionByName(folded.select(*names))
 
 
 def rebuild(events: DataFrame, trades: DataFrame, filings: DataFrame, touched: DataFrame) -> DataFrame:

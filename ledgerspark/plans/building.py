@@ -197,7 +197,56 @@ query(
     """,
     ("filings",),
 )(lambda k: E.amended_docs(k.filings).withColumn("amended", F.array_join("amended", ",")))
-query("events_build")(lambda k: E.build_events(k.trades, k.filings).drop("transaction_date", "first_available_at", "available_at", "superseded_at"))
+
+# The fold as SQL: every step takes the next trade of each filer, and a filer's open events are a list.
+_ROLE_SQL = {
+    "owner": "nullif(owner, 'not_indicated')", "action": "nullif(action, 'unmarked')", "partial_sale": "CASE WHEN t.chamber = 'senate' OR partial_sale THEN cast(partial_sale AS varchar) END",
+    "transaction_date": "cast(transaction_date AS varchar)", "ticker": "upper(coalesce(printed_ticker, resolved_ticker))", "asset_type_code": "asset_type_code", "asset_type_label": "asset_type_label",
+    "amount": "CASE WHEN amount_low IS NOT NULL OR amount_high IS NOT NULL THEN coalesce(cast(amount_low AS varchar), 'null') || '-' || coalesce(cast(amount_high AS varchar), 'null') END",
+}
+_CONFLICTS = " + ".join(f"coalesce(cast(e.r_{r} <> t.r_{r} AS int), 0)" for r in _ROLE_SQL)
+_FREE = "NOT list_contains(e.docs, t.doc_id) AND coalesce(e.src = t.source_transaction_id, true)"
+_STATE = ", ".join(f"r_{r} := {{0}}.r_{r}" for r in _ROLE_SQL)
+_FOLD_SQL = f"""
+    days AS (SELECT filer_key, filing_date AS day, doc_id FROM filings UNION SELECT filer_key, report_date, doc_id FROM filings WHERE report_date IS NOT NULL),
+    am AS (SELECT f.chamber, f.doc_id, list(d.doc_id) AS amended FROM filings f JOIN days d ON d.filer_key = f.filer_key AND d.day = f.amended_report_date GROUP BY 1, 2),
+    t AS (SELECT t.*, coalesce(am.amended, []) AS amended, {", ".join(f"{x} AS r_{r}" for r, x in _ROLE_SQL.items())},
+            row_number() OVER (PARTITION BY filer_key ORDER BY available_at, t.chamber, t.doc_id, row_index, source_transaction_id NULLS FIRST, owner, action, partial_sale, transaction_date NULLS FIRST, upper(coalesce(printed_ticker, resolved_ticker)) NULLS FIRST,
+              asset_description, comment NULLS FIRST, asset_type_code NULLS FIRST, asset_type_label NULLS FIRST, amount_low NULLS FIRST, amount_high NULLS FIRST) AS k
+          FROM trades t LEFT JOIN am ON am.chamber = t.chamber AND am.doc_id = t.doc_id WHERE identity_source IN ('legislators', 'override')),
+    fresh AS (SELECT *, struct_pack(name := chamber || ':' || doc_id || ':' || row_index, ver := 1, at := available_at, src := source_transaction_id, docs := [doc_id], every := [doc_id], {_STATE.format("t")}) AS own FROM t),
+    steps AS (
+      SELECT filer_key, k, [own] AS evs, own.name AS name, 1 AS ver, 'new' AS what, cast(1 AS bigint) AS idx FROM fresh WHERE k = 1
+      UNION ALL
+      SELECT filer_key, k,
+        CASE WHEN again > 0 THEN list_transform(evs, lambda e, i: CASE WHEN i = again THEN struct_pack(name := e.name, ver := e.ver, at := e.at, src := coalesce(e.src, t_src), docs := list_append(e.docs, doc), every := list_append(e.every, doc), {_STATE.format("e")}) ELSE e END)
+             WHEN old > 0 THEN list_transform(evs, lambda e, i: CASE WHEN i = old THEN struct_pack(name := e.name, ver := CASE WHEN own.at > e.at THEN e.ver + 1 ELSE e.ver END, at := own.at, src := coalesce(e.src, t_src), docs := [doc], every := list_append(e.every, doc), {_STATE.format("own")}) ELSE e END)
+             ELSE list_append(evs, own) END,
+        CASE WHEN again > 0 THEN evs[again].name WHEN old > 0 THEN evs[old].name ELSE own.name END,
+        CASE WHEN again > 0 THEN evs[again].ver WHEN old > 0 THEN CASE WHEN own.at > evs[old].at THEN evs[old].ver + 1 ELSE evs[old].ver END ELSE 1 END,
+        CASE WHEN again > 0 THEN 'again' WHEN old > 0 THEN 'fix' ELSE 'new' END,
+        CASE WHEN again > 0 THEN again WHEN old > 0 THEN old ELSE len(evs) + 1 END
+      FROM (
+        SELECT t.filer_key, t.k, s.evs, t.own, t.doc_id AS doc, t.source_transaction_id AS t_src,
+          coalesce(list_position(list_transform(s.evs, lambda e: coalesce({_FREE} AND {_CONFLICTS} = 0 AND (coalesce(e.src = t.source_transaction_id, false) OR coalesce(e.r_ticker = t.r_ticker AND e.r_transaction_date = t.r_transaction_date, false)), false)), true), 0) AS again,
+          coalesce(nullif(coalesce(list_position(list_transform(s.evs, lambda e: coalesce({_FREE} AND e.src = t.source_transaction_id, false)), true), 0), 0),
+                   list_position(list_transform(s.evs, lambda e: coalesce({_FREE} AND list_has_any(e.every, t.amended) AND e.r_ticker = t.r_ticker AND {_CONFLICTS} = 1, false)), true), 0) AS old
+        FROM steps s JOIN fresh t ON t.filer_key = s.filer_key AND t.k = s.k + 1) x),
+    shown AS (SELECT s.filer_key, s.k, s.name, s.idx, s.ver, s.what, s.what <> 'again' AS starts, t.* EXCLUDE (filer_key, k, own), sum(CASE WHEN s.what <> 'again' THEN 1 ELSE 0 END) OVER (PARTITION BY s.filer_key, s.idx ORDER BY s.k) AS run FROM steps s JOIN fresh t ON t.filer_key = s.filer_key AND t.k = s.k),
+    said AS (SELECT filer_key, idx, run, '["' || string_agg(doc_id || ':' || row_index, '","' ORDER BY k) || '"]' AS contributor_row_ids FROM shown GROUP BY 1, 2, 3),
+    begun AS (SELECT *, min(available_at) FILTER (WHERE what = 'new') OVER (PARTITION BY filer_key, idx) AS first_at, row_number() OVER (PARTITION BY filer_key, idx, ver ORDER BY k DESC) AS latest,
+              min(k) OVER (PARTITION BY filer_key, idx, ver) AS opened FROM shown WHERE starts),
+    ends AS (SELECT filer_key, idx, ver, arg_min(available_at, k) AS at FROM begun GROUP BY 1, 2, 3)
+    SELECT b.name AS event_id, cast(b.ver AS int) AS version, chamber, filer_first, filer_last, owner, action, partial_sale, r_ticker AS ticker, source_transaction_id, asset_description, comment, asset_type_code, asset_type_label, amount_low, amount_high,
+      b.doc_id AS source_doc_id, row_index AS source_row_index, 'doc/' || b.doc_id AS source_url, s.contributor_row_ids, b.filer_key, member_id, display_name, identity_source,
+      cast(transaction_date AS varchar) AS traded, strftime(first_at, '%Y-%m-%d %H:%M:%S') AS first_seen, strftime(available_at, '%Y-%m-%d %H:%M:%S') AS seen, strftime(e.at, '%Y-%m-%d %H:%M:%S') AS until
+    FROM begun b JOIN said s ON s.filer_key = b.filer_key AND s.idx = b.idx AND s.run = b.run LEFT JOIN ends e ON e.filer_key = b.filer_key AND e.idx = b.idx AND e.ver = b.ver + 1 WHERE latest = 1
+"""
+query("events_build", f"WITH {_FOLD_SQL.strip()}", ("trades",), recursive=True)(
+    lambda k: E.build_events(k.trades.withColumn("source_url", F.concat(F.lit("doc/"), "doc_id")), k.filings)
+    .withColumns({"traded": F.col("transaction_date").cast("string"), **{a: F.date_format(b, "yyyy-MM-dd HH:mm:ss") for a, b in (("first_seen", "first_available_at"), ("seen", "available_at"), ("until", "superseded_at"))}})
+    .drop("transaction_date", "first_available_at", "available_at", "superseded_at")
+)
 query(
     "migrate_comment",
     """

@@ -26,7 +26,7 @@ class Lake:
         return view(self.spark, self.sf_dir, name)
 
 
-def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
+def query(name: str, sql: str | None = None, views: tuple[str, ...] = (), recursive: bool = False):
     """Register ``f(lake)`` as a query; ``sql`` is its oracle over ``views``, which it may use like tables."""
 
     def register(f: Callable[[Lake], DataFrame]):
@@ -36,7 +36,7 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
             if views:
                 head = oracle_with(*views)
                 body = f"{head},\n{body[4:].lstrip()}" if body[:5].upper() == "WITH " else f"{head}\n{body}"
-            ORACLES[name] = body
+            ORACLES[name] = body.replace("WITH ", "WITH RECURSIVE ", 1) if recursive else body
         return f
 
     return register
