@@ -32,8 +32,10 @@ def _given_names_agree(filed: Column, given: Column) -> Column:
 
 
 def prepared(filings: DataFrame) -> DataFrame:
-    """Filings with name tokens, name key, display name and seat."""
-    f = filings.select(*KEY, "filer_first", "filer_last", "state_district", "filing_date", S.name_tokens(F.col("filer_last")).alias("_last"), S.name_tokens(F.col("filer_first")).alias("_first"))
+    """Filings with name tokens, name key, display name and seat. Tokens are made once for each distinct name, as folding accents takes Python."""
+    names = filings.select("filer_first", "filer_last").distinct()
+    tokens = names.select(F.struct("filer_first", "filer_last").alias("_as"), S.name_tokens(F.col("filer_last")).alias("_last"), S.name_tokens(F.col("filer_first")).alias("_first"))
+    f = filings.select(*KEY, "filer_first", "filer_last", "state_district", "filing_date").join(tokens, F.struct("filer_first", "filer_last").eqNullSafe(F.col("_as"))).drop("_as")
     return f.select("*", S.name_key(F.col("chamber"), F.col("_last"), F.col("_first")).alias("_name"), S.display_name(F.col("filer_first"), F.col("filer_last")).alias("_shown"), S.seat_of(F.col("chamber"), F.col("state_district")).alias("_seat"))
 
 
@@ -47,8 +49,8 @@ def matches(filings: DataFrame, members: DataFrame, terms: DataFrame) -> DataFra
     no match. Windows run over one filing's candidates.
     """
     m = members.select("bioguide", S.name_tokens(F.col("last")).alias("_mlast"), S.name_tokens(F.concat_ws(" ", "first", "middle", "nickname")).alias("_given"))
-    served = m.join(terms, "bioguide").withColumn("_word", F.element_at("_mlast", -1))
-    f = filings.where(F.size("_last") > 0).withColumn("_word", F.element_at("_last", -1)).withColumn("type", F.col("_seat.type"))
+    served = m.join(terms, "bioguide").where(F.size("_mlast") > 0).withColumn("_word", F.try_element_at("_mlast", F.lit(-1)))
+    f = filings.where(F.size("_last") > 0).withColumn("_word", F.try_element_at("_last", F.lit(-1))).withColumn("type", F.col("_seat.type"))
     pairs = f.join(served, ["_word", "type"]).where((F.col("start") <= F.col("filing_date")) & (F.col("_seat.state").isNull() | (F.col("state") == F.col("_seat.state"))))
     any_district = F.col("_seat.district").isNull() | F.col("district").isNull() | (F.col("district") == F.col("_seat.district"))
     until = F.least("end", "filing_date")
@@ -68,12 +70,15 @@ def resolve(filings: DataFrame, members: DataFrame, terms: DataFrame, overrides:
     """``chamber, doc_id`` and the four identity columns of every filing.
 
     ``overrides``: ``chamber, filer_first, filer_last, state_district, member_id``; a null
-    member says that the filer is none.
+    member says that the filer is none, and one that ``members`` lack ends the job.
     """
     f = prepared(filings)
     seat = F.coalesce("state_district", F.lit(""))
-    o = overrides.select(
-        F.concat_ws("|", S.name_key(F.col("chamber"), S.name_tokens(F.col("filer_last")), S.name_tokens(F.col("filer_first"))), seat).alias("_okey"), F.col("member_id").alias("_omember"), F.lit(True).alias("_override")
+    known = members.select(F.col("bioguide").alias("member_id"), F.lit(True).alias("_known")).distinct()
+    o = overrides.join(known, "member_id", "left").select(
+        F.concat_ws("|", S.name_key(F.col("chamber"), S.name_tokens(F.col("filer_last")), S.name_tokens(F.col("filer_first"))), seat).alias("_okey"),
+        F.when(F.col("member_id").isNotNull() & F.col("_known").isNull(), F.raise_error(F.concat(F.lit("an override names an unknown member: "), "member_id"))).otherwise(F.col("member_id")).alias("_omember"),
+        F.lit(True).alias("_override"),
     )
     shown = members.select(F.col("bioguide").alias("_id"), F.coalesce("official_full", F.concat_ws(" ", "first", "last")).alias("_full"))
     j = f.withColumn("_okey", F.concat_ws("|", "_name", seat)).join(o, "_okey", "left").join(matches(f, members, terms), KEY, "left")

@@ -19,6 +19,8 @@ EARLIEST = "1789-01-01"
 FRESHNESS_DAYS = 4
 EXAMPLES = 20
 CONTRIBUTOR = r"\A([^:]+):(\d+)\z"
+#: A JSON list of entries that are valid and need no unescaping.
+PLAIN_CONTRIBUTORS = r'\A\["[A-Za-z0-9-]+:[0-9]{1,9}"(?:,"[A-Za-z0-9-]+:[0-9]{1,9}")*\]\z'
 YEAR_ALL = r"\A(.+)/(\d{4})-all\.parquet\z"
 
 FINDING = "check string, severity string, message string, count long, examples array<string>"
@@ -68,22 +70,25 @@ def orphan_event_sources(events: DataFrame, filings: DataFrame) -> DataFrame:
 def contributors(events: DataFrame) -> DataFrame:
     """``event_id, error, ids``: the contributor list as strings, or why it is none.
 
-    The first bad entry decides. Entries are examined as JSON values, so a number in
-    the list is told from its text.
+    The first bad entry decides. Lists of plain entries are cut as text; in all others
+    entries are examined as JSON values, so a number in the list is told from its text.
     """
-    json = F.try_parse_json(F.coalesce("contributor_row_ids", F.lit("")))
+    said = F.coalesce("contributor_row_ids", F.lit(""))
+    plain = said.rlike(PLAIN_CONTRIBUTORS)
     entries = F.expr("try_variant_get(_json, '$', 'array<variant>')")
-    shown = events.select("event_id", json.alias("_json")).withColumn("_list", entries)
+    shown = events.select("event_id", plain.alias("_plain"), said.alias("_said"), F.when(~plain, F.try_parse_json(said)).alias("_json")).withColumn("_list", entries)
     as_text = F.transform("_list", lambda v: F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")))
     raw = F.transform("_list", lambda v: F.to_json(v))
     bad = F.filter(F.arrays_zip(as_text.alias("t"), raw.alias("r")), lambda e: ~F.coalesce(e["t"].rlike(CONTRIBUTOR), F.lit(False)))
-    named = shown.select("event_id", "_json", "_list", as_text.alias("ids"), F.get(bad, F.lit(0))["r"].alias("_bad"))
+    named = shown.select("event_id", "_plain", "_said", "_json", "_list", as_text.alias("ids"), F.get(bad, F.lit(0))["r"].alias("_bad"))
     error = (
-        F.when(F.col("_json").isNull(), "not JSON")
+        F.when(F.col("_plain"), F.lit(None))
+        .when(F.col("_json").isNull(), "not JSON")
         .when(~F.schema_of_variant("_json").startswith("ARRAY"), "not an array")
         .when(F.col("_bad").isNotNull(), F.concat(F.lit("invalid "), F.col("_bad")))
     )
-    return named.select("event_id", error.alias("error"), F.when(error.isNull(), F.col("ids")).alias("ids"))
+    cut = F.split(F.expr("substring(_said, 3, length(_said) - 4)"), '","')
+    return named.select("event_id", error.alias("error"), F.when(F.col("_plain"), cut).when(error.isNull(), F.col("ids")).alias("ids"))
 
 
 def invalid_contributors(events: DataFrame, trades: DataFrame) -> DataFrame:

@@ -15,25 +15,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Patterns and limits of the row and page checks.
-SEPARATOR = r"\A\|\s*:?-{3,}"
+BLANKS = r"[\t\n\x0B\f\r \p{Z}\x{FEFF}]*"
+SEPARATOR = rf"\A\|{BLANKS}:?-{{3,}}"
 DATED = r"\d{1,2}/\d{1,2}/\d{2,4}"
 WORD_LETTERS, CONFIDENCE = 3, 80
 MIN_REFERENCE_LETTERS, SHORTFALL = 40, 0.5
 DECISIVE_LETTERS, DECISIVE_RATIO = 20, 2
 WINDOW_LABELS, WINDOW_TABLE_ROWS, REQUEST_TABLE_ROWS, REQUEST_ATTACHMENTS = 120, 20, 40, 10
+CONTEXT_PAGES = 2
 
 
 def number_lines(pages: DataFrame) -> DataFrame:
     """``filing_id, page, line, label, is_table, text`` of every non-blank line but table rules.
 
-    Labels run over all pages of a filing. ``pages``: ``filing_id, page, text``. The window
-    runs over one filing.
+    Only a line of white space is blank, and only one that begins with a bar is of a
+    table or a rule, so indented ones are text. Labels run over all pages of a filing.
+    ``pages``: ``filing_id, page, text``. The window runs over one filing.
     """
     each = pages.select("filing_id", "page", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "text"))
-    stripped = F.trim(F.regexp_replace("text", r"\r", ""))
-    kept = each.where((stripped != "") & ~stripped.rlike(SEPARATOR))
+    kept = each.where(~F.col("text").rlike(rf"\A{BLANKS}\z") & ~F.col("text").rlike(SEPARATOR))
     order = Window.partitionBy("filing_id").orderBy("page", "line")
-    return kept.select("filing_id", "page", "line", F.row_number().over(order).alias("label"), stripped.startswith("|").alias("is_table"), "text")
+    return kept.select("filing_id", "page", "line", F.row_number().over(order).alias("label"), F.col("text").startswith("|").alias("is_table"), "text")
 
 
 def dated_lines(pages: DataFrame) -> DataFrame:
@@ -206,28 +208,60 @@ def merge_ranges(results: DataFrame) -> DataFrame:
     )
 
 
-def _cut(labels: int, table_rows: int):
+def _cut(labels: int, table_rows: int, max_pages: int | None):
     def work(lines: pd.DataFrame) -> pd.DataFrame:
         """Windows of one filing: cut where the next line would pass a limit."""
         lines = lines.sort_values("label")
-        out, first, n, t = [], None, 0, 0
-        for label, is_table in zip(lines["label"], lines["is_table"], strict=True):
-            if first is not None and (n == labels or (is_table and t == table_rows)):
+        out, first, page, n, t = [], None, 0, 0, 0
+        for label, is_table, at in zip(lines["label"], lines["is_table"], lines["page"], strict=True):
+            wide = max_pages is not None and at - page + 1 + CONTEXT_PAGES > max_pages
+            if first is not None and (n >= labels or (is_table and t >= table_rows) or wide):
                 out.append((first, label - 1))
                 first, n, t = None, 0, 0
-            first = label if first is None else first
+            if first is None:
+                first, page = label, at
             n, t = n + 1, t + bool(is_table)
         if first is not None:
             out.append((first, int(lines["label"].iloc[-1])))
         filing, count = lines["filing_id"].iloc[0], int(lines["label"].iloc[-1])
-        return pd.DataFrame([(f"{filing}:w{i}", filing, a, b, count) for i, (a, b) in enumerate(out)], columns=["source_id", "filing_id", "first", "last", "row_count"])
+        return pd.DataFrame([(f"{filing}:w{i}", filing, a, b, count) for i, (a, b) in enumerate(out, 1)], columns=["source_id", "filing_id", "first", "last", "row_count"])
 
     return work
 
 
-def plan_windows(lines: DataFrame, labels: int = WINDOW_LABELS, table_rows: int = WINDOW_TABLE_ROWS) -> DataFrame:
-    """``source_id, filing_id, first, last, row_count``: windows in order. Each cut depends on the one before, so a filing is planned by one pandas call over its labels."""
-    return lines.select("filing_id", "label", "is_table").groupBy("filing_id").applyInPandas(_cut(labels, table_rows), "source_id string, filing_id string, first int, last int, row_count int")
+def plan_windows(lines: DataFrame, labels: int = WINDOW_LABELS, table_rows: int = WINDOW_TABLE_ROWS, max_pages: int | None = None) -> DataFrame:
+    """``source_id, filing_id, first, last, row_count``: windows in order, from ``:w1``.
+
+    With ``max_pages`` a window with its context pages spans no more pages than that,
+    where its first line's page allows. Each cut depends on the one before, so a filing is
+    planned by one pandas call over its labels.
+    """
+    if max_pages is not None and max_pages < 1 + CONTEXT_PAGES:
+        raise ValueError(f"max_pages must be at least {1 + CONTEXT_PAGES}")
+    page = F.lit(1) if max_pages is None else F.col("page")
+    return lines.select("filing_id", "label", "is_table", page.alias("page")).groupBy("filing_id").applyInPandas(_cut(labels, table_rows, max_pages), "source_id string, filing_id string, first int, last int, row_count int")
+
+
+def window_attachments(windows: DataFrame, lines: DataFrame, pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """``source_id, filing_id, first, last, page_start, page_end, total_pages, table_rows`` of what is sent for each filing.
+
+    A window goes with the pages beside its own. A filing of one window at most, whose
+    pages fit ``max_pages``, goes whole under its own id; ``first`` and ``last`` are null
+    where it has no line. ``windows`` from plan_windows() of ``lines`` from number_lines()
+    of ``pages``.
+    """
+    total = pages.groupBy("filing_id").agg(F.max("page").alias("total_pages"))
+    spans = (
+        windows.join(lines.select("filing_id", "label", "page", "is_table"), "filing_id").where((F.col("label") >= F.col("first")) & (F.col("label") <= F.col("last")))
+        .groupBy("source_id", "filing_id", "first", "last").agg(F.min("page").alias("_a"), F.max("page").alias("_b"), F.count_if("is_table").alias("table_rows"))
+    )
+    j = total.join(spans, "filing_id", "left").withColumn("_n", F.count("source_id").over(Window.partitionBy("filing_id")))
+    whole = (F.col("_n") == 0) | ((F.col("_n") == 1) & (F.col("total_pages") <= F.lit(max_pages if max_pages is not None else (1 << 31) - 1)))
+    return j.select(
+        F.when(whole, F.col("filing_id")).otherwise(F.col("source_id")).alias("source_id"), "filing_id", "first", "last",
+        F.when(whole, F.lit(1)).otherwise(F.greatest(F.lit(1), F.col("_a") - 1)).alias("page_start"), F.when(whole, F.col("total_pages")).otherwise(F.least("total_pages", F.col("_b") + 1)).alias("page_end"),
+        "total_pages", F.coalesce("table_rows", F.lit(0).cast("long")).alias("table_rows"),
+    )
 
 
 def _pack(rows: int, attachments: int):

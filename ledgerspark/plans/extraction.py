@@ -13,9 +13,8 @@ from .registry import Lake, query
 
 _RAW = "r AS (SELECT filing_id, page, unnest(string_split(coalesce(text, ''), chr(10))) AS text, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line FROM ocr)"
 _LINES = _RAW + r""",
-    k AS (SELECT *, trim(replace(text, chr(13), '')) AS s FROM r),
-    lines AS (SELECT filing_id, page, cast(line AS int) AS line, cast(row_number() OVER (PARTITION BY filing_id ORDER BY page, line) AS int) AS label, starts_with(s, '|') AS is_table, text FROM k
-              WHERE s <> '' AND NOT regexp_matches(s, '^\|\s*:?-{3,}'))"""
+    lines AS (SELECT filing_id, page, cast(line AS int) AS line, cast(row_number() OVER (PARTITION BY filing_id ORDER BY page, line) AS int) AS label, starts_with(text, '|') AS is_table, text FROM r
+              WHERE NOT regexp_full_match(text, '[\t\v\f\r \p{Z}\x{FEFF}]*') AND NOT regexp_matches(text, '^\|[\t\v\f\r \p{Z}\x{FEFF}]*:?-{3,}'))"""
 # Windows of 20 labels, and marks that follow a fixed rule on the label with planted contradictions.
 _WIN = """,
     sizes AS (SELECT filing_id, max(label) AS n FROM lines GROUP BY 1),
@@ -163,8 +162,43 @@ query(
         k.stream.selectExpr("user_id AS filing_id", "event_id AS chunk", "array(event_type) AS rows", "CASE WHEN event_id % 5 = 0 THEN 's' || event_id END AS statement", "CASE WHEN event_id % 7 = 0 THEN 'e' || event_id END AS error")
     ).withColumn("rows", F.array_join("rows", ","))
 )
-query("plan_windows")(lambda k: O.plan_windows(lines(k)))
-query("pack_requests")(lambda k: O.pack_requests(windows(k).select((F.xxhash64("filing_id") % 50).alias("batch"), "source_id", (F.col("last") - F.col("first") + 1).cast("long").alias("rows"))))
+# Windows as SQL: each step takes the next line of every filing.
+_CUT_SQL = _LINES + """,
+    st AS (SELECT filing_id, label, 1 AS w, cast(is_table AS int) AS tables, 1 AS labels, page AS began FROM lines WHERE label = 1
+      UNION ALL SELECT filing_id, label, CASE WHEN cut THEN w + 1 ELSE w END, CASE WHEN cut THEN 0 ELSE tables END + is_table, CASE WHEN cut THEN 1 ELSE labels + 1 END, CASE WHEN cut THEN page ELSE began END
+      FROM (SELECT s.* EXCLUDE (label), l.label, l.page, cast(l.is_table AS int) AS is_table, s.labels >= {labels} OR (l.is_table AND s.tables >= {tables}) OR l.page - s.began + 3 > {pages} AS cut
+            FROM st s JOIN lines l ON l.filing_id = s.filing_id AND l.label = s.label + 1) q),
+    planned AS (SELECT st.filing_id || ':w' || w AS source_id, st.filing_id, min(st.label) AS first, max(st.label) AS last, min(page) AS a, max(page) AS b, count(*) FILTER (WHERE is_table) AS table_rows FROM st JOIN lines l ON l.filing_id = st.filing_id AND l.label = st.label GROUP BY st.filing_id, w)"""
+query(
+    "plan_windows",
+    f"WITH {_CUT_SQL.replace('{labels}', '120').replace('{tables}', '20').replace('{pages}', '1000000')} SELECT source_id, filing_id, first, last, cast(max(last) OVER (PARTITION BY filing_id) AS int) AS row_count FROM planned",
+    _OCR, recursive=True,
+)(lambda k: O.plan_windows(lines(k)))
+
+
+def _attachments(k: Lake):
+    numbered = lines(k)
+    return O.window_attachments(O.plan_windows(numbered, 15, 6, 3), numbered, k.ocr, 3)
+
+
+query(
+    "window_attachments",
+    f"""WITH {_CUT_SQL.replace('{labels}', '15').replace('{tables}', '6').replace('{pages}', '3')},
+    total AS (SELECT filing_id, max(page) AS total_pages FROM ocr GROUP BY 1),
+    j AS (SELECT t.*, source_id, first, last, a, b, table_rows, count(source_id) OVER (PARTITION BY t.filing_id) AS n FROM total t LEFT JOIN planned p ON p.filing_id = t.filing_id)
+    SELECT filing_id AS source_id, filing_id, first, last, 1 AS page_start, total_pages AS page_end, total_pages, coalesce(table_rows, 0) AS table_rows FROM j WHERE n = 0 OR (n = 1 AND total_pages <= 3)
+    UNION ALL SELECT source_id, filing_id, first, last, greatest(1, a - 1), least(total_pages, b + 1), total_pages, table_rows FROM j WHERE NOT (n = 0 OR (n = 1 AND total_pages <= 3))""",
+    _OCR, recursive=True,
+)(_attachments)
+query(
+    "pack_requests",
+    _with(""", parts AS (SELECT cast(filing_id AS bigint) AS batch, source_id, cast(last - first + 1 AS bigint) AS rows, row_number() OVER (PARTITION BY filing_id ORDER BY source_id) AS k FROM windows),
+    st AS (SELECT batch, k, source_id, rows, cast(0 AS bigint) AS request, rows AS used, 1 AS n FROM parts WHERE k = 1
+      UNION ALL SELECT batch, k, source_id, rows, CASE WHEN cut THEN request + 1 ELSE request END, CASE WHEN cut THEN rows ELSE used + rows END, CASE WHEN cut THEN 1 ELSE n + 1 END
+      FROM (SELECT p.*, s.request, s.used, s.n, s.used + p.rows > 40 OR s.n = 10 AS cut FROM st s JOIN parts p ON p.batch = s.batch AND p.k = s.k + 1) q)
+    SELECT batch, source_id, rows, request FROM st"""),
+    _OCR, recursive=True,
+)(lambda k: O.pack_requests(windows(k).select(F.col("filing_id").cast("bigint").alias("batch"), "source_id", (F.col("last") - F.col("first") + 1).cast("long").alias("rows"))))
 
 # Consensus: conversations as sources, turns as reads, words as rows.
 _READS = "reads"

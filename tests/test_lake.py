@@ -186,3 +186,31 @@ def test_entry_and_names(spark):
     assert len(entry.queries()) >= 100
     out = entry.entry(spark)
     assert out.count() > 0
+
+
+def test_numbered_lines_know_tables_by_their_first_letter(spark):
+    pages = spark.createDataFrame([("f", 1, "a\n\t\n  | b\n | --- |\nc\n| d |\n|---|\n\u00a0\r")], "filing_id string, page int, text string")
+    got = [(r.label, r.is_table, r.text) for r in ocr.number_lines(pages).orderBy("label").collect()]
+    assert got == [(1, False, "a"), (2, False, "  | b"), (3, False, " | --- |"), (4, False, "c"), (5, True, "| d |")]
+
+
+def test_windows_are_cut_by_pages_and_go_with_their_neighbours(spark):
+    lines = spark.createDataFrame([("f", p, 0, i + 1, False, "x") for i, p in enumerate([1, 1, 2, 3, 3, 5])] + [("g", 1, 0, 1, True, "y")], "filing_id string, page int, line int, label int, is_table boolean, text string")
+    pages = spark.createDataFrame([("f", p, "x") for p in range(1, 6)] + [("g", 1, "y"), ("h", 1, None)], "filing_id string, page int, text string")
+    planned = ocr.plan_windows(lines, max_pages=4)
+    assert sorted((r.source_id, r.first, r.last) for r in planned.collect()) == [("f:w1", 1, 3), ("f:w2", 4, 5), ("f:w3", 6, 6), ("g:w1", 1, 1)]
+    got = sorted((r.source_id, r.page_start, r.page_end, r.first, r.table_rows) for r in ocr.window_attachments(planned, lines, pages, 4).collect())
+    assert got == [("f:w1", 1, 3, 1, 0), ("f:w2", 2, 4, 4, 0), ("f:w3", 4, 5, 6, 0), ("g", 1, 1, 1, 1), ("h", 1, 1, None, 0)]
+    with pytest.raises(ValueError, match="at least 3"):
+        ocr.plan_windows(lines, max_pages=2)
+
+
+def test_members_without_a_name_and_unknown_overrides(spark):
+    filings = spark.createDataFrame([("house", "1", "Ann", "Lee", "CA01", dt.date(2024, 1, 2)), ("house", "2", None, None, None, dt.date(2024, 1, 2))], "chamber string, doc_id string, filer_first string, filer_last string, state_district string, filing_date date")
+    people = spark.createDataFrame([("B1", "Ann", None, None, "Lee", None), ("B2", "X", None, None, "...", None)], "bioguide string, first string, middle string, nickname string, last string, official_full string")
+    terms = spark.createDataFrame([(b, "rep", dt.date(2020, 1, 1), dt.date(2026, 1, 1), "CA", 1) for b in ("B1", "B2")], "bioguide string, type string, start date, end date, state string, district int")
+    ddl = "chamber string, filer_first string, filer_last string, state_district string, member_id string"
+    got = {r.doc_id: r.member_id for r in identity.resolve(filings, people, terms, spark.createDataFrame([("house", "Ann", "Lee", "CA01", None)], ddl).limit(0)).collect()}
+    assert got == {"1": "B1", "2": None}
+    with pytest.raises(Exception, match="unknown member: B9"):
+        identity.resolve(filings, people, terms, spark.createDataFrame([("house", "Ann", "Lee", "CA01", "B9")], ddl)).collect()
