@@ -148,32 +148,42 @@ class _Fold:
 
 
 def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Versions of trades sorted by group and time; the columns behind _READ are copied."""
-    def versions(fold: _Fold, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(rows).combine_chunks()
-        at, name, number, first, later, contributors = zip(*fold.versions.values(), strict=True)
+    """Versions of trades sorted by group and time; the columns behind _READ are copied.
+
+    Versions of the groups that a batch completes leave together; of the trades before
+    the open group nothing is held.
+    """
+
+    def taken(held: list[pa.RecordBatch], versions: list[list]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        at, name, number, first, later, contributors = zip(*versions, strict=True)
         time = table["available_at"].combine_chunks()
-        fixed = [pa.array(name, pa.string()), pa.array(number, pa.int32()), time.take(pa.array(first, pa.int64())), time.take(pa.array(at, pa.int64())), time.take(pa.array(later, pa.int64()))]
+        fixed = [pa.array(name, pa.string()), pa.array(number, pa.int32()), *(time.take(pa.array(x, pa.int64())) for x in (first, at, later))]
         said = pa.array([json.dumps(c, separators=(",", ":"), ensure_ascii=False) for c in contributors], pa.string())
         copied = table.select(range(len(_READ), table.num_columns)).take(pa.array(at, pa.int64())).combine_chunks()
         return pa.RecordBatch.from_arrays([*fixed, said, *(c.chunk(0) for c in copied.columns)], names=["event_id", "version", "first_available_at", "available_at", "superseded_at", "contributor_row_ids", *copied.column_names])
 
-    group, fold, rows, n = None, _Fold(), [], 0
+    group, fold, start, n = None, _Fold(), 0, 0  # the open group, where it starts in what is held, and its trades
+    held: list[pa.RecordBatch] = []
+    done: list[list] = []
+
+    def close() -> None:
+        done.extend([at + start, name, number, first + start, None if later is None else later + start, said] for at, name, number, first, later, said in fold.versions.values())
+
     for batch in batches:
-        start = 0
-        read = [batch.column(i).to_pylist() for i in range(len(_READ))]
-        for i, (filer, part, *said) in enumerate(zip(*read, strict=True)):
+        held.append(batch)
+        for filer, part, *said in zip(*(batch.column(i).to_pylist() for i in range(len(_READ))), strict=True):
             if (filer, part) != group:
-                if group is not None:
-                    if i > start:
-                        rows.append(batch.slice(start, i - start))
-                    yield versions(fold, rows)
-                group, fold, rows, n, start = (filer, part), _Fold(), [], 0, i
+                close()
+                group, fold, start, n = (filer, part), _Fold(), start + n, 0
             fold.meet(n, *said[:6], tuple(said[6:]))
             n += 1
-        rows.append(batch.slice(start))
-    if group is not None:
-        yield versions(fold, rows)
+        if done:
+            yield taken(held, done)
+            held, done, start = pa.Table.from_batches(held).slice(start).to_batches(), [], 0
+    close()
+    if done:
+        yield taken(held, done)
 
 
 _TIE = ["source_transaction_id", "owner", "action", "partial_sale", "transaction_date", "ticker", "asset_description", "comment", "asset_type_code", "asset_type_label", "amount_low", "amount_high"]
