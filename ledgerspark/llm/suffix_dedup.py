@@ -199,7 +199,8 @@ def _copies(rows: DataFrame, length: int) -> DataFrame:
     """``uid, rep`` of texts of at least ``length`` bytes that occur more than once; rep is the least uid of the text."""
     thin = materialize(rows.where(F.octet_length("text") >= length).select("uid", F.unhex(F.sha2("text", 256)).alias("m"), F.octet_length("text").alias("n")), "digests")
     often = thin.groupBy("m", "n").agg(F.min("uid").alias("rep"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    return materialize(thin.join(often, ["m", "n"]).select("uid", "rep").distinct(), "copies")
+    often = materialize(often, "often")  # written, so that the join's hot groups can be split
+    return materialize(thin.join(often.hint("merge"), ["m", "n"]).select("uid", "rep").distinct(), "copies")
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
