@@ -6,10 +6,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-#: Used only where the session names no folder.
+#: Used only by a session on one machine that names no folder.
 DEFAULT_ROOT = "/tmp/checkpoints"
 
 
 def shared_path(spark: SparkSession, tag: str) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_ROOT
-    return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    """A new path in ``spark.checkpoint.dir``, which a cluster must set."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{(root or DEFAULT_ROOT).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
