@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -210,6 +211,40 @@ def date_findings(transaction: Column, notification: Column, filed: Column) -> C
     )
 
 
+# The findings in words.
+DATE_SENTENCES = {
+    "transaction after filing": "transaction date {t} is after the report was filed on {f}",
+    "notification long after filing": "notification date {n} is more than a month after the report was filed on {f}",
+    "transaction long after notification": "transaction date {t} is more than a month after its notification date {n}",
+    "notification over a year after transaction": "transaction date {t} is more than a year before its notification date {n}",
+}
+
+
+def date_sentences(transaction: Column, notification: Column, filed: Column) -> Column:
+    """`date_findings` as sentences with their dates."""
+    days = {"t": transaction, "n": notification, "f": filed}
+    told = F.lit(None).cast("string")
+    found = date_findings(transaction, notification, filed)
+
+    def sentence(name: Column) -> Column:
+        out = told
+        for known, text in DATE_SENTENCES.items():
+            parts = [F.date_format(days[x[1]], "yyyy-MM-dd") if x[:1] == "{" else F.lit(x) for x in re.split(r"(\{\w\})", text) if x]
+            out = F.when(name == known, F.concat(*parts)).otherwise(out)
+        return out
+
+    return F.transform(found, sentence)
+
+
+def describe_row(labels: Column, page: Column, asset: Column) -> Column:
+    """Words for a row of a read: its line labels, else its page and asset."""
+    named = F.nullif(trimmed(asset), F.lit(""))
+    where = F.when(page.isNotNull(), F.concat(F.lit("a row on page "), page.cast("string"))).otherwise("a row")
+    return F.when(F.size(labels) > 0, F.concat(F.lit("the row labeled "), F.array_join(labels.cast("array<string>"), ", "))).otherwise(
+        F.concat(where, F.coalesce(F.concat(F.lit(" ("), named, F.lit(")")), F.lit("")))
+    )
+
+
 def utc(spark: SparkSession) -> SparkSession:
     """The session, which must be in UTC for instants to come out right."""
     if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):

@@ -1,16 +1,104 @@
 """Agreement between repeated reads of one source.
 
 ``reads(source_id, read_idx, error)`` and ``rows(source_id, read_idx, row_idx, sig)``;
-a row's ``sig`` is the text of all its comparable fields.
+a row's ``sig`` is the text of all its comparable fields. Decisions on whole reads and by
+row also need ``statement, non, cont`` of a read, and a row's ``labels``: arrays of the
+line labels that it lists or cites.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Fixed value: reads of a source at most.
+from ledgerspark.functions.scalars import is_iso_date, trimmed
+
+from . import ocr
+
+# Reads of a source at most, and the fields in which rows of reads must agree.
 MAX_READS = 5
+ROW_FIELDS = (
+    "transaction_type_code", "transaction_date_iso", "notification_date_iso", "amount_low", "amount_high",
+    "ticker", "asset_type_code", "owner", "partial_sale", "source_transaction_id",
+)
+
+
+def row_signature(labels: Column | None = None) -> Column:
+    """A row's comparable fields and cited labels as one text; without labels for reads of a whole page.
+
+    Blank texts and dates off the calendar count as absent, the owner as it is; the order
+    of labels does not count, their repeats do.
+    """
+    whole = lambda n: F.col(n).cast("string")
+    told = lambda n: F.nullif(trimmed(whole(n)), F.lit(""))
+    dated = lambda n: F.when(is_iso_date(whole(n)), whole(n))
+    fields = [dated(n) if n.endswith("_iso") else whole(n) if n in ("amount_low", "amount_high", "owner", "partial_sale") else told(n) for n in ROW_FIELDS]
+    cited = [] if labels is None else [F.array_join(F.array_sort(F.coalesce(labels, F.array().cast("array<int>"))), ",")]
+    return F.to_json(F.array(*fields, *cited))
+
+
+def document_signatures(reads: DataFrame, rows: DataFrame) -> DataFrame:
+    """``source_id, read_idx, sig``: rows in order, both lists of labels, and whether an empty read says so; null for a failed read."""
+    listed = rows.groupBy("source_id", "read_idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("row_idx", "sig"))), lambda r: r["sig"]).alias("_rows"))
+    ints = lambda n: F.array_sort(F.coalesce(n, F.array().cast("array<int>"))).alias(n)
+    empty = F.col("_rows").isNull() & (F.coalesce("statement", F.lit("")) != "")
+    whole = F.to_json(F.struct(empty.alias("empty"), F.coalesce("_rows", F.array().cast("array<string>")).alias("rows"), ints("non"), ints("cont")))
+    return reads.join(listed, ["source_id", "read_idx"], "left").select("source_id", "read_idx", F.when(F.col("error").isNull(), whole).alias("sig"))
+
+
+def voted_rows(reads: DataFrame, rows: DataFrame) -> DataFrame:
+    """``source_id, position, read_idx, row_idx, labels``: the rows that `vote_window` keeps, by first cited label.
+
+    The first reads' copies stay; rows with equal or no labels follow reads and rows,
+    those without labels last. The windows run over one source.
+    """
+    usable = reads.where("error is null").select("source_id", "read_idx")
+    same, within = Window.partitionBy("source_id", "sig"), Window.partitionBy("source_id", "sig", "read_idx")
+    each = rows.join(usable, ["source_id", "read_idx"], "left_semi").select(
+        "*", F.row_number().over(same.orderBy("read_idx", "row_idx")).alias("_copy"), F.row_number().over(within.orderBy("row_idx")).alias("_nth"), F.count(F.lit(1)).over(within).alias("_n")
+    )
+    second = F.try_element_at(F.sort_array(F.collect_list(F.when(F.col("_nth") == 1, F.col("_n"))).over(same), asc=False), F.lit(2))  # one entry a read, MAX_READS at most
+    kept = each.withColumn("_copies", second).where("_copy <= _copies")
+    order = Window.partitionBy("source_id").orderBy(F.array_min("labels").asc_nulls_last(), "read_idx", "row_idx")
+    return kept.select("source_id", (F.row_number().over(order) - 1).alias("position"), "read_idx", "row_idx", "labels")
+
+
+def shared_labels(reads: DataFrame, listed: str) -> DataFrame:
+    """``source_id, label`` that at least two usable reads hold in the list of that name."""
+    each = reads.where("error is null").select("source_id", "read_idx", F.explode(F.array_distinct(listed)).alias("label"))
+    return each.groupBy("source_id", "label").agg(F.count(F.lit(1)).alias("_n")).where("_n >= 2").select("source_id", "label")
+
+
+def decide_rows(reads: DataFrame, rows: DataFrame, windows: DataFrame) -> DataFrame:
+    """``source_id, outcome, read_idx, voted, reason``: as `decide`, then row by row for sources with a window.
+
+    A vote needs a read after the second, two usable reads, and rows and lists that
+    account for every label of the window; ``read_idx`` is null then. ``windows``:
+    ``source_id, first, last, row_count``.
+    """
+    whole = decide(document_signatures(reads, rows))
+    counts = reads.groupBy("source_id").agg(F.max("read_idx").alias("_last"), F.count_if(F.col("error").isNull()).alias("_usable"))
+    votes = voted_rows(reads, rows)
+    mark = lambda df, tx, role: df.select("source_id", tx.cast("int").alias("tx"), "label", F.lit(role).alias("role"))
+    marks = mark(votes.withColumn("label", F.explode("labels")), F.col("position"), "row")
+    for listed in ("non", "cont"):
+        marks = marks.unionByName(mark(shared_labels(reads, listed), F.lit(None), listed))
+    bad = ocr.coverage_problems(windows, marks).select("source_id").union(ocr.coverage_gaps(windows, marks).select("source_id"))
+    bad = bad.union(votes.where("coalesce(size(labels), 0) <= 0").select("source_id")).distinct().withColumn("_bad", F.lit(True))
+    j = whole.join(counts, "source_id").join(windows.select("source_id", F.lit(True).alias("_window")).distinct(), "source_id", "left").join(bad, "source_id", "left")
+    reason = (
+        F.when(F.col("outcome") != "failed", None).when(F.col("_last") < 2, "no read after the second").when(F.col("_window").isNull(), "no two reads agree")
+        .when(F.col("_usable") < 2, "fewer than two usable reads").when(F.col("_bad"), "voted rows do not account for the window")
+    )
+    voted = (F.col("outcome") == "failed") & F.col("_reason").isNull()
+    return j.withColumn("_reason", reason).select("source_id", F.when(voted, "arbitrated").otherwise(F.col("outcome")).alias("outcome"), "read_idx", voted.alias("voted"), F.col("_reason").alias("reason"))
+
+
+def voted_statement(reads: DataFrame, rows: DataFrame) -> DataFrame:
+    """``source_id, statement`` of votes without rows: that of the first usable read without rows."""
+    usable = reads.where("error is null").join(rows.select("source_id", "read_idx").distinct(), ["source_id", "read_idx"], "left_anti")
+    blank = usable.join(voted_rows(reads, rows).select("source_id").distinct(), "source_id", "left_anti")
+    return blank.groupBy("source_id").agg(F.min_by("statement", "read_idx").alias("statement"))
 
 
 def signatures(reads: DataFrame, rows: DataFrame) -> DataFrame:

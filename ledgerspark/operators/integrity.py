@@ -256,6 +256,11 @@ def previous_state(records: DataFrame) -> DataFrame:
     return records.select("run_id", F.coalesce(~doc["integrity"]["passed"], F.lit(False)).alias("failed"), F.transform_keys(shares, lambda k, v: k.cast("int")).alias("shares"))
 
 
+def recovered(findings: DataFrame, previous: DataFrame) -> DataFrame:
+    """``run_id, send``: whether a recovery is to be told, after a failed run of `previous_state` and with no failure now."""
+    return previous.crossJoin(F.broadcast(passed(findings))).select("run_id", (F.col("failed") & F.col("passed")).alias("send"))
+
+
 def alert_lines(findings: DataFrame) -> DataFrame:
     """``check, position, line``: the text of an alert, failing findings only."""
     lines = F.concat(F.array(F.format_string("%s (%d): %s", "check", "count", "message")), F.transform("examples", lambda e: F.concat(F.lit("  "), e)))

@@ -197,3 +197,23 @@ query(
     """,
     ("trades",),
 )(lambda k: k.trades.select("doc_id", "l_linenumber", "l_partkey", "l_suppkey", F.explode(S.date_findings(F.col("transaction_date"), F.col("notification_date"), F.col("filing_date"))).alias("finding")))
+query(
+    "date_sentences",
+    """
+    SELECT doc_id, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_partkey % 3 = 0 THEN 'the row labeled ' || l_linenumber || ', ' || (l_linenumber + 1) WHEN l_partkey % 3 = 1 THEN 'a row on page ' || l_linenumber || ' (' || asset_description || ')' ELSE 'a row' END AS which,
+      unnest(list_filter([CASE WHEN transaction_date > filing_date THEN 'transaction date ' || transaction_date || ' is after the report was filed on ' || filing_date END,
+      CASE WHEN datediff('day', filing_date, notification_date) > 30 THEN 'notification date ' || notification_date || ' is more than a month after the report was filed on ' || filing_date END,
+      CASE WHEN datediff('day', notification_date, transaction_date) > 30 THEN 'transaction date ' || transaction_date || ' is more than a month after its notification date ' || notification_date END,
+      CASE WHEN datediff('day', transaction_date, notification_date) > 365 THEN 'transaction date ' || transaction_date || ' is more than a year before its notification date ' || notification_date END], lambda x: x IS NOT NULL)) AS sentence FROM trades
+    """,
+    ("trades",),
+)(
+    lambda k: k.trades.select(
+        "doc_id", "l_linenumber", "l_partkey", "l_suppkey",
+        S.describe_row(
+            F.when(F.col("l_partkey") % 3 == 0, F.array(F.col("l_linenumber").cast("int"), (F.col("l_linenumber") + 1).cast("int"))), F.when(F.col("l_partkey") % 3 == 1, F.col("l_linenumber")),
+            F.when(F.col("l_partkey") % 3 == 1, F.concat(F.lit(" "), "asset_description")).otherwise(" "),
+        ).alias("which"),
+        F.explode(S.date_sentences(F.col("transaction_date"), F.col("notification_date"), F.col("filing_date"))).alias("sentence"),
+    )
+)

@@ -190,3 +190,8 @@ query(
     """,
     ("stream",),
 )(lambda k: I.previous_state(_records(k)).select("run_id", "failed", F.explode_outer("shares").alias("year", "share")).withColumn("share", F.round("share", 6)))
+query(
+    "recovered",
+    "SELECT event_id AS run_id, event_id % 7 >= 2 AND event_id % 2 = 1 AND NOT EXISTS (SELECT 1 FROM trades WHERE transaction_date > filing_date) AS send FROM stream",
+    ("stream", "trades"),
+)(lambda k: I.recovered(I.finding(I.dated_after_filing(k.trades), "dated_after_filing", "transactionDate after filingDate"), I.previous_state(_records(k))))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.operators import consensus as C
 from ledgerspark.operators import ocr as O
+from ledgerspark.scratch import shared_path
 
 from .registry import Lake, query
 
@@ -260,52 +261,31 @@ _read_query(
     _SQL_ROWS + """, p AS (SELECT source_id AS filing_id, cast((i - 1) % 3 AS int) AS page, read_idx, count(*) AS n FROM rw GROUP BY ALL)
     SELECT a.filing_id, a.page, a.n, coalesce(b.n, 0) AS m FROM p a LEFT JOIN p b ON b.filing_id = a.filing_id AND b.page = a.page AND b.read_idx = 1 WHERE a.read_idx = 0 AND a.n - coalesce(b.n, 0) > greatest(2, ceil(a.n * 0.1E0))""",
 )(lambda k: C.page_shortfalls(*[_page_rows(k, t).groupBy("filing_id", "page").agg(F.count(F.lit(1)).alias("n")) for t in (0, 1)]))
-query(
-    "parse_reads",
-    """
-    WITH q AS (SELECT DISTINCT user_id FROM stream), r AS (SELECT user_id, event_id FROM stream WHERE event_id < 120 AND event_id % 3 > 0),
-    n AS (SELECT user_id, count(*) AS n, max(event_id) AS e FROM r GROUP BY 1)
-    SELECT cast(q.user_id AS varchar) AS source_id, CASE WHEN n IS NULL THEN 'no answer' WHEN n > 1 THEN 'answered more than once' WHEN e % 5 = 0 THEN 'cut off' WHEN e % 5 = 1 THEN 'does not parse' WHEN e % 5 = 2 THEN 'empty without a statement' END AS error,
-      CASE WHEN n = 1 AND e % 5 > 2 THEN 'a' || e || ',b' ELSE '' END AS rows FROM q LEFT JOIN n ON n.user_id = q.user_id
-    """,
-    ("stream",),
-)(
-    lambda k: C.parse_reads(
-        k.stream.select(F.col("user_id").cast("string").alias("source_id")).distinct(),
-        k.stream.where("event_id < 120 and event_id % 3 > 0").select(
-            F.col("user_id").cast("string").alias("source_id"),
-            F.when(F.col("event_id") % 5 == 0, '{"rows": ["x"], "finish": "length"}').when(F.col("event_id") % 5 == 1, "oops").when(F.col("event_id") % 5 == 2, '{"rows": []}')
-            .otherwise(F.format_string('{"rows": ["a%d", "b"]}', "event_id")).alias("body"),
-        ),
-    ).withColumn("rows", F.array_join("rows", ","))
-)
-
-def _all_reads(k: Lake):
-    """A response for every event, whose source is user and day; the days after events are requested too."""
-    source = lambda day: F.concat(F.col("user_id").cast("string"), F.lit(":"), day.cast("string")).alias("source_id")
-    day = F.to_date("ts")
-    requested = k.stream.select(source(day)).unionByName(k.stream.select(source(F.date_add(day, 1)))).distinct()
-    return C.parse_reads(
-        requested,
-        k.stream.select(
-            source(day),
-            F.when(F.col("event_id") % 5 == 0, '{"rows": ["x"], "finish": "length"}').when(F.col("event_id") % 5 == 1, "oops").when(F.col("event_id") % 5 == 2, '{"rows": []}')
-            .otherwise(F.format_string('{"rows": ["a%d", "b"]}', "event_id")).alias("body"),
-        ),
-    ).withColumn("rows", F.array_join("rows", ","))
-
-
-query(
-    "parse_reads_all",
-    """
-    WITH r AS (SELECT cast(user_id AS varchar) || ':' || cast(cast(ts AS date) AS varchar) AS source_id, event_id FROM stream),
-    q AS (SELECT source_id FROM r UNION SELECT cast(user_id AS varchar) || ':' || cast(cast(ts AS date) + 1 AS varchar) FROM stream),
+def _parsed(k: Lake, span: str, form: str):
+    """A response for every event, whose source is user and day or hour; the next day's or hour's is requested too."""
+    source = lambda ts: F.concat(F.col("user_id").cast("string"), F.lit(":"), F.date_format(ts, form)).alias("source_id")
+    requested = k.stream.select(source(F.col("ts"))).unionByName(k.stream.select(source(F.expr(f"ts + interval 1 {span}")))).distinct()
+    e = F.col("event_id")
+    body = F.when(e % 5 == 0, '{"rows": ["x"], "finish": "length"}').when(e % 5 == 1, "oops").when(e % 5 == 2, '{"rows": []}').otherwise(F.format_string('{"rows": ["a%d", "b"]}', e))
+    return C.parse_reads(requested, k.stream.select(source(F.col("ts")), body.alias("body"))).withColumn("rows", F.array_join("rows", ","))
+
+
+def _parse_query(name: str, span: str, form: str, sql_form: str):
+    query(
+        name,
+        f"""
+    WITH r AS (SELECT cast(user_id AS varchar) || ':' || strftime(ts, '{sql_form}') AS source_id, event_id FROM stream),
+    q AS (SELECT source_id FROM r UNION SELECT cast(user_id AS varchar) || ':' || strftime(ts + INTERVAL 1 {span}, '{sql_form}') FROM stream),
     n AS (SELECT source_id, count(*) AS n, max(event_id) AS e FROM r GROUP BY 1)
     SELECT q.source_id, CASE WHEN n IS NULL THEN 'no answer' WHEN n > 1 THEN 'answered more than once' WHEN e % 5 = 0 THEN 'cut off' WHEN e % 5 = 1 THEN 'does not parse' WHEN e % 5 = 2 THEN 'empty without a statement' END AS error,
       CASE WHEN n = 1 AND e % 5 > 2 THEN 'a' || e || ',b' ELSE '' END AS rows FROM q LEFT JOIN n ON n.source_id = q.source_id
     """,
-    ("stream",),
-)(_all_reads)
+        ("stream",),
+    )(lambda k: _parsed(k, span, form))
+
+
+_parse_query("parse_reads", "hour", "yyyy-MM-dd HH", "%Y-%m-%d %H")
+_parse_query("parse_reads_all", "day", "yyyy-MM-dd", "%Y-%m-%d")
 query(
     "kept_dates",
     """
@@ -330,3 +310,51 @@ query(
     _SQL_ROWS + " SELECT DISTINCT source_id AS filing_id, cast(1 AS int) AS page FROM reads WHERE read_idx = 0 UNION SELECT DISTINCT source_id, cast(read_idx AS int) FROM reads WHERE length(text) % 7 = 0",
     (_READS,),
 )(lambda k: C.reconcile_queue(k.reads.where("read_idx = 0").select(F.col("source_id").alias("filing_id"), F.lit(1).alias("page")), k.reads.where("char_length(text) % 7 = 0").select(F.col("source_id").alias("filing_id"), F.col("read_idx").alias("page"))))
+
+
+# Votes by row: three reads of every filing's trades, whose rows cite two labels each and list a third as no transaction.
+def _row_reads(k: Lake):
+    per = k.read_rows.groupBy("source_id", "read_idx").agg(F.bool_or("failed").alias("failed"), F.array_sort(F.collect_list(F.when(F.col("listed"), F.col("n") * 3))).alias("non"))
+    return per.select("source_id", "read_idx", F.when(F.col("failed"), "failed").alias("error"), F.lit(None).cast("string").alias("statement"), "non", F.array().cast("array<int>").alias("cont"))
+
+
+def _row_rows(k: Lake):
+    labels = F.array(F.col("n") * 3 - 1, F.col("n") * 3 - 2)
+    return k.read_rows.select("source_id", "read_idx", "row_idx", C.row_signature(labels).alias("sig"), labels.alias("labels"))
+
+
+def _written(k: Lake, df, tag: str):
+    """The table as a reader of reads finds it: written once, not derived anew for each use."""
+    path = shared_path(k.spark, tag)
+    df.write.parquet(path)
+    return k.spark.read.parquet(path)
+
+
+def _row_windows(k: Lake):
+    return k.read_rows.where("kind <> 1 or not odd").groupBy("source_id").agg(F.lit(1).alias("first"), (F.max("of") * 3).alias("last"), (F.max("of") * 3).alias("row_count"))
+
+
+_SQL_VOTED = """
+    WITH rs AS (SELECT *, concat_ws('|', n, trim(transaction_type_code), coalesce(transaction_date_iso, '-'), CASE WHEN notification_date_iso = '2024-02-30' THEN '-' ELSE coalesce(notification_date_iso, '-') END,
+        coalesce(cast(amount_low AS varchar), '-'), coalesce(cast(amount_high AS varchar), '-'), coalesce(trim(ticker), '-'), coalesce(nullif(trim(asset_type_code), ''), '-'), owner, partial_sale, coalesce(source_transaction_id, '-')) AS sig FROM read_rows),
+    ok AS (SELECT * FROM rs WHERE NOT failed),
+    c AS (SELECT source_id, sig, read_idx, count(*) AS m FROM ok GROUP BY 1, 2, 3),
+    s AS (SELECT source_id, sig, list_sort(list(m), 'DESC')[2] AS copies FROM c GROUP BY 1, 2 HAVING count(*) > 1),
+    kept AS (SELECT o.source_id, o.read_idx, o.row_idx, o.n FROM (SELECT *, row_number() OVER (PARTITION BY source_id, sig ORDER BY read_idx, row_idx) AS i FROM ok) o JOIN s ON s.source_id = o.source_id AND s.sig = o.sig WHERE i <= copies)"""
+query("voted_rows", _SQL_VOTED + " SELECT source_id, cast(row_number() OVER (PARTITION BY source_id ORDER BY n, read_idx, row_idx) - 1 AS int) AS position, read_idx, row_idx FROM kept", ("read_rows",))(
+    lambda k: C.voted_rows(_row_reads(k), _row_rows(k)).select("source_id", "position", "read_idx", "row_idx")
+)
+_LISTED = ", nons AS (SELECT source_id, n FROM ok WHERE listed GROUP BY 1, 2 HAVING count(DISTINCT read_idx) > 1)"
+query("shared_labels", _SQL_VOTED + _LISTED + " SELECT source_id, cast(n * 3 AS int) AS label FROM nons", ("read_rows",))(lambda k: C.shared_labels(_row_reads(k), "non"))
+query(
+    "consensus_rows",
+    _SQL_VOTED + _LISTED + """,
+    docs AS (SELECT source_id, read_idx, CASE WHEN NOT bool_or(failed) THEN string_agg(sig, ';' ORDER BY row_idx) || '#' || coalesce(string_agg(CASE WHEN listed THEN cast(n AS varchar) END, ',' ORDER BY n), '') END AS doc FROM rs GROUP BY 1, 2),
+    l AS (SELECT a.source_id, min(b.read_idx) AS r FROM docs a JOIN docs b ON a.source_id = b.source_id AND a.read_idx < b.read_idx AND a.doc = b.doc GROUP BY 1),
+    size AS (SELECT source_id, max(of) * 3 AS owed, max(read_idx) AS last, count(DISTINCT CASE WHEN NOT failed THEN read_idx END) AS usable, bool_or(kind <> 1 OR NOT odd) AS win FROM rs GROUP BY 1),
+    got AS (SELECT source_id, count(DISTINCT label) AS got FROM (SELECT source_id, n * 3 - 1 AS label FROM kept UNION SELECT source_id, n * 3 - 2 FROM kept UNION SELECT source_id, n * 3 FROM nons) GROUP BY 1),
+    d AS (SELECT z.source_id, r, CASE WHEN r IS NOT NULL THEN NULL WHEN last < 2 THEN 'no read after the second' WHEN NOT win THEN 'no two reads agree' WHEN usable < 2 THEN 'fewer than two usable reads' WHEN coalesce(got, 0) < owed THEN 'voted rows do not account for the window' END AS reason
+      FROM size z LEFT JOIN l USING (source_id) LEFT JOIN got USING (source_id))
+    SELECT source_id, CASE WHEN r = 1 THEN 'agreed' WHEN r IS NOT NULL OR reason IS NULL THEN 'arbitrated' ELSE 'failed' END AS outcome, cast(CASE WHEN r = 1 THEN 0 ELSE r END AS int) AS read_idx, r IS NULL AND reason IS NULL AS voted, reason FROM d""",
+    ("read_rows",),
+)(lambda k: C.decide_rows(_written(k, _row_reads(k), "reads"), _written(k, _row_rows(k), "rows"), _written(k, _row_windows(k), "windows")))

@@ -85,14 +85,13 @@ UNION ALL SELECT 'house', 'lost' || cast(n_nationkey AS string) FROM {nation}
 VIEWS["ocr"] = """
 SELECT cast(cast(floor(doc_id / 4) AS bigint) AS string) AS filing_id, cast(1 + doc_id % 4 AS int) AS page, text FROM {documents}
 """
-VIEWS["reads"] = """
-SELECT cast(conv_id AS string) AS source_id, cast(turn AS int) AS read_idx, role, text,
-  CASE WHEN conv_id % 3 = 0 THEN substr(text, 1, 1) WHEN conv_id % 3 = 1 THEN role ELSE text END AS signature,
-  conv_id % 11 = 0 AND turn = 1 AS failed
-FROM {conversations}
-"""
-#: Reads with their whole texts as signatures, with A-Z in lower case and tabs and line ends as spaces. A first read is repeated as a whole: as second read of every third conversation, as third read of another third.
+#: Signatures are whole texts, with A-Z in lower case and tabs and line ends as spaces.
 _WHOLE = "trim(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(9) || chr(10) || chr(13), 'abcdefghijklmnopqrstuvwxyz   '))"
+VIEWS["reads"] = f"""
+SELECT cast(conv_id AS string) AS source_id, cast(turn AS int) AS read_idx, role, text, {_WHOLE} AS signature, conv_id % 11 = 0 AND turn = 1 AS failed
+FROM {{conversations}}
+"""
+#: A first read is repeated as a whole: as second read of every third conversation, as third read of another third.
 VIEWS["whole_reads"] = f"""
 SELECT cast(conv_id AS string) AS source_id, cast(CASE WHEN conv_id % 3 < 2 AND turn > conv_id % 3 THEN turn + 1 ELSE turn END AS int) AS read_idx, role, text,
   {_WHOLE} AS signature, conv_id % 11 = 0 AND conv_id % 3 > 0 AND turn = 1 AS failed
@@ -100,6 +99,26 @@ FROM {{conversations}}
 UNION ALL SELECT cast(conv_id AS string), cast(1 + conv_id % 3 AS int), role, text, {_WHOLE}, conv_id % 11 = 0 AND conv_id % 3 = 0
 FROM {{conversations}} WHERE conv_id % 3 < 2 AND turn = 0
 """
+#: Three reads of every filing's trades. By order number modulo 6: all alike; the second read wrong; the first and the
+#: second wrong in different rows; all different in one row; the second failed (and for some the third); no third read.
+VIEWS["numbered"] = """
+SELECT doc_id AS source_id, l_orderkey % 6 AS kind, l_orderkey % 12 >= 6 AS odd, l_partkey, action, transaction_date, notification_date, amount_low, amount_high, printed_ticker, asset_type_code, owner, partial_sale, source_transaction_id, asset_description,
+  cast(row_number() OVER (PARTITION BY doc_id ORDER BY row_index, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS int) AS n, cast(count(*) OVER (PARTITION BY doc_id) AS int) AS of
+FROM trades
+"""
+VIEWS["read_rows"] = " UNION ALL ".join(
+    f"""
+SELECT source_id, {r} AS read_idx, cast(CASE WHEN kind = 2 AND {r} = 1 THEN of - n ELSE n - 1 END AS int) AS row_idx, n, of, kind, odd,
+  kind = 4 AND ({r} = 1 OR {r} = 2 AND odd) AS failed,
+  NOT (kind = 2 AND {r} = 1 AND n = 1) AND NOT (kind = 3 AND odd AND {r} > 0 AND n = of) AS listed,
+  CASE action WHEN 'purchase' THEN 'P' WHEN 'sale' THEN ' S ' WHEN 'exchange' THEN 'E' ELSE 'unmarked' END AS transaction_type_code,
+  cast(transaction_date + cast(CASE WHEN kind = 1 AND {r} = 1 AND n = 1 OR kind = 2 AND {r} = 0 AND n = 1 OR kind = 2 AND {r} = 1 AND n = of OR kind IN (3, 4, 5) AND n = 1 THEN {r} + 1 ELSE 0 END AS int) AS string) AS transaction_date_iso,
+  CASE WHEN l_partkey % 5 = 0 THEN '2024-02-30' ELSE cast(notification_date AS string) END AS notification_date_iso,
+  amount_low, amount_high, CASE WHEN {r} = 1 THEN ' ' || printed_ticker ELSE printed_ticker END AS ticker,
+  CASE WHEN asset_type_code IS NULL AND {r} = 2 THEN ' ' ELSE asset_type_code END AS asset_type_code, owner, partial_sale, source_transaction_id
+FROM numbered WHERE {r} < 2 OR kind <> 5"""
+    for r in range(3)
+)
 
 VIEWS["people"] = """
 SELECT 'B' || cast(c_custkey AS string) AS bioguide, translate(cast(c_custkey % 83 AS string), '0123456789', 'Klnopqtuvw') || 'ann' AS first, cast(NULL AS string) AS middle, cast(NULL AS string) AS nickname,
