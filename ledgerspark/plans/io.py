@@ -32,6 +32,11 @@ def _index_file(k: Lake) -> str:
 query("src_house_index", "SELECT doc_id, filer_last AS last, 'P' AS filing_type, cast(year(filing_date) AS varchar) AS year FROM filings WHERE cast(doc_id AS bigint) % 4 = 0", ("filings",))(
     lambda k: RD.transaction_reports(RD.read_house_index(k.spark, _index_file(k), 2024)).select("doc_id", "last", "filing_type", "year")
 )
+query(
+    "source_urls",
+    "SELECT doc_id, 'https://disclosures-clerk.house.gov/public_disc/financial-pdfs/' || year(filing_date) || 'FD.zip' AS index_url, 'https://disclosures-clerk.house.gov/public_disc/ptr-pdfs/' || year(filing_date) || '/' || doc_id || '.pdf' AS report_url FROM filings WHERE chamber = 'house'",
+    ("filings",),
+)(lambda k: k.filings.where("chamber = 'house'").select("doc_id", RD.index_zip_url(F.year("filing_date")).alias("index_url"), RD.report_pdf_url(F.year("filing_date"), F.col("doc_id")).alias("report_url")))
 _ID = "'0000' || substr(md5(doc_id), 1, 4) || '-' || substr(md5(doc_id), 5, 27)"
 query(
     "src_senate_path",

@@ -19,9 +19,20 @@ INDEX_COLUMNS = ["prefix", "last", "first", "suffix", "filingtype", "statedst",
 SENATE_PATH = r"(?i)\A/search/view/(ptr|paper)/([0-9a-f-]{36})/\z"
 TRANSACTION_HEADERS = ["#", "Transaction Date", "Owner", "Ticker", "Asset Name", "Asset Type", "Type", "Amount", "Comment"]
 TEXT_LAYER_LETTERS = 80
+HOUSE_FILES = "https://disclosures-clerk.house.gov/public_disc"
 MANIFEST_DDL = "tables map<string, struct<rows: long, years: array<int>, manifests: array<struct<year: int, files: array<struct<path: string, size: long, sha256: string, rows: long>>>>>>"
 
 
+def index_zip_url(year: Column) -> Column:
+    """Where a year's index lies."""
+    return F.concat(F.lit(f"{HOUSE_FILES}/financial-pdfs/"), year.cast("string"), F.lit("FD.zip"))
+
+
+def report_pdf_url(year: Column, doc_id: Column) -> Column:
+    """Where a report lies."""
+    return F.concat(F.lit(f"{HOUSE_FILES}/ptr-pdfs/"), year.cast("string"), F.lit("/"), doc_id.cast("string"), F.lit(".pdf"))
+
+
 def house_index(raw: DataFrame, index_year: int) -> DataFrame:
     """Rows of an index file read with its header, whatever the order and case of its columns.
 
