@@ -134,10 +134,14 @@ class Linear:
 def fit_linear(x: np.ndarray, y: np.ndarray, start: Linear | None = None, decay: float = 1e-3) -> Linear:
     """Logistic regression on standardised features by Adam over all rows; both classes weigh the same.
 
-    A fit that goes on from an earlier one takes fewer steps.
+    A fit that goes on from an earlier one takes fewer steps. ``x`` is overwritten, as one
+    task holds it all: no second matrix of its size is made.
     """
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-4
-    z = ((x - mean) / scale).astype(np.float32).clip(-8, 8)
+    mean, scale = x.mean(axis=0), np.concatenate([x[:, i : i + 64].std(axis=0) for i in range(0, x.shape[1], 64)]) + 1e-4
+    z = x
+    z -= mean
+    z /= scale
+    np.clip(z, -8, 8, out=z)
     cost = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum())).astype(np.float32)
     w, b = np.zeros(x.shape[1], np.float32), 0.0
     if start is not None:
@@ -192,26 +196,32 @@ def _fit(before: Views | None, last: bool):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = list(batches)
-        if not sum(map(len, parts)):
+        n = sum(map(len, parts))
+        if not n:
             return
-        table = pa.Table.from_batches(parts)
-        label, y0, y1, size = (np.asarray(table[c].combine_chunks(), dtype=np.int64) for c in ("label", "y0", "y1", "size"))
-        slots, counts = (table[c].combine_chunks() for c in ("slots", "counts"))
-        text, meta = np.zeros((len(label), TEXT), np.float32), _wide(table["meta"].combine_chunks(), META)
-        of = np.repeat(np.arange(len(label)), np.diff(np.asarray(slots.offsets)))
-        text[of, np.asarray(slots.flatten())] = np.asarray(counts.flatten()) / np.maximum(1, size - 2)[of]
-        text[:, BUCKETS:] = _wide(table["repetition"].combine_chunks(), _REPETITION)
+        # The matrices are filled batch by batch and each view's rows taken once, as one task holds them all.
+        text, meta, keys, first = np.zeros((n, TEXT), np.float32), np.zeros((n, META), np.float32), np.zeros((4, n), np.int64), 0
+        while parts:
+            part = parts.pop(0)
+            rows = slice(first, first + len(part))
+            keys[:, rows] = [np.asarray(part[c], dtype=np.int64) for c in ("label", "y0", "y1", "size")]
+            slots, counts = part["slots"], part["counts"]
+            of = np.repeat(np.arange(len(part)), np.diff(np.asarray(slots.offsets)))
+            text[rows][of, np.asarray(slots.flatten())] = np.asarray(counts.flatten()) / np.maximum(1, keys[3, rows] - 2)[of]
+            text[rows, BUCKETS:], meta[rows] = _wide(part["repetition"], _REPETITION), _wide(part["meta"], META)
+            first += len(part)
+        label, y0, y1, size = keys
         order = np.lexsort([meta @ np.arange(META, dtype=np.float32), size, text @ np.arange(TEXT, dtype=np.float32), label])  # rows arrive in any order
-        views, label, given = (text[order], meta[order]), label[order], (y0[order], y1[order])
+        label, given = label[order], (y0[order], y1[order])
         known = np.flatnonzero(label >= 0)
         held = known[5::10] if last else known[::10]
         used = np.setdiff1d(known, np.append(known[::10], known[5::10]))
         if min((label[used] == c).sum() for c in (0, 1)) < 1 or not len(held):
             return
-        for view, (x, y) in enumerate(zip(views, given, strict=True)):
+        for view, (x, y) in enumerate(zip((text, meta), given, strict=True)):
             taken = np.flatnonzero((label < 0) & (y >= 0))
-            m = fit_linear(x[np.append(used, taken)], np.append(label[used], y[taken]).astype(np.float32), before and before[view][0])
-            slope, offset = calibrate(m(x[held]), label[held])
+            m = fit_linear(x[order[np.append(used, taken)]], np.append(label[used], y[taken]).astype(np.float32), before and before[view][0])
+            slope, offset = calibrate(m(x[order[held]]), label[held])
             cols = [pa.array([view], pa.int32()), pa.array([m.weights.astype(float)], pa.list_(pa.float64())), *(pa.array([float(v)]) for v in (m.bias, slope, offset, (label[used] == 1).mean()))]
             yield pa.RecordBatch.from_arrays(cols, names=["view", "weights", "bias", "slope", "offset", "share"])
 
