@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, line_dedup, mixing, near_dedup, quality, sharding, suffix_dedup, warc
+from . import decontam, exact_dedup, filter_audit, langid, line_dedup, mixing, near_dedup, quality, sharding, suffix_dedup, warc, whitening
 from .storage import materialize
 from .text import word_count
 
@@ -137,6 +137,55 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("starts", "stops")
 
 
+@_query("op12_filter_audit")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op12_filter_audit"] = """
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+f AS (
+  SELECT part, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic,
+    CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > first THEN 'E' ELSE '' END AS fails
+  FROM w
+), g AS (SELECT part, fails, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+  WHERE a.x <> b.x AND a.x <> c.x AND a.x <> d.x AND a.x <> e.x AND b.x <> c.x AND b.x <> d.x AND b.x <> e.x AND c.x <> d.x AND c.x <> e.x AND d.x <> e.x
+), s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS x FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step) q),
+r AS (
+  SELECT g.part, s.filter_order, s.step, s.x,
+    sum(n) FILTER (WHERE translate(fails, substr(filter_order, 1, step), '') = fails) AS kept,
+    sum(n) FILTER (WHERE contains(fails, x) AND translate(fails, substr(filter_order, 1, step - 1), '') = fails) AS removed,
+    sum(n) FILTER (WHERE contains(fails, x) AND translate(fails, substr(filter_order, 1, step - 1), '') <> fails) AS redundant,
+    sum(n) FILTER (WHERE fails = x) AS unique_fails,
+    sum(n) FILTER (WHERE good AND contains(fails, x) AND translate(fails, substr(filter_order, 1, step - 1), '') = fails) AS good_lost,
+    sum(n) FILTER (WHERE toxic AND contains(fails, x) AND translate(fails, substr(filter_order, 1, step - 1), '') = fails) AS toxic_lost
+  FROM g, s GROUP BY ALL
+)
+SELECT part, filter_order, cast(step AS int) AS step, cast(coalesce(kept, 0) AS bigint) AS kept, cast(coalesce(removed, 0) AS bigint) AS removed,
+  cast(coalesce(redundant, 0) AS bigint) AS redundant, cast(coalesce(unique_fails, 0) AS bigint) AS unique_fails, cast(coalesce(good_lost, 0) AS bigint) AS good_lost,
+  cast(coalesce(toxic_lost, 0) AS bigint) AS toxic_lost, cast(sum(coalesce(removed, 0)) OVER (PARTITION BY part, x) AS bigint) AS shapley
+FROM r
+"""
+
+
+@_query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each remaining vector and component."""
+    out, model = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    n, error = (None, None) if model is None else (model.n, model.identity_error)
+    shares = F.array(*[F.lit(float(e / model.trace)) for e in model.eigenvalues]) if model is not None and len(model.eigenvalues) else F.array(F.lit(0.0))
+    rows = out.select("row.vec_id", F.expr("try_cast(deviation AS bigint)").alias("deviation"), F.posexplode("whitened").alias("k", "whitened"))
+    return rows.select(
+        "vec_id", (F.col("k") + 1).alias("component"), F.lit(n).cast("long").alias("n"), "deviation", "whitened", F.get(shares, F.col("k")).alias("explained"), F.lit(error).cast("double").alias("identity_error")
+    )
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TERMS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')".format(_LOWER)
 
