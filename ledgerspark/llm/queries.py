@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, filter_audit, langid, line_dedup, mixing, near_dedup, quality, sharding, suffix_dedup, warc, whitening
+from . import decontam, exact_dedup, filter_audit, langid, line_dedup, mixing, near_dedup, ngram_join, quality, sharding, suffix_dedup, warc, whitening
 from .storage import materialize
 from .text import word_count
 
@@ -137,6 +137,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("starts", "stops")
 
 
+@_query("op11_ngram_jaccard_join")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
 @_query("op12_filter_audit")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -254,16 +259,24 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, cast(k * {SHARDS} // n AS int) A
 """
 
 _WORDS = "regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+')".format(_LOWER)
-ORACLES["op4_minhash_near_dedup"] = f"""
+
+
+def _groups_sql(width: int, percent: int, columns: str) -> str:
+    """Sets of shingles, all pairs that share one, and what links reach."""
+    return f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-s0 AS (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0),
-s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM s0),
+s0 AS (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - {width - 1}, 1))) AS i FROM d WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + {width - 1}], ' ') AS g FROM s0),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
-e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 75 * (x.n + y.n - m)),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= {percent} * (x.n + y.n - m)),
 u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 reach(v, r) AS (SELECT doc_id, doc_id FROM n UNION SELECT u.b, reach.r FROM reach JOIN u ON u.a = reach.v),
 c AS (SELECT v, min(r) AS component_id FROM reach GROUP BY v)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id, coalesce(c.component_id, d.doc_id) = d.doc_id AS kept
-FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.v = d.doc_id
+SELECT {columns} FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.v = d.doc_id
 """
+
+
+_GROUP = "d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id"
+ORACLES["op4_minhash_near_dedup"] = _groups_sql(5, 75, f"{_GROUP}, coalesce(c.component_id, d.doc_id) = d.doc_id AS kept")
+ORACLES["op11_ngram_jaccard_join"] = _groups_sql(4, 85, _GROUP)
