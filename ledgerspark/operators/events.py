@@ -1,10 +1,10 @@
 """Economic events: repeated and amended observations of one trade folded into versions.
 
-A trade can only meet others of its filer that share its source id or its ticker. So the
-relational half finds, with plain columns, trades that meet nobody (each is an event of
-its own) and the smallest groups that it can tell apart; the ordered fold then streams
-Arrow batches sorted by group and time. It reads only what decides a match; everything
-else stays in Arrow and is taken by position.
+A trade can only meet others of its filer that share its source id, or its ticker and
+date, or a document that its filing amends. So the relational half finds trades that meet
+nobody (each is an event of its own) and the connected components of the others; the
+ordered fold then streams Arrow batches sorted by component and time. It reads only what
+decides a match; everything else stays in Arrow and is taken by position.
 """
 
 from __future__ import annotations
@@ -15,16 +15,21 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.functions import scalars as S
 from ledgerspark.schema import MEMBER_SOURCES
+from ledgerspark.scratch import delete, written
+
+from .linked import components
 
 _COPIED = [
     "chamber", "filer_first", "filer_last", "owner", "action", "partial_sale", "transaction_date", "ticker", "source_transaction_id", "asset_description",
     "comment", "asset_type_code", "asset_type_label", "amount_low", "amount_high", "member_id", "display_name", "identity_source",
 ]
+#: What orders trades of equal keys.
+_TIE = ["source_transaction_id", "owner", "action", "partial_sale", "transaction_date", "ticker", "asset_description", "comment", "asset_type_code", "asset_type_label", "amount_low", "amount_high"]
 VERSION_DDL = (
     "event_id string, version int, chamber string, filer_first string, filer_last string, owner string, action string, partial_sale boolean, transaction_date date, "
     "ticker string, source_transaction_id string, asset_description string, comment string, asset_type_code string, asset_type_label string, amount_low double, "
@@ -45,36 +50,61 @@ def amended_docs(filings: DataFrame) -> DataFrame:
     return day.join(filing_dates(filings), ["filer_key", "day"]).groupBy("chamber", F.col("doc").alias("doc_id")).agg(F.array_sort(F.collect_set("doc_id")).alias("amended"))
 
 
-def grouped(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``alone`` and ``part``: no trade of one ``filer_key, part`` can meet one of another.
+def held_keys(rows: DataFrame) -> DataFrame:
+    """``node, key, amends``: what each trade could share with others of its filer.
+
+    A key is a source id, a ticker with a date, or a document: the trade's own one, and,
+    where it has a ticker, those that its filing ``amends``.
+    """
+    key = lambda kind, *of: F.xxhash64("filer_key", F.lit(kind), *of)
+    plain = lambda k, known: F.when(known, F.struct(k.alias("key"), F.lit(False).alias("amends"), F.lit(False).alias("doc")))
+    own = F.array_compact(
+        F.array(
+            plain(key("id", "source_transaction_id"), F.col("source_transaction_id").isNotNull()),
+            plain(key("day", "ticker", "transaction_date"), F.col("ticker").isNotNull() & F.col("transaction_date").isNotNull()),
+            F.struct(key("doc", "doc_id").alias("key"), F.lit(False).alias("amends"), F.lit(True).alias("doc")),
+        )
+    )
+    docs = F.when(F.col("ticker").isNotNull() & F.col("amended").isNotNull(), F.transform("amended", lambda d: F.struct(key("doc", d).alias("key"), F.lit(True).alias("amends"), F.lit(True).alias("doc"))))
+    return rows.select("node", F.explode(F.concat(own, F.coalesce(docs, F.slice(own, 1, 0)))).alias("k")).select("node", "k.*")
+
+
+def parts(rows: DataFrame) -> DataFrame:
+    """``node, part`` of the trades that may meet others; no trade of one part can meet one of another.
 
-    A ticker under which no trade of the filer has a source id is a part, so is a source
-    id under which none has a ticker; the filer's other trades are one part. A trade is
-    alone where no other shares its ticker or its source id.
+    Trades meet where they share a source id or a ticker and date, and an amendment with a
+    ticker meets the trades of the documents that it amends, as an event is met through
+    any document that it was ever seen in. Parts are connected components over these
+    keys, so a filer of many trades falls into as many parts as they have to do with
+    each other. Only thin rows of hashes are counted and joined.
     """
-    by_ticker, by_id = Window.partitionBy("filer_key", "ticker"), Window.partitionBy("filer_key", "source_transaction_id")
-    ticker, source = F.col("ticker"), F.col("source_transaction_id")
-    rows = rows.withColumns({"_t": F.count(F.lit(1)).over(by_ticker), "_ids": F.count(source).over(by_ticker)})
-    rows = rows.withColumns({"_i": F.count(F.lit(1)).over(by_id), "_tickers": F.count(ticker).over(by_id)})
-    part = F.when(source.isNull() & (F.col("_ids") == 0), F.concat(F.lit("t"), ticker)).when(ticker.isNull() & (F.col("_tickers") == 0), F.concat(F.lit("i"), source)).otherwise(F.lit(""))
-    alone = (ticker.isNull() | (F.col("_t") == 1)) & (source.isNull() | (F.col("_i") == 1))
-    return rows.withColumns({"alone": alone, "part": part}).drop("_t", "_ids", "_i", "_tickers")
+    held, held_path = written(held_keys(rows), "held")
+    shared = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bool_or("amends").alias("amended"), F.bool_or("doc").alias("doc")).where("n > 1 and (amended or not doc)").select("key")
+    keys, keys_path = written(held.join(shared, "key").groupBy("node").agg(F.array_sort(F.collect_set("key")).alias("keys")), "keys")  # a trade's own keys
+    delete(held_path)
+    links = keys.where(F.size("keys") > 1).select(F.col("keys")[0].alias("a"), F.explode(F.slice("keys", 2, F.size("keys"))).alias("b"))
+    named = keys.select("node", F.col("keys")[0].alias("key")).join(components(links), "key", "left").select("node", F.coalesce("part", "key").alias("part"))
+    out, _ = written(named, "parts")
+    delete(keys_path)
+    return out
 
 
 @dataclass
-class _Open:
-    """An event that later trades may repeat or correct. Places are positions of trades in the fold."""
+class OpenEvent:
+    """An event that later trades may repeat or correct."""
 
     order: int
     name: str
-    first: int
-    current: int
+    first: object
+    at: object
     version: int
     source: str | None
     roles: tuple
     docs: set
     every_doc: set
     contributors: list = field(default_factory=list)
+    #: What the current version shows: a position, or the row itself.
+    shown: object = None
 
 
 def _differ(a: tuple, b: tuple) -> int:
@@ -86,35 +116,36 @@ _TICKER, _DATE = S.ROLES.index("ticker"), S.ROLES.index("transaction_date")
 _READ = ["filer_key", "part", "chamber", "doc_id", "row_index", "source_transaction_id", "available_at", "amended", *[f"role_{r}" for r in S.ROLES]]
 
 
-class _Fold:
-    """The versions of one group of trades, met in order."""
+class Fold:
+    """The open events of one group of trades, met in order."""
 
-    def __init__(self) -> None:
-        self.found: dict[tuple, dict[int, _Open]] = defaultdict(dict)
-        self.n = 0
-        #: Position of the trade, name, version, position of the event's first trade, of the trade that supersedes, contributors.
-        self.versions: dict[tuple[int, int], list] = {}
-        self.times: dict[int, object] = {}
-
-    def _file(self, e: _Open, remove: bool = False) -> None:
-        ticker, day = e.roles[_TICKER], e.roles[_DATE]
-        keys = [] if e.source is None else [(e.source,)]
-        keys += [] if ticker is None else [(ticker, None)] if day is None else [(ticker, None), (ticker, day)]
-        for key in keys:
+    def __init__(self, n: int = 0) -> None:
+        self.found: dict[tuple, dict[int, OpenEvent]] = defaultdict(dict)
+        self.n = n
+
+    @staticmethod
+    def keys_of(source: str | None, roles: tuple) -> list[tuple]:
+        """Under which an event is found, and a trade looks."""
+        ticker, day = roles[_TICKER], roles[_DATE]
+        keys = [] if source is None else [(source,)]
+        return keys + ([] if ticker is None else [(ticker, None)] if day is None else [(ticker, None), (ticker, day)])
+
+    def file(self, e: OpenEvent, remove: bool = False) -> None:
+        for key in self.keys_of(e.source, e.roles):
             if remove:
                 self.found[key].pop(e.order, None)
             else:
                 self.found[key][e.order] = e
 
-    def _earliest(self, keys: list[tuple], fits) -> _Open | None:
+    def _earliest(self, keys: list[tuple], fits) -> OpenEvent | None:
         events = {k: e for key in keys for k, e in self.found.get(key, {}).items()}
         return next((events[k] for k in sorted(events) if fits(events[k])), None)
 
-    def meet(self, at: int, chamber: str, doc: str, row: int, source: str | None, time: object, amended: list | None, roles: tuple) -> None:
+    def meet(self, shown: object, chamber: str, doc: str, row: int, source: str | None, time: object, amended: list | None, roles: tuple) -> tuple[str, OpenEvent]:
+        """What a trade is: ``again`` of an event, its ``next`` version, a version ``instead`` of the current one, or ``new``; and its event."""
         me, ticker, day = f"{doc}:{row}", roles[_TICKER], roles[_DATE]
-        self.times[at] = time
 
-        def free(e: _Open) -> bool:
+        def free(e: OpenEvent) -> bool:
             return doc not in e.docs and not (e.source and source and e.source != source)
 
         by_id = [] if source is None else [(source,)]
@@ -126,25 +157,44 @@ class _Fold:
             again.contributors.append(me)
             if again.source is None and source is not None:
                 again.source = source
-                self._file(again)
-            return
+                self.file(again)
+            return "again", again
         old = self._earliest(by_id, free)
         if old is None and amended and ticker is not None:
             days = set(amended)
             old = self._earliest([(ticker, None)], lambda e: free(e) and not days.isdisjoint(e.every_doc) and _differ(e.roles, roles) == 1)
         if old is None:
-            e = _Open(self.n, f"{chamber}:{me}", at, at, 1, source, roles, {doc}, {doc}, [me])
+            e = OpenEvent(self.n, f"{chamber}:{me}", time, time, 1, source, roles, {doc}, {doc}, [me], shown)
             self.n += 1
-        else:
-            e = old
-            self._file(e, remove=True)
-            if time > self.times[e.current]:  # else nobody could have read the version that this one replaces
-                self.versions[e.order, e.version][4] = at
-                e.version += 1
-            e.current, e.roles, e.docs, e.contributors, e.source = at, roles, {doc}, [me], source if e.source is None else e.source
-            e.every_doc.add(doc)
-        self._file(e)
-        self.versions[e.order, e.version] = [at, e.name, e.version, e.first, None, e.contributors]
+            self.file(e)
+            return "new", e
+        self.file(old, remove=True)
+        what = "next" if time > old.at else "instead"  # else nobody could have read the version that this one replaces
+        old.version += what == "next"
+        old.at, old.roles, old.docs, old.contributors, old.shown = time, roles, {doc}, [me], shown
+        old.source = source if old.source is None else old.source
+        old.every_doc.add(doc)
+        self.file(old)
+        return what, old
+
+
+class _Versions:
+    """The versions of one group of trades, by position."""
+
+    def __init__(self) -> None:
+        self.fold = Fold()
+        #: Position of the trade, name, version, position of the event's first trade, of the trade that supersedes, contributors.
+        self.rows: dict[tuple[int, int], list] = {}
+        self.first: dict[int, int] = {}
+
+    def meet(self, at: int, *trade) -> None:
+        what, e = self.fold.meet(at, *trade)
+        if what == "again":
+            return
+        if what == "next":
+            self.rows[e.order, e.version - 1][4] = at
+        first = self.first.setdefault(e.order, at)
+        self.rows[e.order, e.version] = [at, e.name, e.version, first, None, e.contributors]
 
 
 def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,19 +213,19 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         copied = table.select(range(len(_READ), table.num_columns)).take(pa.array(at, pa.int64())).combine_chunks()
         return pa.RecordBatch.from_arrays([*fixed, said, *(c.chunk(0) for c in copied.columns)], names=["event_id", "version", "first_available_at", "available_at", "superseded_at", "contributor_row_ids", *copied.column_names])
 
-    group, fold, start, n = None, _Fold(), 0, 0  # the open group, where it starts in what is held, and its trades
+    group, fold, start, n = None, _Versions(), 0, 0  # the open group, where it starts in what is held, and its trades
     held: list[pa.RecordBatch] = []
     done: list[list] = []
 
     def close() -> None:
-        done.extend([at + start, name, number, first + start, None if later is None else later + start, said] for at, name, number, first, later, said in fold.versions.values())
+        done.extend([at + start, name, number, first + start, None if later is None else later + start, said] for at, name, number, first, later, said in fold.rows.values())
 
     for batch in batches:
         held.append(batch)
         for filer, part, *said in zip(*(batch.column(i).to_pylist() for i in range(len(_READ))), strict=True):
             if (filer, part) != group:
                 close()
-                group, fold, start, n = (filer, part), _Fold(), start + n, 0
+                group, fold, start, n = (filer, part), _Versions(), start + n, 0
             fold.meet(n, *said[:6], tuple(said[6:]))
             n += 1
         if done:
@@ -186,7 +236,17 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield taken(held, done)
 
 
-_TIE = ["source_transaction_id", "owner", "action", "partial_sale", "transaction_date", "ticker", "asset_description", "comment", "asset_type_code", "asset_type_label", "amount_low", "amount_high"]
+#: Columns of a version that a trade gives it, besides its ticker.
+_GIVEN = [c for c in _COPIED if c != "ticker"]
+
+
+def observations(trades: DataFrame) -> DataFrame:
+    """Members' trades as the fold takes them: published columns, ``ticker`` and ``_roles``."""
+    url = F.col("source_url") if "source_url" in trades.columns else F.lit(None).cast("string")
+    return trades.where(F.col("identity_source").isin(MEMBER_SOURCES)).select(
+        *_GIVEN, "filer_key", "doc_id", "row_index", url.alias("source_url"), F.col("available_at").cast("timestamp").alias("available_at"),
+        S.event_ticker(F.col("printed_ticker"), F.col("resolved_ticker")).alias("ticker"), S.event_roles().alias("_roles"),
+    )
 
 
 def build_events(trades: DataFrame, filings: DataFrame) -> DataFrame:
@@ -198,26 +258,21 @@ def build_events(trades: DataFrame, filings: DataFrame) -> DataFrame:
     corrects the earliest one with its source id, or, if its filing amends a day, the
     earliest one with its ticker and exactly one other role that has a document of that
     day. Otherwise it opens an event. See scalars.event_roles() for unknown roles. Trades
-    that no other can meet become events without Python; the others go by filer and part
-    (see grouped()), and a part's rows are held until it ends.
+    that no other can meet become events without Python; the others go by component (see
+    parts()), whose rows are held until it ends.
     """
     names = [c.split()[0] for c in VERSION_DDL.split(", ")]
-    member = trades.where(F.col("identity_source").isin(MEMBER_SOURCES))
-    url = F.col("source_url") if "source_url" in trades.columns else F.lit(None).cast("string")
-    copied = [c for c in _COPIED if c != "ticker"]
-    shaped = member.select(
-        *copied, "filer_key", "doc_id", "row_index", url.alias("source_url"), F.col("available_at").cast("timestamp").alias("available_at"),
-        S.event_ticker(F.col("printed_ticker"), F.col("resolved_ticker")).alias("ticker"), S.event_roles().alias("_roles"),
-    )
-    rows = grouped(shaped)
+    shaped = observations(trades).withColumn("node", F.xxhash64("filer_key", "chamber", "doc_id", "row_index", *_TIE))
+    amending = amended_docs(filings)
+    met = parts(shaped.join(amending, ["chamber", "doc_id"], "left"))
     own: dict[str, Column] = {"source_doc_id": F.col("doc_id"), "source_row_index": F.col("row_index")}
-    alone = rows.where("alone").withColumns({
+    alone = shaped.join(met, "node", "left_anti").withColumns({
         **own, "event_id": F.concat_ws(":", "chamber", "doc_id", "row_index"), "version": F.lit(1), "first_available_at": F.col("available_at"), "superseded_at": F.lit(None).cast("timestamp"),
         "contributor_row_ids": F.to_json(F.array(F.concat_ws(":", "doc_id", "row_index"))),
     })
-    others = rows.where("not alone").join(amended_docs(filings), ["chamber", "doc_id"], "left")
+    others = shaped.join(met, "node").join(amending, ["chamber", "doc_id"], "left")
     others = others.withColumns({f"role_{r}": F.col("_roles")[r].cast("string") for r in S.ROLES})
-    behind = [*copied, "ticker", "source_url", *own]
+    behind = [*_GIVEN, "ticker", "source_url", *own]
     kinds = {f.name: f.dataType.simpleString() for f in others.withColumns(own).schema.fields}
     ddl = "event_id string, version int, first_available_at timestamp, available_at timestamp, superseded_at timestamp, contributor_row_ids string, filer_key string, " + ", ".join(f"{c} {kinds[c]}" for c in behind)
     # The columns behind _READ get names of their own, as some are read and copied.
