@@ -29,7 +29,7 @@ POOR = 3
 #: Partitions for each one that a set may leave its poor signatures out of.
 SPARE = 16
 #: Bits of a parity sketch for each difference that a link allows, and at most.
-SKETCH_BITS, MOST_BITS = 32, 1 << 16
+SKETCH_BITS, MOST_BITS = 8, 1 << 16
 #: Members up to which a bucket's pairs are all formed by a join.
 SMALL = 4
 #: Members of a larger bucket that one task meets at once, on either side.
@@ -59,6 +59,16 @@ def band_of(size: int, percent: int = PERCENT) -> tuple[int, np.ndarray]:
     return int(np.searchsorted(lows, size, "right")) - 1, lows
 
 
+@lru_cache(maxsize=4096)
+def _partitions(most: int, percent: int) -> tuple[int, int]:
+    k = most_differences(2 * most, percent)
+    if not k:
+        return 0, 0
+    need = k // (K2 + 1) + 1
+    spare = need // SPARE
+    return need + 2 * spare, spare
+
+
 def partitions(band: int, lows: np.ndarray, percent: int = PERCENT) -> tuple[int, int]:
     """Partitions of the domain for sets of a band or the one below, and poor signatures that a set may leave out.
 
@@ -67,47 +77,65 @@ def partitions(band: int, lows: np.ndarray, percent: int = PERCENT) -> tuple[int
     as many of them to spare as a set leaves out, one remains that neither left out.
     No partitions where different sets cannot be linked.
     """
-    k = most_differences(2 * (int(lows[band + 1]) - 1), percent)
-    if not k:
-        return 0, 0
-    need = k // (K2 + 1) + 1
-    spare = need // SPARE
-    return need + 2 * spare, spare
+    return _partitions(int(lows[band + 1]) - 1, percent)
 
 
-def _signed(s: np.ndarray, band: int, n1: int) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of a set in one band, and members that each is of.
+def _signed(members: np.ndarray, owner: np.ndarray, bands: np.ndarray, n1: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of many sets, each in one band, members that each is of, and bounds of each set's signatures.
 
     A member's hash deals it to a partition and to one of its N2 parts. The signature of
     a partition for each choice of N2 - K2 = 2 parts is a sum over their members, which
     is the partition's sum less one part's, mixed with band, partition and choice.
+    ``owner`` is the set of each member; ``bands`` and ``n1`` (partitions) are by set.
     """
-    g = mix(s + U((band + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-    cell = ((g >> U(32)) * U(n1) >> U(32)).astype(np.int64) * N2 + ((g & U(0xFFFFFFFF)) * U(N2) >> U(32)).astype(np.int64)
-    sums, counts = np.zeros(n1 * N2, U), np.bincount(cell, minlength=n1 * N2)
-    np.add.at(sums, cell, mix(s ^ U(0xD1B54A32D192ED03)))
-    sums, counts = sums.reshape(n1, N2), counts.reshape(n1, N2)
-    names = mix(np.arange(n1 * N2, dtype=U) + U(band << 40)).reshape(n1, N2)
-    return mix((sums.sum(axis=1, dtype=U, keepdims=True) - sums) ^ names).ravel(), (counts.sum(axis=1, keepdims=True) - counts).ravel()
+    first = np.concatenate([[0], np.cumsum(n1 * N2)])
+    g = mix(members + ((bands.astype(U) + U(1)) * U(0x9E3779B97F4A7C15))[owner])
+    cell = ((g >> U(32)) * n1.astype(U)[owner] >> U(32)).astype(np.int64) * N2 + ((g & U(0xFFFFFFFF)) * U(N2) >> U(32)).astype(np.int64) + first[:-1][owner]
+    sums, counts = np.zeros(first[-1], U), np.bincount(cell, minlength=first[-1])
+    np.add.at(sums, cell, mix(members ^ U(0xD1B54A32D192ED03)))
+    sums, counts = sums.reshape(-1, N2), counts.reshape(-1, N2)
+    sizes = n1 * N2
+    names = np.arange(first[-1], dtype=np.int64) - np.repeat(first[:-1], sizes) + np.repeat(bands.astype(np.int64) << 40, sizes)
+    return mix((sums.sum(axis=1, dtype=U, keepdims=True) - sums).ravel() ^ mix(names.view(U))), (counts.sum(axis=1, keepdims=True) - counts).ravel(), first
 
 
-def signatures(s: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """A set's signatures, for its band and the next, and which of them it keeps.
+def signatures_of(sets: list[np.ndarray], percent: int = PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each set's signatures, for its band and the next, and which of them it keeps.
 
     Any two different linked sets have a kept signature in common.
     """
-    band, lows = band_of(len(s), percent)
-    all_, kept = [np.zeros(0, U)], [np.zeros(0, bool)]
-    for b in (band, band + 1):
-        n1, spare = partitions(b, lows, percent)
-        if n1:
-            h, members = _signed(s, b, n1)
-            keep = np.ones(len(h), bool)
-            poorest = np.argsort(members, kind="stable")[:spare]
-            keep[poorest[members[poorest] < POOR]] = False
-            all_.append(h)
-            kept.append(keep)
-    return np.concatenate(all_), np.concatenate(kept)
+    plan = []
+    for i, s in enumerate(sets):
+        if len(s):
+            band, lows = band_of(len(s), percent)
+            plan += [(i, b, *partitions(b, lows, percent)) for b in (band, band + 1)]
+    plan = [x for x in plan if x[2]]
+    found: list[list] = [[] for _ in sets]
+    if plan:
+        sizes = np.array([len(sets[x[0]]) for x in plan])
+        h, members, first = _signed(
+            np.concatenate([sets[x[0]] for x in plan]), np.repeat(np.arange(len(plan)), sizes), np.array([x[1] for x in plan]), np.array([x[2] for x in plan])
+        )
+        keep = np.ones(len(h), bool)
+        poor = np.flatnonzero(members < POOR)
+        ends = np.searchsorted(poor, first)
+        for k, (_, _, _, spare) in enumerate(plan):
+            own = poor[ends[k] : ends[k + 1]]
+            if spare and len(own):
+                keep[own[np.argsort(members[own], kind="stable")[:spare]]] = False
+        for k, x in enumerate(plan):
+            found[x[0]].append(slice(first[k], first[k + 1]))
+    for at in found:
+        if at:
+            whole = slice(at[0].start, at[-1].stop)
+            yield h[whole], keep[whole]
+        else:
+            yield np.zeros(0, U), np.zeros(0, bool)
+
+
+def signatures(s: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """signatures_of() one set."""
+    return next(signatures_of([s], percent))
 
 
 def parity(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -130,18 +158,17 @@ def folded(sketch: np.ndarray, words: int) -> np.ndarray:
 _THIN_DDL = "row long, text_hash long, n_shingles long, d1 long, d2 long"
 
 
-def _sets(batch: pa.RecordBatch, column: int, width: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Row of the batch and distinct shingle hashes, for every row."""
+def _sets(batch: pa.RecordBatch, column: int, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """First row and distinct shingle hashes of the rows from there on, block by block."""
     for first, bounds, h, _, _ in word_hashes(batch.column(column), SPACED):
-        for k in range(len(bounds) - 1):
-            yield first + k, shingles(h[bounds[k] : bounds[k + 1]], width)
+        yield first, [shingles(h[bounds[k] : bounds[k + 1]], width) for k in range(len(bounds) - 1)]
 
 
 def _sizes(width: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, digests = np.zeros(len(batch), np.int64), np.zeros((len(batch), 2), np.int64)
-            for i, s in _sets(batch, 2, width):
+            for i, s in ((first + k, s) for first, sets in _sets(batch, 2, width) for k, s in enumerate(sets)):
                 sizes[i] = len(s)
                 digests[i] = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
             cols = [batch.column(0), batch.column(1), pa.array(sizes), pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy())]
@@ -156,12 +183,11 @@ def _namer(width: int, percent: int):
     def namer(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             uid = batch.column(0).to_pylist()
-            for i, s in _sets(batch, 1, width):
-                if len(s):
-                    h, kept = signatures(s, percent)
+            for first, sets in _sets(batch, 1, width):
+                for k, (h, kept) in enumerate(signatures_of(sets, percent)):
                     at = np.flatnonzero(kept)
                     if len(at):
-                        yield uid[i], h[at], None, at
+                        yield uid[first + k], h[at], None, at
 
     return namer
 
@@ -180,9 +206,10 @@ def _candidates(width: int, percent: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buckets, sketches = [np.zeros(0, U)] * len(batch), [np.zeros(0, U)] * len(batch)
-            for i, s in _sets(batch, 3, width):
-                buckets[i] = signatures(s, percent)[0][np.asarray(batch.column(2)[i].values)]
-                sketches[i] = parity(s, percent)
+            for first, sets in _sets(batch, 3, width):
+                for i, s, (h, _) in zip(range(first, first + len(sets)), sets, signatures_of(sets, percent), strict=True):
+                    buckets[i] = h[np.asarray(batch.column(2)[i].values)]
+                    sketches[i] = parity(s, percent)
             cols = [batch.column(0), batch.column(1), _lists(buckets), _lists(sketches), batch.column(3)]
             yield pa.RecordBatch.from_arrays(cols, names=["node", "n", "buckets", "sketch", "text"])
 
@@ -228,39 +255,60 @@ def _compare(width: int, percent: int):
     return work
 
 
+#: Sides of a row in a pair of blocks.
+_RIGHT, _LEFT, _BOTH = 0, 1, 2
+_MET = ["bucket", "x", "y", "side", "node", "comp", "n", "sketch"]
+
+
 def _meet(nearest: bool, percent: int):
-    """Pairs of two blocks of one bucket, in different components, whose sizes and sketches allow a link; only they leave the task."""
+    """Pairs within two blocks of a bucket, in different components, whose sizes and sketches allow a link; only they leave the task.
 
-    def columns(table: pa.Table) -> tuple[np.ndarray, ...]:
+    Rows _MET arrive sorted by bucket and blocks, and one pair of blocks is held.
+    """
+
+    def pairs(bucket: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
+        side, node, comp, n = (np.asarray(table[c]) for c in _MET[3:7])
         sketches = [np.asarray(v.values).view(U) for v in table["sketch"].combine_chunks()]
         words = min(map(len, sketches))
-        return (*(np.asarray(table[c]) for c in ("node", "comp", "n")), np.stack([folded(s, words) for s in sketches]))
-
-    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        bits_of = np.stack([folded(k, words) for k in sketches])
+        left, right = np.flatnonzero(side != _RIGHT), np.flatnonzero(side != _LEFT)
+        right = right[np.argsort(comp[right], kind="stable")]
+        ys, yc, yn, yk = node[right], comp[right], n[right], bits_of[right]
+        starts = np.flatnonzero(np.append(True, yc[1:] != yc[:-1])) if len(yc) else yc
         a, b = [], []
-        if len(left) and len(right):
-            (xs, xc, xn, xk), (ys, yc, yn, yk) = columns(left), columns(right)
-            words = min(xk.shape[1], yk.shape[1])
-            xk, yk = folded(xk, words), folded(yk, words)
-            order = np.argsort(yc, kind="stable")
-            ys, yc, yn, yk = ys[order], yc[order], yn[order], yk[order]
-            starts = np.flatnonzero(np.append(True, yc[1:] != yc[:-1]))
-            for i in range(len(xs)):
-                bits = np.bitwise_count(xk[i] ^ yk).sum(axis=1, dtype=np.int64)
-                near = (yc != xc[i]) & (bits * (100 + percent) <= (100 - percent) * (xn[i] + yn)) & (np.minimum(yn, xn[i]) * 100 >= np.maximum(yn, xn[i]) * percent)
-                if not near.any():
+        for i in left if len(right) else []:
+            bits = np.bitwise_count(bits_of[i] ^ yk).sum(axis=1, dtype=np.int64)
+            near = (yc != comp[i]) & (bits * (100 + percent) <= (100 - percent) * (n[i] + yn)) & (np.minimum(yn, n[i]) * 100 >= np.maximum(yn, n[i]) * percent)
+            if not near.any():
+                continue
+            if nearest:
+                far = np.where(near, bits, np.iinfo(np.int64).max)
+                least = np.minimum.reduceat(far, starts)
+                first = np.flatnonzero(near & (far == np.repeat(least, np.diff(np.append(starts, len(yc))))))
+                near = first[np.unique(yc[first], return_index=True)[1]]
+            a.append(np.minimum(node[i], ys[near]))
+            b.append(np.maximum(node[i], ys[near]))
+        if a:
+            a, b = np.concatenate(a), np.concatenate(b)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), bucket)), pa.array(a), pa.array(b)], names=["bucket", "a", "b"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        key = None
+        for batch in batches:
+            ids = np.stack([np.asarray(batch.column(i), dtype=np.int64) for i in range(3)])
+            cuts = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(batch)], strict=True):
+                if lo == hi:
                     continue
-                if nearest:
-                    far = np.where(near, bits, np.iinfo(np.int64).max)
-                    least = np.minimum.reduceat(far, starts)
-                    first = np.flatnonzero(near & (far == np.repeat(least, np.diff(np.append(starts, len(yc))))))
-                    near = first[np.unique(yc[first], return_index=True)[1]]
-                else:
-                    near = np.flatnonzero(near)
-                a.append(np.minimum(xs[i], ys[near]))
-                b.append(np.maximum(xs[i], ys[near]))
-        none = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])})
+                own = tuple(ids[:, lo].tolist())
+                if held and own != key:
+                    yield from pairs(key[0], pa.Table.from_batches(held))
+                    held = []
+                key = own
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield from pairs(key[0], pa.Table.from_batches(held))
 
     return work
 
@@ -296,7 +344,10 @@ class _Join:
         return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
     def across(self, large: DataFrame, comp: DataFrame, nearest: bool) -> DataFrame:
-        """Pairs of large buckets between components. Members of a bucket's largest component meet only the others."""
+        """``bucket, a, b``: pairs of large buckets between components. Members of a bucket's largest component meet only the others.
+
+        A bucket that gives no pair will give none later, as components only merge.
+        """
         placed = large.join(comp, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("comp"))
         placed = materialize(placed, "placed")
         per = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
@@ -304,16 +355,18 @@ class _Join:
         open_ = per.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("m"), F.sum("c").alias("size")).where("size > m.c")
         open_ = open_.select("bucket", F.col("m.comp").alias("main"), blocks(F.col("size") - F.col("m.c")).alias("xs"), blocks(F.col("size")).alias("ys"))
         open_ = materialize(open_, "open")
-        rows = placed.join(open_.hint("merge"), "bucket")
-        sketches = self.candidates.select("node", "n", "sketch")
         block = lambda c, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(c)).cast("int")
-        every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-        left = rows.where("comp <> main").withColumn("x", block("xs", 1)).withColumn("y", every("ys"))
-        right = rows.withColumn("y", block("ys", 2)).withColumn("x", every("xs"))
-        columns = ["bucket", "x", "y", "node", "comp", "n", "sketch"]
-        left, right = (d.join(sketches.hint("merge"), "node").select(*[F.col(c).alias(c) for c in columns]) for d in (left, right))
-        key = ["bucket", "x", "y"]
-        return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_meet(nearest, self.percent), "a long, b long").distinct()
+        every = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+        at = lambda x, y, side: F.struct(x.alias("x"), y.alias("y"), F.lit(side).alias("side"))
+        rest, one = F.col("comp") != F.col("main"), (F.col("xs") == 1) & (F.col("ys") == 1)
+        right = F.transform(every("xs"), lambda x: at(x, block("ys", 2), _RIGHT))
+        left = F.transform(every("ys"), lambda y: at(block("xs", 1), y, _LEFT))
+        places = F.when(one, F.array(F.when(rest, at(F.lit(0), F.lit(0), _BOTH)).otherwise(at(F.lit(0), F.lit(0), _RIGHT)))).when(rest, F.concat(left, right)).otherwise(right)
+        rows = placed.join(open_.hint("merge"), "bucket").select("bucket", "node", "comp", F.explode(places).alias("p"))
+        sketches = self.candidates.select("node", "n", "sketch")
+        rows = rows.join(sketches.hint("merge"), "node").select("bucket", "p.x", "p.y", "p.side", "node", "comp", "n", "sketch")
+        dealt = rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
+        return dealt.mapInArrow(_meet(nearest, self.percent), "bucket long, a long, b long")
 
     def links(self) -> DataFrame:
         """Links whose components are those of all links."""
@@ -323,17 +376,15 @@ class _Join:
         pairs = mine.join(other, "bucket").where("a < b").select("a", "b").union(self.hubs(large)).distinct()
         tested = materialize(self.possible(pairs), "tested")
         links = materialize(self.confirmed(tested), "links")
-        rounds = NEAREST_ROUNDS
-        while True:
-            more = self.across(large, materialize(components(links), "comp"), nearest=rounds > 0)
-            more = materialize(more.join(tested, ["a", "b"], "left_anti"), "more")
-            found = not more.isEmpty()
-            if found:
-                links = links.union(materialize(self.confirmed(more), "links"))
-                tested = tested.union(more)
-            if not rounds:
-                return links
-            rounds = rounds - 1 if found else 0
+        for nearest in [True] * NEAREST_ROUNDS + [False]:
+            met = materialize(self.across(large, materialize(components(links), "comp"), nearest), "met")
+            more = materialize(met.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "more")
+            links = links.union(materialize(self.confirmed(more), "links"))
+            tested = tested.union(more)
+            large = materialize(large.join(met.select("bucket").distinct(), "bucket", "left_semi"), "open-members")
+            if large.isEmpty():
+                break
+        return links
 
 
 def _decided(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
