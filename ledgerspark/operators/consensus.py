@@ -172,25 +172,6 @@ def parse_reads(requested: DataFrame, responses: DataFrame) -> DataFrame:
     return j.select("source_id", error.alias("error"), F.when(error.isNull(), rows).otherwise(F.array().cast("array<string>")).alias("rows"))
 
 
-def kept_dates(reconciled: DataFrame, read_a: DataFrame) -> DataFrame:
-    """Reconciled rows with the first read's date where they have none: ``source_id, row_idx, day``.
-
-    Both: ``source_id, row_idx, labels array<int>, day``. Rows belong together when they
-    share a label; the first such row of the first read counts.
-    """
-    r = reconciled.select("source_id", "row_idx", "day", F.explode_outer("labels").alias("label"))
-    a = read_a.select("source_id", F.col("row_idx").alias("_i"), F.col("day").alias("_day"), F.explode("labels").alias("label"))
-    j = r.join(a, ["source_id", "label"], "left").groupBy("source_id", "row_idx").agg(F.first("day").alias("day"), F.min(F.when(F.col("_i").isNotNull(), F.struct("_i", "_day"))).alias("_m"))
-    return j.select("source_id", "row_idx", F.coalesce("day", F.col("_m._day")).alias("day"))
-
-
-def repair_queue(rows: DataFrame, reads: DataFrame) -> DataFrame:
-    """Sources that get one more read: a row without an asset, or neither rows nor an error. ``rows``: ``source_id, asset``."""
-    blank = rows.where("asset is null or trim(asset) = ''").select("source_id")
-    empty = reads.where("error is null").select("source_id").join(rows.select("source_id").distinct(), "source_id", "left_anti")
-    return blank.union(empty).distinct()
-
-
 def reconcile_queue(disputed: DataFrame, findings: DataFrame) -> DataFrame:
     """Pages to reconcile: disputed ones and those with a date finding."""
     return disputed.select("filing_id", "page").union(findings.select("filing_id", "page")).distinct()

@@ -29,7 +29,7 @@ _COPIED = [
     "comment", "asset_type_code", "asset_type_label", "amount_low", "amount_high", "member_id", "display_name", "identity_source",
 ]
 #: What orders trades of equal keys.
-_TIE = ["source_transaction_id", "owner", "action", "partial_sale", "transaction_date", "ticker", "asset_description", "comment", "asset_type_code", "asset_type_label", "amount_low", "amount_high"]
+TIE = ["source_transaction_id", "owner", "action", "partial_sale", "transaction_date", "ticker", "asset_description", "comment", "asset_type_code", "asset_type_label", "amount_low", "amount_high"]
 VERSION_DDL = (
     "event_id string, version int, chamber string, filer_first string, filer_last string, owner string, action string, partial_sale boolean, transaction_date date, "
     "ticker string, source_transaction_id string, asset_description string, comment string, asset_type_code string, asset_type_label string, amount_low double, "
@@ -105,6 +105,8 @@ class OpenEvent:
     contributors: list = field(default_factory=list)
     #: What the current version shows: a position, or the row itself.
     shown: object = None
+    #: Version, time, contributors and row of the version before.
+    before: tuple | None = None
 
 
 def _differ(a: tuple, b: tuple) -> int:
@@ -169,6 +171,7 @@ class Fold:
             self.file(e)
             return "new", e
         self.file(old, remove=True)
+        old.before = (old.version, old.at, old.contributors, old.shown)
         what = "next" if time > old.at else "instead"  # else nobody could have read the version that this one replaces
         old.version += what == "next"
         old.at, old.roles, old.docs, old.contributors, old.shown = time, roles, {doc}, [me], shown
@@ -237,14 +240,14 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 #: Columns of a version that a trade gives it, besides its ticker.
-_GIVEN = [c for c in _COPIED if c != "ticker"]
+GIVEN = [c for c in _COPIED if c != "ticker"]
 
 
 def observations(trades: DataFrame) -> DataFrame:
     """Members' trades as the fold takes them: published columns, ``ticker`` and ``_roles``."""
     url = F.col("source_url") if "source_url" in trades.columns else F.lit(None).cast("string")
     return trades.where(F.col("identity_source").isin(MEMBER_SOURCES)).select(
-        *_GIVEN, "filer_key", "doc_id", "row_index", url.alias("source_url"), F.col("available_at").cast("timestamp").alias("available_at"),
+        *GIVEN, "filer_key", "doc_id", "row_index", url.alias("source_url"), F.col("available_at").cast("timestamp").alias("available_at"),
         S.event_ticker(F.col("printed_ticker"), F.col("resolved_ticker")).alias("ticker"), S.event_roles().alias("_roles"),
     )
 
@@ -262,7 +265,7 @@ def build_events(trades: DataFrame, filings: DataFrame) -> DataFrame:
     parts()), whose rows are held until it ends.
     """
     names = [c.split()[0] for c in VERSION_DDL.split(", ")]
-    shaped = observations(trades).withColumn("node", F.xxhash64("filer_key", "chamber", "doc_id", "row_index", *_TIE))
+    shaped = observations(trades).withColumn("node", F.xxhash64("filer_key", "chamber", "doc_id", "row_index", *TIE))
     amending = amended_docs(filings)
     met = parts(shaped.join(amending, ["chamber", "doc_id"], "left"))
     own: dict[str, Column] = {"source_doc_id": F.col("doc_id"), "source_row_index": F.col("row_index")}
@@ -272,13 +275,13 @@ def build_events(trades: DataFrame, filings: DataFrame) -> DataFrame:
     })
     others = shaped.join(met, "node").join(amending, ["chamber", "doc_id"], "left")
     others = others.withColumns({f"role_{r}": F.col("_roles")[r].cast("string") for r in S.ROLES})
-    behind = [*_GIVEN, "ticker", "source_url", *own]
+    behind = [*GIVEN, "ticker", "source_url", *own]
     kinds = {f.name: f.dataType.simpleString() for f in others.withColumns(own).schema.fields}
     ddl = "event_id string, version int, first_available_at timestamp, available_at timestamp, superseded_at timestamp, contributor_row_ids string, filer_key string, " + ", ".join(f"{c} {kinds[c]}" for c in behind)
     # The columns behind _READ get names of their own, as some are read and copied.
-    given = others.select(*_READ, F.col("filer_key").alias("_filer_key"), *[{**own}.get(c, F.col(c)).alias(f"_{c}") for c in behind], *[F.col(c).alias(f"__{c}") for c in _TIE])
-    dealt = given.repartition("filer_key", "part").sortWithinPartitions("filer_key", "part", "available_at", "chamber", "doc_id", "row_index", *[f"__{c}" for c in _TIE])
-    folded = dealt.drop(*[f"__{c}" for c in _TIE]).mapInArrow(_folded, ddl.replace("filer_key", "_filer_key").replace(", ".join(f"{c} {kinds[c]}" for c in behind), ", ".join(f"_{c} {kinds[c]}" for c in behind)))
+    given = others.select(*_READ, F.col("filer_key").alias("_filer_key"), *[{**own}.get(c, F.col(c)).alias(f"_{c}") for c in behind], *[F.col(c).alias(f"__{c}") for c in TIE])
+    dealt = given.repartition("filer_key", "part").sortWithinPartitions("filer_key", "part", "available_at", "chamber", "doc_id", "row_index", *[f"__{c}" for c in TIE])
+    folded = dealt.drop(*[f"__{c}" for c in TIE]).mapInArrow(_folded, ddl.replace("filer_key", "_filer_key").replace(", ".join(f"{c} {kinds[c]}" for c in behind), ", ".join(f"_{c} {kinds[c]}" for c in behind)))
     folded = folded.withColumnsRenamed({f"_{c}": c for c in ["filer_key", *behind]})
     return alone.select(*names).unionByName(folded.select(*names))
 

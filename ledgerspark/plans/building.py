@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.operators import events as E
 from ledgerspark.operators import identity as ID
 from ledgerspark.operators import normalize as N
+from ledgerspark.scratch import shared_path
+from ledgerspark.streaming import availability as A
+from ledgerspark.streaming.flows import open_stream
 
 from .analysis import _REASON, extracted
 from .registry import Lake, query
@@ -242,11 +246,33 @@ _FOLD_SQL = f"""
       cast(transaction_date AS varchar) AS traded, strftime(first_at, '%Y-%m-%d %H:%M:%S') AS first_seen, strftime(available_at, '%Y-%m-%d %H:%M:%S') AS seen, strftime(e.at, '%Y-%m-%d %H:%M:%S') AS until
     FROM begun b JOIN said s ON s.filer_key = b.filer_key AND s.idx = b.idx AND s.run = b.run LEFT JOIN ends e ON e.filer_key = b.filer_key AND e.idx = b.idx AND e.ver = b.ver + 1 WHERE latest = 1
 """
-query("events_build", f"WITH {_FOLD_SQL.strip()}", ("trades",), recursive=True)(
-    lambda k: E.build_events(k.trades.withColumn("source_url", F.concat(F.lit("doc/"), "doc_id")), k.filings)
-    .withColumns({"traded": F.col("transaction_date").cast("string"), **{a: F.date_format(b, "yyyy-MM-dd HH:mm:ss") for a, b in (("first_seen", "first_available_at"), ("seen", "available_at"), ("until", "superseded_at"))}})
-    .drop("transaction_date", "first_available_at", "available_at", "superseded_at")
-)
+
+
+def _said(events: DataFrame) -> DataFrame:
+    """Event versions with their times as text."""
+    text = {"traded": F.col("transaction_date").cast("string"), **{a: F.date_format(b, "yyyy-MM-dd HH:mm:ss") for a, b in (("first_seen", "first_available_at"), ("seen", "available_at"), ("until", "superseded_at"))}}
+    return events.withColumns(text).drop("transaction_date", "first_available_at", "available_at", "superseded_at")
+
+
+_SOURCED = lambda trades: trades.withColumn("source_url", F.concat(F.lit("doc/"), "doc_id"))
+query("events_build", f"WITH {_FOLD_SQL.strip()}", ("trades",), recursive=True)(lambda k: _said(E.build_events(_SOURCED(k.trades), k.filings)))
+_REFILED_SQL = f"WITH {_FOLD_SQL.strip().replace('FROM filings', 'FROM refilings').replace('FROM trades', 'FROM retraded')}"
+query("events_refiled", _REFILED_SQL, ("retraded", "refilings"), recursive=True)(lambda k: _said(E.build_events(_SOURCED(k.retraded), k.refilings)))
+
+
+def _streamed(k: Lake) -> DataFrame:
+    """The events of trades that arrive in three parts, as files of a stream."""
+    spark = k.spark
+    A.state_store(spark)
+    arriving = A.arrivals(_SOURCED(k.retraded), k.refilings)
+    folder, out, state = (shared_path(spark, t) for t in ("arrivals", "changes", "changes-state"))
+    for year, until in ((0, 1994), (1994, 1996), (1996, 9999)):
+        arriving.where(F.year("available_at").between(year, until - 1)).coalesce(1).write.mode("append").parquet(folder)
+    A.follow(open_stream(spark, folder), out, state)
+    return A.current(spark.read.parquet(out)).select(*[c.split()[0] for c in E.VERSION_DDL.split(", ")])
+
+
+query("events_stream", _REFILED_SQL, ("retraded", "refilings"), recursive=True)(lambda k: _said(_streamed(k)))
 query(
     "migrate_comment",
     """

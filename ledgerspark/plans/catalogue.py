@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import analysis, audit, building, extraction, io  # noqa: F401 - they register their queries
+from . import analysis, audit, building, extraction, io, repairs  # noqa: F401 - they register their queries
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

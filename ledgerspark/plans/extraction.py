@@ -251,11 +251,12 @@ def _page_rows(k: Lake, turn: int):
     return _rows(k).where(F.col("read_idx") == turn).select(F.col("source_id").alias("filing_id"), (F.col("row_idx") % 3).alias("page"), "sig")
 
 
-_read_query(
-    "disputed_pages",
-    _SQL_ROWS + """, p AS (SELECT source_id AS filing_id, cast((i - 1) % 3 AS int) AS page, w, read_idx, count(*) AS n FROM rw WHERE read_idx < 2 GROUP BY ALL)
+query(
+    "disputed_pages_whole",
+    _SQL_ROWS.replace("FROM reads", "FROM whole_reads") + """, p AS (SELECT source_id AS filing_id, cast((i - 1) % 3 AS int) AS page, w, read_idx, count(*) AS n FROM rw WHERE read_idx < 2 GROUP BY ALL)
     SELECT DISTINCT coalesce(a.filing_id, b.filing_id) AS filing_id, coalesce(a.page, b.page) AS page FROM (SELECT * FROM p WHERE read_idx = 0) a FULL JOIN (SELECT * FROM p WHERE read_idx = 1) b ON a.filing_id = b.filing_id AND a.page = b.page AND a.w = b.w WHERE a.n IS DISTINCT FROM b.n""",
-)(lambda k: C.disputed_pages(_page_rows(k, 0), _page_rows(k, 1)))
+    ("whole_reads",),
+)(lambda k: C.disputed_pages(_page_rows(_WholeReads(k.spark, k.sf_dir), 0), _page_rows(_WholeReads(k.spark, k.sf_dir), 1)))
 _read_query(
     "page_shortfalls",
     _SQL_ROWS + """, p AS (SELECT source_id AS filing_id, cast((i - 1) % 3 AS int) AS page, read_idx, count(*) AS n FROM rw GROUP BY ALL)
@@ -286,25 +287,6 @@ def _parse_query(name: str, span: str, form: str, sql_form: str):
 
 _parse_query("parse_reads", "hour", "yyyy-MM-dd HH", "%Y-%m-%d %H")
 _parse_query("parse_reads_all", "day", "yyyy-MM-dd", "%Y-%m-%d")
-query(
-    "kept_dates",
-    """
-    WITH a AS (SELECT user_id, event_id AS i, event_id % 6 AS l, cast(ts AS date) AS d FROM stream WHERE event_id % 2 = 0), r AS (SELECT user_id, event_id AS i, event_id % 6 AS l, CASE WHEN event_id % 5 > 0 THEN cast(ts AS date) END AS d FROM stream WHERE event_id % 2 = 1),
-    rl AS (SELECT user_id, i, d, unnest([l, (l + 1) % 6]) AS label FROM r), j AS (SELECT rl.user_id, rl.i, rl.d, a.i AS ai, a.d AS ad FROM rl LEFT JOIN a ON a.user_id = rl.user_id AND a.l = rl.label)
-    SELECT cast(user_id AS varchar) AS source_id, i AS row_idx, cast(coalesce(any_value(d), arg_min(ad, ai)) AS varchar) AS day FROM j GROUP BY 1, 2
-    """,
-    ("stream",),
-)(
-    lambda k: C.kept_dates(
-        k.stream.where("event_id % 2 = 1").selectExpr("cast(user_id as string) AS source_id", "event_id AS row_idx", "array(event_id % 6, (event_id % 6 + 1) % 6) AS labels", "CASE WHEN event_id % 5 > 0 THEN cast(ts AS date) END AS day"),
-        k.stream.where("event_id % 2 = 0").selectExpr("cast(user_id as string) AS source_id", "event_id AS row_idx", "array(event_id % 6) AS labels", "cast(ts AS date) AS day"),
-    ).withColumn("day", F.col("day").cast("string"))
-)
-query(
-    "repair_queue",
-    "SELECT DISTINCT source_id FROM reads WHERE read_idx % 3 = 0 AND length(text) % 5 = 0 UNION SELECT source_id FROM reads WHERE NOT failed AND source_id NOT IN (SELECT source_id FROM reads WHERE read_idx % 3 = 0)",
-    (_READS,),
-)(lambda k: C.repair_queue(k.reads.where("read_idx % 3 = 0").select("source_id", F.when(F.char_length("text") % 5 == 0, " ").otherwise(F.col("text")).alias("asset")), _reads(k)))
 query(
     "reconcile_queue",
     _SQL_ROWS + " SELECT DISTINCT source_id AS filing_id, cast(1 AS int) AS page FROM reads WHERE read_idx = 0 UNION SELECT DISTINCT source_id, cast(read_idx AS int) FROM reads WHERE length(text) % 7 = 0",

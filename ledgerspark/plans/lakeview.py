@@ -71,6 +71,22 @@ SELECT chamber || ':' || doc_id || ':' || cast(row_index AS string) || ':' || ca
 FROM trades
 """
 
+#: Filings and trades of which a quarter is filed again: repeated, corrected, at the same instant or 30 days later, amending the first filing or not.
+VIEWS["refilings"] = """
+SELECT chamber, doc_id, filer_key, filing_date, report_date, amended_report_date, available_at FROM filings
+UNION ALL
+SELECT chamber, 'R' || doc_id, filer_key, filing_date + 30, cast(NULL AS date), CASE WHEN cast(doc_id AS bigint) % 8 < 4 THEN filing_date END, CASE WHEN cast(doc_id AS bigint) % 16 = 0 THEN available_at ELSE available_at + interval 30 days END
+FROM filings WHERE cast(doc_id AS bigint) % 4 = 0
+"""
+_AGAIN = "filer_first, filer_last, owner, action, partial_sale, transaction_date, {at} AS available_at, asset_description, printed_ticker, resolved_ticker, comment, asset_type_code, asset_type_label, amount_low, {high} AS amount_high, filer_key, member_id, display_name, identity_source"
+VIEWS["retraded"] = f"""
+SELECT chamber, doc_id, row_index, source_transaction_id, {_AGAIN.format(at="available_at", high="amount_high")} FROM trades
+UNION ALL
+SELECT chamber, 'R' || doc_id, row_index, CASE WHEN row_index % 2 = 0 THEN source_transaction_id END,
+  {_AGAIN.format(at="CASE WHEN cast(doc_id AS bigint) % 16 = 0 THEN available_at ELSE available_at + interval 30 days END", high="CASE WHEN row_index % 3 = 0 THEN 77777.0E0 ELSE amount_high END")}
+FROM trades WHERE cast(doc_id AS bigint) % 4 = 0
+"""
+
 #: The line index a lake must contain, receipts of a round, and trades as a Spark input of the fold.
 VIEWS["indexed"] = """
 SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'senate' ELSE 'house' END AS chamber,
@@ -136,6 +152,11 @@ SELECT cast(o_orderkey AS string) AS doc_id, CASE WHEN o_orderkey % 3 = 0 THEN '
   cast(o_orderdate AS date) AS filing_date
 FROM {orders}
 """
+#: A filing's trades as the lines of a scanned table: two a page, four a window.
+VIEWS["read_lines"] = """
+SELECT doc_id AS filing_id, filing_date + 200 AS filed_on, cast(row_number() OVER (PARTITION BY doc_id ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS int) AS label,
+  l_partkey, l_suppkey, l_linenumber, transaction_date AS transaction, transaction_date + cast(l_quantity AS int) AS notification, asset_description FROM trades
+"""
 VIEWS["stream"] = "SELECT event_id, ts, user_id, event_type, value, props FROM {events}"
 
 _BASE = re.compile(r"\{(\w+)\}")
