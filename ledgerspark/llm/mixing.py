@@ -15,6 +15,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 #: No source is taken more often than this.
 MOST = 2.0
+#: Documents over this share of their source's target are taken a whole number of times that is chosen for them, the LARGEST of each source at most.
+CERTAIN, LARGEST = 0.01, 512
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -60,6 +62,33 @@ def _crossed(k: Column, rate: Column, offset: Column) -> Column:
     return F.least(n, F.ceil(rate))
 
 
+def certain_copies(placed: DataFrame) -> DataFrame:
+    """``_source, sure array<long>, sure_size, sure_words``: copies of each source's large documents, largest first.
+
+    They go from the largest to the smallest, each taken its expected copies rounded up or
+    down, whichever leaves the words so far nearer to what is expected of them. A source's
+    array has LARGEST entries at most. ``placed``: ``_source, target, source_size,
+    source_rows, size, k`` with ``k`` the place in the source by size.
+    """
+    large = placed.where((F.col("size") > 0) & (F.col("size") > F.col("target") * CERTAIN) & (F.col("k") > F.col("source_rows") - LARGEST))
+    rate = F.col("target") / F.col("source_size")
+    each = large.groupBy("_source").agg(F.reverse(F.array_sort(F.collect_list(F.struct("k", "size")))).alias("docs"), F.max(rate).alias("rate"))
+    lower = F.floor("rate")
+
+    def take(acc: Column, d: Column) -> Column:
+        due = acc["due"] + d["size"] * F.col("rate")
+        n = F.when(F.abs(due - d["size"] * (lower + 1)) < F.abs(due - d["size"] * lower), F.least(lower + 1, F.ceil("rate"))).otherwise(lower)
+        return F.struct((due - n * d["size"]).alias("due"), F.concat(acc["sure"], F.array(n.cast("long"))).alias("sure"))
+
+    start = F.struct(F.lit(0.0).alias("due"), F.array().cast("array<long>").alias("sure"))
+    each = each.withColumn("sure", F.aggregate("docs", start, take)["sure"])
+    add = lambda a, x: a + x
+    zero = F.lit(0).cast("long")
+    return each.select(
+        "_source", "sure", F.aggregate("docs", zero, lambda a, d: a + d["size"]).alias("sure_size"), F.aggregate(F.zip_with("docs", "sure", lambda d, n: d["size"] * n), zero, add).alias("sure_words")
+    )
+
+
 def systematic_mix(
     docs: DataFrame,
     size: Column,
@@ -73,12 +102,14 @@ def systematic_mix(
 ) -> DataFrame:
     """``docs`` with ``size, source_size, target, copies, taken`` for every row.
 
-    Every document of a source expects ``target / source_size`` copies. The documents of
-    a source are ordered by size and id, these expectations are summed along that order
-    from an offset in [0, 1), and a document is taken once for every integer its own
-    step crosses. So copies differ by at most one inside a source, the order by size
-    keeps the taken words within one largest document of the target, and a rerun takes
-    the same. The offset is one seeded draw for each source.
+    Every document of a source expects ``target / source_size`` copies. Documents whose
+    size is a large part of the target are given whole copies (see certain_copies()), and
+    what the target then lacks is what the others expect, evenly. These are ordered by
+    size and id, their expectations are summed along that order from an offset in [0, 1),
+    and a document is taken once for every integer its own step crosses. So the order by
+    size keeps the taken words within one document of the target that is no large part of
+    it, as long as a source has such documents, and a rerun takes the same. The offset
+    is one seeded draw for each source.
 
     The prefix sum needs each row's rank in its source. That is its rank in the whole
     table ordered by source, size and id, which is computed by range partitions, so one
@@ -91,15 +122,21 @@ def systematic_mix(
     ranked = globally_ranked(rows, [F.col(source_col).asc_nulls_last(), F.col("size"), F.col(id_col), *map(F.col, ties)], "mix")
     targets = materialize(source_targets(ranked.select(F.col(source_col).alias("source"), "size"), weights, share, most), "targets")
     t = targets.withColumnRenamed("source", "_source")
-    placed = ranked.join(t, F.col(source_col).eqNullSafe(F.col("_source")))
-    k = (F.col(RANK) - F.col("first_rank") + 1).cast("double")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    named = F.col(source_col).eqNullSafe(F.col("_source"))
+    k = F.col(RANK) - F.col("first_rank") + 1
+    sure = materialize(certain_copies(ranked.join(t, named).select("_source", "target", "source_size", "source_rows", "size", k.alias("k"))), "certain")
+    t = t.join(sure.withColumnRenamed("_source", "_name"), F.col("_source").eqNullSafe(F.col("_name")), "left").drop("_name")
+    placed = ranked.join(t, named).withColumn("_k", k)
+    rest = F.col("source_size") - F.coalesce("sure_size", F.lit(0))
+    rate = F.when(rest > 0, (F.col("target") - F.coalesce("sure_words", F.lit(0))) / rest).otherwise(F.lit(0.0))
+    rate = F.least(F.greatest(rate, F.lit(0.0)), F.lit(float(most)))
     # Multiples of 2^-20 stay exact when whole numbers are added.
     offset = F.pmod(F.xxhash64(F.lit(seed), F.coalesce("_source", F.lit("")), F.col("_source").isNull()), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    chosen = F.get(F.col("sure"), (F.col("source_rows") - F.col("_k")).cast("int"))
     return (
-        placed.withColumn("copies", _crossed(k, rate, offset).cast("long"))
+        placed.withColumn("copies", F.coalesce(chosen, _crossed(F.col("_k").cast("double"), rate, offset).cast("long")))
         .withColumn("taken", F.col("copies") * F.col("size"))
-        .drop("_source", "source_rows", "first_rank", RANK, TOTAL)
+        .drop("_source", "source_rows", "first_rank", "_k", "sure", "sure_size", "sure_words", RANK, TOTAL)
     )
 
 

@@ -34,8 +34,8 @@ SKETCH_BITS, MOST_BITS = 8, 1 << 16
 SMALL = 4
 #: Members of a larger bucket that one task meets at once, on either side.
 BLOCK = 1024
-#: Rounds in which a set meets only its nearest of each other component.
-NEAREST_ROUNDS = 2
+#: Rounds in which a set meets only its nearest of each other component, before it meets all that are left.
+NEAREST_ROUNDS = 1
 
 
 def most_differences(sizes: int, percent: int = PERCENT) -> int:
@@ -368,23 +368,26 @@ class _Join:
         dealt = rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
         return dealt.mapInArrow(_meet(nearest, self.percent), "bucket long, a long, b long")
 
-    def links(self) -> DataFrame:
-        """Links whose components are those of all links."""
+    def groups(self) -> DataFrame:
+        """``node, component`` of every candidate with a link."""
         members = materialize(self.members(), "members")
         small, large = members.where(F.col("size") <= SMALL), members.where(F.col("size") > SMALL)
         mine, other = small.select("bucket", F.col("node").alias("a")), small.select("bucket", F.col("node").alias("b"))
         pairs = mine.join(other, "bucket").where("a < b").select("a", "b").union(self.hubs(large)).distinct()
         tested = materialize(self.possible(pairs), "tested")
-        links = materialize(self.confirmed(tested), "links")
+        comp = materialize(components(materialize(self.confirmed(tested), "links")), "comp")
         for nearest in [True] * NEAREST_ROUNDS + [False]:
-            met = materialize(self.across(large, materialize(components(links), "comp"), nearest), "met")
+            met = materialize(self.across(large, comp, nearest), "met")
+            if met.isEmpty():
+                break
             more = materialize(met.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "more")
-            links = links.union(materialize(self.confirmed(more), "links"))
+            links = materialize(self.confirmed(more), "links")
+            if not links.isEmpty():
+                stars = comp.select(F.col("node").alias("a"), F.col("component").alias("b"))  # the same components
+                comp = materialize(components(stars.union(links)), "comp")
             tested = tested.union(more)
             large = materialize(large.join(met.select("bucket").distinct(), "bucket", "left_semi"), "open-members")
-            if large.isEmpty():
-                break
-        return links
+        return comp
 
 
 def _decided(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
@@ -406,9 +409,7 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, width: int, percent: i
         wanted = materialize(named.join(shared, "uid").drop("uid"), "shared")
         texts = with_partner(rows, wanted, KEY).join(wanted.hint("merge"), KEY).dropDuplicates(KEY).select("node", "n", "positions", "text")
         candidates = materialize(texts.mapInArrow(_candidates(width, percent), _CANDIDATE_DDL), "candidates")
-        links = _Join(candidates, width, percent).links()
-
-        comp = materialize(components(links), "groups")
+        comp = _Join(candidates, width, percent).groups()
         linked = classes.select(*digest, "node", "least").join(comp, "node")
         best = materialize(linked.groupBy("component").agg(F.min("least").alias("best")), "best")  # written, so that the join's hot groups can be split
         labelled = linked.join(best.hint("merge"), "component").select(*digest, "best")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -109,6 +110,51 @@ def test_mixing(spark):
     assert mixing.mixed_documents(odd.limit(0), size_).count() == 0
 
 
+def plain_mix(spark, rows, size, targets, total):
+    """Copies by id: large documents one after the other, the others by prefix sums."""
+    of = {}
+    for i, _, _, s, _ in rows:
+        of.setdefault(s, []).append((size[i], i))
+    names = spark.createDataFrame([(s,) for s in of], "s string")
+    offset = dict(map(tuple, names.selectExpr("s", "pmod(xxhash64(17, coalesce(s, ''), s is null), 1048576) / 1048576D").collect()))
+    copies = {}
+    for s, docs in of.items():
+        docs.sort()
+        rate, due = targets[s] / total[s], 0.0
+        large = [d for d in docs[-mixing.LARGEST :] if d[0] > 0 and d[0] > mixing.CERTAIN * targets[s]]
+        for n, i in reversed(large):
+            due += n * rate
+            low = math.floor(rate)
+            copies[i] = min(low + 1, math.ceil(rate)) if abs(due - n * (low + 1)) < abs(due - n * low) else low
+            due -= copies[i] * n
+        rest = docs[: len(docs) - len(large)]
+        left = sum(n for n, _ in rest)
+        rate = min(2.0, max(0.0, (targets[s] - sum(copies[i] * n for n, i in large)) / left)) if left else 0.0
+        before = math.floor(offset[s])
+        for k, (_, i) in enumerate(rest, 1):
+            upto = math.floor(k * rate + offset[s])
+            copies[i] = min(upto - before, math.ceil(rate))
+            before = upto
+    return copies
+
+
+def test_mixing_against_a_plain_loop(spark):
+    rows = mix_rows(800)
+    docs = spark.createDataFrame(rows, DOCS)
+    size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t, *_ in rows}
+    total = {}
+    for i, _, _, s, _ in rows:
+        total[s] = total.get(s, 0) + size[i]
+    got = mixing.systematic_mix(docs, queries.word_count(F.col("text"))).collect()
+    assert {g.doc_id: g.copies for g in got} == plain_mix(spark, rows, size, targets_by_hand(total), total)
+
+
+def test_mixing_comes_within_two_percent_of_every_target(spark):
+    got = queries.QUERIES["op10_mixing"](spark, "/root/testdata/sf0.01")
+    worst = got.groupBy("source").agg((F.abs(F.sum("taken") - F.first("target")) / F.first("target")).alias("miss")).agg(F.max("miss")).first()[0]
+    assert worst < 0.02, worst
+
+
 def test_mixing_edges(spark):
     assert mixing.systematic_mix(spark.createDataFrame([], DOCS), F.lit(1)).count() == 0
     none = spark.createDataFrame([(1, None, None, None, 0), (2, "", None, "a", 0)], DOCS)
