@@ -21,7 +21,7 @@ DATED = r"\d{1,2}/\d{1,2}/\d{2,4}"
 WORD_LETTERS, CONFIDENCE = 3, 80
 MIN_REFERENCE_LETTERS, SHORTFALL = 40, 0.5
 DECISIVE_LETTERS, DECISIVE_RATIO = 20, 2
-WINDOW_LABELS, WINDOW_TABLE_ROWS, REQUEST_TABLE_ROWS, REQUEST_ATTACHMENTS = 120, 20, 40, 10
+WINDOW_LABELS, WINDOW_TABLE_ROWS = 120, 20
 CONTEXT_PAGES = 2
 
 
@@ -163,7 +163,7 @@ def merge_gaps(marks: DataFrame, windows: DataFrame, fills: DataFrame) -> tuple[
     """``(marks, problems)`` with gap reads merged in.
 
     ``fills``: ``source_id, gap_first, tx, label, role``; their transactions get numbers
-    of their own. A fill's continuations extend the one transaction that holds the row
+    of their own, beyond those of any read. A fill's continuations extend the one transaction that holds the row
     above the gap, or stay continuations when the gap opens the window; no or several
     such transactions are a problem.
     """
@@ -174,7 +174,7 @@ def merge_gaps(marks: DataFrame, windows: DataFrame, fills: DataFrame) -> tuple[
     conts = opening.where("role = 'cont' and not _opens").join(owners, ["source_id", "gap_first"], "left")
     extended = conts.where("_n = 1").select("source_id", F.col("_owner").alias("tx"), "label", F.lit("row").alias("role"))
     problems = conts.where("_n is null or _n > 1").select("source_id", (F.col("gap_first") - 1).alias("label"), F.when(F.col("_n").isNull(), "no transaction").otherwise("more than one transaction").alias("holders")).distinct()
-    plain = opening.where("role <> 'cont' or _opens").select("source_id", F.when(F.col("role") == "row", F.col("gap_first") * 1000 + F.col("tx")).alias("tx"), "label", "role")
+    plain = opening.where("role <> 'cont' or _opens").select("source_id", F.when(F.col("role") == "row", F.shiftleft(F.col("gap_first").cast("long"), 32) + F.col("tx")).alias("tx"), "label", "role")
     return marks.select("source_id", "tx", "label", "role").unionByName(extended).unionByName(plain).distinct(), problems
 
 
@@ -262,21 +262,3 @@ def window_attachments(windows: DataFrame, lines: DataFrame, pages: DataFrame, m
         F.when(whole, F.lit(1)).otherwise(F.greatest(F.lit(1), F.col("_a") - 1)).alias("page_start"), F.when(whole, F.col("total_pages")).otherwise(F.least("total_pages", F.col("_b") + 1)).alias("page_end"),
         "total_pages", F.coalesce("table_rows", F.lit(0).cast("long")).alias("table_rows"),
     )
-
-
-def _pack(rows: int, attachments: int):
-    def work(parts: pd.DataFrame) -> pd.DataFrame:
-        request, used, n, out = 0, 0, 0, []
-        for size in parts.sort_values(["source_id"])["rows"]:
-            if n and (used + size > rows or n == attachments):
-                request, used, n = request + 1, 0, 0
-            used, n = used + size, n + 1
-            out.append(request)
-        return parts.sort_values(["source_id"]).assign(request=out)[["batch", "source_id", "rows", "request"]]
-
-    return work
-
-
-def pack_requests(attachments: DataFrame, rows: int = REQUEST_TABLE_ROWS, most: int = REQUEST_ATTACHMENTS) -> DataFrame:
-    """``batch, source_id, rows, request``: attachments of a batch filled into requests in order."""
-    return attachments.groupBy("batch").applyInPandas(_pack(rows, most), "batch long, source_id string, rows long, request long")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.operators import consensus as C
 from ledgerspark.operators import ocr as O
+from ledgerspark.operators import packing as P
 from ledgerspark.scratch import shared_path
 
 from .registry import Lake, query
@@ -139,7 +140,7 @@ query(
     _with(f""", g AS (SELECT source_id, min(label) AS gap_first FROM ({_OWED}) o GROUP BY 1),
     own AS (SELECT g.source_id, g.gap_first, count(DISTINCT m.tx) AS n, min(m.tx) AS tx FROM g LEFT JOIN marks m ON m.source_id = g.source_id AND m.role = 'row' AND m.label = g.gap_first - 1 GROUP BY 1, 2)
     SELECT source_id, tx, label, role FROM marks UNION SELECT o.source_id, o.tx, o.gap_first, 'row' FROM own o JOIN windows w USING (source_id) WHERE o.n = 1 AND o.gap_first <> w.first
-    UNION SELECT o.source_id, NULL, o.gap_first, 'cont' FROM own o JOIN windows w USING (source_id) WHERE o.gap_first = w.first UNION SELECT source_id, cast(gap_first * 1000 + 1 AS int), cast(gap_first + 1 AS int), 'row' FROM g"""),
+    UNION SELECT o.source_id, NULL, o.gap_first, 'cont' FROM own o JOIN windows w USING (source_id) WHERE o.gap_first = w.first UNION SELECT source_id, cast(gap_first AS bigint) * 4294967296 + 1, cast(gap_first + 1 AS int), 'row' FROM g"""),
     _OCR,
 )(lambda k: O.merge_gaps(marks(k), windows(k), fills(k))[0])
 query(
@@ -182,24 +183,44 @@ def _attachments(k: Lake):
     return O.window_attachments(O.plan_windows(numbered, 15, 6, 3), numbered, k.ocr, 3)
 
 
-query(
-    "window_attachments",
-    f"""WITH {_CUT_SQL.replace('{labels}', '15').replace('{tables}', '6').replace('{pages}', '3')},
+_ATTACHED = f"""WITH {_CUT_SQL.replace('{labels}', '15').replace('{tables}', '6').replace('{pages}', '3')},
     total AS (SELECT filing_id, max(page) AS total_pages FROM ocr GROUP BY 1),
-    j AS (SELECT t.*, source_id, first, last, a, b, table_rows, count(source_id) OVER (PARTITION BY t.filing_id) AS n FROM total t LEFT JOIN planned p ON p.filing_id = t.filing_id)
-    SELECT filing_id AS source_id, filing_id, first, last, 1 AS page_start, total_pages AS page_end, total_pages, coalesce(table_rows, 0) AS table_rows FROM j WHERE n = 0 OR (n = 1 AND total_pages <= 3)
-    UNION ALL SELECT source_id, filing_id, first, last, greatest(1, a - 1), least(total_pages, b + 1), total_pages, table_rows FROM j WHERE NOT (n = 0 OR (n = 1 AND total_pages <= 3))""",
+    j AS (SELECT t.*, source_id, first, last, a, b, table_rows, count(source_id) OVER (PARTITION BY t.filing_id) AS n FROM total t LEFT JOIN planned p ON p.filing_id = t.filing_id),
+    att AS (SELECT filing_id AS source_id, filing_id, first, last, 1 AS page_start, total_pages AS page_end, total_pages, coalesce(table_rows, 0) AS table_rows FROM j WHERE n = 0 OR (n = 1 AND total_pages <= 3)
+    UNION ALL SELECT source_id, filing_id, first, last, greatest(1, a - 1), least(total_pages, b + 1), total_pages, table_rows FROM j WHERE NOT (n = 0 OR (n = 1 AND total_pages <= 3)))"""
+query("window_attachments", f"{_ATTACHED} SELECT * FROM att", _OCR, recursive=True)(_attachments)
+
+# Requests as SQL: where one that begins at an attachment would end, and the chain of those that do begin.
+_PACKED = """,
+    ord AS (SELECT *, row_number() OVER (ORDER BY {order}) AS k FROM att),
+    acc AS (SELECT *, {sums} FROM ord),
+    nx AS (SELECT a.k, min(b.k) AS nk FROM acc a JOIN acc b ON b.k > a.k AND b.k <= a.k + {most} AND (b.k = a.k + {most} OR {over}) GROUP BY 1),
+    req AS (SELECT cast(1 AS bigint) AS k, cast(0 AS bigint) AS request UNION ALL SELECT nk, request + 1 FROM req JOIN nx ON nx.k = req.k)
+    SELECT {columns}, req.request FROM acc ASOF JOIN req ON acc.k >= req.k"""
+_ARRIVAL = "cast(filing_id AS bigint), coalesce(first, 0)"
+
+
+def _packed_sql(weights: dict[str, tuple[str, str]], most: int, columns: str) -> str:
+    """``weights``: expression, and condition on ``b`` under which the sum from ``a`` on, ``s``, is too much, by name."""
+    sums = ", ".join(f"{x} AS {n}, sum({x}) OVER (ORDER BY k) AS upto_{n}" for n, (x, _) in weights.items())
+    over = " OR ".join(test.format(s=f"(b.upto_{n} - a.upto_{n} + a.{n})") for n, (_, test) in weights.items())
+    return _ATTACHED + _PACKED.format(order=_ARRIVAL, sums=sums, most=most, over=over, columns=columns)
+
+
+_order = [F.col("filing_id").cast("bigint"), F.coalesce("first", F.lit(0))]
+query("pack_requests", _packed_sql({"rows": ("cast(greatest(1, table_rows) AS bigint)", "{s} > 40")}, 10, "source_id, rows"), _OCR, recursive=True)(
+    lambda k: P.text_requests(_attachments(k), _order).select("source_id", "rows", "request")
+)
+query(
+    "page_requests",
+    _packed_sql({"pages": ("cast(page_end - page_start + 1 AS bigint)", "{s} > 10"), "rows": ("cast(CASE WHEN cast(filing_id AS bigint) % 3 > 0 THEN ceil(table_rows * 2 * (page_end - page_start + 1) / total_pages) ELSE 0 END AS bigint)", "(b.rows > 0 AND {s} > 40)")}, 5, "source_id, pages, rows"),
     _OCR, recursive=True,
-)(_attachments)
+)(lambda k: P.page_requests(_attachments(k).withColumn("estimated_rows", F.expr("CASE WHEN cast(filing_id AS bigint) % 3 > 0 THEN table_rows * 2 END")), _order, most=5).select("source_id", "pages", "rows", "request"))
 query(
-    "pack_requests",
-    _with(""", parts AS (SELECT cast(filing_id AS bigint) AS batch, source_id, cast(last - first + 1 AS bigint) AS rows, row_number() OVER (PARTITION BY filing_id ORDER BY source_id) AS k FROM windows),
-    st AS (SELECT batch, k, source_id, rows, cast(0 AS bigint) AS request, rows AS used, 1 AS n FROM parts WHERE k = 1
-      UNION ALL SELECT batch, k, source_id, rows, CASE WHEN cut THEN request + 1 ELSE request END, CASE WHEN cut THEN rows ELSE used + rows END, CASE WHEN cut THEN 1 ELSE n + 1 END
-      FROM (SELECT p.*, s.request, s.used, s.n, s.used + p.rows > 40 OR s.n = 10 AS cut FROM st s JOIN parts p ON p.batch = s.batch AND p.k = s.k + 1) q)
-    SELECT batch, source_id, rows, request FROM st"""),
+    "source_read_requests",
+    _packed_sql({"rows": ("cast(greatest(1, table_rows) AS bigint)", "{s} > 40"), "images": ("cast(coalesce(first, 0) % 4 AS bigint)", "{s} > 6")}, 8, "source_id, rows, images"),
     _OCR, recursive=True,
-)(lambda k: O.pack_requests(windows(k).select(F.col("filing_id").cast("bigint").alias("batch"), "source_id", (F.col("last") - F.col("first") + 1).cast("long").alias("rows"))))
+)(lambda k: P.source_read_requests(_attachments(k).withColumn("images", F.coalesce("first", F.lit(0)) % 4), _order, images=6, most=8).select("source_id", "rows", F.col("images").cast("long").alias("images"), "request"))
 
 # Consensus: conversations as sources, turns as reads, words as rows.
 _READS = "reads"

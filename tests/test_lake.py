@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark import schema
 from ledgerspark.functions import scalars as S
-from ledgerspark.operators import consensus, identity, integrity, ocr, resume
+from ledgerspark.operators import consensus, identity, integrity, ocr, packing, resume
 from ledgerspark.operators.store import LakeStore
 from ledgerspark.sources import readers
 
@@ -92,15 +92,15 @@ def test_coverage_and_gap_merge(spark):
     fill = spark.createDataFrame([("a", 4, None, 4, "cont"), ("a", 4, 1, 5, "row")], "source_id string, gap_first int, tx int, label int, role string")
     merged, problems = ocr.merge_gaps(m, w, fill)
     assert problems.count() == 0 and ocr.coverage_gaps(w, merged).count() == 0
-    assert {(r.tx, r.label) for r in merged.where("role = 'row' and source_id = 'a'").collect()} == {(1, 2), (1, 3), (1, 4), (4001, 5)}
+    assert {(r.tx, r.label) for r in merged.where("role = 'row' and source_id = 'a'").collect()} == {(1, 2), (1, 3), (1, 4), ((4 << 32) + 1, 5)}
 
 
 def test_planners(spark):
     lines = spark.createDataFrame([("f", i, i % 2 == 0) for i in range(1, 26)], "filing_id string, label int, is_table boolean")
     got = sorted((r.first, r.last) for r in ocr.plan_windows(lines, labels=10, table_rows=4).collect())
     assert got[0] == (1, 9) and got[-1][1] == 25 and all(b[0] == a[1] + 1 for a, b in zip(got, got[1:], strict=False))
-    parts = spark.createDataFrame([(1, f"s{i}", 15) for i in range(5)], "batch long, source_id string, rows long")
-    assert sorted(r.request for r in ocr.pack_requests(parts).collect()) == [0, 0, 1, 1, 2]
+    parts = spark.createDataFrame([(f"s{i}", 15) for i in range(5)], "source_id string, table_rows long")
+    assert sorted(r.request for r in packing.text_requests(parts, [parts.source_id]).collect()) == [0, 0, 1, 1, 2]
 
 
 def test_votes_and_decisions(spark):
