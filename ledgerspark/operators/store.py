@@ -9,6 +9,7 @@ handled by the driver.
 from __future__ import annotations
 
 import json
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,16 +17,25 @@ from pyspark.sql import functions as F
 
 from ledgerspark.operators.events import build_events
 from ledgerspark.schema import IDENTITY, SORT
+from ledgerspark.scratch import delete, written
 
 TABLES = ("political_filings", "political_trades", "political_trade_events")
 KEY = ["chamber", "doc_id"]
 
 
+#: Times that an upsert starts again from a version that another writer committed first.
+ATTEMPTS = 8
+
+
+class Conflict(RuntimeError):
+    """Another writer committed the version first."""
+
+
 class LakeStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
+        self._jvm = spark.sparkContext._jvm
+        self._path = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def _versions(self) -> list[int]:
@@ -34,72 +44,117 @@ class LakeStore:
         names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.root))]
         return sorted(int(n[9:-5]) for n in names if n.startswith("manifest-") and n.endswith(".json"))
 
-    def manifest(self) -> dict[str, dict[str, str]]:
-        """Directory of each table and year in the current version."""
-        v = self._versions()
-        if not v:
+    def version(self) -> int:
+        """The current version, 0 for an empty lake."""
+        return (self._versions() or [0])[-1]
+
+    def manifest(self, version: int | None = None) -> dict[str, dict[str, str]]:
+        """Directory of each table and year in a version, the current one by default."""
+        n = self.version() if version is None else version
+        if not n:
             return {t: {} for t in TABLES}
-        return json.loads(self.spark.read.text(f"{self.root}/manifest-{v[-1]}.json", wholetext=True).first()[0])
+        return json.loads(self.spark.read.text(f"{self.root}/manifest-{n}.json", wholetext=True).first()[0])
 
-    def _commit(self, manifest: dict) -> None:
-        """Publish a manifest as the next version; fails if another writer took it."""
-        n = (self._versions() or [0])[-1] + 1
-        staged = self._path(f"{self.root}/.staged-{uuid.uuid4().hex}")
+    def _commit(self, manifest: dict, base: int) -> None:
+        """Publish a manifest as the version after ``base``, which only one writer can: Conflict if another has.
+
+        The file is whole before it gets its name, and gets it only if nobody has it: by a
+        hard link on a local disk, elsewhere by a rename, which must refuse an existing
+        target, as HDFS's does.
+        """
+        staged, final = (self._path(f"{self.root}/{n}") for n in (f".staged-{uuid.uuid4().hex}", f"manifest-{base + 1}.json"))
         out = self._fs.create(staged)
         out.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
         out.close()
-        final = self._path(f"{self.root}/manifest-{n}.json")
-        if self._fs.exists(final) or not self._fs.rename(staged, final):
+        try:
+            if self._fs.getUri().getScheme() == "file":
+                os.link(*(p.toUri().getPath() for p in (staged, final)))
+            elif not self._fs.rename(staged, final):
+                raise FileExistsError
+        except FileExistsError:
+            raise Conflict(f"version {base + 1} was committed by another writer") from None
+        finally:
             self._fs.delete(staged, False)
-            raise RuntimeError(f"version {n} was committed by another writer")
 
-    def read(self, table: str, years: list[int] | None = None) -> DataFrame | None:
-        """A table, or only some of its years: other years' files are not listed at all."""
-        dirs = [d for y, d in sorted(self.manifest()[table].items()) if years is None or int(y) in years]
+    def _read(self, manifest: dict, table: str, years: list[int] | None = None) -> DataFrame | None:
+        dirs = [d for y, d in sorted(manifest[table].items()) if years is None or int(y) in years]
         return self.spark.read.parquet(*[f"{self.root}/{d}" for d in dirs]) if dirs else None
 
-    def publish(self, tables: dict[str, DataFrame], years: dict[str, list[int]] | None = None) -> None:
-        """Write tables, or only the given years of them, and commit. A year without rows leaves the manifest."""
-        run, manifest = uuid.uuid4().hex, self.manifest()
+    def read(self, table: str, years: list[int] | None = None) -> DataFrame | None:
+        """A table, or only some of its years: other years' files are not listed at all."""
+        return self._read(self.manifest(), table, years)
+
+    def _write(self, run: str, table: str, df: DataFrame) -> dict[str, str]:
+        """Directories by year of ``df``, written as files of the size that Spark advises."""
+        staging = f"data/{table}/run={run}"
+        df.withColumn("year", F.year("available_at")).hint("rebalance", "year").sortWithinPartitions("year", *SORT).write.partitionBy("year").parquet(f"{self.root}/{staging}")
+        found = [s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.root}/{staging}")) if s.isDirectory()]
+        return {n.removeprefix("year="): f"{staging}/{n}" for n in found if n.startswith("year=")}
+
+    def publish(self, tables: dict[str, DataFrame], years: dict[str, list[int]] | None = None, base: int | None = None) -> None:
+        """Write tables, or only the given years of them, and commit on top of version ``base`` (default: the current one). A year without rows leaves the manifest."""
+        base = self.version() if base is None else base
+        run, manifest = uuid.uuid4().hex, self.manifest(base)
         for table, df in tables.items():
             only = None if years is None else years.get(table)
-            dated = df.withColumn("year", F.year("available_at"))
-            if only is not None:
-                dated = dated.where(F.col("year").isin(only))
-            staging = f"data/{table}/run={run}"
-            (
-                dated.repartition("year", F.pmod(F.xxhash64(*KEY[:1], SORT[0]), F.lit(8))).sortWithinPartitions("year", *SORT)
-                .write.partitionBy("year").parquet(f"{self.root}/{staging}")
-            )
-            found = {s.getPath().getName().removeprefix("year="): f"{staging}/{s.getPath().getName()}" for s in self._fs.listStatus(self._path(f"{self.root}/{staging}")) if s.isDirectory()}
             kept = {} if only is None else {y: d for y, d in manifest[table].items() if int(y) not in only}
-            manifest[table] = {**kept, **found}
-        self._commit(manifest)
+            manifest[table] = {**kept, **self._write(run, table, df if only is None else df.where(F.year("available_at").isin(only)))}
+        try:
+            self._commit(manifest, base)
+        except Conflict:
+            for table in tables:
+                self._fs.delete(self._path(f"{self.root}/data/{table}/run={run}"), True)
+            raise
+
+    def _changed(self, base: int, filings: DataFrame, trades: DataFrame) -> tuple[dict[str, DataFrame], dict[str, list[int]], list[str]]:
+        """Tables in the years that change, these years, and scratch paths to delete."""
+        manifest = self.manifest(base)
+        old = {t: self._read(manifest, t) for t in TABLES}
+        keys = filings.select(*KEY).distinct()
+        touched = filings.select("filer_key")
+        if old["political_filings"] is not None:
+            touched = touched.union(old["political_filings"].join(keys, KEY, "left_semi").select("filer_key"))
+        touched, path = written(touched.distinct(), "touched")
+        theirs = lambda df: df.join(touched, "filer_key", "left_semi")
+        new = {"political_filings": filings, "political_trades": trades}
+        rest = {t: old[t].join(keys, KEY, "left_anti") for t in new if old[t] is not None}
+        whole = {t: theirs(rest[t]).unionByName(theirs(df), allowMissingColumns=True) if t in rest else theirs(df) for t, df in new.items()}
+        events, events_path = written(build_events(whole["political_trades"], whole["political_filings"]), "rebuilt")
+        new["political_trade_events"] = events
+        tables, years = {}, {}
+        for table, df in new.items():
+            lost = None if old[table] is None else theirs(old[table]) if df is events else old[table].join(keys, KEY, "left_semi")
+            dated = lambda d: d.select(F.year("available_at").alias("y"))
+            years[table] = [r.y for r in (dated(df) if lost is None else dated(df).union(dated(lost))).distinct().collect()]
+            before = self._read(manifest, table, years[table])
+            if before is None:
+                tables[table] = df
+            elif df is events:
+                tables[table] = before.join(touched, "filer_key", "left_anti").unionByName(df, allowMissingColumns=True)
+            else:
+                tables[table] = before.join(keys, KEY, "left_anti").unionByName(df, allowMissingColumns=True)
+        return tables, years, [path, events_path]
 
     def upsert(self, filings: DataFrame, trades: DataFrame) -> None:
         """Replace whole filings and their trades, and rebuild the events of the filers concerned.
 
-        Filings and trades are rewritten in the years touched; events in all years, as a
-        correction may supersede a version of any year.
+        Of each table only the years are read and written in which a replaced or a new row
+        lies; for events those of the filers' old and new versions, as a correction may
+        supersede a version of any year. Other years keep their files. If another writer
+        commits meanwhile, the upsert starts again from that version, so both survive;
+        after ATTEMPTS it gives up with Conflict. Nothing changes before the commit.
         """
-        old = {t: self.read(t) for t in TABLES}
-        keys = filings.select(*KEY).distinct()
-        merged = {}
-        for table, new in (("political_filings", filings), ("political_trades", trades)):
-            merged[table] = new if old[table] is None else old[table].join(keys, KEY, "left_anti").unionByName(new, allowMissingColumns=True)
-        touched = filings.select("filer_key")
-        if old["political_filings"] is not None:
-            touched = touched.union(old["political_filings"].join(keys, KEY, "left_semi").select("filer_key"))
-        touched = touched.distinct()
-        new_events = build_events(merged["political_trades"].join(touched, "filer_key", "left_semi"), merged["political_filings"].join(touched, "filer_key", "left_semi"))
-        events = new_events if old["political_trade_events"] is None else old["political_trade_events"].join(touched, "filer_key", "left_anti").unionByName(new_events, allowMissingColumns=True)
-        years = {}
-        for table, new in (("political_filings", filings), ("political_trades", trades)):
-            y = new.select(F.year("available_at").alias("y"))
-            if old[table] is not None:
-                y = y.union(old[table].join(keys, KEY, "left_semi").select(F.year("available_at").alias("y")))
-            years[table] = [r.y for r in y.distinct().collect()]
-        self.publish({**merged, "political_trade_events": events}, years)
+        for attempt in range(1, ATTEMPTS + 1):
+            base = self.version()
+            tables, years, paths = self._changed(base, filings, trades)
+            try:
+                self.publish(tables, years, base)
+                return
+            except Conflict:
+                if attempt == ATTEMPTS:
+                    raise
+            finally:
+                delete(*paths)
 
     def reidentify(self, identities: DataFrame) -> int:
         """Give filings and trades new identities where they differ; returns how many filings moved, and writes nothing for none."""

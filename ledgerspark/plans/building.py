@@ -211,7 +211,7 @@ _ROLE_SQL = {
 _CONFLICTS = " + ".join(f"coalesce(cast(e.r_{r} <> t.r_{r} AS int), 0)" for r in _ROLE_SQL)
 _FREE = "NOT list_contains(e.docs, t.doc_id) AND coalesce(e.src = t.source_transaction_id, true)"
 _STATE = ", ".join(f"r_{r} := {{0}}.r_{r}" for r in _ROLE_SQL)
-_FOLD_SQL = f"""
+FOLD_SQL = f"""
     days AS (SELECT filer_key, filing_date AS day, doc_id FROM filings UNION SELECT filer_key, report_date, doc_id FROM filings WHERE report_date IS NOT NULL),
     am AS (SELECT f.chamber, f.doc_id, list(d.doc_id) AS amended FROM filings f JOIN days d ON d.filer_key = f.filer_key AND d.day = f.amended_report_date GROUP BY 1, 2),
     t AS (SELECT t.*, coalesce(am.amended, []) AS amended, {", ".join(f"{x} AS r_{r}" for r, x in _ROLE_SQL.items())},
@@ -248,16 +248,16 @@ _FOLD_SQL = f"""
 """
 
 
-def _said(events: DataFrame) -> DataFrame:
+def said(events: DataFrame) -> DataFrame:
     """Event versions with their times as text."""
     text = {"traded": F.col("transaction_date").cast("string"), **{a: F.date_format(b, "yyyy-MM-dd HH:mm:ss") for a, b in (("first_seen", "first_available_at"), ("seen", "available_at"), ("until", "superseded_at"))}}
     return events.withColumns(text).drop("transaction_date", "first_available_at", "available_at", "superseded_at")
 
 
 _SOURCED = lambda trades: trades.withColumn("source_url", F.concat(F.lit("doc/"), "doc_id"))
-query("events_build", f"WITH {_FOLD_SQL.strip()}", ("trades",), recursive=True)(lambda k: _said(E.build_events(_SOURCED(k.trades), k.filings)))
-_REFILED_SQL = f"WITH {_FOLD_SQL.strip().replace('FROM filings', 'FROM refilings').replace('FROM trades', 'FROM retraded')}"
-query("events_refiled", _REFILED_SQL, ("retraded", "refilings"), recursive=True)(lambda k: _said(E.build_events(_SOURCED(k.retraded), k.refilings)))
+query("events_build", f"WITH {FOLD_SQL.strip()}", ("trades",), recursive=True)(lambda k: said(E.build_events(_SOURCED(k.trades), k.filings)))
+_REFILED_SQL = f"WITH {FOLD_SQL.strip().replace('FROM filings', 'FROM refilings').replace('FROM trades', 'FROM retraded')}"
+query("events_refiled", _REFILED_SQL, ("retraded", "refilings"), recursive=True)(lambda k: said(E.build_events(_SOURCED(k.retraded), k.refilings)))
 
 
 def _streamed(k: Lake) -> DataFrame:
@@ -272,7 +272,7 @@ def _streamed(k: Lake) -> DataFrame:
     return A.current(spark.read.parquet(out)).select(*[c.split()[0] for c in E.VERSION_DDL.split(", ")])
 
 
-query("events_stream", _REFILED_SQL, ("retraded", "refilings"), recursive=True)(lambda k: _said(_streamed(k)))
+query("events_stream", _REFILED_SQL, ("retraded", "refilings"), recursive=True)(lambda k: said(_streamed(k)))
 query(
     "migrate_comment",
     """

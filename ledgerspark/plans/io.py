@@ -12,6 +12,7 @@ from ledgerspark.sources import readers as RD
 from ledgerspark.operators.normalize import senate_title
 from ledgerspark.streaming import flows as FL
 
+from .building import FOLD_SQL, said
 from .registry import Lake, query
 
 _DAY = "strftime(filing_date, '%m/%d/%Y')"
@@ -156,11 +157,20 @@ query("manifest_scan", "SELECT doc_id, chamber, extraction_status FROM filings W
 )
 
 
-def _upsert(k: Lake):
-    """Documents of one filer re-filed as extracted, their trades all purchases."""
+_PICK = "filer_key = 'member:M7' and cast(doc_id as bigint) % 2 = 0"
+
+
+def _upserted(k: Lake) -> ST.LakeStore:
+    """Documents of one filer re-filed as extracted, their trades all purchases, over events of one in five filers."""
     store = _stored(k)
-    pick = "filer_key = 'member:M7' and cast(doc_id as bigint) % 2 = 0"
-    store.upsert(k.filings.where(pick).withColumn("extraction_status", F.lit("ok")), k.trades.select(*_TRADES).where(pick).withColumn("action", F.lit("purchase")))
+    first = k.filings.where("cast(substring(member_id, 2, 9) as int) % 5 = 2")
+    store.upsert(first, k.trades.select(*_TRADES).where("cast(substring(member_id, 2, 9) as int) % 5 = 2"))
+    store.upsert(k.filings.where(_PICK).withColumn("extraction_status", F.lit("ok")), k.trades.select(*_TRADES).where(_PICK).withColumn("action", F.lit("purchase")))
+    return store
+
+
+def _upsert(k: Lake):
+    store = _upserted(k)
     f = store.read("political_filings").groupBy(F.lit("filings").alias("name"), F.col("extraction_status").alias("what")).agg(F.count(F.lit(1)).alias("n"))
     t = store.read("political_trades").groupBy(F.lit("trades").alias("name"), F.col("action").alias("what")).agg(F.count(F.lit(1)).alias("n"))
     return f.unionByName(t)
@@ -174,6 +184,18 @@ query(
     """,
     ("trades",),
 )(_upsert)
+_CONTENT = ["chamber", "doc_id", "row_index", "action", "filer_key", "asset_description", "amount_low"]
+query(
+    "upsert_trades",
+    f"SELECT chamber, doc_id, row_index, CASE WHEN {_PICK} THEN 'purchase' ELSE action END AS action, filer_key, asset_description, amount_low FROM trades",
+    ("trades",),
+)(lambda k: _upserted(k).read("political_trades").select(*_CONTENT))
+query(
+    "upsert_events",
+    f"""WITH refiled AS (SELECT * EXCLUDE (action), CASE WHEN {_PICK} THEN 'purchase' ELSE action END AS action FROM trades WHERE cast(substring(member_id, 2, 9) AS int) % 5 = 2),
+    {FOLD_SQL.strip().replace("FROM trades", "FROM refiled").replace("'doc/' || b.doc_id", "cast(NULL AS varchar)")}""",
+    ("trades",), recursive=True,
+)(lambda k: said(_upserted(k).read("political_trade_events")))
 query("publish_years", "SELECT DISTINCT cast(year(available_at) AS int) AS year FROM filings WHERE cast(doc_id AS bigint) % 3 = 0 UNION SELECT DISTINCT cast(year(available_at) AS int) FROM filings WHERE cast(doc_id AS bigint) % 5 = 0", ("filings",))(
     lambda k: ST.touched_years(k.filings.where("cast(doc_id as bigint) % 3 = 0"), k.filings.where("cast(doc_id as bigint) % 5 = 0"))
 )

@@ -214,3 +214,44 @@ def test_members_without_a_name_and_unknown_overrides(spark):
     assert got == {"1": "B1", "2": None}
     with pytest.raises(Exception, match="unknown member: B9"):
         identity.resolve(filings, people, terms, spark.createDataFrame([("house", "Ann", "Lee", "CA01", "B9")], ddl)).collect()
+
+
+def _small_lake(spark, docs):
+    """``(filings, trades)`` of one trade each: document, filer, year."""
+    from .test_events import TRADE, TRADE_DDL
+
+    ddl = FILING + ", report_date date, amended_report_date date, available_at timestamp, extraction_status string, filer_key string, member_id string, display_name string, identity_source string"
+    filings = spark.createDataFrame([("house", d, "Ann", "Lee", "CA01", dt.date(y, 1, 1), None, None, dt.datetime(y, 1, 2), "ok", f"member:{w}", w, "Ann Lee", "legislators") for d, w, y in docs], ddl)
+    trades = spark.createDataFrame([tuple({**TRADE, "doc_id": d, "filer_key": f"member:{w}", "member_id": w, "available_at": dt.datetime(y, 1, 2), "printed_ticker": d}[k] for k in TRADE) for d, w, y in docs], TRADE_DDL)
+    return filings, trades
+
+
+def test_two_upserts_at_once_both_survive(spark, tmp_path, monkeypatch):
+    store, other = (LakeStore(spark, f"file://{tmp_path}/lake") for _ in range(2))
+    store.upsert(*_small_lake(spark, [("1", "A", 2020), ("2", "B", 2020)]))
+    write, began = LakeStore._write, []
+
+    def second_commits_first(self, run, table, df):
+        if self is store and not began:
+            began.append(True)
+            other.upsert(*_small_lake(spark, [("4", "B", 2020)]))
+        return write(self, run, table, df)
+
+    monkeypatch.setattr(LakeStore, "_write", second_commits_first)
+    store.upsert(*_small_lake(spark, [("3", "A", 2020)]))
+    assert began and sorted(r.doc_id for r in store.read("political_filings").collect()) == ["1", "2", "3", "4"]
+    assert sorted(r.source_doc_id for r in store.read("political_trade_events").collect()) == ["1", "2", "3", "4"]
+    with pytest.raises(RuntimeError, match="another writer"):
+        store.publish({"political_filings": _small_lake(spark, [("9", "A", 2020)])[0]}, base=1)
+    assert sorted(r.doc_id for r in store.read("political_filings").collect()) == ["1", "2", "3", "4"]
+
+
+def test_upsert_leaves_other_years_files_alone(spark, tmp_path):
+    store = LakeStore(spark, f"file://{tmp_path}/lake")
+    store.upsert(*_small_lake(spark, [("1", "A", 2019), ("2", "A", 2020), ("3", "B", 2021), ("4", "C", 2022)]))
+    before = store.manifest()
+    store.upsert(*_small_lake(spark, [("5", "B", 2023)]))
+    after = store.manifest()
+    moved = {t: {y for y in after[t] if after[t][y] != before[t].get(y)} for t in after}
+    assert moved == {"political_filings": {"2023"}, "political_trades": {"2023"}, "political_trade_events": {"2021", "2023"}}
+    assert store.read("political_trade_events").count() == 5
