@@ -23,6 +23,8 @@ BUCKETS = 2048
 ROUNDS, GIVEN = 4, 150
 #: Gradient steps of a first fit, and of one that goes on.
 FIRST_STEPS, MORE_STEPS = 250, 60
+#: Bytes hashed at once, and bytes of features that a task holds before it writes them: executors keep what a task once took.
+HASHED, HELD = 1 << 18, 8 << 20
 #: A pseudo-label needs at least this probability.
 CONFIDENT = 0.97
 #: Documents under this probability of good quality are rejected.
@@ -88,7 +90,7 @@ def _documents(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndar
     text = batch.column(4)
     data, offsets = texts_of(text)
     source, lang, n_chars = (batch.column(i).to_pylist() for i in (1, 2, 3))
-    for first, bounds, h, _, _ in word_hashes(text, SPACED):
+    for first, bounds, h, _, _ in word_hashes(text, SPACED, HASHED):
         for k in range(len(bounds) - 1):
             i = first + k
             raw, own = data[offsets[i] : offsets[i + 1]], h[bounds[k] : bounds[k + 1]]
@@ -281,7 +283,7 @@ def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, id_col:
         known = materialize(known, "labelled")
         rows = _inputs(docs, id_col).where("text is not null").join(F.broadcast(known), "row", "left")
         rows = rows.select(*_INPUTS, F.monotonically_increasing_id().alias("at"), F.xxhash64("text").alias("hash"), F.coalesce("label", F.lit(-1)).alias("label"))
-        features = materialize(rows.mapInArrow(_features, _FEATURES_DDL), "features")
+        features = materialize(rows.mapInArrow(_features, _FEATURES_DDL), "features", HELD)
         learned = materialize(features.where("label >= 0").withColumns({"y0": F.lit(-1), "y1": F.lit(-1)}), "learned")
         pool, held, model = features.where("label < 0"), (set(), set()), None
         for r in range(ROUNDS + 1):
@@ -330,7 +332,7 @@ def _judge(model: Model | None, threshold: float):
             weights = text.weights[:BUCKETS]
             t += text.bias
             data, offsets = texts_of(batch.column(4))
-            for i, j in blocks(offsets):
+            for i, j in blocks(offsets, HASHED):
                 part = data[offsets[i] : offsets[j]]
                 if len(part) > 2:
                     c = np.concatenate([[0.0], np.cumsum(weights[_trigrams(part)]), [0.0, 0.0]])

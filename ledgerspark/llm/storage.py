@@ -61,16 +61,17 @@ def _shuffle_files_end_with_the_write(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_CLEANUP, before)
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, row_group: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     Spark's committer makes the write safe against lost executors and repeated tasks,
-    and nothing above it is ever computed again.
+    and nothing above it is ever computed again. ``row_group`` bounds the bytes that a
+    task holds of wide rows before it writes them.
     """
     spark = df.sparkSession
     path = shared_path(spark, tag)
     with _shuffle_files_end_with_the_write(spark):
-        df.write.parquet(path)
+        (df.write if row_group is None else df.write.option("parquet.block.size", str(row_group))).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _paths[out] = (spark, path)
     return out

@@ -141,7 +141,7 @@ def _words(data: np.ndarray, firsts: np.ndarray, word: np.ndarray) -> tuple[np.n
     return starts, ends, mix(h + _prime_hashes(lowered, starts, ends) * U(_BASE))
 
 
-def word_hashes(column: pa.Array, word: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def word_hashes(column: pa.Array, word: np.ndarray, block: int = BLOCK) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For each block of rows: first row, word bounds by row, hashes, byte starts and ends.
 
     Row ``first + k`` owns the words ``bounds[k]`` to ``bounds[k + 1]``; byte positions
@@ -149,9 +149,9 @@ def word_hashes(column: pa.Array, word: np.ndarray) -> Iterator[tuple[int, np.nd
     and is hashed in pieces.
     """
     data, offsets = texts_of(column)
-    for i, j in blocks(offsets):
+    for i, j in blocks(offsets, block):
         part = data[offsets[i] : offsets[j]]
-        if len(part) <= 4 * BLOCK:
+        if len(part) <= 4 * block:
             if not len(part):
                 yield i, np.zeros(j - i + 1, dtype=np.int64), np.zeros(0, dtype=U), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
                 continue
@@ -161,7 +161,7 @@ def word_hashes(column: pa.Array, word: np.ndarray) -> Iterator[tuple[int, np.nd
         else:
             pieces, at = [], 0
             while at < len(part):
-                to = min(len(part), at + 4 * BLOCK)
+                to = min(len(part), at + 4 * block)
                 while to < len(part) and word[part[to]]:  # to the next gap
                     gaps = np.flatnonzero(~word[part[to : to + BLOCK]])
                     to = to + int(gaps[0]) if len(gaps) else min(len(part), to + BLOCK)
