@@ -262,3 +262,48 @@ def window_attachments(windows: DataFrame, lines: DataFrame, pages: DataFrame, m
         F.when(whole, F.lit(1)).otherwise(F.greatest(F.lit(1), F.col("_a") - 1)).alias("page_start"), F.when(whole, F.col("total_pages")).otherwise(F.least("total_pages", F.col("_b") + 1)).alias("page_end"),
         "total_pages", F.coalesce("table_rows", F.lit(0).cast("long")).alias("table_rows"),
     )
+
+
+# Ids of what is read, labels in a text, and the lines that mark a window in its context.
+def gap_id(source: Column, first: Column, last: Column) -> Column:
+    return F.concat(source, F.lit(":g"), first.cast("string"), F.lit("-"), last.cast("string"))
+
+
+def page_range_id(filing: Column, start: Column, end: Column) -> Column:
+    return F.concat(filing, F.lit(":p"), start.cast("string"), F.lit("-"), end.cast("string"))
+
+
+def source_read_id(filing: Column, page: Column) -> Column:
+    return F.concat(filing, F.lit(":s"), page.cast("string"))
+
+
+def labelled(label: Column, is_table: Column, text: Column) -> Column:
+    """A line with its label: as first cell of a table's row, else in brackets; a line without a label as it is."""
+    name = F.concat(F.lit("R"), label.cast("string"))
+    return F.when(label.isNull(), text).when(is_table, F.concat(F.lit("| "), name, F.lit(" "), text)).otherwise(F.concat(F.lit("["), name, F.lit("] "), text))
+
+
+def window_marker(first: Column, last: Column, edge: str) -> Column:
+    return F.concat(F.lit("=== ROW WINDOW R"), first.cast("string"), F.lit("-R"), last.cast("string"), F.lit(f" {edge} ==="))
+
+
+def marked_windows(attachments: DataFrame, pages: DataFrame, lines: DataFrame) -> DataFrame:
+    """``source_id, page, text`` of what is sent for each attachment: its pages, lines labelled, its window marked.
+
+    One marker line stands before the window's first labelled line and one after its last.
+    A filing that goes whole under its own id has no markers. ``attachments`` from
+    window_attachments(); ``lines`` from number_lines() of ``pages``. Lines are put
+    together again a page at a time.
+    """
+    raw = pages.select("filing_id", "page", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "_raw"))
+    named = lines.select("filing_id", "page", "line", "label", "is_table")
+    each = raw.join(named, ["filing_id", "page", "line"], "left").select("filing_id", "page", (F.col("line") * 2 + 1).alias("_at"), labelled(F.col("label"), F.col("is_table"), F.col("_raw")).alias("_text"))
+    sent = attachments.select("source_id", F.col("filing_id").alias("_f"), "first", "last", "page_start", "page_end")
+    body = each.join(sent, (F.col("filing_id") == F.col("_f")) & F.col("page").between(F.col("page_start"), F.col("page_end"))).select("source_id", "page", "_at", "_text")
+    marked = sent.where("first is not null and source_id <> _f")
+    place = named.select(F.col("filing_id").alias("_f"), "page", "line", F.col("label").alias("_label"))
+    for edge, label, shift in (("BEGINS", "first", 0), ("ENDS", "last", 2)):
+        at = marked.withColumn("_label", F.col(label)).join(place, ["_f", "_label"])
+        body = body.unionByName(at.select("source_id", "page", (F.col("line") * 2 + shift).alias("_at"), window_marker(F.col("first"), F.col("last"), edge).alias("_text")))
+    listed = F.array_sort(F.collect_list(F.struct("_at", "_text")))  # a page's lines
+    return body.groupBy("source_id", "page").agg(F.array_join(F.transform(listed, lambda x: x["_text"]), "\n").alias("text"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledgerspark.operators import consensus as C
 from ledgerspark.operators import ocr as O
 from ledgerspark.operators import packing as P
+from ledgerspark.operators import passes as RP
 from ledgerspark.scratch import shared_path
 
 from .registry import Lake, query
@@ -190,6 +191,18 @@ _ATTACHED = f"""WITH {_CUT_SQL.replace('{labels}', '15').replace('{tables}', '6'
     UNION ALL SELECT source_id, filing_id, first, last, greatest(1, a - 1), least(total_pages, b + 1), total_pages, table_rows FROM j WHERE NOT (n = 0 OR (n = 1 AND total_pages <= 3)))"""
 query("window_attachments", f"{_ATTACHED} SELECT * FROM att", _OCR, recursive=True)(_attachments)
 
+query(
+    "marked_windows",
+    _ATTACHED + """,
+    named AS (SELECT r.filing_id, r.page, r.line, label, CASE WHEN label IS NULL THEN r.text WHEN is_table THEN '| R' || label || ' ' || r.text ELSE '[R' || label || '] ' || r.text END AS text
+      FROM r LEFT JOIN lines l ON l.filing_id = r.filing_id AND l.page = r.page AND l.line = r.line),
+    body AS (SELECT a.source_id, n.page, n.line, CASE WHEN a.source_id <> a.filing_id AND n.label = a.first THEN '=== ROW WINDOW R' || a.first || '-R' || a.last || ' BEGINS ===' || chr(10) ELSE '' END || n.text
+      || CASE WHEN a.source_id <> a.filing_id AND n.label = a.last THEN chr(10) || '=== ROW WINDOW R' || a.first || '-R' || a.last || ' ENDS ===' ELSE '' END AS text
+      FROM att a JOIN named n ON n.filing_id = a.filing_id AND n.page BETWEEN a.page_start AND a.page_end)
+    SELECT source_id, page, md5(string_agg(text, chr(10) ORDER BY line)) AS text FROM body GROUP BY 1, 2""",
+    _OCR, recursive=True,
+)(lambda k: (lambda numbered: O.marked_windows(_attachments(k), k.ocr, numbered))(lines(k)).withColumn("text", F.md5("text")))
+
 # Requests as SQL: where one that begins at an attachment would end, and the chain of those that do begin.
 _PACKED = """,
     ord AS (SELECT *, row_number() OVER (ORDER BY {order}) AS k FROM att),
@@ -361,3 +374,36 @@ query(
     SELECT source_id, CASE WHEN r = 1 THEN 'agreed' WHEN r IS NOT NULL OR reason IS NULL THEN 'arbitrated' ELSE 'failed' END AS outcome, cast(CASE WHEN r = 1 THEN 0 ELSE r END AS int) AS read_idx, r IS NULL AND reason IS NULL AS voted, reason FROM d""",
     ("read_rows",),
 )(lambda k: C.decide_rows(_written(k, _row_reads(k), "reads"), _written(k, _row_rows(k), "rows"), _written(k, _row_windows(k), "windows")))
+
+
+def _ready(k: Lake):
+    """A reader that looks its answers up: the reads of the view, pass by pass."""
+    reads, rows = _written(k, _row_reads(k), "reads"), _written(k, _row_rows(k), "rows")
+
+    def read(pending, n: int):
+        mine = lambda df: df.where(F.col("read_idx") == n - 1).drop("read_idx").join(pending.select("source_id"), "source_id", "left_semi")
+        return mine(reads), mine(rows)
+
+    return read
+
+
+def _passed(k: Lake):
+    sources, windows_, state = k.read_rows.select("source_id").distinct(), _written(k, _row_windows(k), "windows"), shared_path(k.spark, "passes")
+    n = RP.read_in_passes(sources, windows_, _ready(k), state)
+    out, rows, _ = RP.decided(k.spark, windows_, state, n)
+    size = rows.groupBy("source_id").agg(F.count(F.lit(1)).alias("rows"))
+    return out.join(size, "source_id", "left").select("source_id", "outcome", "voted", "reads", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
+query(
+    "read_passes",
+    _SQL_VOTED + _LISTED + """,
+    docs AS (SELECT source_id, read_idx, count(*) AS rows, CASE WHEN NOT bool_or(failed) THEN string_agg(sig, ';' ORDER BY row_idx) || '#' || coalesce(string_agg(CASE WHEN listed THEN cast(n AS varchar) END, ',' ORDER BY n), '') END AS doc FROM rs GROUP BY 1, 2),
+    l AS (SELECT a.source_id, min(b.read_idx) AS r FROM docs a JOIN docs b ON a.source_id = b.source_id AND a.read_idx < b.read_idx AND a.doc = b.doc GROUP BY 1),
+    size AS (SELECT source_id, max(of) * 3 AS owed, max(read_idx) AS last, count(DISTINCT read_idx) AS reads, count(DISTINCT CASE WHEN NOT failed THEN read_idx END) AS usable, bool_or(kind <> 1 OR NOT odd) AS win FROM rs GROUP BY 1),
+    got AS (SELECT source_id, count(DISTINCT label) AS got FROM (SELECT source_id, n * 3 - 1 AS label FROM kept UNION SELECT source_id, n * 3 - 2 FROM kept UNION SELECT source_id, n * 3 FROM nons) GROUP BY 1),
+    d AS (SELECT z.source_id, r, reads, r IS NULL AND last >= 2 AND win AND usable >= 2 AND coalesce(got, 0) >= owed AS voted FROM size z LEFT JOIN l USING (source_id) LEFT JOIN got USING (source_id))
+    SELECT d.source_id, CASE WHEN r = 1 THEN 'agreed' WHEN r IS NOT NULL OR voted THEN 'arbitrated' ELSE 'failed' END AS outcome, voted, cast(CASE WHEN r = 1 THEN 2 ELSE reads END AS int) AS reads,
+      coalesce(CASE WHEN voted THEN (SELECT count(*) FROM kept WHERE kept.source_id = d.source_id) END, (SELECT max(rows) FROM docs WHERE docs.source_id = d.source_id AND docs.read_idx = CASE WHEN r = 1 THEN 0 ELSE r END), 0) AS rows FROM d""",
+    ("read_rows",),
+)(_passed)
