@@ -263,7 +263,6 @@ query("events_refiled", _REFILED_SQL, ("retraded", "refilings"), recursive=True)
 def _streamed(k: Lake) -> DataFrame:
     """The events of trades that arrive in three parts, as files of a stream."""
     spark = k.spark
-    A.state_store(spark)
     arriving = A.arrivals(_SOURCED(k.retraded), k.refilings)
     folder, out, state = (shared_path(spark, t) for t in ("arrivals", "changes", "changes-state"))
     for year, until in ((0, 1994), (1994, 1996), (1996, 9999)):

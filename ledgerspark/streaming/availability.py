@@ -138,8 +138,8 @@ def changes(arriving: DataFrame) -> DataFrame:
     Trades must arrive by availability; how they are cut into batches makes no difference.
     A version is given again when it changes, with a higher ``change``, and current() keeps the last.
     A trade that comes after younger ones of its filer is taken all the same and marked
-    ``late``: late_filers() need operators.events.rebuild(). The session's state store
-    must be RocksDB's (see state_store()).
+    ``late``: late_filers() need operators.events.rebuild(). The state store must be
+    RocksDB's (see follow()).
     """
     return arriving.groupBy("filer_key").transformWithStateInPandas(statefulProcessor=_Filer(), outputStructType=CHANGES_DDL, outputMode="append", timeMode="none")
 
@@ -155,11 +155,24 @@ def late_filers(changed: DataFrame) -> DataFrame:
     return changed.where("late").select("filer_key").distinct()
 
 
-def state_store(spark) -> None:
-    """Have new streaming queries keep their state in RocksDB, which keyed state with several variables needs."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def follow(arriving: DataFrame, path: str, checkpoint: str) -> None:
-    """Append the changes of all that a stream holds now to the table at ``path``, and stop; goes on from ``checkpoint``."""
-    changes(arriving).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    """Append the changes of all that a stream holds now to the table at ``path``, and stop; goes on from ``checkpoint``.
+
+    Keyed state with several variables needs RocksDB as state store, which the session
+    is given while the query starts.
+    """
+    conf = arriving.sparkSession.conf
+    before = conf.get(_PROVIDER, None)
+    conf.set(_PROVIDER, _ROCKS)
+    try:
+        query = changes(arriving).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        if before is None:
+            conf.unset(_PROVIDER)
+        else:
+            conf.set(_PROVIDER, before)

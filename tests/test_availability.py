@@ -33,7 +33,6 @@ def rows(df):
 
 
 def test_stream_equals_batch_in_any_cut_and_goes_on_from_its_checkpoint(spark, tmp_path):
-    A.state_store(spark)
     trades, filings = lake(spark)
     want = build_events(trades, filings).cache()
     assert want.where("version > 1").count() > 3 and want.where("contributor_row_ids like '%,%'").count() > 3 and want.where("superseded_at is not null").count() > 2
@@ -51,7 +50,6 @@ def test_stream_equals_batch_in_any_cut_and_goes_on_from_its_checkpoint(spark, t
 
 
 def test_late_trades_are_told(spark, tmp_path):
-    A.state_store(spark)
     trades, filings = lake(spark)
     arriving = A.arrivals(trades, filings).where("filer_key = 'member:1'")
     folder, out, state = (f"{tmp_path}/{x}" for x in ("in", "out", "state"))
