@@ -19,16 +19,19 @@ def legislator_terms(people: DataFrame) -> DataFrame:
     )
 
 
-def _last_names_agree(filed: Column, member: Column) -> Column:
-    """The shorter list of words ends the longer one."""
-    shorter, longer = F.when(F.size(filed) <= F.size(member), filed).otherwise(member), F.when(F.size(filed) <= F.size(member), member).otherwise(filed)
-    tail = F.slice(longer, F.size(longer) - F.size(shorter) + 1, F.size(shorter))
-    return (F.size(shorter) > 0) & (tail == shorter)
+def _spoken(words: Column) -> Column:
+    """Words as one text, each behind a blank."""
+    return F.concat(F.lit(" "), F.array_join(words, " "))
 
 
-def _given_names_agree(filed: Column, given: Column) -> Column:
-    head = lambda w: F.substring(w, 1, 3)
-    return F.exists(filed, lambda f: F.exists(given, lambda g: (f == g) | (head(f) == head(g))))
+def _ends(one: Column, other: Column) -> Column:
+    """One of two _spoken() names ends with the other, word by word."""
+    return one.endswith(other) | other.endswith(one)
+
+
+def _beginnings(words: Column) -> Column:
+    """First three letters of each word; given names that share one may be one person's."""
+    return F.transform(words, lambda w: F.left(w, F.lit(3)))
 
 
 def prepared(filings: DataFrame) -> DataFrame:
@@ -48,16 +51,22 @@ def matches(filings: DataFrame, members: DataFrame, terms: DataFrame) -> DataFra
     with a fitting given name, if any, then those who served last. More than one left is
     no match. Windows run over one filing's candidates.
     """
-    m = members.select("bioguide", S.name_tokens(F.col("last")).alias("_mlast"), S.name_tokens(F.concat_ws(" ", "first", "middle", "nickname")).alias("_given"))
-    served = m.join(terms, "bioguide").where(F.size("_mlast") > 0).withColumn("_word", F.try_element_at("_mlast", F.lit(-1)))
-    f = filings.where(F.size("_last") > 0).withColumn("_word", F.try_element_at("_last", F.lit(-1))).withColumn("type", F.col("_seat.type"))
-    pairs = f.join(served, ["_word", "type"]).where((F.col("start") <= F.col("filing_date")) & (F.col("_seat.state").isNull() | (F.col("state") == F.col("_seat.state"))))
-    any_district = F.col("_seat.district").isNull() | F.col("district").isNull() | (F.col("district") == F.col("_seat.district"))
+    m = members.select("bioguide", S.name_tokens(F.col("last")).alias("_words"), _beginnings(S.name_tokens(F.concat_ws(" ", "first", "middle", "nickname"))).alias("_given"))
+    m = m.where(F.size("_words") > 0).select("bioguide", F.try_element_at("_words", F.lit(-1)).alias("_word"), _spoken(F.col("_words")).alias("_member"), "_given")
+    served = m.join(terms, "bioguide")
+    f = filings.where(F.size("_last") > 0).select(
+        *KEY, "filing_date", F.try_element_at("_last", F.lit(-1)).alias("_word"), _spoken(F.col("_last")).alias("_filed"), _beginnings(F.col("_first")).alias("_called"),
+        F.col("_seat.type").alias("type"), F.col("_seat.state").alias("_state"), F.col("_seat.district").alias("_district"),
+    )
+    there = f.where("_state is not null").withColumn("state", F.col("_state")).join(served, ["_word", "type", "state"])  # most filings name their state
+    anywhere = f.where("_state is null").join(served, ["_word", "type"])
+    pairs = there.unionByName(anywhere).where((F.col("start") <= F.col("filing_date")) & _ends(F.col("_filed"), F.col("_member")))
+    any_district = F.col("_district").isNull() | F.col("district").isNull() | (F.col("district") == F.col("_district"))
     until = F.least("end", "filing_date")
     each = pairs.groupBy(*KEY, "bioguide").agg(
-        F.max(F.when(any_district & _last_names_agree(F.col("_last"), F.col("_mlast")), until)).alias("_strict"),
-        F.max(F.when(F.col("_seat.district").isNotNull() & (F.col("_last") == F.col("_mlast")), until)).alias("_loose"),
-        F.first(_given_names_agree(F.col("_first"), F.col("_given"))).alias("_named"),
+        F.max(F.when(any_district, until)).alias("_strict"),
+        F.max(F.when(F.col("_district").isNotNull() & (F.col("_filed") == F.col("_member")), until)).alias("_loose"),
+        F.first(F.arrays_overlap("_called", "_given")).alias("_named"),
     )
     doc = Window.partitionBy(*KEY)
     each = each.withColumn("_served", F.when(F.max("_strict").over(doc).isNotNull(), F.col("_strict")).otherwise(F.col("_loose"))).where("_served is not null")
