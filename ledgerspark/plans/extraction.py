@@ -220,20 +220,24 @@ def _packed_sql(weights: dict[str, tuple[str, str]], most: int, columns: str) ->
     return _ATTACHED + _PACKED.format(order=_ARRIVAL, sums=sums, most=most, over=over, columns=columns)
 
 
-_order = [F.col("filing_id").cast("bigint"), F.coalesce("first", F.lit(0))]
+def _arrival():
+    """Order in which filings' attachments arrive."""
+    return [F.col("filing_id").cast("bigint"), F.coalesce("first", F.lit(0))]
+
+
 query("pack_requests", _packed_sql({"rows": ("cast(greatest(1, table_rows) AS bigint)", "{s} > 40")}, 10, "source_id, rows"), _OCR, recursive=True)(
-    lambda k: P.text_requests(_attachments(k), _order).select("source_id", "rows", "request")
+    lambda k: P.text_requests(_attachments(k), _arrival()).select("source_id", "rows", "request")
 )
 query(
     "page_requests",
     _packed_sql({"pages": ("cast(page_end - page_start + 1 AS bigint)", "{s} > 10"), "rows": ("cast(CASE WHEN cast(filing_id AS bigint) % 3 > 0 THEN ceil(table_rows * 2 * (page_end - page_start + 1) / total_pages) ELSE 0 END AS bigint)", "(b.rows > 0 AND {s} > 40)")}, 5, "source_id, pages, rows"),
     _OCR, recursive=True,
-)(lambda k: P.page_requests(_attachments(k).withColumn("estimated_rows", F.expr("CASE WHEN cast(filing_id AS bigint) % 3 > 0 THEN table_rows * 2 END")), _order, most=5).select("source_id", "pages", "rows", "request"))
+)(lambda k: P.page_requests(_attachments(k).withColumn("estimated_rows", F.expr("CASE WHEN cast(filing_id AS bigint) % 3 > 0 THEN table_rows * 2 END")), _arrival(), most=5).select("source_id", "pages", "rows", "request"))
 query(
     "source_read_requests",
     _packed_sql({"rows": ("cast(greatest(1, table_rows) AS bigint)", "{s} > 40"), "images": ("cast(coalesce(first, 0) % 4 AS bigint)", "{s} > 6")}, 8, "source_id, rows, images"),
     _OCR, recursive=True,
-)(lambda k: P.source_read_requests(_attachments(k).withColumn("images", F.coalesce("first", F.lit(0)) % 4), _order, images=6, most=8).select("source_id", "rows", F.col("images").cast("long").alias("images"), "request"))
+)(lambda k: P.source_read_requests(_attachments(k).withColumn("images", F.coalesce("first", F.lit(0)) % 4), _arrival(), images=6, most=8).select("source_id", "rows", F.col("images").cast("long").alias("images"), "request"))
 
 # Consensus: conversations as sources, turns as reads, words as rows.
 _READS = "reads"
