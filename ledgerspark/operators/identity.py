@@ -24,11 +24,6 @@ def _spoken(words: Column) -> Column:
     return F.concat(F.lit(" "), F.array_join(words, " "))
 
 
-def _ends(one: Column, other: Column) -> Column:
-    """One of two _spoken() names ends with the other, word by word."""
-    return one.endswith(other) | other.endswith(one)
-
-
 def _beginnings(words: Column) -> Column:
     """First three letters of each word; given names that share one may be one person's."""
     return F.transform(words, lambda w: F.left(w, F.lit(3)))
@@ -42,37 +37,113 @@ def prepared(filings: DataFrame) -> DataFrame:
     return f.select("*", S.name_key(F.col("chamber"), F.col("_last"), F.col("_first")).alias("_name"), S.display_name(F.col("filer_first"), F.col("filer_last")).alias("_shown"), S.seat_of(F.col("chamber"), F.col("state_district")).alias("_seat"))
 
 
+#: Behind the last day of a term without an end.
+_OPEN = "9999-12-31"
+
+
+def _key(name: Column, kind: Column, district: Column, given: Column, state: Column) -> Column:
+    return F.concat_ws("|", name, kind, district, given, F.coalesce(F.concat(F.lit("in "), state), F.lit("*")))
+
+
+def _endings(words: Column) -> Column:
+    """Every ending of a name, word by word, itself first."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1))), lambda i: _spoken(F.slice(words, i, F.size(words))))
+
+
+def _asked(filings: DataFrame) -> DataFrame:
+    """``_rank, _key`` under which a filing's candidates are found; ``_shape`` is what the key leaves open.
+
+    ``f``: members whose name ends with the filed one; ``s``: members named as a proper
+    ending of it; ``x``: of exactly that name, whatever their district. The ranks are the
+    order in which candidates count: with the district and the given name, with the
+    district, exact with the given name, exact.
+    """
+    words, no = F.col("_last"), F.lit("*")
+    district = F.col("_seat.district").cast("string")
+    names = F.transform(_endings(words), lambda w, i: F.concat(F.when(i == 0, "f").otherwise("s"), w))
+    where = F.when(district.isNull(), F.array(no)).otherwise(F.array(district, F.lit("-")))
+    strict = F.flatten(F.transform(names, lambda n: F.transform(where, lambda d: F.struct(F.lit(2).alias("rank"), n.alias("name"), d.alias("district")))))
+    loose = F.when(district.isNotNull(), F.array(F.struct(F.lit(4).alias("rank"), F.concat(F.lit("x"), _spoken(words)).alias("name"), no.alias("district"))))
+    given = F.concat(F.array(no), F.array_distinct(_beginnings(F.col("_first"))))
+    f = filings.where(F.size("_last") > 0).select(*KEY, "filing_date", "_seat", given.alias("_given"), F.explode(F.concat(strict, F.coalesce(loose, F.slice(strict, 1, 0)))).alias("_q"))
+    shape = F.concat_ws("|", F.left("_q.name", F.lit(1)), "_seat.type", F.when(F.col("_q.district").rlike("[0-9]"), "d").otherwise(F.col("_q.district")), F.when(F.col("_seat.state").isNull(), no).otherwise("in"))
+    f = f.select(*KEY, "filing_date", "_seat", "_q", shape.alias("_shape"), F.explode("_given").alias("_g"))
+    return f.select(
+        *KEY, "_shape", F.col("filing_date").alias("_at"), (F.col("_q.rank") - F.when(F.col("_g") == "*", 0).otherwise(1)).alias("_rank"),
+        _key(F.col("_q.name"), F.col("_seat.type"), F.col("_q.district"), F.col("_g"), F.col("_seat.state")).alias("_key"),
+    )
+
+
+def _seats(members: DataFrame, terms: DataFrame, shapes: DataFrame) -> DataFrame:
+    """``_key, _a, _b, start, end`` of members' terms, under every key of the ``shapes`` that filings ask for; ``_a, _b`` are 128 bits of the member's id."""
+    no = F.lit("*")
+    m = members.select("bioguide", S.name_tokens(F.col("last")).alias("_words"), _beginnings(S.name_tokens(F.concat_ws(" ", "first", "middle", "nickname"))).alias("_given")).where(F.size("_words") > 0)
+    whole, kind = _spoken(F.col("_words")), lambda k, w: F.struct(F.lit(k).alias("kind"), w.alias("name"))
+    names = F.concat(F.array(kind("s", whole), kind("x", whole)), F.transform(_endings(F.col("_words")), lambda w: kind("f", w)))
+    m = m.select("bioguide", F.concat(F.array(no), F.array_distinct("_given")).alias("_given"), names.alias("_names")).join(terms.where("start is not null"), "bioguide")
+    m = m.select("*", F.explode("_names").alias("_n")).drop("_names")
+    own = F.coalesce(F.col("district").cast("string"), F.lit("-"))
+    m = m.select("*", F.explode(F.array_distinct(F.array(no, own))).alias("_d")).select("*", F.explode(F.array_distinct(F.array(F.col("state"), F.lit(None).cast("string")))).alias("_s"))
+    shape = F.concat_ws("|", "_n.kind", "type", F.when(F.col("_d").rlike("[0-9]"), "d").otherwise(F.col("_d")), F.when(F.col("_s").isNull(), no).otherwise("in"))
+    m = m.withColumn("_shape", shape).join(F.broadcast(shapes), "_shape", "left_semi")  # 36 shapes at most
+    return m.select("*", F.explode("_given").alias("_g")).select(
+        _key(F.concat("_n.kind", "_n.name"), F.col("type"), F.col("_d"), F.col("_g"), F.col("_s")).alias("_key"), *_ids("bioguide"), "start", F.coalesce("end", F.lit(_OPEN).cast("date")).alias("end")
+    )
+
+
+def _ids(bioguide: str) -> list[Column]:
+    return [F.xxhash64(bioguide).alias("_a"), F.xxhash64(F.lit("member"), bioguide).alias("_b")]
+
+
+def _changes(seats: DataFrame) -> DataFrame:
+    """What changes under a key on a day ``_at``: members in office (``_n``, and ``_x, _y`` by exclusive or), and ``_ended``: the end of those out of it, how many ended then, and who."""
+    seats = seats.repartition("_key")  # all below goes by key
+    mine = Window.partitionBy("_key", "_a", "_b").orderBy("start", "end")
+    before = F.max("end").over(mine.rowsBetween(Window.unboundedPreceding, -1))
+    sat = seats.where("end >= start").withColumn("_new", F.when(F.col("start") <= before, 0).otherwise(1)).withColumn("_island", F.sum("_new").over(mine.rowsBetween(Window.unboundedPreceding, 0)))
+    sat = sat.groupBy("_key", "_a", "_b", "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"))  # a member's overlapping terms are one
+    none = F.lit(None).cast("struct<day:date,n:bigint,a:bigint,b:bigint>")
+    day = lambda at, n: F.struct(at.alias("_at"), F.lit(n).cast("long").alias("_n"))
+    moves = sat.select("_key", "_a", "_b", F.explode(F.array(day(F.col("start"), 1), day(F.date_add("end", 1), -1))).alias("_d"))
+    moves = moves.groupBy("_key", F.col("_d._at").alias("_at")).agg(F.sum("_d._n").alias("_n"), F.expr("bit_xor(_a)").alias("_x"), F.expr("bit_xor(_b)").alias("_y")).withColumn("_ended", none)
+    # A term that ends before it starts counts from its start on, as one that has ended.
+    left = sat.select("_key", "_a", "_b", "end", F.date_add("end", 1).alias("_at")).union(seats.where("end < start").select("_key", "_a", "_b", "end", F.col("start")))
+    left = left.groupBy("_key", "_a", "_b", "end").agg(F.min("_at").alias("_at")).groupBy("_key", "end", "_at").agg(F.count(F.lit(1)).alias("_n"), F.expr("bit_xor(_a)").alias("_x"), F.expr("bit_xor(_b)").alias("_y"))
+    upto = Window.partitionBy("_key", "end").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    ended = F.struct(F.col("end").alias("day"), F.sum("_n").over(upto).alias("n"), F.expr("bit_xor(_x)").over(upto).alias("a"), F.expr("bit_xor(_y)").over(upto).alias("b"))
+    zero = F.lit(0).cast("long")
+    return moves.unionByName(left.select("_key", "_at", zero.alias("_n"), zero.alias("_x"), zero.alias("_y"), ended.alias("_ended")))
+
+
 def matches(filings: DataFrame, members: DataFrame, terms: DataFrame) -> DataFrame:
     """``chamber, doc_id, bioguide`` where the rules leave one member. ``filings`` as from prepared().
 
-    Candidates share the last word of the last name and served in the seat's chamber (and
-    state and district, where the filing has them) by the filing date. If none has the
-    district, members of exactly that last name count whatever their district. Then those
-    with a fitting given name, if any, then those who served last. More than one left is
-    no match. Windows run over one filing's candidates.
+    Candidates' last names end with the filed one or the filed one with theirs, and they
+    served in the seat's chamber (and state and district, where the filing has them) by the
+    filing date. If none has the district, members of exactly that last name count whatever
+    their district. Then those with a fitting given name, if any, then those who served
+    last. More than one left is no match. A filing meets no candidate: under each of the
+    keys that it asks for, terms are changes of who is in office, sorted with the filings
+    by day, and their running count and exclusive or say whether one member is left and
+    who; so the work grows with filings and terms and not with their product.
     """
-    m = members.select("bioguide", S.name_tokens(F.col("last")).alias("_words"), _beginnings(S.name_tokens(F.concat_ws(" ", "first", "middle", "nickname"))).alias("_given"))
-    m = m.where(F.size("_words") > 0).select("bioguide", F.try_element_at("_words", F.lit(-1)).alias("_word"), _spoken(F.col("_words")).alias("_member"), "_given")
-    served = m.join(terms, "bioguide")
-    f = filings.where(F.size("_last") > 0).select(
-        *KEY, "filing_date", F.try_element_at("_last", F.lit(-1)).alias("_word"), _spoken(F.col("_last")).alias("_filed"), _beginnings(F.col("_first")).alias("_called"),
-        F.col("_seat.type").alias("type"), F.col("_seat.state").alias("_state"), F.col("_seat.district").alias("_district"),
-    )
-    there = f.where("_state is not null").withColumn("state", F.col("_state")).join(served, ["_word", "type", "state"])  # most filings name their state
-    anywhere = f.where("_state is null").join(served, ["_word", "type"])
-    pairs = there.unionByName(anywhere).where((F.col("start") <= F.col("filing_date")) & _ends(F.col("_filed"), F.col("_member")))
-    any_district = F.col("_district").isNull() | F.col("district").isNull() | (F.col("district") == F.col("_district"))
-    until = F.least("end", "filing_date")
-    each = pairs.groupBy(*KEY, "bioguide").agg(
-        F.max(F.when(any_district, until)).alias("_strict"),
-        F.max(F.when(F.col("_district").isNotNull() & (F.col("_filed") == F.col("_member")), until)).alias("_loose"),
-        F.first(F.arrays_overlap("_called", "_given")).alias("_named"),
+    asked = _asked(filings)
+    shapes = asked.select("_shape").distinct()
+    null = F.lit(None)
+    changes = _changes(_seats(members, terms, shapes)).select(
+        "_key", "_at", *[null.cast("string").alias(c) for c in KEY], null.cast("int").alias("_rank"), "_n", "_x", "_y", "_ended"
     )
-    doc = Window.partitionBy(*KEY)
-    each = each.withColumn("_served", F.when(F.max("_strict").over(doc).isNotNull(), F.col("_strict")).otherwise(F.col("_loose"))).where("_served is not null")
-    each = each.withColumn("_any", F.max("_named").over(doc)).where("_named or not _any")
-    last = each.withColumn("_latest", F.max("_served").over(doc)).where("_served = _latest")
-    return last.withColumn("_n", F.count(F.lit(1)).over(doc)).where("_n = 1").select(*KEY, "bioguide")
+    zero = F.lit(0).cast("long")
+    both = changes.union(asked.select("_key", "_at", *KEY, "_rank", zero, zero, zero, null.cast("struct<day:date,n:bigint,a:bigint,b:bigint>")))
+    by_day = Window.partitionBy("_key").orderBy(F.col("_at").asc_nulls_first(), F.col("_rank").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    state = both.select(
+        "*", F.sum("_n").over(by_day).alias("n"), F.expr("bit_xor(_x)").over(by_day).alias("a"), F.expr("bit_xor(_y)").over(by_day).alias("b"), F.max("_ended").over(by_day).alias("ended")
+    ).where("_rank is not null and _at is not null and (n > 0 or ended is not null)")
+    now = F.when(F.col("n") > 0, F.struct(F.col("_at").alias("day"), "n", "a", "b")).otherwise(F.col("ended"))
+    found = state.select(*KEY, "_rank", F.unix_date(now["day"]).alias("day"), now["n"].alias("n"), now["a"].alias("a"), now["b"].alias("b"))
+    best = found.groupBy(*KEY).agg(F.max(F.struct(-F.col("_rank"), "day", "n", "a", "b")).alias("hi"), F.min(F.struct("_rank", -F.col("day"), -F.col("n"), "a", "b")).alias("lo"))
+    one = best.where("hi.n = 1 and hi.a = lo.a and hi.b = lo.b").select(*KEY, F.col("hi.a").alias("_a"), F.col("hi.b").alias("_b"))
+    return one.join(members.select("bioguide", *_ids("bioguide")).distinct(), ["_a", "_b"]).select(*KEY, "bioguide")
 
 
 def resolve(filings: DataFrame, members: DataFrame, terms: DataFrame, overrides: DataFrame) -> DataFrame:

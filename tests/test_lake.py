@@ -255,3 +255,58 @@ def test_upsert_leaves_other_years_files_alone(spark, tmp_path):
     moved = {t: {y for y in after[t] if after[t][y] != before[t].get(y)} for t in after}
     assert moved == {"political_filings": {"2023"}, "political_trades": {"2023"}, "political_trade_events": {"2021", "2023"}}
     assert store.read("political_trade_events").count() == 5
+
+
+def _matched(filings, people, terms):
+    """The rules for who filed, filing by filing and candidate by candidate."""
+    words = lambda t: t.lower().split()
+    ends = lambda a, b: a[-len(b):] == b or b[-len(a):] == a
+    out = {}
+    for chamber, doc, first, last, seat, day in filings:
+        kind, state, district = ("sen", None, None) if chamber == "senate" else ("rep", seat and seat[:2], int(seat[2:]) if seat else None)
+        strict, loose, named = {}, {}, set()
+        for b, given, _, name, _, _ in people:
+            for other, k, start, end, st, di in terms:
+                if other != b or k != kind or start > day or state not in (None, st) or not ends(words(name), words(last)):
+                    continue
+                until = min(end or day, day)
+                if district is None or di in (None, district):
+                    strict[b] = max(until, strict.get(b, until))
+                if district is not None and words(name) == words(last):
+                    loose[b] = max(until, loose.get(b, until))
+                if {w[:3] for w in words(given)} & {w[:3] for w in words(first)}:
+                    named.add(b)
+        left = strict or loose
+        left = {b: t for b, t in left.items() if b in named} or left
+        left = [b for b, t in left.items() if t == max(left.values())]
+        out[doc] = left[0] if len(left) == 1 else None
+    return out
+
+
+def test_members_by_running_counts_are_those_by_candidates(spark):
+    import random
+
+    r = random.Random(5)
+    day = lambda: dt.date(2000, 1, 1) + dt.timedelta(days=r.randrange(60))
+    people = [(f"B{i}", r.choice(["Ann", "Bob Lee", "Zed"]), None, r.choice(["Smith", "De Smith", "Van De Smith", "Roe"]), None, None) for i in range(12)]
+    terms = [(p[0], r.choice(["rep", "rep", "sen"]), day(), None if r.random() < 0.1 else day(), r.choice(["CA", "WA"]), r.choice([None, 1, 2])) for p in people for _ in range(r.randrange(4))]
+    filings = []
+    for i in range(400):
+        chamber = r.choice(["house", "house", "senate"])
+        filings.append((chamber, str(i), r.choice(["Ann", "Lee", "Otto"]), r.choice(["Smith", "De Smith", "Van De Smith", "Old Roe", "Roe"]), r.choice(["CA01", "CA02", "CA03", "WA01", None]) if chamber == "house" else None, day()))
+    f = identity.prepared(spark.createDataFrame(filings, FILING))
+    got = {x.doc_id: x.bioguide for x in identity.matches(f, spark.createDataFrame(people, PEOPLE), spark.createDataFrame(terms, TERMS)).collect()}
+    want = _matched(filings, people, terms)
+    assert got == {k: v for k, v in want.items() if v is not None} and 50 < len(got) < 350
+
+
+def test_filings_meet_no_candidates_one_by_one(spark):
+    """Members of one name, state and chamber: days are compared in no join, as that would grow with filings times members."""
+    n = 2000
+    people = spark.range(n).selectExpr("concat('B', id) bioguide", "'Ann' first", "cast(null as string) middle", "cast(null as string) nickname", "'Lee' last", "cast(null as string) official_full")
+    terms = spark.range(n).selectExpr("concat('B', id) bioguide", "'sen' type", "date '2000-01-01' + cast(id as int) start", "date '2010-01-01' + cast(id as int) end", "'CA' state", "cast(null as int) district")
+    filings = spark.range(n).selectExpr("'senate' chamber", "cast(id as string) doc_id", "'Otto' filer_first", "'Lee' filer_last", "cast(null as string) state_district", "date '2015-01-01' + cast(id as int) filing_date")
+    out = identity.matches(identity.prepared(filings), people, terms)
+    assert {r.bioguide for r in out.collect()} == {f"B{n - 1}"}  # the last one left is alone in office on the last day, and the latest out of it
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert joins and not any("start#" in line or "filing_date#" in line for line in joins)
