@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from ledgerspark.functions.scalars import is_iso_date, trimmed
 
-from . import ocr
-
 # Reads of a source at most, and the fields in which rows of reads must agree.
 MAX_READS = 5
 ROW_FIELDS = (
@@ -37,6 +35,16 @@ def row_signature(labels: Column | None = None) -> Column:
     return F.to_json(F.array(*fields, *cited))
 
 
+def _thin(rows: DataFrame) -> DataFrame:
+    """Rows with 128 bits of ``sig`` in its place, dealt by source once for all that goes by source."""
+    return rows.withColumn("sig", F.unhex(F.md5("sig"))).repartition("source_id")
+
+
+def _usable(reads: DataFrame) -> DataFrame:
+    """``source_id, _usable``: its reads without an error; MAX_READS at most."""
+    return reads.where("error is null").groupBy("source_id").agg(F.collect_set("read_idx").alias("_usable"))
+
+
 def document_signatures(reads: DataFrame, rows: DataFrame) -> DataFrame:
     """``source_id, read_idx, sig``: rows in order, both lists of labels, and whether an empty read says so; null for a failed read."""
     listed = rows.groupBy("source_id", "read_idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("row_idx", "sig"))), lambda r: r["sig"]).alias("_rows"))
@@ -52,9 +60,8 @@ def voted_rows(reads: DataFrame, rows: DataFrame) -> DataFrame:
     The first reads' copies stay; rows with equal or no labels follow reads and rows,
     those without labels last. The windows run over one source.
     """
-    usable = reads.where("error is null").select("source_id", "read_idx")
     same, within = Window.partitionBy("source_id", "sig"), Window.partitionBy("source_id", "sig", "read_idx")
-    each = rows.join(usable, ["source_id", "read_idx"], "left_semi").select(
+    each = _thin(rows.select("source_id", "read_idx", "row_idx", "sig", "labels")).join(_usable(reads), "source_id").where(F.array_contains("_usable", F.col("read_idx"))).drop("_usable").select(
         "*", F.row_number().over(same.orderBy("read_idx", "row_idx")).alias("_copy"), F.row_number().over(within.orderBy("row_idx")).alias("_nth"), F.count(F.lit(1)).over(within).alias("_n")
     )
     second = F.try_element_at(F.sort_array(F.collect_list(F.when(F.col("_nth") == 1, F.col("_n"))).over(same), asc=False), F.lit(2))  # one entry a read, MAX_READS at most
@@ -69,6 +76,30 @@ def shared_labels(reads: DataFrame, listed: str) -> DataFrame:
     return each.groupBy("source_id", "label").agg(F.count(F.lit(1)).alias("_n")).where("_n >= 2").select("source_id", "label")
 
 
+def _unaccounted(votes: DataFrame, reads: DataFrame, windows: DataFrame) -> DataFrame:
+    """``source_id, _bad``: windows that voted rows and shared labels do not account for.
+
+    The rules are those of ocr.coverage_problems() and ocr.coverage_gaps(), asked of the
+    labels of one window, which are gathered, so that no label is shuffled by itself.
+    """
+    none = F.array().cast("array<int>")
+    cited = F.array_compact(F.coalesce("labels", none))
+    rows = votes.groupBy("source_id").agg(
+        F.flatten(F.collect_list(cited)).alias("_rows"), F.collect_list(F.array_min("labels")).alias("_starts"), F.bool_or(F.coalesce(F.size("labels"), F.lit(0)) <= 0).alias("_blank")
+    )
+    w = windows.select("source_id", "first", "last", "row_count").join(rows, "source_id", "left")
+    for listed in ("non", "cont"):
+        w = w.join(shared_labels(reads, listed).groupBy("source_id").agg(F.collect_list("label").alias(f"_{listed}")), "source_id", "left")
+    w = w.withColumns({c: F.coalesce(c, none) for c in ("_rows", "_starts", "_non", "_cont")})
+    outside = lambda x: ~x.between(F.col("first"), F.col("last"))
+    held = F.array_distinct(F.filter(F.concat("_rows", "_non", "_cont"), lambda x: ~outside(x)))
+    bad = (
+        F.exists("_rows", lambda x: (x < 1) | (x > F.col("row_count"))) | F.exists("_starts", outside) | F.exists("_non", outside) | F.exists("_cont", outside)
+        | F.arrays_overlap("_non", "_rows") | F.arrays_overlap("_cont", "_non") | (F.size(held) < F.size(F.sequence("first", "last"))) | F.coalesce("_blank", F.lit(False))
+    )
+    return w.where(bad).select("source_id").distinct().withColumn("_bad", F.lit(True))
+
+
 def decide_rows(reads: DataFrame, rows: DataFrame, windows: DataFrame) -> DataFrame:
     """``source_id, outcome, read_idx, voted, reason``: as `decide`, then row by row for sources with a window.
 
@@ -76,15 +107,9 @@ def decide_rows(reads: DataFrame, rows: DataFrame, windows: DataFrame) -> DataFr
     account for every label of the window; ``read_idx`` is null then. ``windows``:
     ``source_id, first, last, row_count``.
     """
-    whole = decide(document_signatures(reads, rows))
+    whole = decide(document_signatures(reads, _thin(rows.select("source_id", "read_idx", "row_idx", "sig"))))
     counts = reads.groupBy("source_id").agg(F.max("read_idx").alias("_last"), F.count_if(F.col("error").isNull()).alias("_usable"))
-    votes = voted_rows(reads, rows)
-    mark = lambda df, tx, role: df.select("source_id", tx.cast("int").alias("tx"), "label", F.lit(role).alias("role"))
-    marks = mark(votes.withColumn("label", F.explode("labels")), F.col("position"), "row")
-    for listed in ("non", "cont"):
-        marks = marks.unionByName(mark(shared_labels(reads, listed), F.lit(None), listed))
-    bad = ocr.coverage_problems(windows, marks).select("source_id").union(ocr.coverage_gaps(windows, marks).select("source_id"))
-    bad = bad.union(votes.where("coalesce(size(labels), 0) <= 0").select("source_id")).distinct().withColumn("_bad", F.lit(True))
+    bad = _unaccounted(voted_rows(reads, rows), reads, windows)
     j = whole.join(counts, "source_id").join(windows.select("source_id", F.lit(True).alias("_window")).distinct(), "source_id", "left").join(bad, "source_id", "left")
     reason = (
         F.when(F.col("outcome") != "failed", None).when(F.col("_last") < 2, "no read after the second").when(F.col("_window").isNull(), "no two reads agree")
@@ -116,10 +141,9 @@ def third_reads(sigs: DataFrame) -> DataFrame:
 
 def decide(sigs: DataFrame) -> DataFrame:
     """``source_id, outcome, read_idx``: agreed (first two alike), arbitrated (a later read like an earlier one) or failed."""
-    a, b = sigs.alias("a"), sigs.alias("b")
-    pairs = a.join(b, "source_id").where((F.col("a.read_idx") < F.col("b.read_idx")) & (F.col("a.sig") == F.col("b.sig")))
-    later = pairs.groupBy("source_id").agg(F.min("b.read_idx").alias("read_idx"))
-    return sigs.select("source_id").distinct().join(later, "source_id", "left").select(
+    alike = sigs.select("source_id", "read_idx", F.md5("sig").alias("sig")).repartition("source_id").groupBy("source_id", "sig").agg(F.array_sort(F.collect_set("read_idx")).alias("_reads"))  # MAX_READS at most
+    later = alike.groupBy("source_id").agg(F.min(F.when(F.col("sig").isNotNull(), F.get("_reads", F.lit(1)))).alias("read_idx"))
+    return later.select(
         "source_id", F.when(F.col("read_idx") == 1, "agreed").when(F.col("read_idx").isNotNull(), "arbitrated").otherwise("failed").alias("outcome"), F.when(F.col("read_idx") == 1, 0).otherwise(F.col("read_idx")).alias("read_idx")
     )
 

@@ -350,6 +350,14 @@ def _written(k: Lake, df, tag: str):
     return k.spark.read.parquet(path)
 
 
+class _Numbered(Lake):
+    """A lake whose numbered trades are written once, for all tables of reads that are made of them."""
+
+    def __init__(self, k: Lake):
+        super().__init__(k.spark, k.sf_dir)
+        self.given = {"numbered": _written(k, k.numbered, "numbered")}
+
+
 def _row_windows(k: Lake):
     return k.read_rows.where("kind <> 1 or not odd").groupBy("source_id").agg(F.lit(1).alias("first"), (F.max("of") * 3).alias("last"), (F.max("of") * 3).alias("row_count"))
 
@@ -362,7 +370,7 @@ _SQL_VOTED = """
     s AS (SELECT source_id, sig, list_sort(list(m), 'DESC')[2] AS copies FROM c GROUP BY 1, 2 HAVING count(*) > 1),
     kept AS (SELECT o.source_id, o.read_idx, o.row_idx, o.n FROM (SELECT *, row_number() OVER (PARTITION BY source_id, sig ORDER BY read_idx, row_idx) AS i FROM ok) o JOIN s ON s.source_id = o.source_id AND s.sig = o.sig WHERE i <= copies)"""
 query("voted_rows", _SQL_VOTED + " SELECT source_id, cast(row_number() OVER (PARTITION BY source_id ORDER BY n, read_idx, row_idx) - 1 AS int) AS position, read_idx, row_idx FROM kept", ("read_rows",))(
-    lambda k: C.voted_rows(_row_reads(k), _row_rows(k)).select("source_id", "position", "read_idx", "row_idx")
+    lambda k: (lambda k: C.voted_rows(_row_reads(k), _row_rows(k)))(_Numbered(k)).select("source_id", "position", "read_idx", "row_idx")
 )
 _LISTED = ", nons AS (SELECT source_id, n FROM ok WHERE listed GROUP BY 1, 2 HAVING count(DISTINCT read_idx) > 1)"
 query("shared_labels", _SQL_VOTED + _LISTED + " SELECT source_id, cast(n * 3 AS int) AS label FROM nons", ("read_rows",))(lambda k: C.shared_labels(_row_reads(k), "non"))
@@ -377,12 +385,12 @@ query(
       FROM size z LEFT JOIN l USING (source_id) LEFT JOIN got USING (source_id))
     SELECT source_id, CASE WHEN r = 1 THEN 'agreed' WHEN r IS NOT NULL OR reason IS NULL THEN 'arbitrated' ELSE 'failed' END AS outcome, cast(CASE WHEN r = 1 THEN 0 ELSE r END AS int) AS read_idx, r IS NULL AND reason IS NULL AS voted, reason FROM d""",
     ("read_rows",),
-)(lambda k: C.decide_rows(_written(k, _row_reads(k), "reads"), _written(k, _row_rows(k), "rows"), _written(k, _row_windows(k), "windows")))
+)(lambda k: (lambda k: C.decide_rows(_written(k, _row_reads(k), "reads"), _row_rows(k), _row_windows(k)))(_Numbered(k)))
 
 
 def _ready(k: Lake):
     """A reader that looks its answers up: the reads of the view, pass by pass."""
-    reads, rows = _written(k, _row_reads(k), "reads"), _written(k, _row_rows(k), "rows")
+    reads, rows = _written(k, _row_reads(k), "reads"), _row_rows(k)
 
     def read(pending, n: int):
         mine = lambda df: df.where(F.col("read_idx") == n - 1).drop("read_idx").join(pending.select("source_id"), "source_id", "left_semi")
@@ -392,6 +400,7 @@ def _ready(k: Lake):
 
 
 def _passed(k: Lake):
+    k = _Numbered(k)
     sources, windows_, state = k.read_rows.select("source_id").distinct(), _written(k, _row_windows(k), "windows"), shared_path(k.spark, "passes")
     n = RP.read_in_passes(sources, windows_, _ready(k), state)
     out, rows, _ = RP.decided(k.spark, windows_, state, n)

@@ -98,3 +98,15 @@ def test_recovered(spark):
     for severity, sent in (("fail", []), ("info", ["x"])):
         findings = spark.createDataFrame([("c", severity)], "check string, severity string")
         assert [r.run_id for r in integrity.recovered(findings, previous).where("send").collect()] == sent
+
+
+def test_rows_are_shuffled_once_for_each_use_and_without_their_texts(spark):
+    """Votes deal rows by source alone, with a digest in place of the text."""
+    reads = spark.createDataFrame([("s", r, None, None, [], []) for r in range(3)], "source_id string, read_idx int, error string, statement string, non array<int>, cont array<int>")
+    rows = spark.createDataFrame([("s", r, i, f"row {i}" * 50 if i or r else "other", [i + 1]) for r in range(3) for i in range(2)], "source_id string, read_idx int, row_idx int, sig string, labels array<int>")
+    windows = spark.createDataFrame([("s", 1, 2, 2)], "source_id string, first int, last int, row_count int")
+    votes = consensus.voted_rows(reads, rows)
+    assert [(r.position, r.read_idx, r.row_idx) for r in votes.orderBy("position").collect()] == [(0, 1, 0), (1, 0, 1)]
+    plan = votes._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning" in line and "sig" in line.split("Exchange")[1] for line in plan.splitlines()) == 0
+    assert consensus.decide_rows(reads, rows, windows).first().asDict() == {"source_id": "s", "outcome": "arbitrated", "read_idx": 2, "voted": False, "reason": None}
