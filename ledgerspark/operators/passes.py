@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.scratch import written
+
 from . import consensus as C
 from .ocr import merge_ranges
 
@@ -84,7 +86,7 @@ def decided(spark: SparkSession, windows: DataFrame, state: str, passes: int) ->
     """Decisions with ``reads`` (how often a source was read), the decided rows by ``position``, and ``outcome, n, later_reads``."""
     reads, rows = _passes(spark, state, passes)
     often = reads.groupBy("source_id").agg(F.count(F.lit(1)).cast("int").alias("reads"))
-    out = C.decide_rows(reads, rows, windows).join(often, "source_id")
+    out, _ = written(C.decide_rows(reads, rows, windows).join(often, "source_id"), "decided")  # read three times below
     whole = rows.join(out.where("read_idx is not null").select("source_id", "read_idx"), ["source_id", "read_idx"]).withColumn("position", F.col("row_idx").cast("int"))
     voted = C.voted_rows(reads, rows).join(out.where("voted").select("source_id"), "source_id", "left_semi").select("source_id", "read_idx", "row_idx", F.col("position").cast("int").alias("position"))
     voted = voted.join(rows, ["source_id", "read_idx", "row_idx"])

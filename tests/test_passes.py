@@ -125,3 +125,12 @@ def test_windows_carry_labels_and_markers(spark):
     assert len(whole) == 4 and not any("ROW WINDOW" in r.text for r in whole) and "| R3 | SP | A1 |" in min(whole, key=lambda r: r.page).text
     ids = spark.range(1).select(ocr.gap_id(F.lit("f:w2"), F.lit(7), F.lit(8)), ocr.page_range_id(F.lit("f"), F.lit(1), F.lit(4)), ocr.source_read_id(F.lit("f"), F.lit(3))).first()
     assert list(ids) == ["f:w2:g7-8", "f:p1-4", "f:s3"]
+
+
+def test_decisions_are_made_once_for_all_that_read_them(spark, tmp_path):
+    sources = spark.createDataFrame([("same",), ("third",)], "source_id string")
+    windows = spark.createDataFrame([(i, i, 1, 2, 2) for i in ("same", "third")], WINDOWS)
+    n = passes.read_in_passes(sources, windows, Reader(spark, ANSWERS), f"{tmp_path}/state")
+    out, rows, _ = passes.decided(spark, windows, f"{tmp_path}/state", n)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.source_id, r.outcome, r.reads) for r in out.collect()) == [("same", "agreed", 2), ("third", "arbitrated", 3)] and rows.count() == 4
