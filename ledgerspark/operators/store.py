@@ -1,9 +1,14 @@
 """The lake at rest: yearly Parquet under a manifest that is swapped as the commit point.
 
-``<root>/data/<table>/year=YYYY/<run>/`` holds immutable files; ``<root>/manifest-N.json``
+``<root>/data/<table>/run=<run>/year=YYYY/`` holds immutable files; ``<root>/manifest-N.json``
 names the directories of version N. Readers take the highest version, so a run that dies
-leaves the lake as it was. Only the manifest, one line for each table and year, is
+leaves the lake as it was. Only the manifest, a few lines for each table and year, is
 handled by the driver.
+
+A year is one directory, or a list in order of directories and of key files
+(``<root>/gone/``): rows of the directories before a key file that have one of its keys
+are gone. So an upsert writes what is new and what is gone, not the years that they lie in;
+a year of more than LAYERS steps is written anew.
 """
 
 from __future__ import annotations
@@ -11,6 +16,8 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +28,19 @@ from ledgerspark.scratch import delete, written
 
 TABLES = ("political_filings", "political_trades", "political_trade_events")
 KEY = ["chamber", "doc_id"]
+#: Steps of a year, from which an upsert writes it anew, so that reading it stays cheap.
+LAYERS = 16
+_NO_YEAR = "__HIVE_DEFAULT_PARTITION__"
 
 
 #: Times that an upsert starts again from a version that another writer committed first.
 ATTEMPTS = 8
 
 
+def _steps(year: str | list[str]) -> list[str]:
+    return [year] if isinstance(year, str) else year
+
+
 class Conflict(RuntimeError):
     """Another writer committed the version first."""
 
@@ -76,21 +90,41 @@ class LakeStore:
         finally:
             self._fs.delete(staged, False)
 
-    def _read(self, manifest: dict, table: str, years: list[int] | None = None) -> DataFrame | None:
-        dirs = [d for y, d in sorted(manifest[table].items()) if years is None or int(y) in years]
-        return self.spark.read.parquet(*[f"{self.root}/{d}" for d in dirs]) if dirs else None
+    def _read(self, manifest: dict, table: str, years: list[str] | None = None, only: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame | None:
+        """A table, or some of its years, or the rows that ``only`` lets through before gone rows are taken out."""
+        groups: dict[tuple, list[str]] = {}  # directories by the key files that come after them
+        for year, steps in sorted(manifest[table].items()):
+            gone: tuple = ()
+            for step in reversed(_steps(steps) if years is None or year in years else []):
+                if step.startswith("gone/"):
+                    gone = (step, *gone)
+                else:
+                    groups.setdefault(gone, []).append(step)
+        parts = []
+        for gone, dirs in groups.items():
+            df = self.spark.read.parquet(*[f"{self.root}/{d}" for d in dirs])
+            df = df if only is None else only(df)
+            if gone:
+                keys = self.spark.read.parquet(*[f"{self.root}/{g}" for g in gone])
+                df = df.join(keys, keys.columns, "left_anti")
+            parts.append(df)
+        return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts) if parts else None
 
     def read(self, table: str, years: list[int] | None = None) -> DataFrame | None:
         """A table, or only some of its years: other years' files are not listed at all."""
-        return self._read(self.manifest(), table, years)
+        return self._read(self.manifest(), table, years if years is None else [str(y) for y in years])
 
     def _write(self, run: str, table: str, df: DataFrame) -> dict[str, str]:
-        """Directories by year of ``df``, written as files of the size that Spark advises."""
+        """Directories by year of ``df``: each task writes its rows sorted, one file a year, and nothing is shuffled for it."""
         staging = f"data/{table}/run={run}"
-        df.withColumn("year", F.year("available_at")).hint("rebalance", "year").sortWithinPartitions("year", *SORT).write.partitionBy("year").parquet(f"{self.root}/{staging}")
+        df.withColumn("year", F.year("available_at")).sortWithinPartitions("year", *SORT).write.partitionBy("year").parquet(f"{self.root}/{staging}")
         found = [s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.root}/{staging}")) if s.isDirectory()]
         return {n.removeprefix("year="): f"{staging}/{n}" for n in found if n.startswith("year=")}
 
+    def _discard(self, *paths: str) -> None:
+        for path in paths:
+            self._fs.delete(self._path(f"{self.root}/{path}"), True)
+
     def publish(self, tables: dict[str, DataFrame], years: dict[str, list[int]] | None = None, base: int | None = None) -> None:
         """Write tables, or only the given years of them, and commit on top of version ``base`` (default: the current one). A year without rows leaves the manifest."""
         base = self.version() if base is None else base
@@ -102,59 +136,80 @@ class LakeStore:
         try:
             self._commit(manifest, base)
         except Conflict:
-            for table in tables:
-                self._fs.delete(self._path(f"{self.root}/data/{table}/run={run}"), True)
+            self._discard(*[f"data/{table}/run={run}" for table in tables])
             raise
 
-    def _changed(self, base: int, filings: DataFrame, trades: DataFrame) -> tuple[dict[str, DataFrame], dict[str, list[int]], list[str]]:
-        """Tables in the years that change, these years, and scratch paths to delete."""
+    def _changed(self, base: int, run: str, filings: DataFrame, trades: DataFrame) -> dict:
+        """The manifest of version ``base`` with the given rows in place of their documents' and their filers' events rebuilt; writes the files of ``run`` that it names."""
         manifest = self.manifest(base)
-        old = {t: self._read(manifest, t) for t in TABLES}
-        keys = filings.select(*KEY).distinct()
-        touched = filings.select("filer_key")
-        if old["political_filings"] is not None:
-            touched = touched.union(old["political_filings"].join(keys, KEY, "left_semi").select("filer_key"))
-        touched, path = written(touched.distinct(), "touched")
-        theirs = lambda df: df.join(touched, "filer_key", "left_semi")
         new = {"political_filings": filings, "political_trades": trades}
-        rest = {t: old[t].join(keys, KEY, "left_anti") for t in new if old[t] is not None}
-        whole = {t: theirs(rest[t]).unionByName(theirs(df), allowMissingColumns=True) if t in rest else theirs(df) for t, df in new.items()}
-        events, events_path = written(build_events(whole["political_trades"], whole["political_filings"]), "rebuilt")
-        new["political_trade_events"] = events
-        tables, years = {}, {}
-        for table, df in new.items():
-            lost = None if old[table] is None else theirs(old[table]) if df is events else old[table].join(keys, KEY, "left_semi")
-            dated = lambda d: d.select(F.year("available_at").alias("y"))
-            years[table] = [r.y for r in (dated(df) if lost is None else dated(df).union(dated(lost))).distinct().collect()]
-            before = self._read(manifest, table, years[table])
-            if before is None:
-                tables[table] = df
-            elif df is events:
-                tables[table] = before.join(touched, "filer_key", "left_anti").unionByName(df, allowMissingColumns=True)
-            else:
-                tables[table] = before.join(keys, KEY, "left_anti").unionByName(df, allowMissingColumns=True)
-        return tables, years, [path, events_path]
+        added = {t: self._write(run, t, df) for t, df in new.items()}
+        # What was written is read from there, so that what is given is worked out once.
+        new = {t: self._read({t: added[t]}, t) if added[t] else df.limit(0) for t, df in new.items()}
+        gone = {t: f"gone/run={run}/{'filers' if t == 'political_trade_events' else 'docs'}" for t in TABLES}
+        keys = self._kept(new["political_filings"].select(*KEY).distinct(), gone["political_filings"])
+        touched, old = new["political_filings"].select("filer_key"), self._read(manifest, "political_filings")
+        if old is not None:
+            touched = touched.union(old.join(keys, KEY, "left_semi").select("filer_key"))
+        touched = self._kept(touched.distinct(), gone["political_trade_events"])
+        theirs = lambda df: df.join(touched, "filer_key", "left_semi")
+        whole, paths = {}, []
+        for t, df in new.items():
+            rest = self._read(manifest, t, only=theirs)
+            df = theirs(df) if rest is None else rest.join(keys, KEY, "left_anti").unionByName(theirs(df), allowMissingColumns=True)
+            whole[t], path = written(df, "theirs")
+            paths.append(path)
+        added["political_trade_events"] = self._write(run, "political_trade_events", build_events(whole["political_trades"], whole["political_filings"]))
+        delete(*paths)
+        for t in TABLES:
+            lost = self._lost(manifest, t, theirs, keys)
+            layered = {y: [*_steps(s), *([gone[t]] if y in lost else [])] for y, s in manifest[t].items()}
+            for y, d in added[t].items():
+                layered.setdefault(y, []).append(d)
+            ended = lost - set(added[t])
+            if ended:
+                ended -= self._years(self._read({t: layered}, t, sorted(ended)))
+            long = [y for y, s in layered.items() if len(s) > LAYERS and y not in ended]
+            anew = self._write(f"{run}-anew", t, self._read({t: layered}, t, long)) if long else {}
+            manifest[t] = {y: anew.get(y) or (s[0] if len(s) == 1 else s) for y, s in layered.items() if y not in ended and (y in anew or y not in long)}
+        return manifest
+
+    def _kept(self, df: DataFrame, path: str) -> DataFrame:
+        df.write.parquet(f"{self.root}/{path}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{path}")
+
+    @staticmethod
+    def _years(rows: DataFrame) -> set[str]:
+        return {r.y for r in rows.select(F.coalesce(F.year("available_at").cast("string"), F.lit(_NO_YEAR)).alias("y")).distinct().collect()}
+
+    def _lost(self, manifest: dict, table: str, theirs: Callable[[DataFrame], DataFrame], keys: DataFrame) -> set[str]:
+        """Years with rows that an upsert replaces. Documents meet by hashes, each once a year; a chance match names a year that loses nothing."""
+        if not manifest[table]:
+            return set()
+        if table == "political_trade_events":
+            return self._years(self._read(manifest, table, only=theirs))
+        hashed = F.xxhash64(*KEY).alias("h")
+        return self._years(self._read(manifest, table).select(hashed, F.trunc("available_at", "year").alias("available_at")).distinct().join(keys.select(hashed), "h", "left_semi"))
 
     def upsert(self, filings: DataFrame, trades: DataFrame) -> None:
         """Replace whole filings and their trades, and rebuild the events of the filers concerned.
 
-        Of each table only the years are read and written in which a replaced or a new row
-        lies; for events those of the filers' old and new versions, as a correction may
-        supersede a version of any year. Other years keep their files. If another writer
-        commits meanwhile, the upsert starts again from that version, so both survive;
-        after ATTEMPTS it gives up with Conflict. Nothing changes before the commit.
+        Only new rows are written, with the keys of those that are gone, to the years in
+        which a replaced or a new row lies; for events those of the filers' old and new
+        versions, as a correction may supersede a version of any year. Other years keep
+        their files. If another writer commits meanwhile, the upsert starts again from
+        that version, so both survive; after ATTEMPTS it gives up with Conflict. Nothing
+        changes before the commit.
         """
         for attempt in range(1, ATTEMPTS + 1):
-            base = self.version()
-            tables, years, paths = self._changed(base, filings, trades)
+            base, run = self.version(), uuid.uuid4().hex
             try:
-                self.publish(tables, years, base)
+                self._commit(self._changed(base, run, filings, trades), base)
                 return
-            except Conflict:
-                if attempt == ATTEMPTS:
+            except BaseException as e:
+                self._discard(f"gone/run={run}", *[f"data/{t}/run={r}" for t in TABLES for r in (run, f"{run}-anew")])
+                if not isinstance(e, Conflict) or attempt == ATTEMPTS:
                     raise
-            finally:
-                delete(*paths)
 
     def reidentify(self, identities: DataFrame) -> int:
         """Give filings and trades new identities where they differ; returns how many filings moved, and writes nothing for none."""

@@ -310,3 +310,23 @@ def test_filings_meet_no_candidates_one_by_one(spark):
     assert {r.bioguide for r in out.collect()} == {f"B{n - 1}"}  # the last one left is alone in office on the last day, and the latest out of it
     joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
     assert joins and not any("start#" in line or "filing_date#" in line for line in joins)
+
+
+def test_upsert_writes_what_is_new_and_what_is_gone(spark, tmp_path, monkeypatch):
+    """The files of a touched year stay; a document filed again, moved or not, replaces itself alone, however many layers lie over it."""
+    from ledgerspark.operators import store as st
+
+    docs = {str(i): ("AB"[i % 2], 2020 + i % 2) for i in range(6)}
+    store = LakeStore(spark, f"file://{tmp_path}/lake")
+    store.upsert(*_small_lake(spark, [(d, *x) for d, x in docs.items()]))
+    first = store.manifest()["political_trades"]["2020"]
+    for layers, changed in ((16, {"0": ("A", 2020)}), (3, {"0": ("B", 2020), "2": ("A", 2021), "9": ("A", 2020)})):
+        monkeypatch.setattr(st, "LAYERS", layers)
+        store.upsert(*_small_lake(spark, [(d, *x) for d, x in changed.items()]))
+        docs.update(changed)
+        steps = store.manifest()["political_trades"]["2020"]
+        assert steps[0] == first and len(steps) == 3 if layers == 16 else isinstance(steps, str)
+        want = sorted((d, f"member:{w}", y) for d, (w, y) in docs.items())
+        for table, doc in (("political_filings", "doc_id"), ("political_trades", "doc_id"), ("political_trade_events", "source_doc_id")):
+            assert sorted((r[doc], r.filer_key, r.available_at.year) for r in store.read(table).collect()) == want
+        assert sorted(r.doc_id for r in store.read("political_trades", [2021]).collect()) == sorted(d for d, x in docs.items() if x[1] == 2021)
