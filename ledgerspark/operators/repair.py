@@ -75,16 +75,18 @@ def date_findings_by_page(windows: DataFrame, spans: DataFrame, text_reads: Data
     """``filing_id, page, finding``: what the dates of either read's rows contradict, each said once a page.
 
     The text's rows count on the page they start on, those of a page's read on each page
-    of a window; rows of failed reads and rows on no page say nothing.
+    of a window; rows of failed reads and rows on no page say nothing. Findings name their
+    read, so each read's are made distinct where its rows lie, by filing or page, and no
+    sentence is shuffled.
     """
     key = ["filing_id", "page"]
     text = placed(windows, spans, text_rows.join(text_reads.where("error is null"), "source_id", "left_semi")).where("page is not null")
     none = F.lit(None).cast("int")
     say = lambda who, labels, page: F.concat(F.lit(f"{who}, "), S.describe_row(labels, page, F.col("asset")), F.lit(": "), F.col("f")).alias("finding")
-    said = text.withColumn("f", F.explode(_findings(F.col("filed_on")))).select(*key, say(TEXT_READ, F.col("labels"), none))
+    said = text.withColumn("f", F.explode(_findings(F.col("filed_on")))).select(*key, say(TEXT_READ, F.col("labels"), none)).distinct()
     days = window_pages(windows, spans).join(windows.select("source_id", "filed_on"), "source_id").select(*key, "filed_on").distinct()
     listed = page_rows.join(page_reads.where("error is null"), key, "left_semi").join(days, key).withColumn("f", F.explode(_findings(F.col("filed_on"))))
-    return said.union(listed.select(*key, say(PAGE_READ, F.array().cast("array<int>"), F.col("page")))).distinct()
+    return said.union(listed.select(*key, say(PAGE_READ, F.array().cast("array<int>"), F.col("page"))).distinct())
 
 
 def source_read(windows: DataFrame, spans: DataFrame, page_reads: DataFrame, page_rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -27,18 +27,27 @@ class _Reads:
             F.expr("CASE WHEN l_partkey % 23 = 0 THEN ' ' ELSE asset_description END").alias("asset"),
         )
 
+    @cached_property
+    def _windows(self) -> DataFrame:
+        """Windows with their least part, which decides how they were read; written once, as many steps meet them."""
+        per = self.lines.groupBy("source_id", "filing_id", "filed_on")
+        return written(per.agg(F.min("label").alias("first"), F.max("label").alias("last"), F.min("page").alias("page_start"), F.max("page").alias("page_end"), F.min("l_partkey").alias("p")), "windows")[0]
+
+    @cached_property
+    def _pages(self) -> DataFrame:
+        return written(self.lines.groupBy("filing_id", "page").agg(F.min("label").alias("first_label"), F.max("label").alias("last_label"), F.min("l_partkey").alias("p")), "pages")[0]
+
     @cached_property
     def windows(self) -> DataFrame:
-        return self.lines.groupBy("source_id", "filing_id", "filed_on").agg(F.min("label").alias("first"), F.max("label").alias("last"), F.min("page").alias("page_start"), F.max("page").alias("page_end"))
+        return self._windows.drop("p")
 
     @cached_property
     def spans(self) -> DataFrame:
-        return self.lines.groupBy("filing_id", "page").agg(F.min("label").alias("first_label"), F.max("label").alias("last_label"))
+        return self._pages.drop("p")
 
     @cached_property
     def text_reads(self) -> DataFrame:
-        per = self.lines.groupBy("source_id").agg(F.min("l_partkey").alias("p")).where("p % 17 <> 0")
-        return per.select("source_id", F.expr("CASE WHEN p % 13 = 0 THEN 'cut off' END").alias("error"))
+        return self._windows.where("p % 17 <> 0").select("source_id", F.expr("CASE WHEN p % 13 = 0 THEN 'cut off' END").alias("error"))
 
     @cached_property
     def text_rows(self) -> DataFrame:
@@ -46,8 +55,7 @@ class _Reads:
 
     @cached_property
     def page_reads(self) -> DataFrame:
-        per = self.lines.groupBy("filing_id", "page").agg(F.min("l_partkey").alias("p")).where("p % 31 <> 0")
-        return per.select("filing_id", "page", F.expr("CASE WHEN p % 19 = 0 THEN 'timeout' END").alias("error"))
+        return self._pages.where("p % 31 <> 0").select("filing_id", "page", F.expr("CASE WHEN p % 19 = 0 THEN 'timeout' END").alias("error"))
 
     @cached_property
     def page_rows(self) -> DataFrame:
@@ -56,8 +64,7 @@ class _Reads:
     @cached_property
     def decisions(self) -> DataFrame:
         """By the window's least part: failed, agreed or arbitrated; some without rows, of these some with a statement."""
-        per = self.lines.groupBy("source_id").agg(F.min("l_partkey").alias("p"))
-        return per.selectExpr("source_id", "CASE WHEN p % 7 = 0 THEN 'failed' WHEN p % 2 = 0 THEN 'arbitrated' ELSE 'agreed' END AS outcome", "cast(NULL AS string) AS error", "CASE WHEN p % 10 = 4 THEN 'nothing to report' END AS statement", "p")
+        return self._windows.selectExpr("source_id", "CASE WHEN p % 7 = 0 THEN 'failed' WHEN p % 2 = 0 THEN 'arbitrated' ELSE 'agreed' END AS outcome", "cast(NULL AS string) AS error", "CASE WHEN p % 10 = 4 THEN 'nothing to report' END AS statement", "p")
 
     def decided_rows(self, day: str) -> DataFrame:
         """Rows of decided reads, none of windows whose least part leaves 1 or 4 in tens; dates misread by ``day``."""
