@@ -1,10 +1,10 @@
 """Economic events: repeated and amended observations of one trade folded into versions.
 
 A trade can only meet others of its filer that share its source id, or its ticker and
-date, or a document that its filing amends. So the relational half finds trades that meet
-nobody (each is an event of its own) and the connected components of the others; the
-ordered fold then streams Arrow batches sorted by component and time. It reads only what
-decides a match; everything else stays in Arrow and is taken by position.
+date, or a document that its filing amends. So trades are dealt by filer, and a filer with
+very many by the connected components of those that may meet; the ordered fold streams
+Arrow batches sorted by group and time. It takes only the trades that may meet others and
+reads only what decides a match; everything else stays in Arrow and is taken by position.
 """
 
 from __future__ import annotations
@@ -14,8 +14,10 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.functions import scalars as S
@@ -115,7 +117,7 @@ def _differ(a: tuple, b: tuple) -> int:
 
 _TICKER, _DATE = S.ROLES.index("ticker"), S.ROLES.index("transaction_date")
 #: What the fold reads of a trade, in order.
-_READ = ["filer_key", "part", "chamber", "doc_id", "row_index", "source_transaction_id", "available_at", "amended", *[f"role_{r}" for r in S.ROLES]]
+_READ = ["chamber", "doc_id", "row_index", "source_transaction_id", "available_at", "amended", *[f"role_{r}" for r in S.ROLES]]
 
 
 class Fold:
@@ -200,43 +202,99 @@ class _Versions:
         self.rows[e.order, e.version] = [at, e.name, e.version, first, None, e.contributors]
 
 
-def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Versions of trades sorted by group and time; the columns behind _READ are copied.
+def _codes(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Numbers that are equal where the values are; -1 for null."""
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return pc.fill_null(whole.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
-    Versions of the groups that a batch completes leave together; of the trades before
-    the open group nothing is held.
-    """
 
-    def taken(held: list[pa.RecordBatch], versions: list[list]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(held)
-        at, name, number, first, later, contributors = zip(*versions, strict=True)
-        time = table["available_at"].combine_chunks()
-        fixed = [pa.array(name, pa.string()), pa.array(number, pa.int32()), *(time.take(pa.array(x, pa.int64())) for x in (first, at, later))]
-        said = pa.array([json.dumps(c, separators=(",", ":"), ensure_ascii=False) for c in contributors], pa.string())
-        copied = table.select(range(len(_READ), table.num_columns)).take(pa.array(at, pa.int64())).combine_chunks()
-        return pa.RecordBatch.from_arrays([*fixed, said, *(c.chunk(0) for c in copied.columns)], names=["event_id", "version", "first_available_at", "available_at", "superseded_at", "contributor_row_ids", *copied.column_names])
-
-    group, fold, start, n = None, _Versions(), 0, 0  # the open group, where it starts in what is held, and its trades
-    held: list[pa.RecordBatch] = []
-    done: list[list] = []
-
-    def close() -> None:
-        done.extend([at + start, name, number, first + start, None if later is None else later + start, said] for at, name, number, first, later, said in fold.rows.values())
-
-    for batch in batches:
-        held.append(batch)
-        for filer, part, *said in zip(*(batch.column(i).to_pylist() for i in range(len(_READ))), strict=True):
-            if (filer, part) != group:
-                close()
-                group, fold, start, n = (filer, part), _Versions(), start + n, 0
-            fold.meet(n, *said[:6], tuple(said[6:]))
-            n += 1
-        if done:
-            yield taken(held, done)
-            held, done, start = pa.Table.from_batches(held).slice(start).to_batches(), [], 0
-    close()
-    if done:
-        yield taken(held, done)
+def _begins(of: pa.Table | pa.RecordBatch) -> np.ndarray:
+    """Whether another group begins at a row, the first one not counted."""
+    filer, part = _codes(of.column("filer_key")), _codes(of.column("part"))
+    return np.concatenate([[False], (filer[1:] != filer[:-1]) | (part[1:] != part[:-1])])
+
+
+def _shared(group: np.ndarray, *columns: pa.ChunkedArray) -> np.ndarray:
+    """Which trades have their group and these values, none of them null, in common with another."""
+    key, known = group.astype(np.int64), np.ones(len(group), bool)
+    for codes in map(_codes, columns):
+        known &= codes >= 0
+        key = key * (int(codes.max(initial=0)) + 1) + codes
+    out = np.zeros(len(group), bool)
+    if known.any():
+        _, at, n = np.unique(key[known], return_inverse=True, return_counts=True)
+        out[known] = n[at] > 1
+    return out
+
+
+def _versions_of(table: pa.Table, copied: list[str]) -> pa.RecordBatch:
+    """Versions of whole groups of trades, sorted by group and time.
+
+    Rows of ``mark`` say what a document amends. Trades that share no source id and no
+    ticker and date, of documents that neither amend nor are amended, meet nobody: they
+    leave as they are, their names left out, and only the others are folded.
+    """
+    group, mark = np.cumsum(_begins(table)), table["mark"].to_numpy()
+    amends: dict[tuple, list] = {}
+    if mark.any():
+        marks = table.filter(pa.array(mark))
+        amends = {(g, c, d): a for g, c, d, a in zip(group[mark].tolist(), *(marks[c].to_pylist() for c in ("chamber", "doc_id", "amended")), strict=True)}
+        table, group = table.filter(pa.array(~mark)), group[~mark]
+    met = _shared(group, table["source_transaction_id"]) | _shared(group, table["ticker"], table["transaction_date"]) | (_codes(table["part"]) >= 0)
+    if amends:
+        amended = {(g, doc) for (g, _, _), docs in amends.items() for doc in docs}
+        maybe = np.flatnonzero(np.isin(group, np.array(list({g for g, *_ in amends}))))
+        some = table.take(pa.array(maybe))
+        said = zip(group[maybe].tolist(), some["chamber"].to_pylist(), some["doc_id"].to_pylist(), strict=True)
+        met[maybe] |= np.fromiter(((g, d) in amended or (g, c, d) in amends for g, c, d in said), bool, len(maybe))
+
+    alone, folded = np.flatnonzero(~met), np.flatnonzero(met)
+    rows: list[list] = []
+    some = table.select(_READ).take(pa.array(folded))
+    some = some.set_column(_READ.index("available_at"), "available_at", some["available_at"].cast(pa.int64()))
+    fold, open_ = _Versions(), None
+    for at, g, trade in zip(folded.tolist(), group[folded].tolist(), zip(*(c.to_pylist() for c in some.columns), strict=True), strict=True):
+        if g != open_:
+            rows.extend(fold.rows.values())
+            fold, open_ = _Versions(), g
+        chamber, doc, row, source, time, docs, *roles = trade
+        fold.meet(at, chamber, doc, row, source, time, docs or amends.get((g, chamber, doc)), tuple(roles))
+    rows.extend(fold.rows.values())
+    at, name, number, first, later, contributors = zip(*rows, strict=True) if rows else [()] * 6
+    n, time = len(alone), table["available_at"].combine_chunks()
+    own = pa.array([*alone.tolist(), *at], pa.int64())
+    said = [None] * n + [json.dumps(c, separators=(",", ":"), ensure_ascii=False) for c in contributors]
+    given = table.select(copied).take(own).combine_chunks()
+    fixed = [
+        pa.array([None] * n + list(name), pa.string()), pa.array([1] * n + list(number), pa.int32()), time.take(pa.array([*alone.tolist(), *first], pa.int64())), time.take(own),
+        time.take(pa.array([None] * n + list(later), pa.int64())), pa.array(said, pa.string()),
+    ]
+    columns = [*fixed, *(c.chunk(0) if c.num_chunks else pa.nulls(0, c.type) for c in given.columns)]
+    return pa.RecordBatch.from_arrays(columns, names=["event_id", "version", "first_available_at", "available_at", "superseded_at", "contributor_row_ids", *copied])
+
+
+def _folded(copied: list[str]):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Versions of trades sorted by group and time. Groups that a batch completes leave together; only the open group is held."""
+        held, last = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = lambda i, of=batch: (of.column("filer_key")[i].as_py(), of.column("part")[i].as_py())
+            if held and key(0) != last:
+                yield _versions_of(pa.Table.from_batches(held), copied)
+                held = []
+            last = key(batch.num_rows - 1)
+            begins = np.flatnonzero(_begins(batch))
+            if len(begins):
+                cut = int(begins[-1])
+                yield _versions_of(pa.Table.from_batches([*held, batch.slice(0, cut)]), copied)
+                held, batch = [], batch.slice(cut)
+            held.append(batch)
+        if held:
+            yield _versions_of(pa.Table.from_batches(held), copied)
+
+    return work
 
 
 #: Columns of a version that a trade gives it, besides its ticker.
@@ -252,7 +310,11 @@ def observations(trades: DataFrame) -> DataFrame:
     )
 
 
-def build_events(trades: DataFrame, filings: DataFrame) -> DataFrame:
+#: A filer of more trades is folded by parts, others whole.
+FILER_TRADES = 100_000
+
+
+def build_events(trades: DataFrame, filings: DataFrame, whole: int = FILER_TRADES) -> DataFrame:
     """Event versions of all members' trades, as VERSION_DDL.
 
     Trades are taken by availability, chamber, document and row (equal keys by their
@@ -260,30 +322,44 @@ def build_events(trades: DataFrame, filings: DataFrame) -> DataFrame:
     conflicts with in no role and that shares its source id, or its ticker and date. It
     corrects the earliest one with its source id, or, if its filing amends a day, the
     earliest one with its ticker and exactly one other role that has a document of that
-    day. Otherwise it opens an event. See scalars.event_roles() for unknown roles. Trades
-    that no other can meet become events without Python; the others go by component (see
-    parts()), whose rows are held until it ends.
+    day. Otherwise it opens an event. See scalars.event_roles() for unknown roles. A
+    trade's columns are shuffled once, by filer; a filer of up to ``whole`` trades is held
+    until it ends. Of filers with more, trades that no other can meet become events
+    without Python, and the others go by component (see parts()).
     """
     names = [c.split()[0] for c in VERSION_DDL.split(", ")]
-    shaped = observations(trades).withColumn("node", F.xxhash64("filer_key", "chamber", "doc_id", "row_index", *TIE))
+    shaped = observations(trades).drop("_roles")
+    documents, _ = written(shaped.groupBy("filer_key", "chamber", "doc_id").agg(F.count(F.lit(1)).alias("n")), "documents")
+    big, _ = written(documents.groupBy("filer_key").agg(F.sum("n").alias("n")).where(F.col("n") > whole).select(F.col("filer_key").alias("_big")), "big")
+    is_big = F.col("filer_key").eqNullSafe(F.col("_big"))
+    some = not big.isEmpty()
     amending = amended_docs(filings)
-    met = parts(shaped.join(amending, ["chamber", "doc_id"], "left"))
-    own: dict[str, Column] = {"source_doc_id": F.col("doc_id"), "source_row_index": F.col("row_index")}
-    alone = shaped.join(met, "node", "left_anti").withColumns({
-        **own, "event_id": F.concat_ws(":", "chamber", "doc_id", "row_index"), "version": F.lit(1), "first_available_at": F.col("available_at"), "superseded_at": F.lit(None).cast("timestamp"),
-        "contributor_row_ids": F.to_json(F.array(F.concat_ws(":", "doc_id", "row_index"))),
-    })
-    others = shaped.join(met, "node").join(amending, ["chamber", "doc_id"], "left")
-    others = others.withColumns({f"role_{r}": F.col("_roles")[r].cast("string") for r in S.ROLES})
-    behind = [*GIVEN, "ticker", "source_url", *own]
-    kinds = {f.name: f.dataType.simpleString() for f in others.withColumns(own).schema.fields}
-    ddl = "event_id string, version int, first_available_at timestamp, available_at timestamp, superseded_at timestamp, contributor_row_ids string, filer_key string, " + ", ".join(f"{c} {kinds[c]}" for c in behind)
-    # The columns behind _READ get names of their own, as some are read and copied.
-    given = others.select(*_READ, F.col("filer_key").alias("_filer_key"), *[{**own}.get(c, F.col(c)).alias(f"_{c}") for c in behind], *[F.col(c).alias(f"__{c}") for c in TIE])
-    dealt = given.repartition("filer_key", "part").sortWithinPartitions("filer_key", "part", "available_at", "chamber", "doc_id", "row_index", *[f"__{c}" for c in TIE])
-    folded = dealt.drop(*[f"__{c}" for c in TIE]).mapInArrow(_folded, ddl.replace("filer_key", "_filer_key").replace(", ".join(f"{c} {kinds[c]}" for c in behind), ", ".join(f"_{c} {kinds[c]}" for c in behind)))
-    folded = folded.withColumnsRenamed({f"_{c}": c for c in ["filer_key", *behind]})
-    return alone.select(*names).unionByName(folded.select(*names))
+    marks = documents.join(amending, ["chamber", "doc_id"]).select("filer_key", "chamber", "doc_id", "amended", F.lit(True).alias("mark"))
+    ordinary = shaped.join(big, is_big, "left_anti") if some else shaped
+    ordinary = ordinary.withColumn("mark", F.lit(False)).unionByName(marks.join(big, is_big, "left_anti") if some else marks, allowMissingColumns=True).withColumn("part", F.lit(None).cast("long"))
+    versions = _fold(ordinary)
+    if some:
+        nodes = shaped.join(big, is_big, "left_semi").withColumn("node", F.xxhash64("filer_key", "chamber", "doc_id", "row_index", *TIE))
+        met = parts(nodes.join(amending, ["chamber", "doc_id"], "left"))
+        alone = nodes.join(met, "node", "left_anti").withColumns({"version": F.lit(1), "first_available_at": F.col("available_at"), "superseded_at": F.lit(None).cast("timestamp")})
+        alone = alone.withColumns({c: F.lit(None).cast("string") for c in ("event_id", "contributor_row_ids")})
+        others = nodes.join(met, "node").join(amending, ["chamber", "doc_id"], "left").withColumn("mark", F.lit(False))
+        versions = versions.unionByName(alone.select(*versions.columns)).unionByName(_fold(others.drop("node")))
+    row = F.concat_ws(":", "doc_id", "row_index")
+    return versions.withColumns({
+        "event_id": F.coalesce("event_id", F.concat_ws(":", "chamber", row)), "contributor_row_ids": F.coalesce("contributor_row_ids", F.to_json(F.array(row))),
+        "source_doc_id": F.col("doc_id"), "source_row_index": F.col("row_index"),
+    }).select(*names)
+
+
+def _fold(rows: DataFrame) -> DataFrame:
+    """Versions of trades with the ``part`` of their filer, what their document has ``amended``, and rows of ``mark`` that say so for a document."""
+    dealt = rows.repartition("filer_key", "part").sortWithinPartitions("filer_key", "part", F.desc("mark"), "available_at", "chamber", "doc_id", "row_index", *TIE)
+    roles = dealt.withColumns({"printed_ticker": F.col("ticker"), "resolved_ticker": F.col("ticker")}).withColumn("_roles", S.event_roles())
+    copied = [*GIVEN, "ticker", "source_url", "filer_key", "doc_id", "row_index"]
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    ddl = "event_id string, version int, first_available_at timestamp, available_at timestamp, superseded_at timestamp, contributor_row_ids string, " + ", ".join(f"{c} {kinds[c]}" for c in copied)
+    return roles.select(*copied, "available_at", "part", "mark", "amended", *[F.col("_roles")[r].cast("string").alias(f"role_{r}") for r in S.ROLES]).mapInArrow(_folded(copied), ddl)
 
 
 def rebuild(events: DataFrame, trades: DataFrame, filings: DataFrame, touched: DataFrame) -> DataFrame:

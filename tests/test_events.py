@@ -88,3 +88,21 @@ def test_scoped_rebuild_equals_full_and_windows_are_open(spark):
     again = sorted(rebuild(before, t, f, touched).collect(), key=lambda x: (x.event_id, x.version))
     assert again == rows
     assert sorted(migrate_comments(build_events(t, f), t).columns) == sorted(build_events(t, f).columns)
+
+
+def test_large_filers_by_parts_equal_whole_ones_and_payload_is_shuffled_once(spark):
+    import random
+
+    r = random.Random(5)
+    trades = [
+        {"doc_id": str(d), "row_index": i, "filer_key": f"member:{d % 3}" if d % 7 else None, "available_at": DAY[d % 27], "printed_ticker": r.choice(["a", "b", None]), "source_transaction_id": r.choice([None, None, "X", "Y"]),
+         "amount_high": r.choice([15000.0, 50000.0]), "transaction_date": dt.date(2024, 1, r.randrange(1, 4))}
+        for d in range(40) for i in range(3)
+    ]
+    filings = [("house", str(d), f"member:{d % 3}" if d % 7 else None, dt.date(2024, 1, 1 + d % 27), None, dt.date(2024, 1, 1 + d % 5) if d % 2 else None) for d in range(40)]
+    rows, t, f = run(spark, trades, filings)
+    assert any(x.version > 1 for x in rows) and any("," in x.contributor_row_ids for x in rows)
+    for whole in (0, 35):  # every filer by parts; some of them
+        assert sorted(build_events(t, f, whole).collect(), key=lambda x: (x.event_id, x.version)) == rows
+    plan = build_events(t, f)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and plan.count("asset_description") and "leftanti" not in plan.lower()
