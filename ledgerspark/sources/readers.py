@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import zipfile
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 from io import BytesIO
 
@@ -108,6 +110,29 @@ class _Tables(HTMLParser):
             self.cell.append(data)
 
 
+#: A tag without attributes, or with quoted ones, and tags whose content is no markup.
+_TAG = re.compile(r'<(/?[a-zA-Z][a-zA-Z0-9]*)((?:[ \t\n]+[a-zA-Z][a-zA-Z0-9-]*="[^"<>]*")*)[ \t\n]*>')
+_NO_MARKUP = frozenset({"iframe", "math", "noembed", "noframes", "noscript", "plaintext", "script", "style", "svg", "textarea", "title", "xmp"})
+
+
+def _tables(page: str) -> list[list[list[str]]]:
+    """The tables of a page. One with none but plain tags is cut by one pattern, which is much faster than the parser; any other is parsed."""
+    p = _Tables()
+    cut = _TAG.split(page)
+    tags = [t.lower() for t in cut[1::3]]
+    if len(tags) != page.count("<") or not _NO_MARKUP.isdisjoint(tags) or any(more and tag[0] == "/" for tag, more in zip(tags, cut[2::3], strict=True)):
+        p.feed(page)
+        return p.tables
+    for tag, text in zip(tags, cut[3::3], strict=True):
+        if tag[0] == "/":
+            p.handle_endtag(tag[1:])
+        else:
+            p.handle_starttag(tag, ())
+        if text and p.cell is not None:
+            p.handle_data(unescape(text) if "&" in text else text)
+    return p.tables
+
+
 _ROW = T.StructType([T.StructField("error", T.StringType()), T.StructField("rows", T.ArrayType(T.ArrayType(T.StringType())))])
 
 
@@ -115,9 +140,7 @@ _ROW = T.StructType([T.StructField("error", T.StringType()), T.StructField("rows
 def _transactions(html: pd.Series) -> pd.DataFrame:
     out = []
     for page in html:
-        p = _Tables()
-        p.feed(page or "")
-        fit = [t for t in p.tables if t and "Transaction Date" in t[0] and "Amount" in t[0]]
+        fit = [t for t in _tables(page or "") if t and "Transaction Date" in t[0] and "Amount" in t[0]]
         if len(fit) != 1:
             out.append((f"{len(fit)} transaction tables", None))
         elif fit[0][0] != TRANSACTION_HEADERS:
