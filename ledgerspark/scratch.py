@@ -30,6 +30,15 @@ def written(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def land(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder, if it is there, to a path whose parents are made."""
+    a, b = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    files = a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(b.getParent())
+    if files.exists(a) and not files.rename(a, b):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def delete(*paths: str) -> None:
     """Delete shared paths whose readers have ended."""
     for path in paths:

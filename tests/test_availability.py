@@ -58,3 +58,19 @@ def test_late_trades_are_told(spark, tmp_path):
         A.follow(open_stream(spark, folder), out, state)
     changed = spark.read.parquet(out)
     assert [r.filer_key for r in A.late_filers(changed).collect()] == ["member:1"]
+
+
+def test_a_filer_of_many_events_goes_to_entries_and_reads_the_same():
+    class Entries(dict):
+        getValue, updateValue = dict.get, dict.__setitem__  # noqa: N815
+
+    entries = Entries()
+    held = A._Held(entries, '"a"', '{"events": {}, "found": {}, "days": {}}')
+    held.put("events", "0", {"name": "x"})
+    held.put("days", "2024-01-01", ["1"])
+    packed = held.packed(A.FEW_EVENTS)
+    assert not entries and A._Held(entries, '"a"', packed).get("events", "0") == {"name": "x"}
+    assert held.packed(A.FEW_EVENTS + 1) is None and len(entries) == 2
+    again = A._Held(entries, '"a"', None)
+    again.put("found", "k", [0])
+    assert [again.get(*k) for k in (("events", "0"), ("days", "2024-01-01"), ("found", "k"), ("found", "none"))] == [{"name": "x"}, ["1"], [0], None]
