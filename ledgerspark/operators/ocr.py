@@ -25,6 +25,16 @@ WINDOW_LABELS, WINDOW_TABLE_ROWS = 120, 20
 CONTEXT_PAGES = 2
 
 
+def _kept_lines(pages: DataFrame) -> DataFrame:
+    each = pages.select("filing_id", "page", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "text"))
+    return each.where(~F.col("text").rlike(rf"\A{BLANKS}\z") & ~F.col("text").rlike(SEPARATOR))
+
+
+def label_counts(pages: DataFrame) -> DataFrame:
+    """``filing_id, n``: the last label of number_lines() in each filing that has one, without numbering its lines."""
+    return _kept_lines(pages).groupBy("filing_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
 def number_lines(pages: DataFrame) -> DataFrame:
     """``filing_id, page, line, label, is_table, text`` of every non-blank line but table rules.
 
@@ -32,8 +42,7 @@ def number_lines(pages: DataFrame) -> DataFrame:
     table or a rule, so indented ones are text. Labels run over all pages of a filing.
     ``pages``: ``filing_id, page, text``. The window runs over one filing.
     """
-    each = pages.select("filing_id", "page", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "text"))
-    kept = each.where(~F.col("text").rlike(rf"\A{BLANKS}\z") & ~F.col("text").rlike(SEPARATOR))
+    kept = _kept_lines(pages)
     order = Window.partitionBy("filing_id").orderBy("page", "line")
     return kept.select("filing_id", "page", "line", F.row_number().over(order).alias("label"), F.col("text").startswith("|").alias("is_table"), "text")
 
@@ -90,7 +99,7 @@ def row_ranges(labels: DataFrame, by: list[str]) -> DataFrame:
 def coverage_gaps(windows: DataFrame, marks: DataFrame) -> DataFrame:
     """``source_id, label`` of labels inside a window that its read does not mention."""
     owed = windows.select("source_id", F.explode(F.sequence("first", "last")).alias("label"))
-    return owed.join(marks.select("source_id", "label").distinct(), ["source_id", "label"], "left_anti")
+    return owed.join(marks.select("source_id", "label"), ["source_id", "label"], "left_anti")
 
 
 def _starts(marks: DataFrame) -> DataFrame:
@@ -165,15 +174,18 @@ def merge_gaps(marks: DataFrame, windows: DataFrame, fills: DataFrame) -> tuple[
     ``fills``: ``source_id, gap_first, tx, label, role``; their transactions get numbers
     of their own, beyond those of any read. A fill's continuations extend the one transaction that holds the row
     above the gap, or stay continuations when the gap opens the window; no or several
-    such transactions are a problem.
+    such transactions are a problem. Of the marks, only those above a gap are searched for
+    owners; all are shuffled once more, to be made distinct.
     """
     first = windows.select("source_id", "first")
     opening = fills.join(first, "source_id").withColumn("_opens", F.col("gap_first") == F.col("first"))
+    conts = opening.where("role = 'cont' and not _opens")
     above = marks.where("role = 'row'").select("source_id", F.col("tx").alias("_owner"), (F.col("label") + 1).alias("gap_first"))
-    owners = above.groupBy("source_id", "gap_first").agg(F.count_distinct("_owner").alias("_n"), F.min("_owner").alias("_owner"))
-    conts = opening.where("role = 'cont' and not _opens").join(owners, ["source_id", "gap_first"], "left")
-    extended = conts.where("_n = 1").select("source_id", F.col("_owner").alias("tx"), "label", F.lit("row").alias("role"))
-    problems = conts.where("_n is null or _n > 1").select("source_id", (F.col("gap_first") - 1).alias("label"), F.when(F.col("_n").isNull(), "no transaction").otherwise("more than one transaction").alias("holders")).distinct()
+    beside = above.join(conts.select("source_id", "gap_first"), ["source_id", "gap_first"], "left_semi")
+    owners = beside.groupBy("source_id", "gap_first").agg(F.min("_owner").alias("_owner"), F.max("_owner").alias("_other"))
+    owned = conts.join(owners, ["source_id", "gap_first"], "left")
+    extended = owned.where("_owner = _other").select("source_id", F.col("_owner").alias("tx"), "label", F.lit("row").alias("role"))
+    problems = owned.where("_owner is null or _owner < _other").select("source_id", (F.col("gap_first") - 1).alias("label"), F.when(F.col("_owner").isNull(), "no transaction").otherwise("more than one transaction").alias("holders")).distinct()
     plain = opening.where("role <> 'cont' or _opens").select("source_id", F.when(F.col("role") == "row", F.shiftleft(F.col("gap_first").cast("long"), 32) + F.col("tx")).alias("tx"), "label", "role")
     return marks.select("source_id", "tx", "label", "role").unionByName(extended).unionByName(plain).distinct(), problems
 

@@ -43,23 +43,35 @@ def lines(k: Lake):
 
 
 def windows(k: Lake):
-    n = lines(k).groupBy("filing_id").agg(F.max("label").alias("n"))
+    n = O.label_counts(k.ocr)
     return n.select("filing_id", "n", F.explode(F.expr("sequence(0, n - 1, 20)")).alias("s")).select(
         F.concat("filing_id", F.lit(":w"), F.expr("s div 20").cast("string")).alias("source_id"), "filing_id", (F.col("s") + 1).alias("first"), F.least(F.col("s") + 20, "n").alias("last"), F.col("n").alias("row_count")
     )
 
 
-def marks(k: Lake):
-    w = windows(k)
+#: Windows that one task makes marks of.
+WINDOWS_A_TASK = 10_000
+
+
+def _windowed(k: Lake):
+    """The windows written once, for all that is made of them: the texts are split once."""
+    return _written(k, windows(k), "windows")
+
+
+def marks(w):
+    """The marks of windows that are written: derived anew for each use. Windows are dealt by number, as few bytes of them make many marks."""
+    w = w.repartition(1 + w.count() // WINDOWS_A_TASK, "source_id")
     each = w.select("source_id", F.explode(F.sequence("first", "last")).alias("label")).where("label % 10 < 9")
     role = F.when(F.col("label") % 10 < 6, "row").when(F.col("label") % 10 < 8, "non").otherwise("cont")
     out = each.select("source_id", F.when(F.col("label") % 10 < 6, F.expr("cast(label div 3 as int)")).alias("tx"), "label", role.alias("role"))
-    for test, tx, label, r in (
-        ("first % 3 = 0", None, "last", "non"), ("first % 7 = 0", None, "first", "cont"), ("first % 11 = 0", 9000, "last + 1", "row"),
-        ("first % 13 = 0", 9001, "first - 1", "row"), ("first % 13 = 0", 9001, "first", "row"), ("first % 17 = 0", None, "first - 1", "cont"),
-    ):
-        out = out.unionByName(w.where(test).select("source_id", F.lit(tx).cast("int").alias("tx"), F.expr(label).alias("label"), F.lit(r).alias("role")))
-    return out
+    planted = [
+        F.when(F.expr(test), F.struct(F.lit(tx).cast("int").alias("tx"), F.expr(label).alias("label"), F.lit(r).alias("role")))
+        for test, tx, label, r in (
+            ("first % 3 = 0", None, "last", "non"), ("first % 7 = 0", None, "first", "cont"), ("first % 11 = 0", 9000, "last + 1", "row"),
+            ("first % 13 = 0", 9001, "first - 1", "row"), ("first % 13 = 0", 9001, "first", "row"), ("first % 17 = 0", None, "first - 1", "cont"),
+        )
+    ]
+    return out.unionByName(w.select("source_id", F.inline(F.array(*planted))).where("role is not null"))
 
 
 query("number_lines", _with(" SELECT filing_id, page, line, label, is_table, md5(text) AS text FROM lines", False), _OCR)(lambda k: lines(k).withColumn("text", F.md5("text")))
@@ -96,9 +108,9 @@ query(
     ("stream",),
 )(lambda k: O.largest_box(k.stream.selectExpr("user_id AS page_id", "event_id % 50 AS x0", "event_id % 40 AS y0", "event_id % 90 AS x1", "event_id % 70 AS y1")))
 _ISLANDS = "SELECT source_id, min(label) AS first, max(label) AS last FROM (SELECT source_id, label, label - row_number() OVER (PARTITION BY source_id ORDER BY label) AS g FROM ({}) q) z GROUP BY source_id, g"
-query("row_ranges", _with(" " + _ISLANDS.format("SELECT DISTINCT source_id, label FROM marks WHERE role = 'row'")), _OCR)(lambda k: O.row_ranges(marks(k).where("role = 'row'"), ["source_id"]))
+query("row_ranges", _with(" " + _ISLANDS.format("SELECT DISTINCT source_id, label FROM marks WHERE role = 'row'")), _OCR)(lambda k: O.row_ranges(marks(_windowed(k)).where("role = 'row'"), ["source_id"]))
 _OWED = "SELECT source_id, cast(unnest(generate_series(first, last)) AS int) AS label FROM windows EXCEPT SELECT source_id, label FROM marks"
-query("coverage_gaps", _with(" " + _OWED), _OCR)(lambda k: O.coverage_gaps(windows(k), marks(k)))
+query("coverage_gaps", _with(" " + _OWED), _OCR)(lambda k: (lambda w: O.coverage_gaps(w, marks(w)))(_windowed(k)))
 _STARTS = ", starts AS (SELECT source_id, tx, min(label) AS start FROM marks WHERE role = 'row' GROUP BY 1, 2)"
 _PROBLEMS = """
     SELECT DISTINCT m.source_id, 'cites a row outside the filing' AS problem, label FROM marks m JOIN windows USING (source_id) WHERE role = 'row' AND (label < 1 OR label > row_count)
@@ -106,14 +118,14 @@ _PROBLEMS = """
     UNION ALL SELECT DISTINCT m.source_id, CASE role WHEN 'non' THEN 'no transaction outside its window' ELSE 'continuation outside its window' END, label FROM marks m JOIN windows USING (source_id) WHERE role <> 'row' AND label NOT BETWEEN first AND last
     UNION ALL SELECT DISTINCT a.source_id, 'both in a transaction and none', a.label FROM marks a JOIN marks b ON a.source_id = b.source_id AND a.label = b.label AND a.role = 'non' AND b.role = 'row'
     UNION ALL SELECT DISTINCT a.source_id, 'both a continuation and no transaction', a.label FROM marks a JOIN marks b ON a.source_id = b.source_id AND a.label = b.label AND a.role = 'cont' AND b.role = 'non'"""
-query("coverage_problems", _with(_STARTS + _PROBLEMS), _OCR)(lambda k: O.coverage_problems(windows(k), marks(k)))
+query("coverage_problems", _with(_STARTS + _PROBLEMS), _OCR)(lambda k: (lambda w: O.coverage_problems(w, marks(w)))(_windowed(k)))
 query(
     "normalize_read",
     _with(_STARTS + """
     SELECT DISTINCT m.source_id, m.tx, m.label, m.role FROM marks m JOIN windows w USING (source_id) LEFT JOIN starts s ON s.source_id = m.source_id AND s.tx = m.tx WHERE CASE WHEN role = 'row' THEN start BETWEEN first AND last ELSE label BETWEEN first AND last END
     UNION SELECT DISTINCT m.source_id, NULL, m.label, 'cont' FROM marks m JOIN windows w USING (source_id) JOIN starts s ON s.source_id = m.source_id AND s.tx = m.tx WHERE role = 'row' AND start < first AND label BETWEEN first AND last"""),
     _OCR,
-)(lambda k: O.normalize_read(windows(k), marks(k)))
+)(lambda k: (lambda w: O.normalize_read(w, marks(w)))(_windowed(k)))
 query(
     "coverage_filing",
     _with(_STARTS + """,
@@ -123,17 +135,17 @@ query(
     WHERE CASE role WHEN 'cont' THEN NOT EXISTS (SELECT 1 FROM held h WHERE h.filing_id = mine.filing_id AND h.label = mine.label AND h.start < mine.first)
                     ELSE EXISTS (SELECT 1 FROM held h WHERE h.filing_id = mine.filing_id AND h.label = mine.label AND h.start NOT BETWEEN mine.first AND mine.last) END"""),
     _OCR,
-)(lambda k: O.coverage_filing(windows(k), marks(k)))
+)(lambda k: (lambda w: O.coverage_filing(w, marks(w)))(_windowed(k)))
 query("gap_ranges", _with(_STARTS + f", bad AS ({_PROBLEMS}), sound AS (SELECT * FROM ({_OWED}) o WHERE source_id NOT IN (SELECT source_id FROM bad)) " + _ISLANDS.format("SELECT source_id, label FROM sound")), _OCR)(
-    lambda k: O.gap_ranges(windows(k), marks(k))
+    lambda k: (lambda w: O.gap_ranges(w, marks(w)))(_windowed(k))
 )
 
 
-def fills(k: Lake):
+def fills(w):
     """A gap read for each first gap of a window: one continuation and one row."""
-    g = O.coverage_gaps(windows(k), marks(k)).groupBy("source_id").agg(F.min("label").alias("gap_first"))
-    part = lambda tx, label, role: g.select("source_id", "gap_first", F.lit(tx).cast("int").alias("tx"), label.alias("label"), F.lit(role).alias("role"))
-    return part(None, F.col("gap_first"), "cont").unionByName(part(1, F.col("gap_first") + 1, "row"))
+    g = O.coverage_gaps(w, marks(w)).groupBy("source_id").agg(F.min("label").alias("gap_first"))
+    part = lambda tx, label, role: F.struct(F.lit(tx).cast("int").alias("tx"), label.alias("label"), F.lit(role).alias("role"))
+    return g.select("source_id", "gap_first", F.inline(F.array(part(None, F.col("gap_first"), "cont"), part(1, F.col("gap_first") + 1, "row"))))
 
 
 query(
@@ -143,7 +155,7 @@ query(
     SELECT source_id, tx, label, role FROM marks UNION SELECT o.source_id, o.tx, o.gap_first, 'row' FROM own o JOIN windows w USING (source_id) WHERE o.n = 1 AND o.gap_first <> w.first
     UNION SELECT o.source_id, NULL, o.gap_first, 'cont' FROM own o JOIN windows w USING (source_id) WHERE o.gap_first = w.first UNION SELECT source_id, cast(gap_first AS bigint) * 4294967296 + 1, cast(gap_first + 1 AS int), 'row' FROM g"""),
     _OCR,
-)(lambda k: O.merge_gaps(marks(k), windows(k), fills(k))[0])
+)(lambda k: (lambda w: O.merge_gaps(marks(w), w, _written(k, fills(w), "fills"))[0])(_windowed(k)))
 query(
     "band_fractions",
     _with(""", t AS (SELECT filing_id, page, label, row_number() OVER (PARTITION BY filing_id, page ORDER BY label) AS n, count(*) OVER (PARTITION BY filing_id, page) AS total FROM lines WHERE label % 3 = 0)

@@ -95,6 +95,30 @@ def test_coverage_and_gap_merge(spark):
     assert {(r.tx, r.label) for r in merged.where("role = 'row' and source_id = 'a'").collect()} == {(1, 2), (1, 3), (1, 4), ((4 << 32) + 1, 5)}
 
 
+def test_owners_above_a_gap(spark):
+    w = spark.createDataFrame([(s, "f", 1, 6, 6) for s in "abc"], "source_id string, filing_id string, first int, last int, row_count int")
+    m = spark.createDataFrame([("a", 1, 3, "row"), ("a", 2, 3, "row"), ("b", None, 3, "non"), ("c", 7, 3, "row"), ("c", 7, 3, "row"), ("c", 8, 2, "row")], "source_id string, tx int, label int, role string")
+    fill = spark.createDataFrame([(s, 4, None, n, "cont") for s in "abc" for n in (4, 5)] + [("c", 1, None, 1, "cont")], "source_id string, gap_first int, tx int, label int, role string")
+    merged, problems = ocr.merge_gaps(m, w, fill)
+    assert sorted(map(tuple, problems.collect())) == [("a", 3, "more than one transaction"), ("b", 3, "no transaction")]
+    assert sorted((r.tx, r.label, r.role) for r in merged.where("source_id = 'c' and role = 'row'").collect()) == [(7, 3, "row"), (7, 4, "row"), (7, 5, "row"), (8, 2, "row")]
+    assert [(r.source_id, r.label) for r in merged.where("role = 'cont'").collect()] == [("c", 1)]
+
+
+def test_merged_gaps_split_the_texts_once(spark, tmp_path):
+    from ledgerspark.plans import catalogue, extraction
+
+    texts = [(0, "a\n\n \u2003\nb"), (1, "| c |\n|---|\n" + "d\n" * 40), (4, None), (5, " \t"), (8, "|:---\n |---\ne")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    k = extraction.Lake(spark, str(tmp_path))
+    last = {r.filing_id: r.n for r in ocr.number_lines(k.ocr).groupBy("filing_id").agg(F.max("label").alias("n")).collect()}
+    assert last == {"0": 43, "2": 2} == {r.filing_id: r.n for r in ocr.label_counts(k.ocr).collect()}
+    merged = catalogue.QUERIES["merge_gaps"](spark, str(tmp_path))
+    assert merged.inputFiles() and not any("documents.parquet" in f for f in merged.inputFiles())
+    assert {(r.tx, r.label) for r in merged.where("source_id = '0:w1' and role = 'row' and label between 25 and 31").collect()} == {(8, 25), ((29 << 32) + 1, 30), (10, 30), (10, 31)}
+    assert extraction.marks(k.spark.range(3 * extraction.WINDOWS_A_TASK).selectExpr("cast(id AS string) AS source_id", "1 AS first", "1 AS last")).rdd.getNumPartitions() > 3
+
+
 def test_planners(spark):
     lines = spark.createDataFrame([("f", i, i % 2 == 0) for i in range(1, 26)], "filing_id string, label int, is_table boolean")
     got = sorted((r.first, r.last) for r in ocr.plan_windows(lines, labels=10, table_rows=4).collect())
