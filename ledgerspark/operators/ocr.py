@@ -107,25 +107,28 @@ def _starts(marks: DataFrame) -> DataFrame:
 
 
 def coverage_problems(windows: DataFrame, marks: DataFrame) -> DataFrame:
-    """``source_id, problem, label`` of every contradiction inside one window's read."""
-    w = windows.select("source_id", "first", "last", "row_count")
-    m = marks.select("source_id", "role", "label").distinct()
-    inside = F.col("label").between(F.col("first"), F.col("last"))
-    said = lambda df, problem: df.select("source_id", F.lit(problem).alias("problem"), "label").distinct()
-    placed = m.join(w, "source_id")
-    role = lambda r: m.where(F.col("role") == r).select("source_id", "label")
-    parts = [
-        said(placed.where("role = 'row' and (label < 1 or label > row_count)"), "cites a row outside the filing"),
-        said(_starts(marks).join(w, "source_id").withColumn("label", F.col("start")).where(~inside), "starts outside its window"),
-        said(placed.where((F.col("role") == "non") & ~inside), "no transaction outside its window"),
-        said(placed.where((F.col("role") == "cont") & ~inside), "continuation outside its window"),
-        said(role("non").join(role("row"), ["source_id", "label"], "left_semi"), "both in a transaction and none"),
-        said(role("cont").join(role("non"), ["source_id", "label"], "left_semi"), "both a continuation and no transaction"),
+    """``source_id, problem, label`` of every contradiction inside one window's read.
+
+    All of them are seen on one row a label, which says in what roles it is marked and
+    whether a transaction starts there, so marks are read once.
+    """
+    row = F.col("role") == "row"
+    start = F.min(F.when(row, F.col("label"))).over(Window.partitionBy("source_id", "tx"))
+    has = lambda test, name: F.coalesce(F.bool_or(test), F.lit(False)).alias(name)
+    each = marks.select("source_id", "role", "label", (row & (F.col("label") == start)).alias("_start")).groupBy("source_id", "label").agg(
+        has(row, "_row"), has(F.col("role") == "non", "_non"), has(F.col("role") == "cont", "_cont"), has("_start", "_starts")
+    )
+    outside = ~F.col("label").between(F.col("first"), F.col("last"))
+    rules = [
+        (F.col("_row") & F.col("row_count").isNotNull() & ((F.col("label") < 1) | (F.col("label") > F.col("row_count"))), "cites a row outside the filing"),
+        (F.col("_starts") & outside, "starts outside its window"),
+        (F.col("_non") & outside, "no transaction outside its window"),
+        (F.col("_cont") & outside, "continuation outside its window"),
+        (F.col("_non") & F.col("_row"), "both in a transaction and none"),
+        (F.col("_cont") & F.col("_non"), "both a continuation and no transaction"),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    placed = each.join(windows.select("source_id", "first", "last", "row_count"), "source_id", "left")
+    return placed.select("source_id", F.explode(F.array_compact(F.array(*[F.when(test, problem) for test, problem in rules]))).alias("problem"), "label")
 
 
 def normalize_read(windows: DataFrame, marks: DataFrame) -> DataFrame:

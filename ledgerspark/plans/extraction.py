@@ -59,19 +59,25 @@ def _windowed(k: Lake):
 
 
 def marks(w):
-    """The marks of windows that are written: derived anew for each use. Windows are dealt by number, as few bytes of them make many marks."""
+    """The marks of windows that are written: derived anew for each use. Windows are dealt by number, as few bytes of them make many marks.
+
+    A window's marks are made together and not as a union of the regular and the planted ones:
+    Spark 4.1 may plan with how a union is dealt and then run it dealt otherwise.
+    """
     w = w.repartition(1 + w.count() // WINDOWS_A_TASK, "source_id")
-    each = w.select("source_id", F.explode(F.sequence("first", "last")).alias("label")).where("label % 10 < 9")
-    role = F.when(F.col("label") % 10 < 6, "row").when(F.col("label") % 10 < 8, "non").otherwise("cont")
-    out = each.select("source_id", F.when(F.col("label") % 10 < 6, F.expr("cast(label div 3 as int)")).alias("tx"), "label", role.alias("role"))
+    said = lambda tx, label, role: F.struct(tx.cast("int").alias("tx"), label.cast("int").alias("label"), role.alias("role"))
+    regular = F.transform(
+        F.filter(F.sequence("first", "last"), lambda x: x % 10 < 9),
+        lambda x: said(F.when(x % 10 < 6, F.floor(x / 3)), x, F.when(x % 10 < 6, "row").when(x % 10 < 8, "non").otherwise("cont")),
+    )
     planted = [
-        F.when(F.expr(test), F.struct(F.lit(tx).cast("int").alias("tx"), F.expr(label).alias("label"), F.lit(r).alias("role")))
+        F.when(F.expr(test), said(F.lit(tx), F.expr(label), F.lit(r)))
         for test, tx, label, r in (
             ("first % 3 = 0", None, "last", "non"), ("first % 7 = 0", None, "first", "cont"), ("first % 11 = 0", 9000, "last + 1", "row"),
             ("first % 13 = 0", 9001, "first - 1", "row"), ("first % 13 = 0", 9001, "first", "row"), ("first % 17 = 0", None, "first - 1", "cont"),
         )
     ]
-    return out.unionByName(w.select("source_id", F.inline(F.array(*planted))).where("role is not null"))
+    return w.select("source_id", F.inline(F.concat(regular, F.array_compact(F.array(*planted)))))
 
 
 query("number_lines", _with(" SELECT filing_id, page, line, label, is_table, md5(text) AS text FROM lines", False), _OCR)(lambda k: lines(k).withColumn("text", F.md5("text")))

@@ -119,6 +119,19 @@ def test_merged_gaps_split_the_texts_once(spark, tmp_path):
     assert extraction.marks(k.spark.range(3 * extraction.WINDOWS_A_TASK).selectExpr("cast(id AS string) AS source_id", "1 AS first", "1 AS last")).rdd.getNumPartitions() > 3
 
 
+@pytest.mark.parametrize("name", ["gap_ranges", "coverage_problems"])
+def test_windows_of_many_tasks_read_as_those_of_one(spark, tmp_path, monkeypatch, name):
+    from ledgerspark.plans import catalogue, extraction
+
+    spark.createDataFrame([(i, "a line\n" * (20 + 37 * i % 300)) for i in range(120)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(extraction, "WINDOWS_A_TASK", 1_000_000)
+    whole = sorted(map(str, catalogue.QUERIES[name](spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(extraction, "WINDOWS_A_TASK", 50)
+    dealt = catalogue.QUERIES[name](spark, str(tmp_path))
+    assert whole and sorted(map(str, dealt.collect())) == whole
+    assert "Union" not in dealt._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_planners(spark):
     lines = spark.createDataFrame([("f", i, i % 2 == 0) for i in range(1, 26)], "filing_id string, label int, is_table boolean")
     got = sorted((r.first, r.last) for r in ocr.plan_windows(lines, labels=10, table_rows=4).collect())
