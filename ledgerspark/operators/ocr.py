@@ -137,13 +137,12 @@ def normalize_read(windows: DataFrame, marks: DataFrame) -> DataFrame:
     Transactions that start before the window leave, and their labels inside become
     continuations; those that start after it leave; other marks outside leave.
     """
-    w = windows.select("source_id", "first", "last")
-    m = marks.join(_starts(marks), ["source_id", "tx"], "left").join(w, "source_id")
-    inside = F.col("label").between(F.col("first"), F.col("last"))
     row = F.col("role") == "row"
-    own = m.where(F.when(row, F.col("start").between(F.col("first"), F.col("last"))).otherwise(inside)).select("source_id", "tx", "label", "role")
-    earlier = m.where(row & (F.col("start") < F.col("first")) & inside).select("source_id", F.lit(None).cast("int").alias("tx"), "label", F.lit("cont").alias("role"))
-    return own.unionByName(earlier).distinct()
+    m = marks.select("source_id", "tx", "label", "role").withColumn("_start", F.when(F.col("tx").isNotNull(), F.min(F.when(row, F.col("label"))).over(Window.partitionBy("source_id", "tx"))))
+    m = m.join(windows.select("source_id", "first", "last"), "source_id")
+    inside, earlier = F.col("label").between(F.col("first"), F.col("last")), F.coalesce(row & (F.col("_start") < F.col("first")), F.lit(False))
+    kept = m.where(F.when(row & ~earlier, F.col("_start") <= F.col("last")).otherwise(inside))
+    return kept.select("source_id", F.when(~earlier, F.col("tx")).alias("tx"), "label", F.when(earlier, "cont").otherwise(F.col("role")).alias("role")).distinct()
 
 
 def coverage_filing(windows: DataFrame, marks: DataFrame) -> DataFrame:

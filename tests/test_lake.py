@@ -119,7 +119,7 @@ def test_merged_gaps_split_the_texts_once(spark, tmp_path):
     assert extraction.marks(k.spark.range(3 * extraction.WINDOWS_A_TASK).selectExpr("cast(id AS string) AS source_id", "1 AS first", "1 AS last")).rdd.getNumPartitions() > 3
 
 
-@pytest.mark.parametrize("name", ["gap_ranges", "coverage_problems"])
+@pytest.mark.parametrize("name", ["gap_ranges", "normalize_read", "coverage_problems"])
 def test_windows_of_many_tasks_read_as_those_of_one(spark, tmp_path, monkeypatch, name):
     from ledgerspark.plans import catalogue, extraction
 
