@@ -11,6 +11,11 @@ from ledgerspark.schema import IDENTITY
 KEY = ["chamber", "doc_id"]
 
 
+def _sorted(df: DataFrame) -> DataFrame:
+    """A table of all members or filings, joined by sorting: files say little of its rows' size in memory, so Spark would send millions of them through the driver."""
+    return df.hint("merge")
+
+
 def legislator_terms(people: DataFrame) -> DataFrame:
     """``bioguide, type, start, end, state, district`` of nested ``terms``; a senator's district is null."""
     t = people.select("bioguide", F.explode("terms").alias("t")).where(F.col("t.type").isin("rep", "sen"))
@@ -80,8 +85,8 @@ def _seats(members: DataFrame, terms: DataFrame, shapes: DataFrame) -> DataFrame
     m = members.select("bioguide", S.name_tokens(F.col("last")).alias("_words"), _beginnings(S.name_tokens(F.concat_ws(" ", "first", "middle", "nickname"))).alias("_given")).where(F.size("_words") > 0)
     whole, kind = _spoken(F.col("_words")), lambda k, w: F.struct(F.lit(k).alias("kind"), w.alias("name"))
     names = F.concat(F.array(kind("s", whole), kind("x", whole)), F.transform(_endings(F.col("_words")), lambda w: kind("f", w)))
-    m = m.select("bioguide", F.concat(F.array(no), F.array_distinct("_given")).alias("_given"), names.alias("_names")).join(terms.where("start is not null"), "bioguide")
-    m = m.select("*", F.explode("_names").alias("_n")).drop("_names")
+    m = _sorted(m).join(terms.where("start is not null"), "bioguide").withColumn("_given", F.concat(F.array(no), F.array_distinct("_given")))
+    m = m.select("*", F.explode(names).alias("_n")).drop("_words")
     own = F.coalesce(F.col("district").cast("string"), F.lit("-"))
     m = m.select("*", F.explode(F.array_distinct(F.array(no, own))).alias("_d")).select("*", F.explode(F.array_distinct(F.array(F.col("state"), F.lit(None).cast("string")))).alias("_s"))
     shape = F.concat_ws("|", "_n.kind", "type", F.when(F.col("_d").rlike("[0-9]"), "d").otherwise(F.col("_d")), F.when(F.col("_s").isNull(), no).otherwise("in"))
@@ -143,7 +148,7 @@ def matches(filings: DataFrame, members: DataFrame, terms: DataFrame) -> DataFra
     found = state.select(*KEY, "_rank", F.unix_date(now["day"]).alias("day"), now["n"].alias("n"), now["a"].alias("a"), now["b"].alias("b"))
     best = found.groupBy(*KEY).agg(F.max(F.struct(-F.col("_rank"), "day", "n", "a", "b")).alias("hi"), F.min(F.struct("_rank", -F.col("day"), -F.col("n"), "a", "b")).alias("lo"))
     one = best.where("hi.n = 1 and hi.a = lo.a and hi.b = lo.b").select(*KEY, F.col("hi.a").alias("_a"), F.col("hi.b").alias("_b"))
-    return one.join(members.select("bioguide", *_ids("bioguide")).distinct(), ["_a", "_b"]).select(*KEY, "bioguide")
+    return one.join(_sorted(members.select("bioguide", *_ids("bioguide")).distinct()), ["_a", "_b"]).select(*KEY, "bioguide")
 
 
 def resolve(filings: DataFrame, members: DataFrame, terms: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -155,14 +160,14 @@ def resolve(filings: DataFrame, members: DataFrame, terms: DataFrame, overrides:
     f = prepared(filings)
     seat = F.coalesce("state_district", F.lit(""))
     known = members.select(F.col("bioguide").alias("member_id"), F.lit(True).alias("_known")).distinct()
-    o = overrides.join(known, "member_id", "left").select(
+    o = overrides.join(_sorted(known), "member_id", "left").select(
         F.concat_ws("|", S.name_key(F.col("chamber"), S.name_tokens(F.col("filer_last")), S.name_tokens(F.col("filer_first"))), seat).alias("_okey"),
         F.when(F.col("member_id").isNotNull() & F.col("_known").isNull(), F.raise_error(F.concat(F.lit("an override names an unknown member: "), "member_id"))).otherwise(F.col("member_id")).alias("_omember"),
         F.lit(True).alias("_override"),
     )
     shown = members.select(F.col("bioguide").alias("_id"), F.coalesce("official_full", F.concat_ws(" ", "first", "last")).alias("_full"))
     j = f.withColumn("_okey", F.concat_ws("|", "_name", seat)).join(o, "_okey", "left").join(matches(f, members, terms), KEY, "left")
-    j = j.withColumn("_id", F.when(F.col("_override"), F.col("_omember")).otherwise(F.col("bioguide"))).join(shown, "_id", "left")
+    j = j.withColumn("_id", F.when(F.col("_override"), F.col("_omember")).otherwise(F.col("bioguide"))).join(_sorted(shown), "_id", "left")
     member = F.col("_full").isNotNull()
     return j.select(
         *KEY,

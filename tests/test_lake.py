@@ -52,6 +52,15 @@ def test_resolver(spark):
     assert got["2"].display_name == "Debbie W. Schultz" and got["7"].filer_key == "house|gutierrez|luis" and got["8"].display_name == "Staff Member Iii"
 
 
+@pytest.mark.parametrize("name", ["resolve_members"])
+def test_members_and_filings_are_not_sent_through_the_driver(spark, name):
+    from ledgerspark.plans import catalogue
+
+    plan = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.splitlines() if "BroadcastHashJoin [" in x and not any(f"Join [{few}#" in x for few in ("_shape", "_okey"))]
+    assert [x for x in joins if any(f"[{key}#" in x for key in ("bioguide", "member_id", "_id", "_a", "chamber"))] == [] and "SortMergeJoin [bioguide#" in plan
+
+
 def test_audit_of_a_sound_and_an_empty_lake(spark):
     f = spark.createDataFrame([("house", "1", d("2024-06-29"), "ok", "member:A", "A", "legislators")], "chamber string, doc_id string, filing_date date, extraction_status string, filer_key string, member_id string, identity_source string")
     t = spark.createDataFrame([("house", "1", 0, d("2024-06-01"), None, d("2024-06-29"), "printed", None, 1.0, 2.0)], "chamber string, doc_id string, row_index int, transaction_date date, notification_date date, filing_date date, resolution_status string, resolved_ticker string, amount_low double, amount_high double")
