@@ -189,7 +189,7 @@ def stale_overrides(overrides: DataFrame, filings: DataFrame) -> DataFrame:
 def identify(rows: DataFrame, identities: DataFrame) -> DataFrame:
     """Rows stamped with their filing's identity; without one, the filed name as an unresolved filer."""
     named = S.name_key(F.col("chamber"), S.name_tokens(F.col("filer_last")), S.name_tokens(F.col("filer_first")))
-    j = rows.drop(*IDENTITY).join(identities, KEY, "left")
+    j = rows.drop(*IDENTITY).join(_sorted(identities), KEY, "left")
     return j.withColumns({
         "filer_key": F.coalesce("filer_key", named),
         "display_name": F.coalesce("display_name", S.display_name(F.col("filer_first"), F.col("filer_last"))),
