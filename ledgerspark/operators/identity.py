@@ -200,4 +200,4 @@ def identify(rows: DataFrame, identities: DataFrame) -> DataFrame:
 def moved(before: DataFrame, after: DataFrame) -> DataFrame:
     """``chamber, doc_id`` of filings whose identity differs, nulls comparing equal."""
     same = F.struct(*[F.col(f"a.{c}") for c in IDENTITY]).eqNullSafe(F.struct(*[F.col(f"b.{c}") for c in IDENTITY]))
-    return before.alias("a").join(after.alias("b"), KEY).where(~same).select(*KEY)
+    return _sorted(before).alias("a").join(after.alias("b"), KEY).where(~same).select(*KEY)

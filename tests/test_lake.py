@@ -52,7 +52,7 @@ def test_resolver(spark):
     assert got["2"].display_name == "Debbie W. Schultz" and got["7"].filer_key == "house|gutierrez|luis" and got["8"].display_name == "Staff Member Iii"
 
 
-@pytest.mark.parametrize("name", ["resolve_members", "identify_rows"])
+@pytest.mark.parametrize("name", ["resolve_members", "identify_rows", "reidentify_diff"])
 def test_members_and_filings_are_not_sent_through_the_driver(spark, name):
     from ledgerspark.plans import catalogue
 
