@@ -52,7 +52,7 @@ def parse_slash_date(x: Column) -> Column:
 
 def is_iso_date(x: Column) -> Column:
     """Whether the text is a real day as YYYY-MM-DD; null text is none."""
-    return F.coalesce(x.rlike(r"\A\d{4}-\d{2}-\d{2}\z") & F.try_to_date(x, "yyyy-MM-dd").isNotNull(), F.lit(False))
+    return F.coalesce(x.rlike(r"\A\d{4}-\d{2}-\d{2}\z") & x.try_cast("date").isNotNull(), F.lit(False))
 
 
 def available_at(day: Column) -> Column:

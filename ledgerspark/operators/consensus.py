@@ -54,20 +54,25 @@ def document_signatures(reads: DataFrame, rows: DataFrame) -> DataFrame:
     return reads.join(listed, ["source_id", "read_idx"], "left").select("source_id", "read_idx", F.when(F.col("error").isNull(), whole).alias("sig"))
 
 
+def _kept(rows: DataFrame, reads: DataFrame) -> DataFrame:
+    """Rows, dealt by source, with ``_kept``: whether the vote keeps them. All sorts and windows of a source share one shuffle."""
+    same, within = Window.partitionBy("source_id", "_ok", "sig"), Window.partitionBy("source_id", "_ok", "sig", "read_idx")
+    each = rows.join(_usable(reads), "source_id", "left").withColumn("_ok", F.coalesce(F.array_contains("_usable", F.col("read_idx")), F.lit(False))).drop("_usable").select(
+        "*", F.row_number().over(same.orderBy("read_idx", "row_idx")).alias("_copy"), F.row_number().over(within.orderBy("row_idx")).alias("_nth"), F.count(F.lit(1)).over(within).alias("_n")
+    )
+    second = F.try_element_at(F.sort_array(F.collect_list(F.when(F.col("_nth") == 1, F.col("_n"))).over(same), asc=False), F.lit(2))  # one entry a read, MAX_READS at most
+    return each.withColumn("_copies", second).withColumn("_kept", F.coalesce(F.col("_ok") & (F.col("_copy") <= F.col("_copies")), F.lit(False))).drop("_copies", "_copy", "_nth", "_n", "_ok")
+
+
 def voted_rows(reads: DataFrame, rows: DataFrame) -> DataFrame:
-    """``source_id, position, read_idx, row_idx, labels``: the rows that `vote_window` keeps, by first cited label.
+    """``source_id, position, read_idx, row_idx, labels, text``: the rows that `vote_window` keeps, by first cited label, and their ``sig`` as text.
 
     The first reads' copies stay; rows with equal or no labels follow reads and rows,
     those without labels last. The windows run over one source.
     """
-    same, within = Window.partitionBy("source_id", "sig"), Window.partitionBy("source_id", "sig", "read_idx")
-    each = _thin(rows.select("source_id", "read_idx", "row_idx", "sig", "labels")).join(_usable(reads), "source_id").where(F.array_contains("_usable", F.col("read_idx"))).drop("_usable").select(
-        "*", F.row_number().over(same.orderBy("read_idx", "row_idx")).alias("_copy"), F.row_number().over(within.orderBy("row_idx")).alias("_nth"), F.count(F.lit(1)).over(within).alias("_n")
-    )
-    second = F.try_element_at(F.sort_array(F.collect_list(F.when(F.col("_nth") == 1, F.col("_n"))).over(same), asc=False), F.lit(2))  # one entry a read, MAX_READS at most
-    kept = each.withColumn("_copies", second).where("_copy <= _copies")
+    thin = _thin(rows.select("source_id", "read_idx", "row_idx", "sig", "labels", F.col("sig").alias("text")))
     order = Window.partitionBy("source_id").orderBy(F.array_min("labels").asc_nulls_last(), "read_idx", "row_idx")
-    return kept.select("source_id", (F.row_number().over(order) - 1).alias("position"), "read_idx", "row_idx", "labels")
+    return _kept(thin, reads).where("_kept").select("source_id", (F.row_number().over(order) - 1).alias("position"), "read_idx", "row_idx", "labels", "text")
 
 
 def shared_labels(reads: DataFrame, listed: str) -> DataFrame:
@@ -76,47 +81,68 @@ def shared_labels(reads: DataFrame, listed: str) -> DataFrame:
     return each.groupBy("source_id", "label").agg(F.count(F.lit(1)).alias("_n")).where("_n >= 2").select("source_id", "label")
 
 
-def _unaccounted(votes: DataFrame, reads: DataFrame, windows: DataFrame) -> DataFrame:
-    """``source_id, _bad``: windows that voted rows and shared labels do not account for.
-
-    The rules are those of ocr.coverage_problems() and ocr.coverage_gaps(), asked of the
-    labels of one window, which are gathered, so that no label is shuffled by itself.
-    """
-    none = F.array().cast("array<int>")
-    cited = F.array_compact(F.coalesce("labels", none))
-    rows = votes.groupBy("source_id").agg(
-        F.flatten(F.collect_list(cited)).alias("_rows"), F.collect_list(F.array_min("labels")).alias("_starts"), F.bool_or(F.coalesce(F.size("labels"), F.lit(0)) <= 0).alias("_blank")
-    )
-    w = windows.select("source_id", "first", "last", "row_count").join(rows, "source_id", "left")
-    for listed in ("non", "cont"):
-        w = w.join(shared_labels(reads, listed).groupBy("source_id").agg(F.collect_list("label").alias(f"_{listed}")), "source_id", "left")
-    w = w.withColumns({c: F.coalesce(c, none) for c in ("_rows", "_starts", "_non", "_cont")})
-    outside = lambda x: ~x.between(F.col("first"), F.col("last"))
-    held = F.array_distinct(F.filter(F.concat("_rows", "_non", "_cont"), lambda x: ~outside(x)))
-    bad = (
-        F.exists("_rows", lambda x: (x < 1) | (x > F.col("row_count"))) | F.exists("_starts", outside) | F.exists("_non", outside) | F.exists("_cont", outside)
-        | F.arrays_overlap("_non", "_rows") | F.arrays_overlap("_cont", "_non") | (F.size(held) < F.size(F.sequence("first", "last"))) | F.coalesce("_blank", F.lit(False))
-    )
-    return w.where(bad).select("source_id").distinct().withColumn("_bad", F.lit(True))
+def _shared(reads: Column, listed: str) -> Column:
+    """Labels that at least two usable reads of a source hold in the list of that name."""
+    each = F.sort_array(F.flatten(F.transform(F.filter(reads, lambda r: r["ok"]), lambda r: F.array_distinct(r[listed]))))
+    return F.array_distinct(F.filter(each, lambda x, i: F.get(each, i - 1) == x))
 
 
-def decide_rows(reads: DataFrame, rows: DataFrame, windows: DataFrame) -> DataFrame:
+def decide_rows(reads: DataFrame, rows: DataFrame, windows: DataFrame | None) -> DataFrame:
     """``source_id, outcome, read_idx, voted, reason``: as `decide`, then row by row for sources with a window.
 
     A vote needs a read after the second, two usable reads, and rows and lists that
     account for every label of the window; ``read_idx`` is null then. ``windows``:
-    ``source_id, first, last, row_count``.
+    ``source_id, first, last, row_count``. The rules of a window are those of
+    ocr.coverage_problems() and ocr.coverage_gaps(). Rows, reads and windows are each dealt
+    by source once; all that is asked of a source is asked of its reads and rows together.
+    Without windows nothing is voted on.
     """
-    whole = decide(document_signatures(reads, _thin(rows.select("source_id", "read_idx", "row_idx", "sig"))))
-    counts = reads.groupBy("source_id").agg(F.max("read_idx").alias("_last"), F.count_if(F.col("error").isNull()).alias("_usable"))
-    bad = _unaccounted(voted_rows(reads, rows), reads, windows)
-    j = whole.join(counts, "source_id").join(windows.select("source_id", F.lit(True).alias("_window")).distinct(), "source_id", "left").join(bad, "source_id", "left")
+    none = F.array().cast("array<int>")
+    thin = _thin(rows.select("source_id", "read_idx", "row_idx", "sig", "labels"))
+    thin = thin.withColumn("_kept", F.lit(False)) if windows is None else _kept(thin, reads)
+    kept = lambda x: F.when(F.col("_kept"), x)
+    per = thin.groupBy("source_id").agg(
+        F.array_sort(F.collect_list(F.struct("read_idx", "row_idx", "sig"))).alias("_all"), F.flatten(F.collect_list(kept(F.array_compact(F.coalesce("labels", none))))).alias("_rows"),
+        F.collect_list(kept(F.array_min("labels"))).alias("_starts"), F.bool_or(kept(F.coalesce(F.size("labels"), F.lit(0)) <= 0)).alias("_blank"),
+    )
+    said = F.coalesce(F.col("statement"), F.lit("")) != ""
+    lists = [F.array_sort(F.coalesce(c, none)).alias(c) for c in ("non", "cont")]
+    every = reads.select("source_id", F.struct("read_idx", F.col("error").isNull().alias("ok"), said.alias("said"), *lists).alias("r")).repartition("source_id")
+    every = every.groupBy("source_id").agg(F.array_sort(F.collect_list("r")).alias("_reads"))  # MAX_READS at most
+    j = every.join(per, "source_id", "left")
+    if windows is None:
+        j = j.withColumn("_windows", F.lit(None).cast("array<struct<first:int,last:int,row_count:int>>"))
+    else:
+        placed = windows.select("source_id", F.struct("first", "last", "row_count").alias("w")).repartition("source_id")
+        j = j.join(placed.groupBy("source_id").agg(F.collect_list("w").alias("_windows")), "source_id", "left")
+
+    def document(r: Column) -> Column:
+        mine = F.transform(F.filter(F.col("_all"), lambda x: x["read_idx"] == r["read_idx"]), lambda x: x["sig"])
+        listed = F.coalesce(mine, F.array().cast("array<binary>"))
+        return F.struct(r["read_idx"].alias("at"), F.when(r["ok"], F.struct(((F.size(listed) == 0) & r["said"]).alias("empty"), listed.alias("rows"), r["non"].alias("non"), r["cont"].alias("cont"))).alias("doc"))
+
+    j = j.withColumn("_docs", F.transform("_reads", document)).drop("_all")
+    again = F.filter(F.col("_docs"), lambda b: F.exists(F.col("_docs"), lambda a: (a["at"] < b["at"]) & (a["doc"] == b["doc"])))
+    j = j.select(
+        "source_id", F.array_min(F.transform(again, lambda d: d["at"])).alias("_later"), F.array_max(F.transform("_reads", lambda r: r["read_idx"])).alias("_last"), F.size(F.filter("_reads", lambda r: r["ok"])).alias("_usable"),
+        "_windows", *[F.coalesce(c, none).alias(c) for c in ("_rows", "_starts")], F.coalesce("_blank", F.lit(False)).alias("_blank"), _shared(F.col("_reads"), "non").alias("_non"), _shared(F.col("_reads"), "cont").alias("_cont"),
+    )
+
+    def unaccounted(w: Column) -> Column:
+        outside = lambda x: ~x.between(w["first"], w["last"])
+        held = F.array_distinct(F.filter(F.concat("_rows", "_non", "_cont"), lambda x: ~outside(x)))
+        return (
+            F.exists("_rows", lambda x: (x < 1) | (x > w["row_count"])) | F.exists("_starts", outside) | F.exists("_non", outside) | F.exists("_cont", outside)
+            | F.arrays_overlap("_non", "_rows") | F.arrays_overlap("_cont", "_non") | (F.size(held) < F.size(F.sequence(w["first"], w["last"]))) | F.col("_blank")
+        )
+
     reason = (
-        F.when(F.col("outcome") != "failed", None).when(F.col("_last") < 2, "no read after the second").when(F.col("_window").isNull(), "no two reads agree")
-        .when(F.col("_usable") < 2, "fewer than two usable reads").when(F.col("_bad"), "voted rows do not account for the window")
+        F.when(F.col("_later").isNotNull(), None).when(F.col("_last") < 2, "no read after the second").when(F.col("_windows").isNull(), "no two reads agree")
+        .when(F.col("_usable") < 2, "fewer than two usable reads").when(F.exists("_windows", unaccounted), "voted rows do not account for the window")
     )
-    voted = (F.col("outcome") == "failed") & F.col("_reason").isNull()
-    return j.withColumn("_reason", reason).select("source_id", F.when(voted, "arbitrated").otherwise(F.col("outcome")).alias("outcome"), "read_idx", voted.alias("voted"), F.col("_reason").alias("reason"))
+    voted = F.col("_later").isNull() & F.col("_reason").isNull()
+    outcome = F.when(F.col("_later") == 1, "agreed").when(F.col("_later").isNotNull() | voted, "arbitrated").otherwise("failed")
+    return j.withColumn("_reason", reason).select("source_id", outcome.alias("outcome"), F.when(F.col("_later") == 1, 0).otherwise(F.col("_later")).alias("read_idx"), voted.alias("voted"), F.col("_reason").alias("reason"))
 
 
 def voted_statement(reads: DataFrame, rows: DataFrame) -> DataFrame:

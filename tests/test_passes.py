@@ -134,3 +134,13 @@ def test_decisions_are_made_once_for_all_that_read_them(spark, tmp_path):
     out, rows, _ = passes.decided(spark, windows, f"{tmp_path}/state", n)
     assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert sorted((r.source_id, r.outcome, r.reads) for r in out.collect()) == [("same", "agreed", 2), ("third", "arbitrated", 3)] and rows.count() == 4
+
+
+def test_rows_of_reads_are_shuffled_once_for_a_decision(spark):
+    reads = spark.createDataFrame([("s", n, None, None, [], []) for n in range(3)], "source_id string, read_idx int, error string, statement string, non array<int>, cont array<int>")
+    rows = spark.createDataFrame([("s", n, i, sig, [i + 1]) for n, read in enumerate(("ab", "ac", "xb")) for i, sig in enumerate(read)], "source_id string, read_idx int, row_idx int, sig string, labels array<int>")
+    windows = spark.createDataFrame([("s", "s", 1, 2, 2)], WINDOWS)
+    out = passes.C.decide_rows(reads, rows, windows)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("unhex(md5(") == 1
+    assert [tuple(r) for r in out.collect()] == [("s", "arbitrated", None, True, None)]
