@@ -81,10 +81,14 @@ def shared_labels(reads: DataFrame, listed: str) -> DataFrame:
     return each.groupBy("source_id", "label").agg(F.count(F.lit(1)).alias("_n")).where("_n >= 2").select("source_id", "label")
 
 
-def _shared(reads: Column, listed: str) -> Column:
-    """Labels that at least two usable reads of a source hold in the list of that name."""
-    each = F.sort_array(F.flatten(F.transform(F.filter(reads, lambda r: r["ok"]), lambda r: F.array_distinct(r[listed]))))
-    return F.array_distinct(F.filter(each, lambda x, i: F.get(each, i - 1) == x))
+def _listed(reads: Column, name: str) -> Column:
+    """Labels of the list of that name in all usable reads of a source, sorted."""
+    return F.sort_array(F.flatten(F.transform(F.filter(reads, lambda r: r["ok"]), lambda r: F.array_distinct(r[name]))))
+
+
+def _repeated(sorted_: str) -> Column:
+    """What a sorted array, which must be a column, holds more than once."""
+    return F.array_distinct(F.filter(sorted_, lambda x, i: F.get(F.col(sorted_), i - 1) == x))
 
 
 def decide_rows(reads: DataFrame, rows: DataFrame, windows: DataFrame | None) -> DataFrame:
@@ -121,11 +125,11 @@ def decide_rows(reads: DataFrame, rows: DataFrame, windows: DataFrame | None) ->
         listed = F.coalesce(mine, F.array().cast("array<binary>"))
         return F.struct(r["read_idx"].alias("at"), F.when(r["ok"], F.struct(((F.size(listed) == 0) & r["said"]).alias("empty"), listed.alias("rows"), r["non"].alias("non"), r["cont"].alias("cont"))).alias("doc"))
 
-    j = j.withColumn("_docs", F.transform("_reads", document)).drop("_all")
+    j = j.withColumns({"_docs": F.transform("_reads", document), "_each_non": _listed(F.col("_reads"), "non"), "_each_cont": _listed(F.col("_reads"), "cont")}).drop("_all")
     again = F.filter(F.col("_docs"), lambda b: F.exists(F.col("_docs"), lambda a: (a["at"] < b["at"]) & (a["doc"] == b["doc"])))
     j = j.select(
         "source_id", F.array_min(F.transform(again, lambda d: d["at"])).alias("_later"), F.array_max(F.transform("_reads", lambda r: r["read_idx"])).alias("_last"), F.size(F.filter("_reads", lambda r: r["ok"])).alias("_usable"),
-        "_windows", *[F.coalesce(c, none).alias(c) for c in ("_rows", "_starts")], F.coalesce("_blank", F.lit(False)).alias("_blank"), _shared(F.col("_reads"), "non").alias("_non"), _shared(F.col("_reads"), "cont").alias("_cont"),
+        "_windows", *[F.coalesce(c, none).alias(c) for c in ("_rows", "_starts")], F.coalesce("_blank", F.lit(False)).alias("_blank"), _repeated("_each_non").alias("_non"), _repeated("_each_cont").alias("_cont"),
     )
 
     def unaccounted(w: Column) -> Column:

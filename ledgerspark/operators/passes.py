@@ -44,14 +44,18 @@ def _passes(spark: SparkSession, state: str, n: int) -> tuple[DataFrame, DataFra
     return out[0], out[1]
 
 
-def undecided(sources: DataFrame, reads: DataFrame, rows: DataFrame, windows: DataFrame, n: int) -> DataFrame:
-    """``sources`` that need a read after ``n``: all of them up to two, then those whose first two disagree, then those without a decision."""
-    if n < 2:
-        return sources
-    if n == 2:
-        return sources.join(C.third_reads(C.document_signatures(reads, rows)), "source_id", "left_semi")
-    failed = C.decide_rows(reads, rows, windows).where("outcome = 'failed'").select("source_id")
-    return sources.join(failed, "source_id", "left_semi")
+def _asked(spark: SparkSession, state: str, n: int) -> DataFrame:
+    return spark.read.parquet(f"{state}/pass-{n}/reads").select("source_id").distinct()
+
+
+def _decisions(spark: SparkSession, windows: DataFrame, state: str, n: int) -> DataFrame:
+    """Decisions on the sources that pass ``n`` gave a read of, after it; with fewer than three reads nothing is voted on. Made once and written."""
+    at = f"{state}/pass-{n}/decided"
+    if not _done(spark, at):
+        reads, rows = _passes(spark, state, n)
+        reads, rows = (df.join(_asked(spark, state, n), "source_id", "left_semi") for df in (reads, rows))
+        _kept(C.decide_rows(reads, rows, windows if n > 2 else None), at)
+    return spark.read.parquet(at)
 
 
 def read_in_passes(sources: DataFrame, windows: DataFrame, read: Reader, state: str, most: int = C.MAX_READS) -> int:
@@ -69,9 +73,10 @@ def read_in_passes(sources: DataFrame, windows: DataFrame, read: Reader, state:
         if not _done(spark, f"{at}/rows"):
             if not _done(spark, f"{at}/pending"):
                 if n > 2:
-                    reads, rows = _passes(spark, state, n - 1)
-                    asked = spark.read.parquet(f"{state}/pass-{n - 1}/reads").select("source_id").distinct()
-                    pending = undecided(sources.join(asked, "source_id", "left_semi"), reads, rows, windows, n - 1)
+                    if _asked(spark, state, n - 1).isEmpty():
+                        return n - 1
+                    open_ = _decisions(spark, windows, state, n - 1).where("outcome = 'failed'")
+                    pending = sources.join(open_.select("source_id"), "source_id", "left_semi")
                 _kept(pending, f"{at}/pending")
             todo = spark.read.parquet(f"{at}/pending")
             if todo.isEmpty():
@@ -86,10 +91,19 @@ def decided(spark: SparkSession, windows: DataFrame, state: str, passes: int) ->
     """Decisions with ``reads`` (how often a source was read), the decided rows by ``position``, and ``outcome, n, later_reads``."""
     reads, rows = _passes(spark, state, passes)
     often = reads.groupBy("source_id").agg(F.count(F.lit(1)).cast("int").alias("reads"))
-    out, _ = written(C.decide_rows(reads, rows, windows).join(often, "source_id"), "decided")  # read three times below
+    made = None
+    for n in range(1, passes + 1):  # the last decision on a source counts
+        if n == 1 and passes > 1:  # of sources that no second pass gave a read of
+            first = [df.join(_asked(spark, state, 2), "source_id", "left_anti") for df in _passes(spark, state, 1)]
+            last = C.decide_rows(*first, None)
+        else:
+            last = _decisions(spark, windows, state, n)
+        last = last if n in (1, passes) else last.join(_asked(spark, state, n + 1), "source_id", "left_anti")
+        made = last if made is None else made.unionByName(last)
+    out, _ = written(made.join(often, "source_id"), "decided")  # read three times below
     whole = rows.join(out.where("read_idx is not null").select("source_id", "read_idx"), ["source_id", "read_idx"]).withColumn("position", F.col("row_idx").cast("int"))
-    voted = C.voted_rows(reads, rows).join(out.where("voted").select("source_id"), "source_id", "left_semi").select("source_id", "read_idx", "row_idx", F.col("position").cast("int").alias("position"))
-    voted = voted.join(rows, ["source_id", "read_idx", "row_idx"])
+    chosen = out.where("voted").select("source_id")
+    voted = C.voted_rows(*[df.join(chosen, "source_id", "left_semi") for df in (reads, rows)]).withColumnRenamed("text", "sig").withColumn("position", F.col("position").cast("int"))
     columns = ["source_id", "position", "read_idx", "row_idx", "sig", "labels"]
     counts = out.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.sum(F.greatest(F.col("reads") - 2, F.lit(0))).alias("later_reads"))
     return out, whole.select(*columns).unionByName(voted.select(*columns)), counts

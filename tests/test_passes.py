@@ -136,6 +136,26 @@ def test_decisions_are_made_once_for_all_that_read_them(spark, tmp_path):
     assert sorted((r.source_id, r.outcome, r.reads) for r in out.collect()) == [("same", "agreed", 2), ("third", "arbitrated", 3)] and rows.count() == 4
 
 
+def test_a_pass_is_decided_once_and_only_for_those_it_read(spark, tmp_path, monkeypatch):
+    sources = spark.createDataFrame([(i,) for i in ANSWERS], "source_id string")
+    windows = spark.createDataFrame([(i, i, 1, 2, 2) for i in ANSWERS], WINDOWS)
+    seen, decide = [], passes.C.decide_rows
+
+    def noted(reads, rows, windows):
+        seen.append((windows is not None, sorted({r.source_id for r in reads.collect()})))
+        return decide(reads, rows, windows)
+
+    monkeypatch.setattr(passes.C, "decide_rows", noted)
+    state = f"{tmp_path}/state"
+    n = passes.read_in_passes(sources, windows, Reader(spark, ANSWERS), state)
+    out = passes.decided(spark, windows, state, n)[0]
+    third = ["never", "quits", "third", "voted"]
+    assert seen == [(False, sorted(ANSWERS)), (True, third), (True, ["never"]), (False, []), (True, ["never"])]
+    assert out.count() == len(ANSWERS)
+    again = passes.decided(spark, windows, state, n)[0]
+    assert len(seen) == 6 and sorted(map(str, again.collect())) == sorted(map(str, out.collect()))
+
+
 def test_rows_of_reads_are_shuffled_once_for_a_decision(spark):
     reads = spark.createDataFrame([("s", n, None, None, [], []) for n in range(3)], "source_id string, read_idx int, error string, statement string, non array<int>, cont array<int>")
     rows = spark.createDataFrame([("s", n, i, sig, [i + 1]) for n, read in enumerate(("ab", "ac", "xb")) for i, sig in enumerate(read)], "source_id string, read_idx int, row_idx int, sig string, labels array<int>")
